@@ -76,3 +76,19 @@ def safe_cast(df: DataFrame, cast_map: dict[str, str] | None,
             .drop(REJECT_REASON))
     rejects = flagged.where(F.col(REJECT_REASON).isNotNull())
     return good, rejects
+
+
+def cast_probe(df: DataFrame, cast_map: dict[str, str] | None, rule: str | None = None) -> DataFrame:
+    """V1 + V2: every named column exists and every type name is known (raises
+    otherwise, listing all of them), then one aggregate over all rows gives the
+    number of values per column that would not convert."""
+    types = resolve_cast_map(df.columns, cast_map, rule)
+    spark = df.sparkSession
+    if not types:
+        return spark.createDataFrame([], "column_name string, target_type string, failures bigint")
+    counts = df.agg(*[F.count_if(cast_failed(F.col(c), t)).alias(f"f{i}")
+                      for i, (c, t) in enumerate(types.items())])
+    return counts.select(F.inline(F.array(*[
+        F.struct(F.lit(c).alias("column_name"), F.lit(t.simpleString()).alias("target_type"),
+                 F.col(f"f{i}").alias("failures"))
+        for i, (c, t) in enumerate(types.items())])))

@@ -243,3 +243,163 @@ def clean_all(spark, sf_dir):
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     register_dir(spark, sf_dir, ("customer",))
     return q3_avg_by_segment(spark, sf_dir)
+
+
+@register("cast_probe", """
+SELECT 'l_partkey' AS column_name, 'tinyint' AS target_type,
+       count_if(TRY_CAST(l_partkey AS TINYINT) IS NULL) AS failures FROM lineitem
+UNION ALL
+SELECT 'l_quantity', 'tinyint', count_if(TRY_CAST(trunc(l_quantity) AS TINYINT) IS NULL) FROM lineitem
+UNION ALL
+SELECT 'l_suppkey', 'int', count_if(TRY_CAST(l_suppkey AS INTEGER) IS NULL) FROM lineitem
+""")
+def cast_probe_q(spark, sf_dir):
+    from ..operators import cast_probe
+    return cast_probe(table(spark, sf_dir, "lineitem"),
+                      {"L_PARTKEY": "int8", "l_quantity": "Int8", "l_suppkey": "int32"})
+
+
+# --------------------------------------------------------------------------
+# V3-V10 contract
+# --------------------------------------------------------------------------
+from ..operators.contract import (capture_contract, catalog_schema_drift, check_contract,  # noqa: E402
+                                  observed_schema, split_by_contract)
+from ..spec import JobSpec  # noqa: E402
+
+EVENT_TYPES = [("event_id", "bigint"), ("ts", "timestamp_ntz"), ("user_id", "bigint"),
+               ("event_type", "string"), ("value", "double"), ("props", "string")]
+DEFAULT_SETTINGS = JobSpec().settings()
+
+
+@register("contract_capture", " UNION ALL ".join(
+    [f"SELECT 'events' AS table_name, 1 AS version, 'column' AS kind, '{n}' AS name, {i} AS ordinal, "
+     f"'{t}' AS value, count_if({n} IS NULL) > 0 AS nullable FROM events"
+     for i, (n, t) in enumerate(EVENT_TYPES)]
+    + [f"SELECT 'events', 1, 'setting', '{k}', NULL, '{v}', NULL" for k, v in sorted(DEFAULT_SETTINGS.items())]))
+def contract_capture(spark, sf_dir):
+    return capture_contract(table(spark, sf_dir, "events"), "events", 1, DEFAULT_SETTINGS)
+
+
+def orders_drifted(spark, sf_dir) -> DataFrame:
+    """orders with a dropped column, an added one, two changed types, reordered."""
+    o = table(spark, sf_dir, "orders")
+    return o.select(
+        F.col("o_totalprice").cast("int").alias("o_totalprice"),
+        "o_orderkey",
+        F.col("o_custkey").cast("string").alias("o_custkey"),
+        "o_orderstatus", "o_orderdate",
+        F.concat(F.lit("note-"), F.col("o_orderkey").cast("string")).alias("o_comment"))
+
+
+ORDERS_DRIFT_SQL = """
+SELECT 'orders' AS table_name, 'o_totalprice' AS column_name, 'type_changed' AS finding,
+       'double' AS expected, 'int' AS observed,
+       count_if(TRY_CAST(CAST(o_totalprice AS INTEGER) AS DOUBLE) IS NULL) AS bad_rows,
+       count_if(TRY_CAST(CAST(o_totalprice AS INTEGER) AS DOUBLE) IS NULL) > 0 AS blocking
+FROM orders
+UNION ALL
+SELECT 'orders', 'o_custkey', 'type_changed', 'bigint', 'string',
+       count_if(TRY_CAST(CAST(o_custkey AS VARCHAR) AS BIGINT) IS NULL),
+       count_if(TRY_CAST(CAST(o_custkey AS VARCHAR) AS BIGINT) IS NULL) > 0 FROM orders
+UNION ALL
+SELECT 'orders', 'o_orderpriority', 'missing_column', 'string', NULL, count(*), true FROM orders
+UNION ALL
+SELECT 'orders', 'o_comment', 'unexpected_column', NULL, 'string', count(*), true FROM orders
+"""
+
+
+@register("contract_schema_drift", ORDERS_DRIFT_SQL)
+def contract_schema_drift(spark, sf_dir):
+    base = table(spark, sf_dir, "orders")
+    contract = capture_contract(base, "orders")
+    return check_contract(orders_drifted(spark, sf_dir), contract, "orders")
+
+
+def orders_planted(spark, sf_dir) -> DataFrame:
+    """orders with keys as text (some not numeric) and some missing prices."""
+    o = table(spark, sf_dir, "orders")
+    return o.select(
+        "o_orderkey",
+        F.when(F.col("o_orderkey") % 97 == 0, F.concat(F.lit("x"), F.col("o_custkey").cast("string")))
+         .otherwise(F.col("o_custkey").cast("string")).alias("o_custkey"),
+        "o_orderstatus",
+        F.when(F.col("o_orderkey") % 101 == 0, F.lit(None).cast("double"))
+         .otherwise(F.col("o_totalprice")).alias("o_totalprice"),
+        "o_orderdate", "o_orderpriority")
+
+
+ORDERS_PLANTED_SQL = """
+(SELECT o_orderkey,
+        CASE WHEN o_orderkey % 97 = 0 THEN 'x' || CAST(o_custkey AS VARCHAR) ELSE CAST(o_custkey AS VARCHAR) END
+          AS o_custkey,
+        o_orderstatus,
+        CASE WHEN o_orderkey % 101 = 0 THEN NULL ELSE o_totalprice END AS o_totalprice,
+        o_orderdate, o_orderpriority
+ FROM orders)
+"""
+
+
+@register("contract_value_check", f"""
+SELECT 'orders' AS table_name, 'o_custkey' AS column_name, 'type_changed' AS finding,
+       'bigint' AS expected, 'string' AS observed,
+       count_if(TRY_CAST(o_custkey AS BIGINT) IS NULL) AS bad_rows,
+       count_if(TRY_CAST(o_custkey AS BIGINT) IS NULL) > 0 AS blocking
+FROM {ORDERS_PLANTED_SQL} p
+UNION ALL
+SELECT 'orders', 'o_totalprice', 'null_values', 'not null', 'double',
+       count_if(o_totalprice IS NULL), count_if(o_totalprice IS NULL) > 0
+FROM {ORDERS_PLANTED_SQL} p
+""")
+def contract_value_check(spark, sf_dir):
+    contract = capture_contract(table(spark, sf_dir, "orders"), "orders")
+    return check_contract(orders_planted(spark, sf_dir), contract, "orders")
+
+
+_PLANTED_VIOLATIONS_SQL = ("concat_ws(',', CASE WHEN TRY_CAST(o_custkey AS BIGINT) IS NULL THEN 'o_custkey:type' END, "
+                           "CASE WHEN o_totalprice IS NULL THEN 'o_totalprice:null' END)")
+
+
+@register("contract_quarantine", f"""
+SELECT *, {_PLANTED_VIOLATIONS_SQL} AS _violations FROM {ORDERS_PLANTED_SQL} p
+WHERE TRY_CAST(o_custkey AS BIGINT) IS NULL OR o_totalprice IS NULL
+""")
+def contract_quarantine(spark, sf_dir):
+    contract = capture_contract(table(spark, sf_dir, "orders"), "orders")
+    _, bad = split_by_contract(orders_planted(spark, sf_dir), contract, "orders")
+    return bad
+
+
+@register("contract_good_rows", f"""
+SELECT o_orderkey, CAST(o_custkey AS BIGINT) AS o_custkey, o_orderstatus, o_totalprice,
+       o_orderdate, o_orderpriority
+FROM {ORDERS_PLANTED_SQL} p
+WHERE TRY_CAST(o_custkey AS BIGINT) IS NOT NULL AND o_totalprice IS NOT NULL
+""")
+def contract_good_rows(spark, sf_dir):
+    contract = capture_contract(table(spark, sf_dir, "orders"), "orders")
+    good, _ = split_by_contract(orders_planted(spark, sf_dir), contract, "orders")
+    return good
+
+
+@register("contract_catalog_drift", """
+SELECT 'orders' AS table_name, 'o_totalprice' AS column_name, 'type_changed' AS finding,
+       'double' AS expected, 'int' AS observed
+UNION ALL SELECT 'orders', 'o_custkey', 'type_changed', 'bigint', 'string'
+UNION ALL SELECT 'orders', 'o_orderpriority', 'missing_column', 'string', NULL
+UNION ALL SELECT 'orders', 'o_comment', 'unexpected_column', NULL, 'string'
+UNION ALL SELECT 'lineitem', 'l_tax', 'missing_column', 'double', NULL
+UNION ALL SELECT 'customer', 'c_phone', 'unexpected_column', NULL, 'string'
+""")
+def contract_catalog_drift(spark, sf_dir):
+    from .query import TEST_TABLES
+    from functools import reduce
+    contracts = reduce(DataFrame.unionByName,
+                       [capture_contract(table(spark, sf_dir, t), t) for t in TEST_TABLES])
+    now = {t: table(spark, sf_dir, t) for t in TEST_TABLES}
+    now["orders"] = orders_drifted(spark, sf_dir)
+    now["lineitem"] = now["lineitem"].drop("l_tax")
+    now["customer"] = now["customer"].withColumn(
+        "c_phone", F.concat(F.lit("555-"), F.col("c_custkey").cast("string")))
+    observed = reduce(DataFrame.unionByName,
+                      [observed_schema(spark, t, df.schema) for t, df in now.items()])
+    return catalog_schema_drift(contracts, observed)

@@ -403,3 +403,93 @@ def contract_catalog_drift(spark, sf_dir):
     observed = reduce(DataFrame.unionByName,
                       [observed_schema(spark, t, df.schema) for t, df in now.items()])
     return catalog_schema_drift(contracts, observed)
+
+
+# --------------------------------------------------------------------------
+# K2-K4 sinks, S1 CSV, S9 counts
+# --------------------------------------------------------------------------
+from ..session import scratch_path  # noqa: E402
+from ..sinks import TargetExists, read_target, write_table  # noqa: E402
+from ..sources import read_csv, row_counts, write_csv  # noqa: E402
+
+
+@register("sink_modes", """
+SELECT 1 AS step, 'replace' AS mode, 'written' AS outcome, count(*) AS rows_after FROM orders
+UNION ALL SELECT 2, 'append', 'written', 2 * count(*) FROM orders
+UNION ALL SELECT 3, 'fail', 'refused', 2 * count(*) FROM orders
+UNION ALL SELECT 4, 'replace', 'written', count(*) FROM orders
+""")
+def sink_modes(spark, sf_dir):
+    src = table(spark, sf_dir, "orders")
+    target = scratch_path(spark, "sink-modes")
+    steps = []
+    for step, mode in enumerate(["replace", "append", "fail", "replace"], start=1):
+        try:
+            write_table(src, target, mode)
+            outcome = "written"
+        except TargetExists:
+            outcome = "refused"
+        steps.append((step, mode, outcome, read_target(spark, target).count()))
+    return spark.createDataFrame(steps, "step int, mode string, outcome string, rows_after bigint")
+
+
+@register("sink_roundtrip", "SELECT * FROM orders UNION ALL SELECT * FROM orders")
+def sink_roundtrip(spark, sf_dir):
+    src = table(spark, sf_dir, "orders")
+    target = scratch_path(spark, "sink-roundtrip")
+    write_table(src, target, "replace")
+    write_table(src, target, "append")
+    return read_target(spark, target)
+
+
+@register("csv_roundtrip", "SELECT * FROM documents")
+def csv_roundtrip(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    path = scratch_path(spark, "csv-roundtrip")
+    write_csv(docs, path)
+    return read_csv(spark, path, schema=docs.schema)
+
+
+@register("row_counts", " UNION ALL ".join(
+    f"SELECT '{t}' AS table_name, count(*) AS n_rows FROM {t}" for t in (
+        "region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
+        "documents", "embeddings", "pages", "benchmark", "labels", "conversations")))
+def row_counts_q(spark, sf_dir):
+    from .query import TEST_TABLES
+    return row_counts({t: table(spark, sf_dir, t) for t in TEST_TABLES})
+
+
+# --------------------------------------------------------------------------
+# L2 samples
+# --------------------------------------------------------------------------
+from ..operators.sample import head_fraction, keyed_sample  # noqa: E402
+
+# (l_orderkey, l_linenumber) repeats in the test data, so the order runs over
+# every column: ties are then whole-row duplicates and the row set is unique.
+LINEITEM_ORDER = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity",
+                  "l_extendedprice", "l_discount", "l_tax", "l_returnflag", "l_linestatus",
+                  "l_shipdate"]
+_HEAD_SQL = """
+SELECT * FROM lineitem ORDER BY {order}
+LIMIT (SELECT CAST(floor(count(*) * {f}) AS BIGINT) FROM lineitem)
+""".replace("{order}", ", ".join(LINEITEM_ORDER))
+
+
+@register("sample_head", _HEAD_SQL.format(f=0.01))
+def sample_head(spark, sf_dir):
+    return head_fraction(table(spark, sf_dir, "lineitem"), 0.01, LINEITEM_ORDER)
+
+
+@register("sample_head_ranged", _HEAD_SQL.format(f=0.5))
+def sample_head_ranged(spark, sf_dir):
+    # Half the table: large enough to take the range-partitioned path.
+    return head_fraction(table(spark, sf_dir, "lineitem"), 0.5, LINEITEM_ORDER, topk_max_rows=1000)
+
+
+@register("sample_keyed", f"""
+SELECT * FROM lineitem
+WHERE ('0x' || substr(md5(concat_ws('|', CAST(l_orderkey AS VARCHAR), CAST(l_linenumber AS VARCHAR))), 1, 8))::BIGINT
+      < {int(0.1 * (1 << 32))}
+""")
+def sample_keyed(spark, sf_dir):
+    return keyed_sample(table(spark, sf_dir, "lineitem"), 0.1, ["l_orderkey", "l_linenumber"])

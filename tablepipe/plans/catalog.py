@@ -493,3 +493,193 @@ WHERE ('0x' || substr(md5(concat_ws('|', CAST(l_orderkey AS VARCHAR), CAST(l_lin
 """)
 def sample_keyed(spark, sf_dir):
     return keyed_sample(table(spark, sf_dir, "lineitem"), 0.1, ["l_orderkey", "l_linenumber"])
+
+
+# --------------------------------------------------------------------------
+# S5, P1-P14 size profile
+# --------------------------------------------------------------------------
+from ..operators.profile import (ROWS_MARK, footer_totals, load_plan,  # noqa: E402
+                                 size_factors, string_length_stats)
+
+ALL_TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
+              "documents", "embeddings", "pages", "benchmark", "labels", "conversations")
+# Fixture for the oracles: the text columns of each test table.
+STRING_COLUMNS = {
+    "region": ["r_name"], "nation": ["n_name"], "customer": ["c_name", "c_mktsegment"],
+    "supplier": ["s_name"], "part": ["p_name", "p_brand", "p_type"],
+    "orders": ["o_orderstatus", "o_orderpriority"], "lineitem": ["l_returnflag", "l_linestatus"],
+    "events": ["event_type", "props"], "documents": ["text", "lang", "source"], "embeddings": [],
+    "pages": ["url", "html"], "benchmark": ["text"], "labels": [], "conversations": ["role", "text"],
+}
+ORACLE_SF_DIR = "/root/testdata/sf0.01"
+
+
+def _stats_sql(tables) -> str:
+    return " UNION ALL ".join(
+        f"SELECT '{t}' AS table_name, '{c}' AS column_name, count({c}) AS n_values, "
+        f"median(strlen({c})) AS median_len, avg(strlen({c})) AS avg_len FROM {t}"
+        for t in tables for c in STRING_COLUMNS[t])
+
+
+def _tables(spark, sf_dir, names):
+    return {t: table(spark, sf_dir, t) for t in names}
+
+
+@register("string_length_stats",
+          f"SELECT table_name, column_name, n_values, median_len, round(avg_len, 6) AS avg_len "
+          f"FROM ({_stats_sql(['customer', 'documents', 'pages', 'conversations'])}) s")
+def string_length_stats_q(spark, sf_dir):
+    st = string_length_stats(_tables(spark, sf_dir, ["customer", "documents", "pages", "conversations"]))
+    return round_floats(st.where(F.col("column_name") != ROWS_MARK), 6, ["avg_len"])
+
+
+def _factors_sql(tables) -> str:
+    names = ", ".join(f"'{t}'" for t in tables)
+    rows = " UNION ALL ".join(f"SELECT '{t}' AS table_name, count(*) AS n_rows FROM {t}" for t in tables)
+    return f"""
+WITH kinds AS (
+  SELECT table_name, column_name,
+    CASE data_type WHEN 'TINYINT' THEN 'int8' WHEN 'SMALLINT' THEN 'int16' WHEN 'INTEGER' THEN 'int32'
+      WHEN 'BIGINT' THEN 'int64' WHEN 'FLOAT' THEN 'float32' WHEN 'DOUBLE' THEN 'float64'
+      WHEN 'BOOLEAN' THEN 'bool' WHEN 'DATE' THEN 'date' WHEN 'TIMESTAMP' THEN 'timestamp'
+      WHEN 'VARCHAR' THEN 'string'
+      ELSE CASE WHEN data_type LIKE '%[]' THEN 'list' WHEN data_type LIKE 'STRUCT%' THEN 'struct'
+                ELSE 'other' END END AS kind
+  FROM information_schema.columns WHERE table_name IN ({names})),
+w AS (
+  SELECT table_name, kind,
+    CASE kind WHEN 'int8' THEN 1.4 WHEN 'int16' THEN 1.45 WHEN 'int32' THEN 1.5 WHEN 'int64' THEN 1.55
+      WHEN 'float32' THEN 1.6 WHEN 'float64' THEN 1.65 WHEN 'bool' THEN 2.5 WHEN 'date' THEN 1.8
+      WHEN 'timestamp' THEN 1.85 WHEN 'list' THEN 2.5 WHEN 'struct' THEN 2.8 ELSE 1.7 END AS text_f,
+    CASE kind WHEN 'int8' THEN 1 WHEN 'int16' THEN 2 WHEN 'int32' THEN 4 WHEN 'int64' THEN 8
+      WHEN 'float32' THEN 4 WHEN 'float64' THEN 8 WHEN 'timestamp' THEN 8 WHEN 'date' THEN 4
+      WHEN 'bool' THEN 1 END AS vbytes,
+    CASE kind WHEN 'int8' THEN 1.2 WHEN 'int16' THEN 1.25 WHEN 'int32' THEN 1.3 WHEN 'int64' THEN 1.35
+      WHEN 'float32' THEN 1.4 WHEN 'float64' THEN 1.45 WHEN 'bool' THEN 2.0 WHEN 'date' THEN 1.5
+      WHEN 'timestamp' THEN 1.55 WHEN 'list' THEN 2.2 WHEN 'struct' THEN 2.5 ELSE 1.7 END AS pq_f,
+    CASE WHEN kind IN ('int8', 'int16', 'int32', 'int64') THEN 1.3 WHEN kind IN ('float32', 'float64') THEN 1.4
+      WHEN kind = 'bool' THEN 2.0 WHEN kind IN ('date', 'timestamp') THEN 1.5 WHEN kind = 'list' THEN 2.2
+      END AS pq9_f
+  FROM kinds),
+facts AS (
+  SELECT table_name, count(*) AS n_cols, count_if(kind = 'string') AS n_str,
+    coalesce(sum(text_f) FILTER (WHERE kind <> 'string'), 0) AS text_fixed,
+    coalesce(sum(vbytes) FILTER (WHERE kind <> 'string'), 0) AS bytes_fixed,
+    count_if(kind <> 'string' AND vbytes IS NULL) AS n_bytes_other,
+    coalesce(sum(pq_f) FILTER (WHERE kind <> 'string'), 0) AS pq_fixed,
+    coalesce(sum(pq9_f) FILTER (WHERE kind <> 'string'), 0) AS pq9_fixed,
+    count_if(kind <> 'string' AND pq9_f IS NULL) AS n_pq9_other
+  FROM w GROUP BY table_name),
+sstats AS ({_stats_sql(tables) or "SELECT NULL AS table_name, NULL AS median_len, NULL AS avg_len"}),
+nrows AS ({rows}),
+per AS (SELECT table_name, avg(median_len) AS mm, sum(median_len) AS sm, avg(avg_len) AS ma
+        FROM sstats GROUP BY table_name),
+g AS (
+  SELECT f.*, r.n_rows, p.mm, p.sm, p.ma,
+    CASE WHEN p.mm IS NULL THEN 1.0 WHEN p.mm <= 1 THEN 2.0 WHEN p.mm <= 5 THEN 1.8 WHEN p.mm <= 10 THEN 1.6
+         WHEN p.mm <= 20 THEN 1.4 WHEN p.mm <= 50 THEN 1.2 ELSE 1.1 END AS p2,
+    greatest(coalesce(p.sm, 0), 32) AS p4,
+    CASE WHEN p.ma IS NULL THEN 1.0
+         WHEN greatest(1, p.ma) < 5 THEN least(1 + 4 / greatest(1, p.ma) + 0.4, 2.2)
+         WHEN greatest(1, p.ma) < 10 THEN 1 + 4 / greatest(1, p.ma) + 0.2
+         WHEN greatest(1, p.ma) < 20 THEN 1 + 4 / greatest(1, p.ma) + 0.1
+         ELSE 1 + 4 / greatest(1, p.ma) + 0.05 END AS p7
+  FROM facts f JOIN nrows r USING (table_name) LEFT JOIN per p USING (table_name)),
+h AS (
+  SELECT *, (text_fixed + n_str * p2) / n_cols AS p3,
+         (bytes_fixed + n_str * p4 + n_bytes_other * 16) / n_cols AS p5,
+         (pq_fixed + n_str * p7) / n_cols AS p8
+  FROM g),
+factors AS (
+  SELECT table_name, n_rows, n_cols, n_str, mm AS mean_median_len, p2 AS text_string_factor,
+         p4 AS string_width, ma AS mean_value_len, p7 AS parquet_string_factor, p3 AS text_type_factor,
+         p5 AS mean_value_bytes, bytes_fixed + n_str * p4 + n_bytes_other * p5 AS row_bytes,
+         p8 AS parquet_type_factor, (pq9_fixed + n_str * p7 + n_pq9_other * p8) / n_cols AS parquet_coarse_factor
+  FROM h)"""
+
+
+_FACTOR_COLS = ["n_rows", "n_cols", "n_str", "mean_median_len", "text_string_factor", "string_width",
+                "mean_value_len", "parquet_string_factor", "text_type_factor", "mean_value_bytes",
+                "row_bytes", "parquet_type_factor", "parquet_coarse_factor"]
+_INT_COLS = {"n_rows", "n_cols", "n_str"}
+
+
+def _rounded_sql(cols, digits=6):
+    return ", ".join(c if c in _INT_COLS or c in ("table_name", "format", "decision", "load_mode",
+                                                   "file_bytes", "uncompressed_bytes", "chunk_rows")
+                     else f"round(CAST({c} AS DOUBLE), {digits}) AS {c}" for c in cols)
+
+
+@register("size_factors", _factors_sql(ALL_TABLES)
+          + f" SELECT table_name, {_rounded_sql(_FACTOR_COLS)} FROM factors")
+def size_factors_q(spark, sf_dir):
+    return round_floats(size_factors(spark, _tables(spark, sf_dir, ALL_TABLES)), 6)
+
+
+@register("string_bytes_profile", _factors_sql(["customer"])
+          + " SELECT table_name, round(mean_median_len, 6) AS mean_median_len,"
+            " round(text_string_factor, 6) AS text_string_factor, round(string_width, 6) AS string_width FROM factors")
+def string_bytes_profile(spark, sf_dir):
+    f = size_factors(spark, _tables(spark, sf_dir, ["customer"]))
+    return round_floats(f.select("table_name", "mean_median_len", "text_string_factor", "string_width"), 6)
+
+
+@register("parquet_string_factor", _factors_sql(["documents"])
+          + " SELECT table_name, round(mean_value_len, 6) AS mean_value_len,"
+            " round(parquet_string_factor, 6) AS parquet_string_factor FROM factors")
+def parquet_string_factor_q(spark, sf_dir):
+    f = size_factors(spark, _tables(spark, sf_dir, ["documents"]))
+    return round_floats(f.select("table_name", "mean_value_len", "parquet_string_factor"), 6)
+
+
+_FOOTER_SQL = f"""
+footers AS (
+  SELECT regexp_extract(file_name, '([^/]+)\\.parquet$', 1) AS table_name,
+         count(DISTINCT file_name) AS files,
+         CAST(sum(total_uncompressed_size) AS BIGINT) AS uncompressed_bytes,
+         count(DISTINCT (file_name, row_group_id)) AS num_row_groups
+  FROM parquet_metadata('{ORACLE_SF_DIR}/*.parquet') GROUP BY 1),
+rg AS (
+  SELECT regexp_extract(file_name, '([^/]+)\\.parquet$', 1) AS table_name, CAST(sum(n) AS BIGINT) AS num_rows
+  FROM (SELECT DISTINCT file_name, row_group_id, row_group_num_rows AS n
+        FROM parquet_metadata('{ORACLE_SF_DIR}/*.parquet')) GROUP BY 1),
+sizes AS (
+  SELECT regexp_extract(filename, '([^/]+)\\.parquet$', 1) AS table_name, CAST(sum(size) AS BIGINT) AS file_bytes
+  FROM read_blob('{ORACLE_SF_DIR}/*.parquet') GROUP BY 1)"""
+
+
+@register("footer_bytes", f"""
+WITH {_FOOTER_SQL}
+SELECT f.table_name, f.files, s.file_bytes, r.num_rows, f.num_row_groups, f.uncompressed_bytes
+FROM footers f JOIN rg r USING (table_name) JOIN sizes s USING (table_name)
+""")
+def footer_bytes(spark, sf_dir):
+    return footer_totals(spark, {t: f"{sf_dir.rstrip('/')}/{t}.parquet" for t in ALL_TABLES})
+
+
+LOAD_BUDGET_BYTES = 2 * 1024 * 1024
+_PLAN_COLS = ["table_name", "format", "n_rows", "file_bytes", "uncompressed_bytes", "text_type_factor",
+              "row_bytes", "parquet_coarse_factor", "estimated_bytes", "ratio", "decision", "load_mode",
+              "chunk_fraction", "chunk_rows"]
+
+
+@register("load_plan", _factors_sql(ALL_TABLES) + f""",
+{_FOOTER_SQL},
+est AS (
+  SELECT fa.*, 'parquet' AS format, s.file_bytes, f.uncompressed_bytes,
+         fa.parquet_coarse_factor * f.uncompressed_bytes AS estimated_bytes,
+         fa.parquet_coarse_factor * f.uncompressed_bytes / {float(LOAD_BUDGET_BYTES)} AS ratio
+  FROM factors fa JOIN footers f USING (table_name) JOIN sizes s USING (table_name)),
+dec AS (
+  SELECT *, CASE WHEN ratio <= 0.65 THEN 'eager' WHEN ratio <= 2.0 THEN 'lazy' ELSE 'streaming' END AS decision,
+         CASE WHEN ratio > 5 THEN 0.15 WHEN ratio > 2 THEN 0.25 WHEN ratio > 0.5 THEN 0.40 ELSE 0.70 END
+           AS chunk_fraction
+  FROM est)
+SELECT {_rounded_sql(_PLAN_COLS)}
+FROM (SELECT *, CASE WHEN decision = 'streaming' THEN 'incremental' ELSE 'batch' END AS load_mode,
+             least(greatest(CAST(floor(n_rows * chunk_fraction) AS BIGINT), 10000), n_rows) AS chunk_rows
+      FROM dec) x
+""")
+def load_plan_q(spark, sf_dir):
+    inputs = {t: f"{sf_dir.rstrip('/')}/{t}.parquet" for t in ALL_TABLES}
+    return round_floats(load_plan(spark, inputs, LOAD_BUDGET_BYTES), 6)

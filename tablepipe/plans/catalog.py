@@ -683,3 +683,55 @@ FROM (SELECT *, CASE WHEN decision = 'streaming' THEN 'incremental' ELSE 'batch'
 def load_plan_q(spark, sf_dir):
     inputs = {t: f"{sf_dir.rstrip('/')}/{t}.parquet" for t in ALL_TABLES}
     return round_floats(load_plan(spark, inputs, LOAD_BUDGET_BYTES), 6)
+
+
+# --------------------------------------------------------------------------
+# I1-I5 incremental ingest, M1 run report
+# --------------------------------------------------------------------------
+from ..plans.load import run_load  # noqa: E402
+from ..streaming import incremental_ingest, read_ingested, split_into_files  # noqa: E402
+
+
+@register("incremental_ingest", """
+SELECT event_id, ts, CAST(user_id AS INTEGER) AS user_id, event_type, round(value, 1) AS value, props
+FROM events
+""")
+def incremental_ingest_q(spark, sf_dir):
+    events = table(spark, sf_dir, "events")
+    source = scratch_path(spark, "events-files")
+    split_into_files(events, source, 4)
+    target = scratch_path(spark, "events-ingested")
+    contract = capture_contract(events, "events")
+    incremental_ingest(spark, source, target, data_type={"user_id": "int32"}, decimal_precision=1,
+                       mode="replace", contract=contract, table_name="events",
+                       on_violation="report", max_files_per_trigger=1)
+    return read_ingested(spark, target)
+
+
+@register("run_report", f"""
+SELECT 1 AS run, 'orders' AS table_name, count(*) AS rows_in, count(*) AS rows_written,
+       CAST(0 AS BIGINT) AS rows_rejected, CAST(0 AS BIGINT) AS findings, CAST(0 AS BIGINT) AS blocking,
+       true AS contract_created
+FROM orders
+UNION ALL
+SELECT 2, 'orders', count(*),
+       count_if(TRY_CAST(o_custkey AS BIGINT) IS NOT NULL AND o_totalprice IS NOT NULL),
+       count_if(TRY_CAST(o_custkey AS BIGINT) IS NULL OR o_totalprice IS NULL),
+       2, 2, false
+FROM {ORDERS_PLANTED_SQL} p
+""")
+def run_report(spark, sf_dir):
+    contracts = scratch_path(spark, "contracts")
+    target = scratch_path(spark, "orders-target")
+    first = run_load(spark, JobSpec(table_name="orders", if_table_exists="replace", date_format=False),
+                     contracts, target=target, source=table(spark, sf_dir, "orders"))
+    second = run_load(spark, JobSpec(table_name="orders", if_table_exists="append", date_format=False,
+                                     on_violation="quarantine"),
+                      contracts, target=target, source=orders_planted(spark, sf_dir),
+                      quarantine_target=scratch_path(spark, "orders-quarantine"))
+    both = first.withColumn("run", F.lit(1)).unionByName(second.withColumn("run", F.lit(2)))
+    return both.drop("seconds")
+
+
+# Q1 coverage queries register themselves into this catalogue.
+from . import sql_coverage  # noqa: E402,F401

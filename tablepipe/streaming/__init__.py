@@ -1,0 +1 @@
+from .incremental import incremental_ingest, read_ingested, split_into_files, frozen_plan, BATCH_COL  # noqa: F401

@@ -43,11 +43,12 @@ def cast_columns(df: DataFrame, cast_map: dict[str, str] | None, rule: str | Non
     types = resolve_cast_map(df.columns, cast_map, rule)
     if not types:
         return df
-    return df.withColumns({c: strict_cast(F.col(c), t, c) for c, t in types.items()})
+    src = {f.name: f.dataType for f in df.schema.fields}
+    return df.withColumns({c: strict_cast(F.col(c), t, c, src[c]) for c, t in types.items()})
 
 
-def _reason(types: dict[str, T.DataType]) -> Column:
-    return F.concat_ws(",", *[F.when(cast_failed(F.col(c), t), F.lit(c)) for c, t in types.items()])
+def _reason(types: dict[str, T.DataType], src: dict[str, T.DataType]) -> Column:
+    return F.concat_ws(",", *[F.when(cast_failed(F.col(c), t, src[c]), F.lit(c)) for c, t in types.items()])
 
 
 def flag_cast_failures(df: DataFrame, cast_map: dict[str, str] | None, rule: str | None = None) -> DataFrame:
@@ -57,7 +58,7 @@ def flag_cast_failures(df: DataFrame, cast_map: dict[str, str] | None, rule: str
     types = resolve_cast_map(df.columns, cast_map, rule)
     if not types:
         return df.withColumn(REJECT_REASON, F.lit(None).cast("string"))
-    reason = _reason(types)
+    reason = _reason(types, {f.name: f.dataType for f in df.schema.fields})
     flagged = df.withColumn(REJECT_REASON, F.when(reason != "", reason))
     return flagged
 
@@ -71,8 +72,9 @@ def safe_cast(df: DataFrame, cast_map: dict[str, str] | None,
     if not types:
         return df, df.limit(0).withColumn(REJECT_REASON, F.lit(None).cast("string"))
     flagged = flag_cast_failures(df, cast_map, rule)
+    src = {f.name: f.dataType for f in df.schema.fields}
     good = (flagged.where(F.col(REJECT_REASON).isNull())
-            .withColumns({c: try_cast(F.col(c), t) for c, t in types.items()})
+            .withColumns({c: try_cast(F.col(c), t, src[c]) for c, t in types.items()})
             .drop(REJECT_REASON))
     rejects = flagged.where(F.col(REJECT_REASON).isNotNull())
     return good, rejects
@@ -86,7 +88,8 @@ def cast_probe(df: DataFrame, cast_map: dict[str, str] | None, rule: str | None
     spark = df.sparkSession
     if not types:
         return spark.createDataFrame([], "column_name string, target_type string, failures bigint")
-    counts = df.agg(*[F.count_if(cast_failed(F.col(c), t)).alias(f"f{i}")
+    src = {f.name: f.dataType for f in df.schema.fields}
+    counts = df.agg(*[F.count_if(cast_failed(F.col(c), t, src[c])).alias(f"f{i}")
                       for i, (c, t) in enumerate(types.items())])
     return counts.select(F.inline(F.array(*[
         F.struct(F.lit(c).alias("column_name"), F.lit(t.simpleString()).alias("target_type"),

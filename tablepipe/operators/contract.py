@@ -205,7 +205,7 @@ def check_contract(df: DataFrame, contract: DataFrame, table_name: str,
             continue
         observed = have[name].simpleString()
         if observed != tname:
-            aggs.append(F.count_if(cast_failed(_q(name), parse_type(spark, tname))).alias(f"f{i}"))
+            aggs.append(F.count_if(cast_failed(_q(name), parse_type(spark, tname), have[name])).alias(f"f{i}"))
             findings.append((name, "type_changed", tname, observed, F.col(f"f{i}"), F.col(f"f{i}") > 0))
         if not nullable:
             aggs.append(F.count_if(_q(name).isNull()).alias(f"z{i}"))
@@ -247,8 +247,9 @@ def row_checks(df: DataFrame, contract: DataFrame, table_name: str) -> tuple[lis
             if not nullable:
                 parts.append(F.lit(f"{name}:missing"))
             continue
-        if df.schema[name].dataType.simpleString() != tname:
-            parts.append(F.when(cast_failed(_q(name), dt), F.lit(f"{name}:type")))
+        src = df.schema[name].dataType
+        if src.simpleString() != tname:
+            parts.append(F.when(cast_failed(_q(name), dt, src), F.lit(f"{name}:type")))
         if not nullable:
             parts.append(F.when(_q(name).isNull(), F.lit(f"{name}:null")))
     reason = F.concat_ws(",", *parts) if parts else F.lit("")
@@ -262,8 +263,10 @@ def split_by_contract(df: DataFrame, contract: DataFrame, table_name: str) -> tu
     names, types, reason = row_checks(df, contract, table_name)
     flagged = df.withColumn(VIOLATIONS, reason)
     have = set(df.columns)
+    src = {f.name: f.dataType for f in df.schema.fields}
     good = flagged.where(F.col(VIOLATIONS) == "").select(*[
-        (try_cast(_q(n), types[n]) if n in have else F.lit(None).cast(types[n])).alias(n) for n in names])
+        (try_cast(_q(n), types[n], src[n]) if n in have else F.lit(None).cast(types[n])).alias(n)
+        for n in names])
     bad = flagged.where(F.col(VIOLATIONS) != "")
     return good, bad
 

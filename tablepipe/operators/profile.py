@@ -240,22 +240,28 @@ def load_plan(spark: SparkSession, inputs: dict[str, str], budget_bytes: float,
     est = F.when(F.col("format") == "parquet",
                  F.col("parquet_coarse_factor") * F.col("uncompressed_bytes")) \
            .otherwise(F.col("n_rows") * F.col("text_type_factor") * F.col("row_bytes"))
+    return (decide(j.withColumn("estimated_bytes", est), budget_bytes)
+            .select("table_name", "format", "n_rows", "file_bytes", "uncompressed_bytes",
+                    "text_type_factor", "row_bytes", "parquet_coarse_factor", "estimated_bytes",
+                    "ratio", "decision", "load_mode", "chunk_fraction", "chunk_rows"))
+
+
+def decide(df: DataFrame, budget_bytes: float) -> DataFrame:
+    """P12 / P13 on a frame with ``estimated_bytes`` and ``n_rows``: ratio to
+    the budget, decision, load mode, chunk fraction and chunk rows."""
     ratio = F.col("estimated_bytes") / F.lit(float(budget_bytes))
-    decision = (F.when(ratio <= TY.EAGER_MAX_RATIO, "eager")
-                .when(ratio <= TY.LAZY_MAX_RATIO, "lazy").otherwise("streaming"))
+    decision = (F.when(F.col("ratio") <= TY.EAGER_MAX_RATIO, "eager")
+                .when(F.col("ratio") <= TY.LAZY_MAX_RATIO, "lazy").otherwise("streaming"))
     frac = None
     for bound, val in TY.CHUNK_FRACTION_STEPS:
-        frac = F.when(ratio > bound, val) if frac is None else frac.when(ratio > bound, val)
+        frac = F.when(F.col("ratio") > bound, val) if frac is None else frac.when(F.col("ratio") > bound, val)
     frac = frac.otherwise(TY.CHUNK_FRACTION_ELSE)
     rows_c = F.col("n_rows")
     chunk_rows = F.least(F.greatest(F.floor(rows_c * F.col("chunk_fraction")).cast("bigint"),
                                     F.lit(TY.CHUNK_ROWS_FLOOR).cast("bigint")), rows_c)
-    return (j.withColumn("estimated_bytes", est)
-             .withColumn("ratio", ratio)
-             .withColumn("decision", decision)
-             .withColumn("load_mode", F.when(F.col("decision") == "streaming", "incremental").otherwise("batch"))
-             .withColumn("chunk_fraction", frac)
-             .withColumn("chunk_rows", chunk_rows)
-             .select("table_name", "format", "n_rows", "file_bytes", "uncompressed_bytes",
-                     "text_type_factor", "row_bytes", "parquet_coarse_factor", "estimated_bytes",
-                     "ratio", "decision", "load_mode", "chunk_fraction", "chunk_rows"))
+    return (df.withColumn("ratio", ratio)
+              .withColumn("decision", decision)
+              .withColumn("load_mode", F.when(F.col("decision") == "streaming", "incremental")
+                          .otherwise("batch"))
+              .withColumn("chunk_fraction", frac)
+              .withColumn("chunk_rows", chunk_rows))

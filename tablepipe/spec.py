@@ -51,6 +51,6 @@ class JobSpec:
         return {
             "column_naming": str(d["column_naming"]),
             "date_format": str(bool(d["date_format"])).lower(),
-            "data_type": ",".join(f"{k.lower()}:{v.lower()}" for k, v in sorted(cast_map.items())) or "",
+            "data_type": ",".join(sorted(f"{k.lower()}:{v.lower()}" for k, v in cast_map.items())),
             "decimal_precision": "" if d["decimal_precision"] is None else str(int(d["decimal_precision"])),
         }

@@ -20,7 +20,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
@@ -186,52 +186,111 @@ def _q(name: str) -> Column:
     return F.col(f"`{name}`")
 
 
-def check_contract(df: DataFrame, contract: DataFrame, table_name: str,
-                   settings: dict[str, str] | None = None) -> DataFrame:
-    """Findings for one table (REPORT_SCHEMA).  ``blocking`` marks what breaks
-    the contract: a missing or unexpected column, a value that does not coerce
-    to the contract type, a null in a non-nullable column, a changed setting.
-    A changed type whose values all coerce is reported, not blocking."""
+def _check_plan(df: DataFrame, contract: DataFrame, table_name: str,
+                settings: dict[str, str] | None):
+    """The aggregates a check needs and the findings they feed.  A finding is
+    (column, finding, expected, observed, metric name or None, kind) where
+    kind is 'always' (blocking), 'if_bad' (blocking when the metric > 0) or
+    'setting'."""
     spark = df.sparkSession
     expected = _contract_columns(contract, table_name)
     have = {f.name: f.dataType for f in df.schema.fields}
     exp_names = {n for n, _, _ in expected}
-
     aggs = [F.count(F.lit(1)).alias("n_rows")]
-    findings = []  # (column, check, expected, observed, bad_rows Column, blocking Column)
+    findings = []
     for i, (name, tname, nullable) in enumerate(expected):
         if name not in have:
-            findings.append((name, "missing_column", tname, None, F.col("n_rows"), F.lit(True)))
+            findings.append((name, "missing_column", tname, None, "n_rows", "always"))
             continue
         observed = have[name].simpleString()
         if observed != tname:
             aggs.append(F.count_if(cast_failed(_q(name), parse_type(spark, tname), have[name])).alias(f"f{i}"))
-            findings.append((name, "type_changed", tname, observed, F.col(f"f{i}"), F.col(f"f{i}") > 0))
+            findings.append((name, "type_changed", tname, observed, f"f{i}", "if_bad"))
         if not nullable:
             aggs.append(F.count_if(_q(name).isNull()).alias(f"z{i}"))
-            findings.append((name, "null_values", "not null", observed, F.col(f"z{i}"), F.col(f"z{i}") > 0))
+            findings.append((name, "null_values", "not null", observed, f"z{i}", "if_bad_only"))
     for name, dt in have.items():
         if name not in exp_names:
-            findings.append((name, "unexpected_column", None, dt.simpleString(), F.col("n_rows"), F.lit(True)))
+            findings.append((name, "unexpected_column", None, dt.simpleString(), "n_rows", "always"))
     if settings is not None:
         stored = _contract_settings(contract, table_name)
         for key in sorted(set(stored) | set(settings)):
             if stored.get(key) != settings.get(key):
-                findings.append((key, "setting_changed", stored.get(key), settings.get(key),
-                                 F.lit(None).cast("bigint"), F.lit(True)))
+                findings.append((key, "setting_changed", stored.get(key), settings.get(key), None, "always"))
+    return aggs, findings
+
+
+def _report_rows(table_name: str, findings, metrics: dict) -> list[tuple]:
+    rows = []
+    for col, kind, exp, obs, metric, rule in findings:
+        bad = None if metric is None else int(metrics[metric])
+        if rule == "if_bad_only" and not bad:
+            continue
+        blocking = True if rule == "always" else bool(bad)
+        rows.append((table_name, col, kind, exp, obs, bad, blocking))
+    return rows
+
+
+def check_contract(df: DataFrame, contract: DataFrame, table_name: str,
+                   settings: dict[str, str] | None = None) -> DataFrame:
+    """Findings for one table (REPORT_SCHEMA), from one aggregate over it.
+    ``blocking`` marks what breaks the contract: a missing or unexpected
+    column, a value that does not coerce to the contract type, a null in a
+    non-nullable column, a changed setting.  A changed type whose values all
+    coerce is reported, not blocking."""
+    spark = df.sparkSession
+    aggs, findings = _check_plan(df, contract, table_name, settings)
     if not findings:
         return spark.createDataFrame([], REPORT_SCHEMA)
     counts = df.agg(*aggs)
+
+    def metric(m):
+        return F.lit(None).cast("bigint") if m is None else F.col(m).cast("bigint")
+
     structs = [F.struct(F.lit(table_name).alias("table_name"), F.lit(c).alias("column_name"),
                         F.lit(k).alias("finding"), F.lit(e).cast("string").alias("expected"),
-                        F.lit(o).cast("string").alias("observed"), b.cast("bigint").alias("bad_rows"),
-                        blk.alias("blocking"))
-               for c, k, e, o, b, blk in findings]
+                        F.lit(o).cast("string").alias("observed"), metric(m).alias("bad_rows"),
+                        (F.lit(True) if r == "always" else metric(m) > 0).alias("blocking"))
+               for c, k, e, o, m, r in findings]
     report = counts.select(F.inline(F.array(*structs)))
-    # A type change whose values all coerce and a clean null check are not findings.
     return report.where(~((F.col("finding") == "null_values") & (F.col("bad_rows") == 0)))
 
 
+def observe_contract(df: DataFrame, contract: DataFrame, table_name: str,
+                     settings: dict[str, str] | None = None):
+    """The same check as ``check_contract``, computed inside whatever job
+    consumes the returned frame (an ``Observation``), so a load that writes
+    the frame needs no separate pass.  Returns (frame, finish) where
+    ``finish()`` gives the report once that job has run."""
+    spark = df.sparkSession
+    aggs, findings = _check_plan(df, contract, table_name, settings)
+    obs = Observation("contract_check")
+    out = df.observe(obs, *aggs)
+
+    def finish() -> DataFrame:
+        return spark.createDataFrame(_report_rows(table_name, findings, obs.get), REPORT_SCHEMA)
+    return out, finish
+
+
+def observe_capture(df: DataFrame, table_name: str, version: int = 1,
+                    settings: dict[str, str] | None = None):
+    """``capture_contract`` computed inside the job that consumes the frame.
+    Returns (frame, finish) where ``finish()`` gives the contract rows."""
+    spark = df.sparkSession
+    fields = df.schema.fields
+    obs = Observation("contract_capture")
+    out = df.observe(obs, F.count(F.lit(1)).alias("n_rows"),
+                     *[F.count_if(_q(f.name).isNull()).alias(f"n{i}") for i, f in enumerate(fields)])
+
+    def finish() -> DataFrame:
+        m = obs.get
+        rows = [(table_name, version, "column", f.name, i, f.dataType.simpleString(), int(m[f"n{i}"]) > 0)
+                for i, f in enumerate(fields)]
+        rows += [(table_name, version, "setting", k, None, v, None) for k, v in sorted((settings or {}).items())]
+        return spark.createDataFrame(rows, CONTRACT_SCHEMA)
+    return out, finish
+
+
 def row_checks(df: DataFrame, contract: DataFrame, table_name: str) -> tuple[list[str], dict[str, T.DataType], Column]:
     """Row predicate form (V10): (columns of the contract in order, their types,
     a comma list of the checks each row breaks, '' when it keeps all)."""

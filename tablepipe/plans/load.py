@@ -1,8 +1,14 @@
 """A whole batch load: clean -> contract -> write -> run report (M1).
 
-Two Spark jobs beyond the date detection aggregate: the contract check (one
-aggregate) and the write.  Rows written are counted by an ``Observation`` on
-the written frame, i.e. inside the write job, not by another scan.
+Passes over the source, beyond date detection (one aggregate over the string
+columns, skipped when ``date_format`` is off):
+
+* first load: one — the write; the contract (null presence per column) and
+  the row count are ``Observation`` metrics of the write job itself;
+* ``report``: one — the check's aggregates ride along in the write job;
+* ``fail``: two — the check must finish before anything is written;
+* ``quarantine``: two when the check finds nothing, else three (good rows and
+  rejected rows are written by two jobs from one row predicate).
 """
 
 from __future__ import annotations
@@ -13,7 +19,8 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.clean import clean_with
-from ..operators.contract import ContractViolation, check_contract, ensure_contract, split_by_contract
+from ..operators.contract import (ContractViolation, check_contract, latest, load_contracts,
+                                  observe_capture, observe_contract, save_contract, split_by_contract)
 from ..operators.sample import validation_rows
 from ..sinks.tables import check_target, write_table
 from ..sources.files import read_table
@@ -23,8 +30,22 @@ REPORT_SCHEMA = ("table_name string, rows_in bigint, rows_written bigint, rows_r
                  "findings bigint, blocking bigint, contract_created boolean, seconds double")
 
 
+def _counted(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:
+    obs = Observation(name)
+    return df.observe(obs, F.count(F.lit(1)).alias("n")), obs
+
+
+def stored_contract(spark: SparkSession, location: str, table: str) -> DataFrame | None:
+    stored = load_contracts(spark, location)
+    if stored is None:
+        return None
+    mine = latest(stored, table)
+    return mine if mine.limit(1).count() > 0 else None
+
+
 def run_load(spark: SparkSession, spec: JobSpec, contract_location: str, target: str | None = None,
-             source: DataFrame | None = None, quarantine_target: str | None = None) -> DataFrame:
+             source: DataFrame | None = None, quarantine_target: str | None = None,
+             findings_target: str | None = None) -> DataFrame:
     """Load one table by its spec and return the run report (one row)."""
     t0 = time.time()
     target = target or spec.target
@@ -32,30 +53,44 @@ def run_load(spark: SparkSession, spec: JobSpec, contract_location: str, target:
     raw = source if source is not None else read_table(spark, spec.input_path, spec.input_format)
     cleaned = clean_with(raw, spec)
     settings = spec.settings()
-    contract, created = ensure_contract(cleaned, contract_location, spec.target, settings)
-    n_findings = n_blocking = 0
-    to_write = cleaned
+    contract = stored_contract(spark, contract_location, spec.target)
+    created = contract is None
+    report: DataFrame | None = None
     rows_rejected = 0
-    if not created:
+    if created:
+        out, finish = observe_capture(cleaned, spec.target, 1, settings)
+        out, written = _counted(out, "rows_written")
+        write_table(out, target, spec.if_table_exists)
+        save_contract(finish(), contract_location)
+    elif spec.on_violation == "report" and spec.sample_size >= 1.0:
+        out, finish = observe_contract(cleaned, contract, spec.target, settings)
+        out, written = _counted(out, "rows_written")
+        write_table(out, target, spec.if_table_exists)
+        report = finish()
+    else:
         checked = validation_rows(cleaned, spec.sample_size, spec.sample_keys)
-        report = check_contract(checked, contract, spec.target, settings)
-        summary = report.agg(F.count(F.lit(1)).alias("n"), F.count_if("blocking").alias("b")).first()
-        n_findings, n_blocking = int(summary["n"]), int(summary["b"])
-        if spec.on_violation == "fail" and n_blocking:
+        report = check_contract(checked, contract, spec.target, settings).cache()
+        blocking = report.where("blocking").count()
+        if spec.on_violation == "fail" and blocking:
             raise ContractViolation([r.asDict() for r in report.where("blocking").collect()])
-        if spec.on_violation == "quarantine" and n_blocking:
+        to_write = cleaned
+        if spec.on_violation == "quarantine" and blocking:
             to_write, bad = split_by_contract(cleaned, contract, spec.target)
+            bad, rejected = _counted(bad, "rows_rejected")
             if quarantine_target:
-                obs_bad = Observation("rows_rejected")
-                bad.observe(obs_bad, F.count(F.lit(1)).alias("n")).write.mode("append").parquet(quarantine_target)
-                rows_rejected = int(obs_bad.get["n"])
+                bad.write.mode("append").parquet(quarantine_target)
             else:
-                rows_rejected = int(bad.count())
-    # Rows written are counted inside the write job.
-    obs_out = Observation("rows_written")
-    write_table(to_write.observe(obs_out, F.count(F.lit(1)).alias("n")), target, spec.if_table_exists)
-    rows_written = int(obs_out.get["n"])
-    rows_in = rows_written + rows_rejected
+                bad.write.format("noop").mode("overwrite").save()
+            rows_rejected = int(rejected.get["n"])
+        out, written = _counted(to_write, "rows_written")
+        write_table(out, target, spec.if_table_exists)
+    rows_written = int(written.get["n"])
+    n_findings = n_blocking = 0
+    if report is not None:
+        summary = report.agg(F.count(F.lit(1)).alias("n"), F.count_if("blocking").alias("b")).first()
+        n_findings, n_blocking = int(summary["n"]), int(summary["b"])
+        if findings_target:
+            report.withColumn("loaded_at", F.current_timestamp()).write.mode("append").parquet(findings_target)
     return spark.createDataFrame(
-        [(spec.target, rows_in, rows_written, rows_rejected, n_findings, n_blocking, created,
-          round(time.time() - t0, 3))], REPORT_SCHEMA)
+        [(spec.target, rows_written + rows_rejected, rows_written, rows_rejected, n_findings, n_blocking,
+          created, round(time.time() - t0, 3))], REPORT_SCHEMA)

@@ -13,10 +13,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# CSV options that keep quoted newlines inside one record and bad rows visible.
+# CSV options: header, RFC-4180 quoting, bad rows kept (PERMISSIVE).
+# ``multiLine`` (quoted newlines inside a record) is opt-in: it makes every
+# file one unsplittable task, which only data with quoted newlines should pay.
 CSV_OPTIONS = {
     "header": "true",
-    "multiLine": "true",
     "quote": '"',
     "escape": '"',
     "mode": "PERMISSIVE",
@@ -43,12 +44,13 @@ def read_table(spark: SparkSession, path: str, fmt: str | None = None,
 
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType | str | None = None,
-             keep_corrupt: bool = False, **options: str) -> DataFrame:
+             keep_corrupt: bool = False, multiline: bool = False, **options: str) -> DataFrame:
     """CSV with header.  Without a schema every column is read as text, so the
     clean step (casts, date detection) decides types, not the CSV inference.
     With ``keep_corrupt`` a ``_corrupt_record`` column holds rows that did not
-    fit the schema."""
-    opts = {**CSV_OPTIONS, **options}
+    fit the schema.  Records are counted as records, not lines, once
+    ``multiline`` is on."""
+    opts = {**CSV_OPTIONS, "multiLine": str(multiline).lower(), **options}
     reader = spark.read.options(**opts)
     if schema is None:
         opts_infer = {**opts, "inferSchema": "false"}

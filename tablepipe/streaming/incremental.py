@@ -17,12 +17,15 @@
 
 from __future__ import annotations
 
+import math
+
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators.clean import clean
-from ..operators.contract import check_contract, split_by_contract
+from ..operators.contract import check_contract, observe_contract, split_by_contract
 from ..operators.dates import detect_date_columns
 from ..session import scratch_path
 from ..sinks.tables import check_target, target_exists
@@ -31,11 +34,12 @@ BATCH_COL = "_batch"
 
 
 def frozen_plan(spark: SparkSession, source_dir: str, fmt: str, schema: T.StructType | None,
-                date_format: bool, column_naming: str | None, data_type: dict | None):
+                date_format: bool, column_naming: str | None, data_type: dict | None,
+                multiline: bool = False):
     """Schema of the source and the date columns, fixed from a batch read."""
     reader = spark.read.format(fmt)
     if fmt == "csv":
-        reader = reader.options(header="true", multiLine="true", escape='"')
+        reader = reader.options(header="true", multiLine=str(multiline).lower(), escape='"')
     if schema is not None:
         reader = reader.schema(schema)
     sample = reader.load(source_dir)
@@ -54,47 +58,59 @@ def incremental_ingest(spark: SparkSession, source_dir: str, target: str, *, fmt
                        contract: DataFrame | None = None, table_name: str = "table",
                        on_violation: str = "report", report_target: str | None = None,
                        quarantine_target: str | None = None, checkpoint: str | None = None,
-                       max_files_per_trigger: int = 1, date_columns: list[str] | None = None) -> dict:
+                       max_files_per_trigger: int = 1, date_columns: list[str] | None = None,
+                       multiline: bool = False) -> dict:
     """Run the stream to the end of the available files (``availableNow``)
     and return the last progress figures."""
     if mode not in ("fail", "append", "replace"):
         raise ValueError("mode must be fail, append or replace")
     check_target(spark, target, mode)
     src_schema, dates = frozen_plan(spark, source_dir, fmt, schema, date_format and date_columns is None,
-                                    column_naming, data_type)
+                                    column_naming, data_type, multiline)
     if date_columns is not None:
         dates = date_columns
     reader = (spark.readStream.format(fmt).schema(src_schema)
               .option("maxFilesPerTrigger", str(max_files_per_trigger)))
     if fmt == "csv":
-        reader = reader.options(header="true", multiLine="true", escape='"')
+        reader = reader.options(header="true", multiLine=str(multiline).lower(), escape='"')
     stream = clean(reader.load(source_dir), column_naming=column_naming, data_type=data_type,
                    date_format=date_format, decimal_precision=decimal_precision, date_columns=dates)
     if mode == "replace" and target_exists(spark, target):
         empty = spark.createDataFrame([], stream.schema.add(BATCH_COL, T.LongType()))
         empty.write.mode("overwrite").partitionBy(BATCH_COL).parquet(target)
 
+    def write_parts(df: DataFrame, path: str, batch_id: int) -> None:
+        (df.withColumn(BATCH_COL, F.lit(batch_id).cast("bigint"))
+         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy(BATCH_COL).parquet(path))
+
     def write_batch(batch: DataFrame, batch_id: int) -> None:
-        good = batch
-        if contract is not None:
-            report = check_contract(batch, contract, table_name)
+        if contract is None:
+            write_parts(batch, target, batch_id)
+            return
+        if on_violation == "report":
+            # one pass: the check is an Observation of the write job
+            observed, finish = observe_contract(batch, contract, table_name)
+            write_parts(observed, target, batch_id)
+            if report_target:
+                write_parts(finish(), report_target, batch_id)
+            return
+        batch.persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            report = check_contract(batch, contract, table_name).cache()
             if report_target:
-                (report.withColumn(BATCH_COL, F.lit(batch_id))
-                 .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-                 .partitionBy(BATCH_COL).parquet(report_target))
-            if on_violation == "fail":
-                blocking = report.where("blocking").limit(20).collect()
-                if blocking:
-                    raise ValueError(f"batch {batch_id} breaks the contract: {blocking}")
-            elif on_violation == "quarantine":
+                write_parts(report, report_target, batch_id)
+            blocking = report.where("blocking").limit(20).collect()
+            good = batch
+            if blocking and on_violation == "fail":
+                raise ValueError(f"batch {batch_id} breaks the contract: {blocking}")
+            if blocking and on_violation == "quarantine":
                 good, bad = split_by_contract(batch, contract, table_name)
                 if quarantine_target:
-                    (bad.withColumn(BATCH_COL, F.lit(batch_id))
-                     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-                     .partitionBy(BATCH_COL).parquet(quarantine_target))
-        (good.withColumn(BATCH_COL, F.lit(batch_id).cast("bigint"))
-         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy(BATCH_COL).parquet(target))
+                    write_parts(bad, quarantine_target, batch_id)
+            write_parts(good, target, batch_id)
+        finally:
+            batch.unpersist()
 
     ckpt = checkpoint or scratch_path(spark, "stream-ckpt")
     q = (stream.writeStream.foreachBatch(write_batch)
@@ -113,6 +129,11 @@ def read_ingested(spark: SparkSession, target: str, keep_batch: bool = False) ->
     return df if keep_batch else df.drop(BATCH_COL)
 
 
+def files_per_trigger(n_files: int, chunk_fraction: float) -> int:
+    """P13 turned into a stream setting: files per micro-batch."""
+    return max(1, math.ceil(n_files * chunk_fraction))
+
+
 def split_into_files(df: DataFrame, path: str, files: int) -> None:
     """Write a table as ``files`` Parquet files (to feed a file stream)."""
     df.repartition(files).write.mode("overwrite").parquet(path)

@@ -4,7 +4,7 @@ category, each with its DuckDB-dialect twin.
 Shapes are chosen to hold at scale: dimension joins let Spark broadcast only
 below its size threshold (sort-merge join above it, AQE splits skewed
 partitions); windows partition by customer, not by a 5-value segment; the
-as-of query is a window over a union (no join pairs); the range join meets a
+as-of query splits each key by month (no join pairs, no whole-key window); the range join meets a
 calendar whose size is bounded by the date span; sums that would depend on
 addition order are exact decimals.
 """
@@ -123,23 +123,43 @@ WHERE l.l_shipdate BETWEEN o.o_orderdate AND o.o_orderdate + INTERVAL 365 DAYS
 GROUP BY l.l_returnflag
 """, ("lineitem", "orders"))
 
-# as-of: the customer's last order at or before each event, as a window over
-# a union of both sides (one sort per key, no join pairs)
+# as-of: the customer's last order at or before each event.  No join pairs and
+# no window over a whole key: within a (customer, month) bucket a window over
+# the union of both sides finds the in-bucket match; the last order of the
+# earlier buckets comes from a window over the small (customer, month)
+# summary, whose size per key is bounded by the number of months.
 _ASOF = """
-WITH u AS (
-  SELECT user_id AS k, ts AS t, 1 AS side, event_id, CAST(NULL AS BIGINT) AS orderkey FROM events
-  UNION ALL
-  SELECT o_custkey, o_orderdate, 0, CAST(NULL AS BIGINT), o_orderkey FROM orders
-  WHERE o_custkey IN (SELECT user_id FROM events)),
-w AS (
-  SELECT k, side, event_id,
-         {last} OVER (PARTITION BY k ORDER BY t, side, orderkey
-                      ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS last_orderkey
-  FROM u)
-SELECT event_id, k AS user_id, last_orderkey FROM w WHERE side = 1
+WITH o AS (SELECT o_custkey AS k, o_orderdate AS t, o_orderkey AS orderkey,
+                  date_trunc('{month}', o_orderdate) AS b
+           FROM orders WHERE o_custkey IN (SELECT user_id FROM events)),
+e AS (SELECT user_id AS k, ts AS t, event_id, date_trunc('{month}', ts) AS b FROM events),
+u AS (SELECT k, b, t, 0 AS side, CAST(NULL AS BIGINT) AS event_id, orderkey FROM o
+      UNION ALL
+      SELECT k, b, t, 1, event_id, CAST(NULL AS BIGINT) FROM e),
+in_bucket AS (
+  SELECT k, b, event_id, side,
+         {last} OVER (PARTITION BY k, b ORDER BY t, side, orderkey
+                      ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS hit
+  FROM u),
+bucket_last AS (SELECT k, b, {struct_max} AS last_in_bucket FROM o GROUP BY k, b),
+kb AS (SELECT DISTINCT k, b FROM e UNION SELECT k, b FROM bucket_last),
+carry AS (
+  SELECT kb.k, kb.b,
+         {last_carry} OVER (PARTITION BY kb.k ORDER BY kb.b
+                            ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS carried
+  FROM kb LEFT JOIN bucket_last l ON kb.k = l.k AND kb.b = l.b)
+SELECT i.event_id, i.k AS user_id, coalesce(i.hit, c.carried) AS last_orderkey
+FROM in_bucket i JOIN carry c ON i.k = c.k AND i.b = c.b
+WHERE i.side = 1
 """
-sql_query("sql_asof", _ASOF.format(last="last(orderkey, true)"),
-          _ASOF.format(last="last_value(orderkey IGNORE NULLS)"), ("events", "orders"))
+sql_query("sql_asof",
+          _ASOF.format(month="MONTH", last="last(orderkey, true)",
+                       struct_max="max(named_struct('t', t, 'o', orderkey)).o",
+                       last_carry="last(l.last_in_bucket, true)"),
+          _ASOF.format(month="month", last="last_value(orderkey IGNORE NULLS)",
+                       struct_max="max({'t': t, 'o': orderkey}).o",
+                       last_carry="last_value(l.last_in_bucket IGNORE NULLS)"),
+          ("events", "orders"))
 
 # group-by, distinct, having
 sql_query("sql_group_having", """

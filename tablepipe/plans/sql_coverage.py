@@ -129,36 +129,33 @@ GROUP BY l.l_returnflag
 # earlier buckets comes from a window over the small (customer, month)
 # summary, whose size per key is bounded by the number of months.
 _ASOF = """
-WITH o AS (SELECT o_custkey AS k, o_orderdate AS t, o_orderkey AS orderkey,
-                  date_trunc('{month}', o_orderdate) AS b
-           FROM orders WHERE o_custkey IN (SELECT user_id FROM events)),
-e AS (SELECT user_id AS k, ts AS t, event_id, date_trunc('{month}', ts) AS b FROM events),
-u AS (SELECT k, b, t, 0 AS side, CAST(NULL AS BIGINT) AS event_id, orderkey FROM o
-      UNION ALL
-      SELECT k, b, t, 1, event_id, CAST(NULL AS BIGINT) FROM e),
+WITH u AS (
+  SELECT o_custkey AS k, date_trunc('{month}', o_orderdate) AS b, o_orderdate AS t, 0 AS side,
+         CAST(NULL AS BIGINT) AS event_id, o_orderkey AS orderkey
+  FROM orders WHERE o_custkey IN (SELECT user_id FROM events)
+  UNION ALL
+  SELECT user_id, date_trunc('{month}', ts), ts, 1, event_id, CAST(NULL AS BIGINT) FROM events),
 in_bucket AS (
   SELECT k, b, event_id, side,
          {last} OVER (PARTITION BY k, b ORDER BY t, side, orderkey
-                      ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS hit
+                      ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS hit,
+         {last} OVER (PARTITION BY k, b ORDER BY t, side, orderkey
+                      ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING) AS bucket_last
   FROM u),
-bucket_last AS (SELECT k, b, {struct_max} AS last_in_bucket FROM o GROUP BY k, b),
-kb AS (SELECT DISTINCT k, b FROM e UNION SELECT k, b FROM bucket_last),
+buckets AS (SELECT k, b, max(bucket_last) AS last_in_bucket FROM in_bucket GROUP BY k, b),
 carry AS (
-  SELECT kb.k, kb.b,
-         {last_carry} OVER (PARTITION BY kb.k ORDER BY kb.b
-                            ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS carried
-  FROM kb LEFT JOIN bucket_last l ON kb.k = l.k AND kb.b = l.b)
+  SELECT k, b, {last_carry} OVER (PARTITION BY k ORDER BY b
+                                  ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS carried
+  FROM buckets)
 SELECT i.event_id, i.k AS user_id, coalesce(i.hit, c.carried) AS last_orderkey
 FROM in_bucket i JOIN carry c ON i.k = c.k AND i.b = c.b
 WHERE i.side = 1
 """
 sql_query("sql_asof",
           _ASOF.format(month="MONTH", last="last(orderkey, true)",
-                       struct_max="max(named_struct('t', t, 'o', orderkey)).o",
-                       last_carry="last(l.last_in_bucket, true)"),
+                       last_carry="last(last_in_bucket, true)"),
           _ASOF.format(month="month", last="last_value(orderkey IGNORE NULLS)",
-                       struct_max="max({'t': t, 'o': orderkey}).o",
-                       last_carry="last_value(l.last_in_bucket IGNORE NULLS)"),
+                       last_carry="last_value(last_in_bucket IGNORE NULLS)"),
           ("events", "orders"))
 
 # group-by, distinct, having

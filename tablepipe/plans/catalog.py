@@ -736,3 +736,32 @@ def run_report(spark, sf_dir):
 
 # Q1 coverage queries register themselves into this catalogue.
 from . import sql_coverage  # noqa: E402,F401
+
+
+# --------------------------------------------------------------------------
+# S1 + T2/T3 end to end: a text table cleaned back to types; S7 CSV stream
+# --------------------------------------------------------------------------
+@register("csv_text_clean", "SELECT * FROM orders")
+def csv_text_clean(spark, sf_dir):
+    orders = table(spark, sf_dir, "orders")
+    path = scratch_path(spark, "orders-csv")
+    write_csv(orders, path)
+    text = read_csv(spark, path)            # every column is text
+    return clean(text, column_naming="lower",
+                 data_type={"o_orderkey": "int64", "o_custkey": "int64", "o_totalprice": "float64"},
+                 date_format=True)
+
+
+@register("incremental_csv", """
+SELECT event_id AS EVENT_ID, ts AS TS, user_id AS USER_ID, event_type AS EVENT_TYPE, value AS VALUE,
+       props AS PROPS
+FROM events
+""")
+def incremental_csv(spark, sf_dir):
+    events = table(spark, sf_dir, "events")
+    source = scratch_path(spark, "events-csv")
+    write_csv(events.repartition(3), source)
+    target = scratch_path(spark, "events-csv-ingested")
+    incremental_ingest(spark, source, target, fmt="csv", schema=events.schema, column_naming="upper",
+                       mode="fail", max_files_per_trigger=1)
+    return read_ingested(spark, target)

@@ -16,12 +16,19 @@ from pyspark.sql import types as T
 # CSV options: header, RFC-4180 quoting, bad rows kept (PERMISSIVE).
 # ``multiLine`` (quoted newlines inside a record) is opt-in: it makes every
 # file one unsplittable task, which only data with quoted newlines should pay.
+# Timestamps keep microseconds (the CSV default would cut them to millis).
+TS_OPTIONS = {
+    "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS]",
+    "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS]XXX",
+}
 CSV_OPTIONS = {
     "header": "true",
     "quote": '"',
     "escape": '"',
     "mode": "PERMISSIVE",
+    **TS_OPTIONS,
 }
+CSV_WRITE_OPTIONS = {"header": "true", "quote": '"', "escape": '"', **TS_OPTIONS}
 CORRUPT = "_corrupt_record"
 
 
@@ -80,4 +87,4 @@ def row_counts(tables: dict[str, DataFrame]) -> DataFrame:
 
 def write_csv(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
     """CSV with header and RFC-4180 quoting, readable back by ``read_csv``."""
-    df.write.mode(mode).options(header="true", quote='"', escape='"').csv(path)
+    df.write.mode(mode).options(**CSV_WRITE_OPTIONS).csv(path)

@@ -28,6 +28,7 @@ from ..operators.clean import clean
 from ..operators.contract import check_contract, observe_contract, split_by_contract
 from ..operators.dates import detect_date_columns
 from ..session import scratch_path
+from ..sources.files import CSV_OPTIONS
 from ..sinks.tables import check_target, target_exists
 
 BATCH_COL = "_batch"
@@ -39,7 +40,7 @@ def frozen_plan(spark: SparkSession, source_dir: str, fmt: str, schema: T.Struct
     """Schema of the source and the date columns, fixed from a batch read."""
     reader = spark.read.format(fmt)
     if fmt == "csv":
-        reader = reader.options(header="true", multiLine=str(multiline).lower(), escape='"')
+        reader = reader.options(**CSV_OPTIONS).option("multiLine", str(multiline).lower())
     if schema is not None:
         reader = reader.schema(schema)
     sample = reader.load(source_dir)
@@ -72,7 +73,7 @@ def incremental_ingest(spark: SparkSession, source_dir: str, target: str, *, fmt
     reader = (spark.readStream.format(fmt).schema(src_schema)
               .option("maxFilesPerTrigger", str(max_files_per_trigger)))
     if fmt == "csv":
-        reader = reader.options(header="true", multiLine=str(multiline).lower(), escape='"')
+        reader = reader.options(**CSV_OPTIONS).option("multiLine", str(multiline).lower())
     stream = clean(reader.load(source_dir), column_naming=column_naming, data_type=data_type,
                    date_format=date_format, decimal_precision=decimal_precision, date_columns=dates)
     if mode == "replace" and target_exists(spark, target):

@@ -71,3 +71,10 @@ def test_modes_on_catalog(spark):
     write_table(df, "tp_region", "replace")
     assert spark.table("tp_region").count() == 5
     spark.sql("DROP TABLE tp_region")
+
+
+def test_csv_keeps_microseconds(spark, tmp_dir):
+    import datetime as dt
+    df = spark.createDataFrame([(dt.datetime(2024, 1, 2, 3, 4, 5, 123456),)], "t timestamp_ntz")
+    write_csv(df, f"{tmp_dir}/ts")
+    assert read_csv(spark, f"{tmp_dir}/ts", schema="t timestamp_ntz").first().t == dt.datetime(2024, 1, 2, 3, 4, 5, 123456)

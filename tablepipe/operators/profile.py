@@ -111,13 +111,24 @@ def parquet_footers(spark: SparkSession, paths: list[str] | str) -> DataFrame:
     return files.mapInPandas(_footers, FOOTER_SCHEMA)
 
 
+def qualified(spark: SparkSession, path: str) -> str:
+    """A path as Spark's file listing spells it (scheme and absolute path)."""
+    jvm = spark._jvm
+    hpath = jvm.org.apache.hadoop.fs.Path(path)
+    fs = hpath.getFileSystem(spark._jsc.hadoopConfiguration())
+    return str(fs.makeQualified(hpath).toString()).rstrip("/")
+
+
 def footer_totals(spark: SparkSession, inputs: dict[str, str]) -> DataFrame:
-    """P10 / P14 per input: (table_name, files, file_bytes, num_rows, uncompressed_bytes)."""
-    frames = []
-    for name, path in inputs.items():
-        frames.append(parquet_footers(spark, path).withColumn("table_name", F.lit(name)))
-    allf = reduce(DataFrame.unionByName, frames)
-    return allf.groupBy("table_name").agg(
+    """P10 / P14 per input: (table_name, files, file_bytes, num_rows, uncompressed_bytes).
+    One listing over all inputs; files are matched to inputs by path prefix
+    against a broadcast table with one row per input."""
+    prefixes = spark.createDataFrame([(t, qualified(spark, p)) for t, p in inputs.items()],
+                                     "table_name string, prefix string")
+    files = parquet_footers(spark, list(inputs.values()))
+    match = (F.col("path") == F.col("prefix")) | F.col("path").startswith(F.concat(F.col("prefix"), F.lit("/")))
+    tagged = files.join(F.broadcast(prefixes), match)
+    return tagged.groupBy("table_name").agg(
         F.count(F.lit(1)).alias("files"), F.sum("file_bytes").alias("file_bytes"),
         F.sum("num_rows").alias("num_rows"), F.sum("num_row_groups").alias("num_row_groups"),
         F.sum("uncompressed_bytes").alias("uncompressed_bytes"))

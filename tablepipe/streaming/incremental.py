@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators.clean import clean
-from ..operators.contract import check_contract, observe_contract, split_by_contract
+from ..operators.contract import CONTRACT_SCHEMA, check_contract, observe_contract, split_by_contract
 from ..operators.dates import detect_date_columns
 from ..session import scratch_path
 from ..sources.files import CSV_OPTIONS
@@ -66,6 +66,9 @@ def incremental_ingest(spark: SparkSession, source_dir: str, target: str, *, fmt
     if mode not in ("fail", "append", "replace"):
         raise ValueError("mode must be fail, append or replace")
     check_target(spark, target, mode)
+    if contract is not None:
+        # pin the contract rows once (metadata: one row per column / setting)
+        contract = spark.createDataFrame(contract.collect(), CONTRACT_SCHEMA)
     src_schema, dates = frozen_plan(spark, source_dir, fmt, schema, date_format and date_columns is None,
                                     column_naming, data_type, multiline)
     if date_columns is not None:

@@ -33,7 +33,16 @@ def clean(df: DataFrame, *, column_naming: str | None = "lower",
 
 
 def clean_with(df: DataFrame, spec, date_columns: list[str] | None = None) -> DataFrame:
-    """``clean`` driven by a JobSpec."""
+    """``clean`` driven by a JobSpec (``date_columns`` overrides the spec's)."""
+    frozen = date_columns if date_columns is not None else spec.date_columns
     return clean(df, column_naming=spec.column_naming, data_type=spec.data_type,
                  date_format=spec.date_format, decimal_precision=spec.decimal_precision,
-                 date_columns=date_columns)
+                 date_columns=frozen)
+
+
+def date_columns_from_contract(df: DataFrame, spec, contract_columns: dict[str, str]) -> list[str]:
+    """After the first load the contract fixes which text columns are dates:
+    those it records as timestamp_ntz that are still text before T3."""
+    pre = clean(df, column_naming=spec.column_naming, data_type=spec.data_type, date_format=False)
+    text = {f.name for f in pre.schema.fields if f.dataType.simpleString() == "string"}
+    return [c for c in pre.columns if c in text and contract_columns.get(c) == "timestamp_ntz"]

@@ -1,7 +1,8 @@
 """A whole batch load: clean -> contract -> write -> run report (M1).
 
 Passes over the source, beyond date detection (one aggregate over the string
-columns, skipped when ``date_format`` is off):
+columns, on the first load only: later loads take the date columns from the
+contract; skipped when ``date_format`` is off or ``date_columns`` is given):
 
 * first load: one — the write; the contract (null presence per column) and
   the row count are ``Observation`` metrics of the write job itself;
@@ -18,7 +19,7 @@ import time
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.clean import clean_with
+from ..operators.clean import clean_with, date_columns_from_contract
 from ..operators.contract import (ContractViolation, check_contract, latest, load_contracts,
                                   observe_capture, observe_contract, save_contract, split_by_contract)
 from ..operators.sample import validation_rows
@@ -51,10 +52,15 @@ def run_load(spark: SparkSession, spec: JobSpec, contract_location: str, target:
     target = target or spec.target
     check_target(spark, target, spec.if_table_exists)          # refuse early on 'fail'
     raw = source if source is not None else read_table(spark, spec.input_path, spec.input_format)
-    cleaned = clean_with(raw, spec)
     settings = spec.settings()
     contract = stored_contract(spark, contract_location, spec.target)
     created = contract is None
+    dates = spec.date_columns
+    if not created and spec.date_format and dates is None:
+        # date columns are fixed by the first load: no detection pass
+        cols = {r["name"]: r["value"] for r in contract.where("kind = 'column'").select("name", "value").collect()}
+        dates = date_columns_from_contract(raw, spec, cols)
+    cleaned = clean_with(raw, spec, dates)
     report: DataFrame | None = None
     rows_rejected = 0
     if created:

@@ -18,6 +18,7 @@ class JobSpec:
     date_format: bool = True                 # T3/T4 on or off (really off when False)
     data_type: dict[str, str] = field(default_factory=dict)  # cast map (T2)
     decimal_precision: int | None = None     # T6 rounding; None leaves floats alone
+    date_columns: list[str] | None = None    # freeze T3's result (no detection pass)
     sample_size: float = 1.0                 # share of rows validated (V7), (0, 1]
     sample_keys: list[str] = field(default_factory=list)
     table_name: str = ""

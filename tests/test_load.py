@@ -65,3 +65,19 @@ def test_sampled_validation(spark, orders, tmp_dir):
                                   sample_size=0.5, sample_keys=["o_orderkey"]),
                    contracts, target=target, source=_planted(orders)).first()
     assert rep.rows_written == orders.count() and rep.blocking == 1
+
+
+def test_date_columns_fixed_by_first_load(spark, orders, tmp_dir):
+    contracts, target = f"{tmp_dir}/contracts", f"{tmp_dir}/orders"
+    text = orders.withColumn("o_orderdate", F.date_format("o_orderdate", "yyyy-MM-dd"))
+    run_load(spark, JobSpec(table_name="orders", if_table_exists="replace"), contracts, target=target,
+             source=text)
+    assert spark.read.parquet(target).schema["o_orderdate"].dataType.simpleString() == "timestamp_ntz"
+    # a later load with one unparsable date keeps parsing the column (frozen) and reports it
+    bad = text.withColumn("o_orderdate", F.when(F.col("o_orderkey") == 3, "soon").otherwise(F.col("o_orderdate")))
+    rep = run_load(spark, JobSpec(table_name="orders", if_table_exists="replace", on_violation="report"),
+                   contracts, target=target, source=bad).first()
+    assert rep.blocking == 1 and rep.rows_written == orders.count()
+    out = spark.read.parquet(target)
+    assert out.schema["o_orderdate"].dataType.simpleString() == "timestamp_ntz"
+    assert out.where("o_orderdate IS NULL").count() == 1

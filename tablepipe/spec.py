@@ -41,6 +41,33 @@ class JobSpec:
         if self.decimal_precision is not None and int(self.decimal_precision) < 0:
             raise ValueError("decimal_precision must be >= 0")
 
+    @classmethod
+    def from_config(cls, cfg: dict) -> "JobSpec":
+        """Build from the nested config layout users already have:
+        ``path.input_path``, ``schema_config.{column_naming, date_format,
+        data_type, decimal_precision}``, ``validation_data.sample_size``,
+        ``database.{table_name, if_table_exists}``.  ``os_configuration`` is
+        single-machine tuning and is ignored.  A ``decimal_precision`` key
+        left empty means the documented default of 2."""
+        path = cfg.get("path") or {}
+        sc = cfg.get("schema_config") or {}
+        vd = cfg.get("validation_data") or {}
+        db = cfg.get("database") or {}
+        precision = sc.get("decimal_precision", None)
+        if "decimal_precision" in sc and precision is None:
+            precision = 2
+        date_format = sc.get("date_format")
+        return cls(
+            input_path=str(path.get("input_path") or ""),
+            column_naming=sc.get("column_naming") or "lower",
+            date_format=True if date_format is None else bool(date_format),
+            data_type=dict(sc.get("data_type") or {}),
+            decimal_precision=precision,
+            sample_size=float(vd.get("sample_size") or 1.0),
+            table_name=str(db.get("table_name") or ""),
+            if_table_exists=db.get("if_table_exists") or "fail",
+        )
+
     @property
     def target(self) -> str:
         return target_name(self.table_name, self.input_path)

@@ -5,10 +5,14 @@ take keys.  Two exact ways, picked by size:
 
 * small n: ``orderBy(keys).limit(n)`` -> TakeOrderedAndProject, each task keeps
   an n-row heap, one task merges at most n rows per input task;
-* large n: range-partition by the keys, checkpoint (so both passes see the
-  same rows), count rows per partition (one row per partition reaches the
-  driver), then keep whole partitions below the cut and a prefix of the one
-  partition that holds it.  No task ever holds more than its own partition.
+* large n: range-partition the key columns and bring back one row per
+  partition (count, smallest and largest key).  Every row below the partition
+  that holds the cut is selected by a key predicate on the source; the cut
+  partition recurses (it is 1/partitions of the rows, so depth is
+  logarithmic).  No checkpoint, no task holding more than its partition, and
+  the answer is defined by key predicates, so a recomputed task gives the same
+  rows.  Only a cut partition whose keys all tie is taken by a checkpointed
+  per-partition prefix.
 
 The keyed sample is a per-row hash test (no shuffle, no limit): the same keys
 are always in or out, whatever the partitioning, and the hash is md5 so other
@@ -42,17 +46,50 @@ def keyed_sample(df: DataFrame, fraction: float, keys: list[str]) -> DataFrame:
 
 def head_rows(df: DataFrame, n: int, keys: list[str], topk_max_rows: int = TOPK_MAX_ROWS,
               partitions: int | None = None) -> DataFrame:
-    """First ``n`` rows in key order (keys should be unique for a unique answer)."""
+    """First ``n`` rows in key order (rows that tie on every key are
+    interchangeable, so keys should be unique for a unique answer)."""
     if n <= 0:
         return df.limit(0)
     if n <= topk_max_rows:
         return df.orderBy(*keys).limit(n)
     spark = df.sparkSession
+    parts = partitions or max(2, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    key = F.struct(*[F.col(k) for k in keys])
+    # Only the key columns are shuffled; one row per range partition returns.
+    stats = (df.select(*keys).repartitionByRange(parts, *keys)
+             .groupBy(F.spark_partition_id().alias("pid"))
+             .agg(F.count(F.lit(1)).alias("n"), F.min(key).alias("lo"), F.max(key).alias("hi"))
+             .collect())
+    stats.sort(key=lambda r: tuple((v is not None, v) for v in r["lo"]))
+    before = 0
+    for r in stats:
+        if before + r["n"] >= n:
+            lo, hi, take = r["lo"], r["hi"], n - before
+            break
+        before += r["n"]
+    else:
+        return df                                   # n covers the whole table
+    fields = {f.name: f.dataType for f in df.schema.fields}
+
+    def lit_key(row) -> Column:
+        return F.struct(*[F.lit(row[i]).cast(fields[k]).alias(k) for i, k in enumerate(keys)])
+
+    below = df.where(key < lit_key(lo))             # every partition before the cut
+    inside = df.where((key >= lit_key(lo)) & (key <= lit_key(hi)))
+    if tuple(lo) == tuple(hi):
+        # all rows of the cut partition tie on the keys: any ``take`` of them
+        return below.unionByName(_prefix_by_partition(inside, take))
+    return below.unionByName(head_rows(inside, take, keys, topk_max_rows, parts))
+
+
+def _prefix_by_partition(df: DataFrame, n: int) -> DataFrame:
+    """Any ``n`` rows of ``df``, exactly, without gathering them in one task:
+    checkpoint (stable rows), count per partition, keep per-partition prefixes."""
+    spark = df.sparkSession
     checkpoint_root(spark)
-    parts = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ranged = df.repartitionByRange(parts, *keys).sortWithinPartitions(*keys).checkpoint(eager=True)
-    tagged = ranged.withColumn("_pid", F.spark_partition_id()) \
-                   .withColumn("_rn", F.monotonically_increasing_id().bitwiseAND(F.lit(_ROW_BITS)))
+    fixed = df.checkpoint(eager=True)
+    tagged = fixed.withColumn("_pid", F.spark_partition_id()) \
+                  .withColumn("_rn", F.monotonically_increasing_id().bitwiseAND(F.lit(_ROW_BITS)))
     sizes = sorted((r["_pid"], r["count"]) for r in tagged.groupBy("_pid").count().collect())
     keep, before = [], 0
     for pid, cnt in sizes:

@@ -10,7 +10,7 @@ def test_head_paths_agree(spark):
     li = spark.read.parquet("/root/testdata/sf0.001/lineitem.parquet")
     for n in (1, 777, 3000, 6000, 10 ** 6):
         small = head_rows(li, n, ORDER)
-        ranged = head_rows(li, n, ORDER, topk_max_rows=0, partitions=5)
+        ranged = head_rows(li, n, ORDER, topk_max_rows=100, partitions=5)
         assert ranged.count() == min(n, li.count())
         assert small.exceptAll(ranged).count() == 0 and ranged.exceptAll(small).count() == 0
 
@@ -28,3 +28,19 @@ def test_keyed_sample_is_stable(spark):
     assert a.exceptAll(b).count() == 0
     assert 1700 < a.count() < 2300
     assert validation_rows(df, 1.0) is df
+
+
+def test_head_with_tied_keys(spark):
+    df = spark.range(5000).selectExpr("id DIV 1000 AS k", "id")
+    got = head_rows(df, 2500, ["k"], topk_max_rows=10, partitions=4)
+    rows = got.collect()
+    assert len(rows) == 2500
+    assert sorted({r.k for r in rows}) == [0, 1, 2]
+    assert sum(1 for r in rows if r.k == 2) == 500
+
+
+def test_head_with_null_keys(spark):
+    df = spark.createDataFrame([(None if i % 9 == 0 else i, i) for i in range(400)], "k int, v int")
+    want = sorted(df.collect(), key=lambda r: (r.k is not None, r.k if r.k is not None else 0, r.v))[:150]
+    got = head_rows(df, 150, ["k", "v"], topk_max_rows=5, partitions=3).collect()
+    assert sorted(r.v for r in got) == sorted(r.v for r in want)

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..operators.clean import clean
+from ..operators.clean import clean, date_columns_from_contract
 from ..operators.contract import CONTRACT_SCHEMA, check_contract, observe_contract, split_by_contract
 from ..operators.dates import detect_date_columns
 from ..session import scratch_path
@@ -34,6 +34,14 @@ from ..sinks.tables import check_target, target_exists
 BATCH_COL = "_batch"
 
 
+class JobSpecLike:
+    """The two settings the pre-date cleaning needs."""
+
+    def __init__(self, column_naming, data_type):
+        self.column_naming = column_naming
+        self.data_type = data_type
+
+
 def frozen_plan(spark: SparkSession, source_dir: str, fmt: str, schema: T.StructType | None,
                 date_format: bool, column_naming: str | None, data_type: dict | None,
                 multiline: bool = False):
@@ -43,7 +51,7 @@ def frozen_plan(spark: SparkSession, source_dir: str, fmt: str, schema: T.Struct
         reader = reader.options(**CSV_OPTIONS).option("multiLine", str(multiline).lower())
     if schema is not None:
         reader = reader.schema(schema)
-    sample = reader.load(source_dir)
+    sample = reader.load(source_dir)          # footers / header only until an action
     schema = sample.schema
     dates: list[str] = []
     if date_format:
@@ -66,13 +74,22 @@ def incremental_ingest(spark: SparkSession, source_dir: str, target: str, *, fmt
     if mode not in ("fail", "append", "replace"):
         raise ValueError("mode must be fail, append or replace")
     check_target(spark, target, mode)
+    contract_types = None
     if contract is not None:
         # pin the contract rows once (metadata: one row per column / setting)
-        contract = spark.createDataFrame(contract.collect(), CONTRACT_SCHEMA)
-    src_schema, dates = frozen_plan(spark, source_dir, fmt, schema, date_format and date_columns is None,
-                                    column_naming, data_type, multiline)
+        rows = contract.collect()
+        contract = spark.createDataFrame(rows, CONTRACT_SCHEMA)
+        contract_types = {r["name"]: r["value"] for r in rows if r["kind"] == "column"}
+    # The contract fixes the date columns; only without one (or a given list)
+    # does the existing data get a detection pass.
+    detect = date_format and date_columns is None and contract_types is None
+    src_schema, dates = frozen_plan(spark, source_dir, fmt, schema, detect, column_naming, data_type, multiline)
     if date_columns is not None:
         dates = date_columns
+    elif date_format and contract_types is not None:
+        empty = spark.createDataFrame([], src_schema)
+        dates = date_columns_from_contract(
+            empty, JobSpecLike(column_naming, data_type), contract_types)
     reader = (spark.readStream.format(fmt).schema(src_schema)
               .option("maxFilesPerTrigger", str(max_files_per_trigger)))
     if fmt == "csv":

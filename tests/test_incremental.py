@@ -75,3 +75,17 @@ def test_each_batch_is_checked(spark, events, tmp_dir):
     with pytest.raises(Exception):
         incremental_ingest(spark, src, f"{tmp_dir}/tgt2", mode="fail", contract=contract,
                            table_name="events", on_violation="fail", checkpoint=f"{tmp_dir}/c9")
+
+
+def test_date_columns_from_contract(spark, events, tmp_dir):
+    src, tgt = f"{tmp_dir}/src", f"{tmp_dir}/tgt"
+    text = events.withColumn("ts", F.date_format("ts", "yyyy-MM-dd HH:mm:ss"))
+    contract = capture_contract(clean(text, column_naming="lower"), "events")   # ts -> timestamp_ntz
+    bad = text.withColumn("ts", F.when(F.col("event_id") == 5, "later").otherwise(F.col("ts")))
+    bad.coalesce(1).write.parquet(src)
+    incremental_ingest(spark, src, tgt, mode="fail", contract=contract, table_name="events",
+                       on_violation="report", report_target=f"{tmp_dir}/rep", checkpoint=f"{tmp_dir}/c")
+    out = read_ingested(spark, tgt)
+    # detection on the data would have left ts as text (one bad value); the contract keeps it a date
+    assert out.schema["ts"].dataType.simpleString() == "timestamp_ntz"
+    assert spark.read.parquet(f"{tmp_dir}/rep").where("finding = 'null_values'").first().bad_rows == 1

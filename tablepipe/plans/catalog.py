@@ -765,3 +765,49 @@ def incremental_csv(spark, sf_dir):
     incremental_ingest(spark, source, target, fmt="csv", schema=events.schema, column_naming="upper",
                        mode="fail", max_files_per_trigger=1)
     return read_ingested(spark, target)
+
+
+# --------------------------------------------------------------------------
+# V7 sampled check, V5+V6+V8 together
+# --------------------------------------------------------------------------
+from ..operators.sample import validation_rows  # noqa: E402
+
+_MD5_SAMPLE_SQL = ("('0x' || substr(md5(CAST(o_orderkey AS VARCHAR)), 1, 8))::BIGINT < "
+                   f"{int(0.25 * (1 << 32))}")
+
+
+@register("contract_sampled_check", f"""
+SELECT 'orders' AS table_name, 'o_custkey' AS column_name, 'type_changed' AS finding,
+       'bigint' AS expected, 'string' AS observed,
+       count_if(TRY_CAST(o_custkey AS BIGINT) IS NULL) AS bad_rows,
+       count_if(TRY_CAST(o_custkey AS BIGINT) IS NULL) > 0 AS blocking
+FROM {ORDERS_PLANTED_SQL} p WHERE {_MD5_SAMPLE_SQL}
+UNION ALL
+SELECT 'orders', 'o_totalprice', 'null_values', 'not null', 'double',
+       count_if(o_totalprice IS NULL), count_if(o_totalprice IS NULL) > 0
+FROM {ORDERS_PLANTED_SQL} p WHERE {_MD5_SAMPLE_SQL}
+""")
+def contract_sampled_check(spark, sf_dir):
+    contract = capture_contract(table(spark, sf_dir, "orders"), "orders")
+    sample = validation_rows(orders_planted(spark, sf_dir), 0.25, ["o_orderkey"])
+    return check_contract(sample, contract, "orders")
+
+
+@register("contract_full_check", f"""
+SELECT 'orders' AS table_name, 'o_custkey' AS column_name, 'type_changed' AS finding,
+       'bigint' AS expected, 'string' AS observed,
+       count_if(TRY_CAST(o_custkey AS BIGINT) IS NULL) AS bad_rows,
+       count_if(TRY_CAST(o_custkey AS BIGINT) IS NULL) > 0 AS blocking
+FROM {ORDERS_PLANTED_SQL} p
+UNION ALL
+SELECT 'orders', 'o_totalprice', 'null_values', 'not null', 'double',
+       count_if(o_totalprice IS NULL), count_if(o_totalprice IS NULL) > 0
+FROM {ORDERS_PLANTED_SQL} p
+UNION ALL SELECT 'orders', 'column_naming', 'setting_changed', 'lower', 'upper', NULL, true
+UNION ALL SELECT 'orders', 'decimal_precision', 'setting_changed', '', '2', NULL, true
+""")
+def contract_full_check(spark, sf_dir):
+    first = JobSpec()
+    contract = capture_contract(table(spark, sf_dir, "orders"), "orders", settings=first.settings())
+    now = JobSpec(column_naming="upper", decimal_precision=2)
+    return check_contract(orders_planted(spark, sf_dir), contract, "orders", settings=now.settings())

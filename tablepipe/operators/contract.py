@@ -99,8 +99,14 @@ def capture_contract(df: DataFrame, table_name: str, version: int = 1,
 
 
 def settings_rows(spark: SparkSession, table_name: str, settings: dict[str, str], version: int = 1) -> DataFrame:
-    rows = [(table_name, version, "setting", k, None, v, None) for k, v in sorted(settings.items())]
-    return spark.createDataFrame(rows, CONTRACT_SCHEMA)
+    """Setting rows: ordinal is the position among the sorted settings; a
+    setting always has a value (nullable false)."""
+    return spark.createDataFrame(_setting_tuples(table_name, settings, version), CONTRACT_SCHEMA)
+
+
+def _setting_tuples(table_name: str, settings: dict[str, str] | None, version: int) -> list[tuple]:
+    return [(table_name, version, "setting", k, i, v, False)
+            for i, (k, v) in enumerate(sorted((settings or {}).items()))]
 
 
 # --------------------------------------------------------------------------
@@ -216,7 +222,8 @@ def _check_plan(df: DataFrame, contract: DataFrame, table_name: str,
         stored = _contract_settings(contract, table_name)
         for key in sorted(set(stored) | set(settings)):
             if stored.get(key) != settings.get(key):
-                findings.append((key, "setting_changed", stored.get(key), settings.get(key), None, "always"))
+                # every row would load under the changed setting
+                findings.append((key, "setting_changed", stored.get(key), settings.get(key), "n_rows", "always"))
     return aggs, findings
 
 
@@ -286,7 +293,7 @@ def observe_capture(df: DataFrame, table_name: str, version: int = 1,
         m = obs.get
         rows = [(table_name, version, "column", f.name, i, f.dataType.simpleString(), int(m[f"n{i}"]) > 0)
                 for i, f in enumerate(fields)]
-        rows += [(table_name, version, "setting", k, None, v, None) for k, v in sorted((settings or {}).items())]
+        rows += _setting_tuples(table_name, settings, version)
         return spark.createDataFrame(rows, CONTRACT_SCHEMA)
     return out, finish
 

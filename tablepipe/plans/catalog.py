@@ -282,7 +282,8 @@ DEFAULT_SETTINGS = JobSpec().settings()
     [f"SELECT 'events' AS table_name, 1 AS version, 'column' AS kind, '{n}' AS name, {i} AS ordinal, "
      f"'{t}' AS value, count_if({n} IS NULL) > 0 AS nullable FROM events"
      for i, (n, t) in enumerate(EVENT_TYPES)]
-    + [f"SELECT 'events', 1, 'setting', '{k}', NULL, '{v}', NULL" for k, v in sorted(DEFAULT_SETTINGS.items())]))
+    + [f"SELECT 'events', 1, 'setting', '{k}', {i}, '{v}', false"
+       for i, (k, v) in enumerate(sorted(DEFAULT_SETTINGS.items()))]))
 def contract_capture(spark, sf_dir):
     return capture_contract(table(spark, sf_dir, "events"), "events", 1, DEFAULT_SETTINGS)
 
@@ -794,8 +795,8 @@ UNION ALL
 SELECT 'orders', 'o_totalprice', 'null_values', 'not null', 'double',
        count_if(o_totalprice IS NULL), count_if(o_totalprice IS NULL) > 0
 FROM {ORDERS_PLANTED_SQL} p
-UNION ALL SELECT 'orders', 'column_naming', 'setting_changed', 'lower', 'upper', NULL, true
-UNION ALL SELECT 'orders', 'decimal_precision', 'setting_changed', '', '2', NULL, true
+UNION ALL SELECT 'orders', 'column_naming', 'setting_changed', 'lower', 'upper', count(*), true FROM orders
+UNION ALL SELECT 'orders', 'decimal_precision', 'setting_changed', '', '2', count(*), true FROM orders
 """)
 def contract_full_check(spark, sf_dir):
     first = JobSpec()

@@ -98,7 +98,7 @@ def test_check_reports_setting_changes(spark):
     df = _base(spark)
     c = capture_contract(df, "t", settings=JobSpec().settings())
     rep = check_contract(df, c, "t", settings=JobSpec(column_naming="upper").settings())
-    assert _findings(rep) == {("column_naming", "setting_changed"): (None, True)}
+    assert _findings(rep) == {("column_naming", "setting_changed"): (50, True)}
 
 
 def test_catalog_drift_and_versions(spark, tmp_dir):

@@ -119,15 +119,27 @@ def qualified(spark: SparkSession, path: str) -> str:
     return str(fs.makeQualified(hpath).toString()).rstrip("/")
 
 
+def _tag_by_prefix(spark: SparkSession, files: DataFrame, inputs: dict[str, str]) -> DataFrame:
+    prefixes = spark.createDataFrame([(t, qualified(spark, p)) for t, p in inputs.items()],
+                                     "table_name string, prefix string")
+    match = (F.col("path") == F.col("prefix")) | F.col("path").startswith(F.concat(F.col("prefix"), F.lit("/")))
+    return files.join(F.broadcast(prefixes), match)
+
+
+def file_totals(spark: SparkSession, inputs: dict[str, str]) -> DataFrame:
+    """P14 for any format: (table_name, files, file_bytes) from one listing
+    (binaryFile without its content column)."""
+    files = (spark.read.format("binaryFile").option("recursiveFileLookup", "true")
+             .load(list(inputs.values())).select("path", "length"))
+    return _tag_by_prefix(spark, files, inputs).groupBy("table_name").agg(
+        F.count(F.lit(1)).alias("files"), F.sum("length").alias("file_bytes"))
+
+
 def footer_totals(spark: SparkSession, inputs: dict[str, str]) -> DataFrame:
     """P10 / P14 per input: (table_name, files, file_bytes, num_rows, uncompressed_bytes).
     One listing over all inputs; files are matched to inputs by path prefix
     against a broadcast table with one row per input."""
-    prefixes = spark.createDataFrame([(t, qualified(spark, p)) for t, p in inputs.items()],
-                                     "table_name string, prefix string")
-    files = parquet_footers(spark, list(inputs.values()))
-    match = (F.col("path") == F.col("prefix")) | F.col("path").startswith(F.concat(F.col("prefix"), F.lit("/")))
-    tagged = files.join(F.broadcast(prefixes), match)
+    tagged = _tag_by_prefix(spark, parquet_footers(spark, list(inputs.values())), inputs)
     return tagged.groupBy("table_name").agg(
         F.count(F.lit(1)).alias("files"), F.sum("file_bytes").alias("file_bytes"),
         F.sum("num_rows").alias("num_rows"), F.sum("num_row_groups").alias("num_row_groups"),
@@ -186,10 +198,22 @@ def parquet_string_factor(mean_len: Column) -> Column:
     return F.when(mean_len.isNull(), 1.0).otherwise(ladder)
 
 
-def size_factors(spark: SparkSession, tables: dict[str, DataFrame]) -> DataFrame:
-    """P1-P9 per table: n_rows, string figures and every factor / width."""
-    stats = string_length_stats(tables)
-    rows = stats.where(F.col("column_name") == ROWS_MARK).select("table_name", F.col("n_values").alias("n_rows"))
+def size_factors(spark: SparkSession, tables: dict[str, DataFrame], sample_fraction: float = 1.0,
+                 row_counts: DataFrame | None = None) -> DataFrame:
+    """P1-P9 per table: n_rows, string figures and every factor / width.
+    With ``sample_fraction`` < 1 the length statistics come from a seeded
+    Bernoulli sample; ``row_counts`` (table_name, n_rows) then supplies exact
+    counts (e.g. from Parquet footers), else the sample count is scaled up."""
+    if not 0.0 < sample_fraction <= 1.0:
+        raise ValueError("sample_fraction must be in (0, 1]")
+    sampled = tables if sample_fraction >= 1.0 else {
+        t: df.sample(fraction=sample_fraction, seed=29) for t, df in tables.items()}
+    stats = string_length_stats(sampled)
+    rows = stats.where(F.col("column_name") == ROWS_MARK).select(
+        "table_name", F.round(F.col("n_values") / F.lit(sample_fraction)).cast("bigint").alias("n_rows"))
+    if row_counts is not None:
+        rows = (rows.join(row_counts.select("table_name", F.col("n_rows").alias("_exact")), "table_name", "left")
+                .select("table_name", F.coalesce("_exact", "n_rows").alias("n_rows")))
     strs = (stats.where(F.col("column_name") != ROWS_MARK)
             .groupBy("table_name").agg(
                 F.avg("median_len").alias("mean_median_len"),          # P1
@@ -222,31 +246,29 @@ def size_factors(spark: SparkSession, tables: dict[str, DataFrame]) -> DataFrame
 # The load plan
 # --------------------------------------------------------------------------
 def load_plan(spark: SparkSession, inputs: dict[str, str], budget_bytes: float,
-              formats: dict[str, str] | None = None) -> DataFrame:
+              formats: dict[str, str] | None = None, sample_fraction: float = 1.0,
+              csv_infer_ratio: float = 0.1) -> DataFrame:
     """One row per input path: estimate, ratio to the budget, decision
     (eager / lazy / streaming; the first two are one batch job, the last an
-    incremental job), chunk fraction and rows, bytes on disk."""
-    from ..sources.files import read_table, table_format
+    incremental job), chunk fraction and rows, bytes on disk.  CSV inputs are
+    typed by sampled inference (``csv_infer_ratio``) so numbers are not
+    sized as text."""
+    from ..sources.files import read_csv, read_table, table_format
     formats = formats or {}
     fmts = {t: table_format(p, formats.get(t)) for t, p in inputs.items()}
-    frames = {t: read_table(spark, p, fmts[t]) for t, p in inputs.items()}
-    factors = size_factors(spark, frames)
+    frames = {t: (read_csv(spark, p, inferSchema="true", samplingRatio=str(csv_infer_ratio))
+                  if fmts[t] == "csv" else read_table(spark, p, fmts[t]))
+              for t, p in inputs.items()}
     pq_inputs = {t: p for t, p in inputs.items() if fmts[t] == "parquet"}
-    sizes = spark.createDataFrame([(t, f) for t, f in fmts.items()], "table_name string, format string")
-    if pq_inputs:
-        sizes = sizes.join(footer_totals(spark, pq_inputs).select(
-            "table_name", "file_bytes", "uncompressed_bytes"), "table_name", "left")
+    footers = footer_totals(spark, pq_inputs) if pq_inputs else None
+    exact_rows = footers.select("table_name", F.col("num_rows").alias("n_rows")) if footers is not None else None
+    factors = size_factors(spark, frames, sample_fraction, exact_rows)
+    sizes = (spark.createDataFrame([(t, f) for t, f in fmts.items()], "table_name string, format string")
+             .join(file_totals(spark, inputs).select("table_name", "file_bytes"), "table_name", "left"))
+    if footers is not None:
+        sizes = sizes.join(footers.select("table_name", "uncompressed_bytes"), "table_name", "left")
     else:
-        sizes = sizes.withColumn("file_bytes", F.lit(None).cast("bigint")) \
-                     .withColumn("uncompressed_bytes", F.lit(None).cast("bigint"))
-    text_files = [(t, p) for t, p in inputs.items() if fmts[t] != "parquet"]
-    if text_files:
-        tb = reduce(DataFrame.unionByName, [
-            frames[t].select(F.lit(t).alias("table_name"), "_metadata.file_path", "_metadata.file_size")
-            .distinct() for t, _ in text_files])
-        tb = tb.groupBy("table_name").agg(F.sum("file_size").alias("text_bytes"))
-        sizes = sizes.join(tb, "table_name", "left").withColumn(
-            "file_bytes", F.coalesce("file_bytes", "text_bytes")).drop("text_bytes")
+        sizes = sizes.withColumn("uncompressed_bytes", F.lit(None).cast("bigint"))
     j = factors.join(sizes, "table_name")
     est = F.when(F.col("format") == "parquet",
                  F.col("parquet_coarse_factor") * F.col("uncompressed_bytes")) \

@@ -19,7 +19,7 @@ from pyspark.sql import types as T
 # Timestamps keep microseconds (the CSV default would cut them to millis).
 TS_OPTIONS = {
     "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS]",
-    "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS]XXX",
+    "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS][XXX]",
 }
 CSV_OPTIONS = {
     "header": "true",
@@ -60,8 +60,7 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType | str | None =
     opts = {**CSV_OPTIONS, "multiLine": str(multiline).lower(), **options}
     reader = spark.read.options(**opts)
     if schema is None:
-        opts_infer = {**opts, "inferSchema": "false"}
-        return spark.read.options(**opts_infer).csv(path)
+        return spark.read.options(**{"inferSchema": "false", **opts}).csv(path)
     st = schema if isinstance(schema, T.StructType) else T._parse_datatype_string(schema)
     if keep_corrupt and CORRUPT not in st.fieldNames():
         st = T.StructType(st.fields + [T.StructField(CORRUPT, T.StringType(), True)])

@@ -98,3 +98,22 @@ def test_footer_scan_does_not_read_content(spark):
     plan = files._jdf.queryExecution().executedPlan().toString()
     assert "content" not in plan.split("ReadSchema:")[1]
     _ = F
+
+
+def test_load_plan_csv_and_sampled(spark, tmp_dir):
+    from tablepipe.operators.profile import load_plan
+    from tablepipe.sources import write_csv
+    orders = spark.read.parquet("/root/testdata/sf0.001/orders.parquet")
+    write_csv(orders, f"{tmp_dir}/orders_csv")
+    inputs = {"o_csv": f"{tmp_dir}/orders_csv", "o_pq": "/root/testdata/sf0.001/orders.parquet"}
+    plan = {r.table_name: r for r in load_plan(spark, inputs, 1e6, formats={"o_csv": "csv"}).collect()}
+    assert plan["o_csv"].format == "csv" and plan["o_csv"].n_rows == 1500
+    # numbers and the timestamp inferred (keys as int), only the 2 texts sized as strings:
+    # (int 1.5 * 2 + double 1.65 + timestamp 1.85 + 2 * P2) / 6, P2 = 1.8 (median lengths 1 and 8)
+    assert plan["o_csv"].text_type_factor == pytest.approx((1.5 * 2 + 1.65 + 1.85 + 2 * 1.8) / 6)
+    assert plan["o_pq"].text_type_factor == pytest.approx((1.55 * 2 + 1.65 + 1.85 + 2 * 1.8) / 6)
+    assert plan["o_csv"].uncompressed_bytes is None and plan["o_csv"].file_bytes > 0
+    sampled = {r.table_name: r for r in load_plan(spark, inputs, 1e6, formats={"o_csv": "csv"},
+                                                  sample_fraction=0.5).collect()}
+    assert sampled["o_pq"].n_rows == 1500                      # exact from the footers
+    assert abs(sampled["o_csv"].n_rows - 1500) < 300           # scaled from the sample

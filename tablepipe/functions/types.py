@@ -109,6 +109,12 @@ PARQUET_COARSE_FACTOR = {
 # Parquet string factor from a = max(1, mean value byte length):
 #   base = 1 + 4 / a; a < 5 -> min(base + 0.4, 2.2); a < 10 -> base + 0.2;
 #   a < 20 -> base + 0.1; else base + 0.05; no string column -> 1.0
+PARQUET_STRING_BASE = 1.0
+PARQUET_STRING_NUMERATOR = 4.0
+PARQUET_STRING_STEPS = [(5, 0.4), (10, 0.2), (20, 0.1)]
+PARQUET_STRING_ELSE = 0.05
+PARQUET_STRING_CAP_FIRST_STEP = 2.2
+NO_STRING_FACTOR = 1.0
 # Load decision by ratio = estimate / budget: <= 0.65 eager, <= 2.0 lazy,
 # else streaming.  Chunk fraction by ratio: > 5 -> 0.15, > 2 -> 0.25,
 # > 0.5 -> 0.40, else 0.70; chunk rows = min(max(rows * fraction, 10000), rows).

@@ -185,17 +185,20 @@ def _ladder_le(x: Column, steps, otherwise: float) -> Column:
 
 def text_string_factor(mean_median: Column) -> Column:
     """P2 ladder over the mean of median lengths; null (no string data) -> 1.0."""
-    return F.when(mean_median.isNull(), 1.0).otherwise(
+    return F.when(mean_median.isNull(), TY.NO_STRING_FACTOR).otherwise(
         _ladder_le(mean_median, TY.TEXT_STRING_FACTOR_STEPS, TY.TEXT_STRING_FACTOR_ELSE))
 
 
 def parquet_string_factor(mean_len: Column) -> Column:
     """P7 over a = max(1, mean length); null (no string data) -> 1.0."""
     a = F.greatest(F.lit(1.0), mean_len)
-    base = 1.0 + 4.0 / a
-    ladder = (F.when(a < 5, F.least(base + 0.4, F.lit(2.2)))
-              .when(a < 10, base + 0.2).when(a < 20, base + 0.1).otherwise(base + 0.05))
-    return F.when(mean_len.isNull(), 1.0).otherwise(ladder)
+    base = TY.PARQUET_STRING_BASE + TY.PARQUET_STRING_NUMERATOR / a
+    (b1, add1), *rest = TY.PARQUET_STRING_STEPS
+    ladder = F.when(a < b1, F.least(base + add1, F.lit(TY.PARQUET_STRING_CAP_FIRST_STEP)))
+    for bound, add in rest:
+        ladder = ladder.when(a < bound, base + add)
+    ladder = ladder.otherwise(base + TY.PARQUET_STRING_ELSE)
+    return F.when(mean_len.isNull(), TY.NO_STRING_FACTOR).otherwise(ladder)
 
 
 def size_factors(spark: SparkSession, tables: dict[str, DataFrame], sample_fraction: float = 1.0,
@@ -228,7 +231,7 @@ def size_factors(spark: SparkSession, tables: dict[str, DataFrame], sample_fract
     p4 = F.greatest(F.coalesce(F.col("sum_median_len"), F.lit(0.0)), F.lit(float(TY.STRING_WIDTH_FLOOR)))
     p7 = parquet_string_factor(F.col("mean_value_len"))
     n_str = F.col("n_str")
-    p3 = F.when(n == 0, 1.0).otherwise((F.col("text_fixed") + n_str * p2) / safe_n)
+    p3 = F.when(n == 0, TY.NO_STRING_FACTOR).otherwise((F.col("text_fixed") + n_str * p2) / safe_n)
     p5 = F.when(n == 0, float(TY.STRING_WIDTH_FLOOR)).otherwise(
         (F.col("bytes_fixed") + n_str * p4 + F.col("n_bytes_other") * TY.OTHER_VALUE_BYTES) / safe_n)
     p6 = F.col("bytes_fixed") + n_str * p4 + F.col("n_bytes_other") * p5

@@ -192,12 +192,29 @@ def _q(name: str) -> Column:
     return F.col(f"`{name}`")
 
 
+def castable(df: DataFrame, name: str, dt: T.DataType) -> bool:
+    """Whether Spark can cast the column to ``dt`` at all (analysis only)."""
+    try:
+        df.select(_q(name).try_cast(dt)).schema
+        return True
+    except Exception:
+        return False
+
+
+def _fails(df: DataFrame, name: str, dt: T.DataType, src: T.DataType) -> Column:
+    """Non-null values that do not coerce; every non-null value when the types
+    cannot be cast at all (e.g. an array where a number was)."""
+    if castable(df, name, dt):
+        return cast_failed(_q(name), dt, src)
+    return _q(name).isNotNull()
+
+
 def _check_plan(df: DataFrame, contract: DataFrame, table_name: str,
                 settings: dict[str, str] | None):
     """The aggregates a check needs and the findings they feed.  A finding is
-    (column, finding, expected, observed, metric name or None, kind) where
-    kind is 'always' (blocking), 'if_bad' (blocking when the metric > 0) or
-    'setting'."""
+    (column, finding, expected, observed, metric name, rule) where rule is
+    'always' (blocking), 'if_bad' (reported, blocking when the metric > 0) or
+    'if_bad_only' (reported and blocking only when the metric > 0)."""
     spark = df.sparkSession
     expected = _contract_columns(contract, table_name)
     have = {f.name: f.dataType for f in df.schema.fields}
@@ -210,7 +227,7 @@ def _check_plan(df: DataFrame, contract: DataFrame, table_name: str,
             continue
         observed = have[name].simpleString()
         if observed != tname:
-            aggs.append(F.count_if(cast_failed(_q(name), parse_type(spark, tname), have[name])).alias(f"f{i}"))
+            aggs.append(F.count_if(_fails(df, name, parse_type(spark, tname), have[name])).alias(f"f{i}"))
             findings.append((name, "type_changed", tname, observed, f"f{i}", "if_bad"))
         if not nullable:
             aggs.append(F.count_if(_q(name).isNull()).alias(f"z{i}"))
@@ -315,7 +332,7 @@ def row_checks(df: DataFrame, contract: DataFrame, table_name: str) -> tuple[lis
             continue
         src = df.schema[name].dataType
         if src.simpleString() != tname:
-            parts.append(F.when(cast_failed(_q(name), dt, src), F.lit(f"{name}:type")))
+            parts.append(F.when(_fails(df, name, dt, src), F.lit(f"{name}:type")))
         if not nullable:
             parts.append(F.when(_q(name).isNull(), F.lit(f"{name}:null")))
     reason = F.concat_ws(",", *parts) if parts else F.lit("")
@@ -325,14 +342,20 @@ def row_checks(df: DataFrame, contract: DataFrame, table_name: str) -> tuple[lis
 def split_by_contract(df: DataFrame, contract: DataFrame, table_name: str) -> tuple[DataFrame, DataFrame]:
     """(rows that keep the contract, coerced to its columns and types;
     rows that break it, as they came, with a ``_violations`` list).  One
-    predicate decides both sides, so their counts add up to the input."""
+    predicate decides both sides, so their counts add up to the input.
+    Columns the contract does not know are not carried to the good side (the
+    report flags them); absent nullable columns come back as nulls."""
     names, types, reason = row_checks(df, contract, table_name)
     flagged = df.withColumn(VIOLATIONS, reason)
     have = set(df.columns)
     src = {f.name: f.dataType for f in df.schema.fields}
-    good = flagged.where(F.col(VIOLATIONS) == "").select(*[
-        (try_cast(_q(n), types[n], src[n]) if n in have else F.lit(None).cast(types[n])).alias(n)
-        for n in names])
+    def coerced(n: str) -> Column:
+        if n not in have or not castable(df, n, types[n]):
+            # absent (nullable) column, or one whose rows all went to the bad side
+            return F.lit(None).cast(types[n])
+        return try_cast(_q(n), types[n], src[n])
+
+    good = flagged.where(F.col(VIOLATIONS) == "").select(*[coerced(n).alias(n) for n in names])
     bad = flagged.where(F.col(VIOLATIONS) != "")
     return good, bad
 

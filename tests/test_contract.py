@@ -121,3 +121,13 @@ def test_ensure_contract_first_load_then_reuse(spark, tmp_dir):
     c2, created2 = ensure_contract(df.drop("qty"), loc, "t")
     assert created1 and not created2
     assert c2.where("kind = 'column'").count() == 4
+
+
+def test_uncastable_type_change(spark):
+    df = _base(spark)
+    c = capture_contract(df, "t")
+    arr = df.withColumn("qty", F.when(F.col("id") < 5, F.array(F.col("qty"))))
+    assert _findings(check_contract(arr, c, "t")) == {("qty", "type_changed"): (5, True),
+                                                      ("qty", "null_values"): (45, True)}
+    good, bad = split_by_contract(arr, c, "t")
+    assert good.count() == 0 and bad.count() == 50

@@ -16,6 +16,11 @@ DATE_TEXT_PATTERN = r"^\s*\d{4}[-/]\d{1,2}[-/]\d{1,2}"
 _INF = float("inf")
 
 
+def col(name: str) -> Column:
+    """A column by its exact name (dots, spaces and backticks taken literally)."""
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
 # What Spark's try_cast accepts as integer text (ASCII control
 # characters and spaces around an optionally signed run of ASCII digits), and
 # a superset test for float text (a digit, or inf / nan in any case).

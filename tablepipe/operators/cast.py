@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.exprs import cast_failed, strict_cast, try_cast
+from ..functions.exprs import col, cast_failed, strict_cast, try_cast
 from ..functions.naming import renamed
 from ..functions.types import cast_type
 
@@ -44,17 +44,17 @@ def cast_columns(df: DataFrame, cast_map: dict[str, str] | None, rule: str | Non
     if not types:
         return df
     src = {f.name: f.dataType for f in df.schema.fields}
-    return df.withColumns({c: strict_cast(F.col(c), t, c, src[c]) for c, t in types.items()})
+    return df.withColumns({c: strict_cast(col(c), t, c, src[c]) for c, t in types.items()})
 
 
 def _reason(types: dict[str, T.DataType], src: dict[str, T.DataType]) -> Column:
-    return F.concat_ws(",", *[F.when(cast_failed(F.col(c), t, src[c]), F.lit(c)) for c, t in types.items()])
+    return F.concat_ws(",", *[F.when(cast_failed(col(c), t, src[c]), F.lit(c)) for c, t in types.items()])
 
 
 def flag_cast_failures(df: DataFrame, cast_map: dict[str, str] | None, rule: str | None = None) -> DataFrame:
-    """One frame, cast columns converted with ``try_cast`` and a reject reason
-    (comma list of failing columns, null when the row is good).  Rejected rows
-    keep their source values so nothing is lost."""
+    """The frame as it came plus a reject reason (comma list of the columns
+    that would not convert, null when the row is good): one frame that a single
+    write can split by status, nothing lost."""
     types = resolve_cast_map(df.columns, cast_map, rule)
     if not types:
         return df.withColumn(REJECT_REASON, F.lit(None).cast("string"))
@@ -74,7 +74,7 @@ def safe_cast(df: DataFrame, cast_map: dict[str, str] | None,
     flagged = flag_cast_failures(df, cast_map, rule)
     src = {f.name: f.dataType for f in df.schema.fields}
     good = (flagged.where(F.col(REJECT_REASON).isNull())
-            .withColumns({c: try_cast(F.col(c), t, src[c]) for c, t in types.items()})
+            .withColumns({c: try_cast(col(c), t, src[c]) for c, t in types.items()})
             .drop(REJECT_REASON))
     rejects = flagged.where(F.col(REJECT_REASON).isNotNull())
     return good, rejects
@@ -89,7 +89,7 @@ def cast_probe(df: DataFrame, cast_map: dict[str, str] | None, rule: str | None
     if not types:
         return spark.createDataFrame([], "column_name string, target_type string, failures bigint")
     src = {f.name: f.dataType for f in df.schema.fields}
-    counts = df.agg(*[F.count_if(cast_failed(F.col(c), t, src[c])).alias(f"f{i}")
+    counts = df.agg(*[F.count_if(cast_failed(col(c), t, src[c])).alias(f"f{i}")
                       for i, (c, t) in enumerate(types.items())])
     return counts.select(F.inline(F.array(*[
         F.struct(F.lit(c).alias("column_name"), F.lit(t.simpleString()).alias("target_type"),

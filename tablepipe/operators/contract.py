@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from ..functions.exprs import cast_failed, try_cast
+from ..functions.exprs import col, cast_failed, try_cast
 
 CONTRACT_SCHEMA = T.StructType([
     T.StructField("table_name", T.StringType(), False),
@@ -80,7 +80,7 @@ def capture_contract(df: DataFrame, table_name: str, version: int = 1,
     spark = df.sparkSession
     fields = df.schema.fields
     if nullable_from_data and fields:
-        counts = df.agg(*[F.count_if(F.col(f"`{f.name}`").isNull()).alias(f"n{i}")
+        counts = df.agg(*[F.count_if(col(f.name).isNull()).alias(f"n{i}")
                           for i, f in enumerate(fields)])
         cols = counts.select(F.inline(F.array(*[
             F.struct(F.lit(table_name).alias("table_name"), F.lit(version).alias("version"),
@@ -189,7 +189,7 @@ def _contract_settings(contract: DataFrame, table_name: str) -> dict[str, str]:
 
 
 def _q(name: str) -> Column:
-    return F.col(f"`{name}`")
+    return col(name)
 
 
 def castable(df: DataFrame, name: str, dt: T.DataType) -> bool:

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.exprs import not_date_text, parse_date_text
+from ..functions.exprs import col, not_date_text, parse_date_text
 from ..functions.types import type_kind
 
 
@@ -28,8 +28,8 @@ def date_detection_report(df: DataFrame, columns: list[str] | None = None) -> Da
             [], "column_name string, non_null bigint, failures bigint, is_date boolean")
     aggs = []
     for c in cols:
-        aggs.append(F.count_if(F.col(c).isNotNull()).alias(f"n{len(aggs)}"))
-        aggs.append(F.count_if(not_date_text(F.col(c))).alias(f"n{len(aggs)}"))
+        aggs.append(F.count_if(col(c).isNotNull()).alias(f"n{len(aggs)}"))
+        aggs.append(F.count_if(not_date_text(col(c))).alias(f"n{len(aggs)}"))
     counts = df.agg(*aggs)
     stacked = F.inline(F.array(*[
         F.struct(F.lit(c).alias("column_name"),
@@ -52,7 +52,7 @@ def parse_date_columns(df: DataFrame, columns: list[str]) -> DataFrame:
     """Parse the named string columns to timestamp_ntz (null where not a date)."""
     if not columns:
         return df
-    return df.withColumns({c: parse_date_text(F.col(c)) for c in columns})
+    return df.withColumns({c: parse_date_text(col(c)) for c in columns})
 
 
 def widen_date_columns(df: DataFrame) -> DataFrame:
@@ -60,7 +60,7 @@ def widen_date_columns(df: DataFrame) -> DataFrame:
     dates = [f.name for f in df.schema.fields if isinstance(f.dataType, T.DateType)]
     if not dates:
         return df
-    return df.withColumns({c: F.col(c).cast(T.TimestampNTZType()) for c in dates})
+    return df.withColumns({c: col(c).cast(T.TimestampNTZType()) for c in dates})
 
 
 def clean_dates(df: DataFrame, date_columns: list[str] | None = None) -> DataFrame:

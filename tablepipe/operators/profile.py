@@ -19,6 +19,8 @@ from urllib.parse import urlparse
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+
+from ..functions.exprs import col
 from pyspark.sql.window import Window
 
 from ..functions import types as TY
@@ -34,7 +36,7 @@ STATS_SCHEMA = "table_name string, column_name string, n_values bigint, median_l
 def _length_histogram(df: DataFrame, table_name: str) -> DataFrame:
     strings = [f.name for f in df.schema.fields if TY.type_kind(f.dataType) == "string"]
     items = [F.struct(F.lit(ROWS_MARK).alias("column_name"), F.lit(0).cast("int").alias("len"))]
-    items += [F.struct(F.lit(c).alias("column_name"), F.octet_length(F.col(f"`{c}`")).alias("len"))
+    items += [F.struct(F.lit(c).alias("column_name"), F.octet_length(col(c)).alias("len"))
               for c in strings]
     return (df.select(F.inline(F.array(*items)))
             .where(F.col("len").isNotNull())

@@ -12,6 +12,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions.exprs import col
+
 _INF = float("inf")
 
 
@@ -29,4 +31,4 @@ def round_floats(df: DataFrame, precision: int = 2, columns: list[str] | None =
               and (columns is None or f.name in columns)}
     if not floats:
         return df
-    return df.withColumns({c: round_value(F.col(c), precision, dt) for c, dt in floats.items()})
+    return df.withColumns({c: round_value(col(c), precision, dt) for c, dt in floats.items()})

@@ -24,6 +24,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.exprs import col
+
 from ..session import checkpoint_root
 
 TOPK_MAX_ROWS = 200_000
@@ -32,7 +34,7 @@ _ROW_BITS = (1 << 33) - 1
 
 def key_hash32(keys: list[str]) -> Column:
     """First 32 bits of md5 over the keys' text, as a number in [0, 2^32)."""
-    text = F.concat_ws("|", *[F.col(k).cast("string") for k in keys])
+    text = F.concat_ws("|", *[col(k).cast("string") for k in keys])
     return F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("bigint")
 
 
@@ -54,7 +56,7 @@ def head_rows(df: DataFrame, n: int, keys: list[str], topk_max_rows: int = TOPK_
         return df.orderBy(*keys).limit(n)
     spark = df.sparkSession
     parts = partitions or max(2, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    key = F.struct(*[F.col(k) for k in keys])
+    key = F.struct(*[col(k) for k in keys])
     # Only the key columns are shuffled; one row per range partition returns.
     stats = (df.select(*keys).repartitionByRange(parts, *keys)
              .groupBy(F.spark_partition_id().alias("pid"))

@@ -193,3 +193,12 @@ def test_spec_validates():
                             "data_type": "a:utf8,b:int8", "decimal_precision": "3"}
     # the documented but formerly refused name
     assert JobSpec(data_type={"x": "datetime"}).data_type == {"x": "datetime"}
+
+
+def test_odd_column_names(spark):
+    df = spark.createDataFrame([("2024-01-02", 1.234, "7")], ["a.b", "c d", "e`f"])
+    out = clean(df, column_naming="upper", data_type={"e`f": "int8"}, decimal_precision=1)
+    assert out.columns == ["A.B", "C D", "E`F"]
+    r = out.first()
+    assert (r[1], r[2]) == (1.2, 7)
+    assert out.schema["A.B"].dataType == T.TimestampNTZType()

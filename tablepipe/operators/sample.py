@@ -23,6 +23,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.exprs import col
 
@@ -73,8 +74,13 @@ def head_rows(df: DataFrame, n: int, keys: list[str], topk_max_rows: int = TOPK_
         return df                                   # n covers the whole table
     fields = {f.name: f.dataType for f in df.schema.fields}
 
+    def lit_value(v, dt):
+        if v is not None and isinstance(dt, T.TimestampNTZType):
+            return F.lit(v.isoformat(sep=" ")).cast(dt)     # zone-free, unlike lit(datetime)
+        return F.lit(v).cast(dt)
+
     def lit_key(row) -> Column:
-        return F.struct(*[F.lit(row[i]).cast(fields[k]).alias(k) for i, k in enumerate(keys)])
+        return F.struct(*[lit_value(row[i], fields[k]).alias(k) for i, k in enumerate(keys)])
 
     below = df.where(key < lit_key(lo))             # every partition before the cut
     inside = df.where((key >= lit_key(lo)) & (key <= lit_key(hi)))

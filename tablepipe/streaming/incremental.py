@@ -8,8 +8,10 @@
 * The schema and the date columns are fixed before the stream starts (I2): a
   stream needs a static plan, so date detection runs once on a batch read.
 * Every batch is checked against the contract (I4) and written to the
-  ``_batch=<id>`` partition of the target with dynamic partition overwrite, so
-  a replayed batch replaces its own rows instead of adding them again (I3).
+  ``_stream=<checkpoint hash>/_batch=<id>`` partition of the target with
+  dynamic partition overwrite, so a replayed batch replaces its own rows
+  instead of adding them again, while another stream appending to the same
+  target never touches them (I3).
 * The exists-mode is applied once, before the stream starts (I5).
 * The checkpoint folder is the restart boundary: a rerun picks up only new
   files, and a lost executor only re-runs its tasks.
@@ -17,6 +19,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import math
 
 from pyspark import StorageLevel
@@ -28,10 +31,12 @@ from ..operators.clean import clean, date_columns_from_contract
 from ..operators.contract import CONTRACT_SCHEMA, check_contract, observe_contract, split_by_contract
 from ..operators.dates import detect_date_columns
 from ..session import scratch_path
+from ..operators.profile import qualified
 from ..sources.files import CSV_OPTIONS
 from ..sinks.tables import check_target, target_exists
 
 BATCH_COL = "_batch"
+STREAM_COL = "_stream"
 
 
 class JobSpecLike:
@@ -97,13 +102,19 @@ def incremental_ingest(spark: SparkSession, source_dir: str, target: str, *, fmt
     stream = clean(reader.load(source_dir), column_naming=column_naming, data_type=data_type,
                    date_format=date_format, decimal_precision=decimal_precision, date_columns=dates)
     if mode == "replace" and target_exists(spark, target):
-        empty = spark.createDataFrame([], stream.schema.add(BATCH_COL, T.LongType()))
-        empty.write.mode("overwrite").partitionBy(BATCH_COL).parquet(target)
+        empty = spark.createDataFrame([], stream.schema.add(STREAM_COL, T.StringType()).add(BATCH_COL, T.LongType()))
+        empty.write.mode("overwrite").partitionBy(STREAM_COL, BATCH_COL).parquet(target)
+
+    ckpt = checkpoint or scratch_path(spark, "stream-ckpt")
+    # Batch ids restart with every checkpoint: the stream id keeps two streams
+    # appending to one target apart, the batch id makes a replay overwrite
+    # only what that batch wrote before.
+    stream_id = hashlib.sha1(qualified(spark, ckpt).encode()).hexdigest()[:12]
 
     def write_parts(df: DataFrame, path: str, batch_id: int) -> None:
-        (df.withColumn(BATCH_COL, F.lit(batch_id).cast("bigint"))
+        (df.withColumn(STREAM_COL, F.lit(stream_id)).withColumn(BATCH_COL, F.lit(batch_id).cast("bigint"))
          .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy(BATCH_COL).parquet(path))
+         .partitionBy(STREAM_COL, BATCH_COL).parquet(path))
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
         if contract is None:
@@ -133,7 +144,6 @@ def incremental_ingest(spark: SparkSession, source_dir: str, target: str, *, fmt
         finally:
             batch.unpersist()
 
-    ckpt = checkpoint or scratch_path(spark, "stream-ckpt")
     q = (stream.writeStream.foreachBatch(write_batch)
          .option("checkpointLocation", ckpt).trigger(availableNow=True).start())
     q.awaitTermination()
@@ -147,7 +157,7 @@ def incremental_ingest(spark: SparkSession, source_dir: str, target: str, *, fmt
 
 def read_ingested(spark: SparkSession, target: str, keep_batch: bool = False) -> DataFrame:
     df = spark.read.parquet(target)
-    return df if keep_batch else df.drop(BATCH_COL)
+    return df if keep_batch else df.drop(STREAM_COL, BATCH_COL)
 
 
 def files_per_trigger(n_files: int, chunk_fraction: float) -> int:

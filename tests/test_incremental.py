@@ -38,15 +38,25 @@ def test_batches_rerun_and_new_files(spark, events, tmp_dir):
 
 
 def test_replayed_batch_is_idempotent(spark, events, tmp_dir):
-    src, tgt = f"{tmp_dir}/src", f"{tmp_dir}/tgt"
+    import glob
+    import os
+    src, tgt, ckpt = f"{tmp_dir}/src", f"{tmp_dir}/tgt", f"{tmp_dir}/c1"
     for p in range(2):
         _files(events, src, 2, p)
-    incremental_ingest(spark, src, tgt, mode="fail", checkpoint=f"{tmp_dir}/c1")
+    incremental_ingest(spark, src, tgt, mode="fail", checkpoint=ckpt)
     n = read_ingested(spark, tgt).count()
-    # replay from scratch with a new checkpoint: same batch ids overwrite their partitions
-    incremental_ingest(spark, src, tgt, mode="append", checkpoint=f"{tmp_dir}/c2")
+    # lose the commit of the last batch: the restarted query runs it again
+    last = max(glob.glob(f"{ckpt}/commits/[0-9]*"), key=lambda p: int(os.path.basename(p)))
+    os.remove(last)
+    for crc in glob.glob(f"{ckpt}/commits/.{os.path.basename(last)}.crc"):
+        os.remove(crc)
+    r = incremental_ingest(spark, src, tgt, mode="append", checkpoint=ckpt)
+    assert r["input_rows"] > 0                                  # the batch did run again
     assert read_ingested(spark, tgt).count() == n
     assert read_ingested(spark, tgt, keep_batch=True).select(BATCH_COL).distinct().count() == 2
+    # a different stream appending to the same target adds its rows
+    incremental_ingest(spark, src, tgt, mode="append", checkpoint=f"{tmp_dir}/c2")
+    assert read_ingested(spark, tgt).count() == 2 * n
 
 
 def test_fail_mode_refuses_before_start(spark, events, tmp_dir):

@@ -9,6 +9,8 @@ only (see ``write_jdbc``).
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 
 SPARK_MODE = {"fail": "errorifexists", "append": "append", "replace": "overwrite"}
@@ -40,17 +42,47 @@ def check_target(spark: SparkSession, target: str, mode: str) -> None:
         raise TargetExists(f"target {target!r} exists and if_table_exists is 'fail'")
 
 
+def _fs(spark: SparkSession, path: str):
+    jvm = spark._jvm
+    hpath = jvm.org.apache.hadoop.fs.Path(path)
+    return hpath.getFileSystem(spark._jsc.hadoopConfiguration()), hpath
+
+
 def write_table(df: DataFrame, target: str, mode: str = "fail", fmt: str = "parquet",
                 partition_by: list[str] | None = None, **options: str) -> None:
-    """K3/K4: one parallel write; catalog name or path."""
-    check_target(df.sparkSession, target, mode)
-    w = df.write.mode(SPARK_MODE[mode]).format(fmt).options(**options)
+    """K3/K4/K5: one parallel write; catalog name or path.
+
+    ``replace`` of a path writes a sibling staging folder first and swaps it
+    in with two renames, so a failed job leaves the old table as it was
+    (the commit of new files is Spark's job commit).  ``append`` and ``fail``
+    only add files at job commit.  Catalog ``replace`` is Spark's overwrite."""
+    spark = df.sparkSession
+    check_target(spark, target, mode)
+    w = df.write.format(fmt).options(**options)
     if partition_by:
         w = w.partitionBy(*partition_by)
-    if is_path(target):
-        w.save(target)
-    else:
-        w.saveAsTable(target)
+    if not is_path(target):
+        w.mode(SPARK_MODE[mode]).saveAsTable(target)
+        return
+    if mode != "replace" or not target_exists(spark, target):
+        w.mode(SPARK_MODE[mode] if mode != "replace" else "overwrite").save(target)
+        return
+    tag = uuid.uuid4().hex[:12]
+    staging, retired = f"{target.rstrip('/')}.__staging-{tag}", f"{target.rstrip('/')}.__retired-{tag}"
+    fs, tpath = _fs(spark, target)
+    _, spath = _fs(spark, staging)
+    try:
+        w.mode("errorifexists").save(staging)
+    except Exception:
+        fs.delete(spath, True)                      # nothing of the failed job stays
+        raise
+    _, rpath = _fs(spark, retired)
+    if not fs.rename(tpath, rpath):
+        raise RuntimeError(f"could not move {target} aside")
+    if not fs.rename(spath, tpath):
+        fs.rename(rpath, tpath)                     # put the old table back
+        raise RuntimeError(f"could not move {staging} into place")
+    fs.delete(rpath, True)
 
 
 def create_target(df: DataFrame, target: str, mode: str = "fail", fmt: str = "parquet") -> None:

@@ -78,3 +78,19 @@ def test_csv_keeps_microseconds(spark, tmp_dir):
     df = spark.createDataFrame([(dt.datetime(2024, 1, 2, 3, 4, 5, 123456),)], "t timestamp_ntz")
     write_csv(df, f"{tmp_dir}/ts")
     assert read_csv(spark, f"{tmp_dir}/ts", schema="t timestamp_ntz").first().t == dt.datetime(2024, 1, 2, 3, 4, 5, 123456)
+
+
+def test_failed_replace_keeps_old_table(spark, tmp_dir):
+    from pyspark.sql import functions as F
+    df = spark.read.parquet("/root/testdata/sf0.001/nation.parquet")
+    target = f"{tmp_dir}/nation_t"
+    write_table(df, target, "fail")
+    boom = df.withColumn("n_nationkey", F.when(F.col("n_nationkey") == 3, F.raise_error("boom"))
+                         .otherwise(F.col("n_nationkey")))
+    with pytest.raises(Exception):
+        write_table(boom, target, "replace")
+    assert read_target(spark, target).count() == 25
+    write_table(df.limit(5), target, "replace")
+    assert read_target(spark, target).count() == 5
+    import os
+    assert not [p for p in os.listdir(tmp_dir) if "__staging" in p or "__retired" in p]

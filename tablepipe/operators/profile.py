@@ -14,7 +14,6 @@ ratio divides the estimate by a memory budget the caller passes.
 from __future__ import annotations
 
 from functools import reduce
-from urllib.parse import urlparse
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -74,35 +73,6 @@ FOOTER_SCHEMA = T.StructType([
 ])
 
 
-def _open_for_arrow(path: str):
-    import pyarrow.fs as pafs
-    u = urlparse(path)
-    if u.scheme in ("", "file"):
-        return pafs.LocalFileSystem(), u.path if u.scheme else path
-    fs, inner = pafs.FileSystem.from_uri(path)
-    return fs, inner
-
-
-def _footers(batches):
-    import pandas as pd
-    import pyarrow.parquet as pq
-    for pdf in batches:
-        out = []
-        for path, length in zip(pdf["path"], pdf["length"]):
-            fs, inner = _open_for_arrow(path)
-            with fs.open_input_file(inner) as fh:
-                md = pq.ParquetFile(fh).metadata
-                unc = comp = 0
-                for rg in range(md.num_row_groups):
-                    g = md.row_group(rg)
-                    for c in range(md.num_columns):
-                        cc = g.column(c)
-                        unc += cc.total_uncompressed_size
-                        comp += cc.total_compressed_size
-                out.append((path, int(length), md.num_rows, md.num_row_groups, unc, comp))
-        yield pd.DataFrame(out, columns=[f.name for f in FOOTER_SCHEMA.fields])
-
-
 def parquet_footers(spark: SparkSession, paths: list[str] | str) -> DataFrame:
     """One row per Parquet file: bytes on disk, rows, row groups and the
     uncompressed / compressed bytes summed over all column chunks.  Only the
@@ -110,7 +80,37 @@ def parquet_footers(spark: SparkSession, paths: list[str] | str) -> DataFrame:
     paths = [paths] if isinstance(paths, str) else list(paths)
     files = (spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet")
              .option("recursiveFileLookup", "true").load(paths).select("path", "length"))
-    return files.mapInPandas(_footers, FOOTER_SCHEMA)
+    names = [f.name for f in FOOTER_SCHEMA.fields]
+
+    # Self-contained (imports inside, only plain values captured): it is
+    # shipped by value, so executors need nothing but PyArrow.
+    def read_footers(batches):
+        from urllib.parse import urlparse as _parse
+
+        import pandas as pd
+        import pyarrow.fs as pafs
+        import pyarrow.parquet as pq
+        for pdf in batches:
+            out = []
+            for path, length in zip(pdf["path"], pdf["length"]):
+                u = _parse(path)
+                if u.scheme in ("", "file"):
+                    fs, inner = pafs.LocalFileSystem(), (u.path if u.scheme else path)
+                else:
+                    fs, inner = pafs.FileSystem.from_uri(path)
+                with fs.open_input_file(inner) as fh:
+                    md = pq.ParquetFile(fh).metadata
+                    unc = comp = 0
+                    for rg in range(md.num_row_groups):
+                        g = md.row_group(rg)
+                        for c in range(md.num_columns):
+                            cc = g.column(c)
+                            unc += cc.total_uncompressed_size
+                            comp += cc.total_compressed_size
+                    out.append((path, int(length), md.num_rows, md.num_row_groups, unc, comp))
+            yield pd.DataFrame(out, columns=names)
+
+    return files.mapInPandas(read_footers, FOOTER_SCHEMA)
 
 
 def qualified(spark: SparkSession, path: str) -> str:

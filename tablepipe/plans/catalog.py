@@ -22,7 +22,7 @@ from ..operators.contract import (capture_contract, catalog_schema_drift, check_
 from ..operators.profile import ROWS_MARK, footer_totals, load_plan, size_factors, string_length_stats
 from ..operators.sample import head_fraction, keyed_sample, validation_rows
 from ..session import scratch_path
-from ..sinks import TargetExists, read_target, write_table
+from ..sinks import TargetExists, create_target, read_target, write_report, write_table
 from ..sources import read_csv, row_counts, write_csv
 from ..spec import JobSpec
 from ..streaming import incremental_ingest, read_ingested, split_into_files
@@ -805,5 +805,28 @@ def contract_full_check(spark, sf_dir):
     return check_contract(orders_planted(spark, sf_dir), contract, "orders", settings=now.settings())
 
 
+# --------------------------------------------------------------------------
+# K2 empty target then append; K1 validation report as Parquet
+# --------------------------------------------------------------------------
+@register("sink_create_append", "SELECT * FROM orders")
+def sink_create_append(spark, sf_dir):
+    orders = table(spark, sf_dir, "orders")
+    target = scratch_path(spark, "created-target")
+    create_target(orders, target, "fail")
+    write_table(orders, target, "append")
+    return read_target(spark, target)
+
+
+@register("report_parquet", f"""
+SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority
+FROM orders WHERE {_MD5_SAMPLE_SQL}
+""")
+def report_parquet(spark, sf_dir):
+    cleaned = clean(table(spark, sf_dir, "orders"), column_naming="lower", date_format=True)
+    path = scratch_path(spark, "validation-report")
+    write_report(validation_rows(cleaned, 0.25, ["o_orderkey"]), path)
+    return spark.read.parquet(path)
+
+
 # Q1 coverage queries register themselves into this catalogue.
 from . import sql_coverage  # noqa: E402,F401

@@ -8,6 +8,7 @@ missing (local tests) do we pick a folder of our own.
 
 from __future__ import annotations
 
+import math
 import os
 import tempfile
 import uuid
@@ -54,3 +55,38 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique location under the shared checkpoint folder."""
     root = checkpoint_root(spark).rstrip("/")
     return f"{root}/tablepipe/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def recommended_conf(input_bytes: float, total_cores: int) -> dict[str, str]:
+    """Session settings sized for a load of ``input_bytes`` on ``total_cores``.
+
+    * scan splits of 128 MB, 256 MB from 10 TB up (fewer, larger tasks keep the
+      task count and driver bookkeeping in check at 100 TB);
+    * shuffle partitions so each holds about 200 MB before AQE coalesces them,
+      but at least two waves of the cluster's cores;
+    * AQE with partition coalescing and skew-join splitting (a key holding a
+      third of the rows is split at run time);
+    * broadcast only below Spark's size check (statistics-based threshold).
+    """
+    split = 256 * 1024 ** 2 if input_bytes >= 10 * 1024 ** 4 else 128 * 1024 ** 2
+    partitions = max(2 * total_cores, int(math.ceil(input_bytes / (200 * 1024 ** 2))))
+    return {
+        "spark.sql.files.maxPartitionBytes": str(split),
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(128 * 1024 ** 2),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "3",
+        "spark.sql.autoBroadcastJoinThreshold": str(10 * 1024 ** 2),
+        "spark.sql.parquet.filterPushdown": "true",
+        "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    }
+
+
+def apply_conf(spark: SparkSession, conf: dict[str, str], overwrite: bool = False) -> None:
+    """Set the given SQL settings, leaving ones the session already has unless
+    ``overwrite``."""
+    for k, v in conf.items():
+        if overwrite or spark.conf.get(k, None) in (None, ""):
+            spark.conf.set(k, v)

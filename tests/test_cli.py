@@ -47,3 +47,14 @@ def test_cli_load_sql_plan(spark, tmp_dir, capsys):
     assert "1500" in capsys.readouterr().out
     main(["plan", "--budget", "1000000", "nation=/root/testdata/sf0.001/nation.parquet"], spark=spark)
     assert json.loads(capsys.readouterr().out.strip())["decision"] == "eager"
+
+
+def test_recommended_conf():
+    from tablepipe.session import recommended_conf
+    small = recommended_conf(600e6, 8)
+    assert small["spark.sql.shuffle.partitions"] == "16"
+    assert small["spark.sql.files.maxPartitionBytes"] == str(128 * 1024 ** 2)
+    big = recommended_conf(100 * 1024 ** 4, 8000)
+    assert int(big["spark.sql.shuffle.partitions"]) == 524288      # 100 TiB / 200 MiB
+    assert big["spark.sql.files.maxPartitionBytes"] == str(256 * 1024 ** 2)
+    assert big["spark.sql.adaptive.skewJoin.enabled"] == "true"

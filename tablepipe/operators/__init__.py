@@ -6,5 +6,6 @@ from .rounding import round_floats  # noqa: F401
 from .clean import clean, clean_with  # noqa: F401
 from .contract import (capture_contract, check_contract, split_by_contract, enforce,  # noqa: F401
                        catalog_schema_drift, settings_drift, observed_schema, ensure_contract,
-                       load_contracts, save_contract, latest, ContractViolation, CONTRACT_SCHEMA)
+                       load_contracts, save_contract, latest, evolve_contract, ContractViolation,
+                       CONTRACT_SCHEMA)
 from .sample import keyed_sample, head_rows, head_fraction, validation_rows, key_hash32  # noqa: F401

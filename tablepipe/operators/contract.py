@@ -147,6 +147,20 @@ def ensure_contract(df: DataFrame, location: str, table_name: str,
     return latest(load_contracts(spark, location), table_name), True
 
 
+def evolve_contract(df: DataFrame, location: str, table_name: str,
+                    settings: dict[str, str] | None = None) -> int:
+    """Accept the current shape: store it as the next version of the table's
+    contract (later loads are checked against it).  Returns the new version."""
+    spark = df.sparkSession
+    stored = load_contracts(spark, location)
+    current = 0
+    if stored is not None:
+        row = stored.where(F.col("table_name") == table_name).agg(F.max("version").alias("v")).first()
+        current = int(row["v"] or 0)
+    save_contract(capture_contract(df, table_name, current + 1, settings), location)
+    return current + 1
+
+
 # --------------------------------------------------------------------------
 # V4 / V8 over many tables: full outer joins of rows
 # --------------------------------------------------------------------------

@@ -131,3 +131,14 @@ def test_uncastable_type_change(spark):
                                                       ("qty", "null_values"): (45, True)}
     good, bad = split_by_contract(arr, c, "t")
     assert good.count() == 0 and bad.count() == 50
+
+
+def test_evolve_contract(spark, tmp_dir):
+    from tablepipe.operators.contract import evolve_contract, load_contracts, latest
+    loc = f"{tmp_dir}/contracts"
+    df = _base(spark)
+    ensure_contract(df, loc, "t")
+    wider = df.withColumn("extra", F.lit("x"))
+    assert check_contract(wider, latest(load_contracts(spark, loc), "t"), "t").count() == 1
+    assert evolve_contract(wider, loc, "t") == 2
+    assert check_contract(wider, latest(load_contracts(spark, loc), "t"), "t").count() == 0

@@ -81,3 +81,13 @@ def test_date_columns_fixed_by_first_load(spark, orders, tmp_dir):
     out = spark.read.parquet(target)
     assert out.schema["o_orderdate"].dataType.simpleString() == "timestamp_ntz"
     assert out.where("o_orderdate IS NULL").count() == 1
+
+
+def test_replace_reading_its_own_target(spark, orders, tmp_dir):
+    contracts, target = f"{tmp_dir}/contracts", f"{tmp_dir}/orders"
+    run_load(spark, JobSpec(table_name="orders", if_table_exists="replace"), contracts, target=target,
+             source=orders)
+    again = spark.read.parquet(target).where("o_orderstatus = 'F'")
+    rep = run_load(spark, JobSpec(table_name="orders", if_table_exists="replace", on_violation="report"),
+                   contracts, target=target, source=again).first()
+    assert spark.read.parquet(target).count() == rep.rows_written == orders.where("o_orderstatus = 'F'").count()

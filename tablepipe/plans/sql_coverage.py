@@ -81,14 +81,16 @@ SELECT 'without_orders', count(*) FROM customer c
 WHERE NOT EXISTS (SELECT 1 FROM orders o WHERE o.o_custkey = c.c_custkey)
 """, ("customer", "orders"))
 
-# full outer join
+# full outer join: each side is aggregated per nation first, so the join
+# meets one row per nation on each side (no supplier x customer pairs)
 sql_query("sql_full_outer", """
-SELECT coalesce(s.s_nationkey, c.c_nationkey) AS nationkey,
-       count(DISTINCT s.s_suppkey) AS n_suppliers, count(DISTINCT c.c_custkey) AS n_customers
-FROM (SELECT s_suppkey, s_nationkey FROM supplier WHERE s_acctbal > 0) s
-FULL OUTER JOIN (SELECT c_custkey, c_nationkey FROM customer WHERE c_acctbal > 5000) c
-  ON s.s_nationkey = c.c_nationkey
-GROUP BY coalesce(s.s_nationkey, c.c_nationkey)
+SELECT coalesce(s.nationkey, c.nationkey) AS nationkey,
+       coalesce(s.n_suppliers, 0) AS n_suppliers, coalesce(c.n_customers, 0) AS n_customers
+FROM (SELECT s_nationkey AS nationkey, count(DISTINCT s_suppkey) AS n_suppliers
+      FROM supplier WHERE s_acctbal > 0 GROUP BY s_nationkey) s
+FULL OUTER JOIN (SELECT c_nationkey AS nationkey, count(DISTINCT c_custkey) AS n_customers
+                 FROM customer WHERE c_acctbal > 5000 GROUP BY c_nationkey) c
+  ON s.nationkey = c.nationkey
 """, None, ("supplier", "customer"))
 
 # range join: orders to the months of their own date span (small, bounded side)

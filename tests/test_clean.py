@@ -202,3 +202,23 @@ def test_odd_column_names(spark):
     r = out.first()
     assert (r[1], r[2]) == (1.2, 7)
     assert out.schema["A.B"].dataType == T.TimestampNTZType()
+
+
+@settings(max_examples=10, deadline=None)
+@given(decs=st.lists(st.decimals(min_value=-10 ** 7, max_value=10 ** 7, places=2, allow_nan=False),
+                     min_size=1, max_size=20),
+       floats=st.lists(st.floats(width=32, allow_nan=True, allow_infinity=True), min_size=1, max_size=20),
+       ints=st.lists(st.integers(min_value=-(2 ** 31), max_value=2 ** 31 - 1), min_size=1, max_size=20),
+       edges=st.sampled_from([127, 128, -128, -129, 127.99, 128.0, -128.99, -129.0, 32767.5, 32768.0]))
+def test_fast_try_cast_matches_spark_other_sources(spark, decs, floats, ints, edges):
+    frames = [
+        (spark.createDataFrame([(d,) for d in decs] + [(None,)], "x decimal(12,2)"), T.DecimalType(12, 2)),
+        (spark.createDataFrame([(f,) for f in floats] + [(float(edges),)], "x float"), T.FloatType()),
+        (spark.createDataFrame([(i,) for i in ints] + [(int(edges),)], "x int"), T.IntegerType()),
+        (spark.createDataFrame([(int(edges),), (-32768,), (32767,)], "x smallint"), T.ShortType()),
+    ]
+    for df, src in frames:
+        for t in (T.ByteType(), T.ShortType(), T.IntegerType(), T.LongType(), T.FloatType()):
+            got = df.select(try_cast(F.col("x"), t, src).alias("a"), F.col("x").try_cast(t).alias("b")).collect()
+            for r in got:
+                assert (r.a == r.b) or (r.a != r.a and r.b != r.b), (src, t, r)

@@ -64,10 +64,11 @@ def head_rows(df: DataFrame, n: int, keys: list[str], topk_max_rows: int = TOPK_
              .agg(F.count(F.lit(1)).alias("n"), F.min(key).alias("lo"), F.max(key).alias("hi"))
              .collect())
     stats.sort(key=lambda r: tuple((v is not None, v) for v in r["lo"]))
+    total = sum(r["n"] for r in stats)
     before = 0
     for r in stats:
         if before + r["n"] >= n:
-            lo, hi, take = r["lo"], r["hi"], n - before
+            lo, hi, take, in_cut = r["lo"], r["hi"], n - before, r["n"]
             break
         before += r["n"]
     else:
@@ -87,6 +88,15 @@ def head_rows(df: DataFrame, n: int, keys: list[str], topk_max_rows: int = TOPK_
     if tuple(lo) == tuple(hi):
         # all rows of the cut partition tie on the keys: any ``take`` of them
         return below.unionByName(_prefix_by_partition(inside, take))
+    if in_cut == total:
+        # No progress (one key so frequent that every sampled bound equals it):
+        # peel off the largest key's ties; what is left is strictly smaller.
+        under = inside.where(key < lit_key(hi))
+        n_under = under.count()
+        if n_under >= take:
+            return below.unionByName(head_rows(under, take, keys, topk_max_rows, parts))
+        ties = inside.where(key == lit_key(hi))
+        return below.unionByName(under).unionByName(_prefix_by_partition(ties, take - n_under))
     return below.unionByName(head_rows(inside, take, keys, topk_max_rows, parts))
 
 

@@ -44,3 +44,13 @@ def test_head_with_null_keys(spark):
     want = sorted(df.collect(), key=lambda r: (r.k is not None, r.k if r.k is not None else 0, r.v))[:150]
     got = head_rows(df, 150, ["k", "v"], topk_max_rows=5, partitions=3).collect()
     assert sorted(r.v for r in got) == sorted(r.v for r in want)
+
+
+def test_head_when_one_key_dominates(spark):
+    rows = [(0, -1)] + [(1, i) for i in range(5000)] + [(2, i) for i in range(3)]
+    df = spark.createDataFrame(rows, "k int, v int").repartition(4)
+    got = head_rows(df, 3000, ["k"], topk_max_rows=10, partitions=4).collect()
+    assert len(got) == 3000
+    assert sum(1 for r in got if r.k == 0) == 1 and sum(1 for r in got if r.k == 2) == 0
+    got2 = head_rows(df, 5003, ["k"], topk_max_rows=10, partitions=4).collect()
+    assert sorted(r.k for r in got2)[-2:] == [2, 2] and len(got2) == 5003

@@ -26,7 +26,7 @@ from ..sinks import TargetExists, create_target, read_target, write_report, writ
 from ..sources import read_csv, row_counts, write_csv
 from ..spec import JobSpec
 from ..streaming import incremental_ingest, read_ingested, split_into_files
-from .load import run_load
+from .load import orchestrate, run_load
 from .query import TEST_TABLES, avg_by_group, register_dir, run_sql
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -828,5 +828,26 @@ def report_parquet(spark, sf_dir):
     return spark.read.parquet(path)
 
 
+# --------------------------------------------------------------------------
+# P12 -> I1: size the input, then load it incrementally when it is too big
+# --------------------------------------------------------------------------
+@register("orchestrated_load", """
+SELECT o_orderkey, o_custkey, o_orderstatus, round(o_totalprice, 1) AS o_totalprice, o_orderdate,
+       o_orderpriority
+FROM orders
+""")
+def orchestrated_load(spark, sf_dir):
+    source = scratch_path(spark, "orders-files")
+    split_into_files(table(spark, sf_dir, "orders"), source, 6)
+    spec = JobSpec(input_path=source, input_format="parquet", table_name="orders", if_table_exists="replace",
+                   decimal_precision=1, on_violation="report")
+    target = scratch_path(spark, "orders-orchestrated")
+    # a budget far below the input size: the plan chooses the incremental path
+    out = orchestrate(spark, spec, scratch_path(spark, "orch-contracts"), budget_bytes=1024, target=target)
+    if out["path"] != "incremental":
+        raise RuntimeError(f"expected the incremental path, got {out['path']}")
+    return read_ingested(spark, target)
+
+
 # Q1 coverage queries register themselves into this catalogue.
 from . import sql_coverage  # noqa: E402,F401

@@ -91,3 +91,20 @@ def test_replace_reading_its_own_target(spark, orders, tmp_dir):
     rep = run_load(spark, JobSpec(table_name="orders", if_table_exists="replace", on_violation="report"),
                    contracts, target=target, source=again).first()
     assert spark.read.parquet(target).count() == rep.rows_written == orders.where("o_orderstatus = 'F'").count()
+
+
+def test_orchestrate_batch_and_incremental(spark, orders, tmp_dir):
+    from tablepipe.plans.load import orchestrate
+    from tablepipe.streaming import read_ingested
+    src = f"{tmp_dir}/orders_files"
+    orders.repartition(5).write.parquet(src)
+    spec = JobSpec(input_path=src, table_name="orders", if_table_exists="replace", on_violation="report")
+    big = orchestrate(spark, spec, f"{tmp_dir}/c1", budget_bytes=1e12, target=f"{tmp_dir}/t1")
+    assert big["path"] == "batch" and big["plan"]["decision"] == "eager"
+    assert big["report"]["rows_written"] == orders.count()
+    small = orchestrate(spark, spec, f"{tmp_dir}/c2", budget_bytes=100, target=f"{tmp_dir}/t2",
+                        checkpoint=f"{tmp_dir}/ck")
+    assert small["path"] == "incremental" and small["plan"]["decision"] == "streaming"
+    assert small["files_per_trigger"] == 1                 # ratio > 5: 15% of 5 files, at least 1
+    assert small["report"]["batches"] == 5
+    assert read_ingested(spark, f"{tmp_dir}/t2").count() == orders.count()

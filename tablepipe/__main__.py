@@ -1,6 +1,6 @@
 """Command line: ``python -m tablepipe <command> ...`` (or under spark-submit).
 
-    load CONFIG [--contracts DIR] [--target T] [--quarantine DIR] [--on-violation M]
+    load CONFIG [--contracts DIR] [--target T] [--quarantine DIR] [--on-violation M] [--budget BYTES]
     sql  "SELECT ..." --table name=path [--table ...] [--rows N]
     plan --budget BYTES name=path [name=path ...]
 
@@ -49,6 +49,8 @@ def main(argv=None, spark: SparkSession | None = None) -> int:
     p_load.add_argument("--target", default=None)
     p_load.add_argument("--quarantine", default=None)
     p_load.add_argument("--on-violation", default=None, choices=["fail", "report", "quarantine"])
+    p_load.add_argument("--budget", type=float, default=None,
+                        help="memory budget in bytes: size the input first and stream it when too big")
     p_sql = sub.add_parser("sql")
     p_sql.add_argument("query")
     p_sql.add_argument("--table", action="append", default=[])
@@ -67,9 +69,13 @@ def main(argv=None, spark: SparkSession | None = None) -> int:
         if args.on_violation:
             spec.on_violation = args.on_violation
         contracts = args.contracts or scratch_path(spark, "contracts")
-        report = run_load(spark, spec, contracts, target=args.target, quarantine_target=args.quarantine)
-        for row in report.collect():
-            print(json.dumps(row.asDict(), default=str))
+        if args.budget is not None:
+            from .plans.load import orchestrate
+            print(json.dumps(orchestrate(spark, spec, contracts, args.budget, target=args.target), default=str))
+        else:
+            report = run_load(spark, spec, contracts, target=args.target, quarantine_target=args.quarantine)
+            for row in report.collect():
+                print(json.dumps(row.asDict(), default=str))
     elif args.cmd == "sql":
         from .plans.query import register_tables, run_sql
         register_tables(spark, _pairs(args.table))

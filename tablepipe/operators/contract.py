@@ -191,15 +191,25 @@ def settings_drift(contract: DataFrame, current: DataFrame) -> DataFrame:
 # --------------------------------------------------------------------------
 # V4-V6 for one table: one aggregate pass
 # --------------------------------------------------------------------------
-def _contract_columns(contract: DataFrame, table_name: str) -> list[tuple[str, str, bool]]:
-    rows = (latest(contract, table_name).where("kind = 'column'")
-            .select("name", "value", "nullable", "ordinal").collect())
-    return [(r["name"], r["value"], bool(r["nullable"])) for r in sorted(rows, key=lambda r: r["ordinal"])]
+def _contract_rows(contract: DataFrame, table_name: str) -> list:
+    """The table's rows of its newest version: one collect of metadata (rows
+    per column and setting, all versions) without a shuffle."""
+    rows = contract.where(F.col("table_name") == table_name).collect()
+    if not rows:
+        return []
+    newest = max(r["version"] for r in rows)
+    return [r for r in rows if r["version"] == newest]
 
 
-def _contract_settings(contract: DataFrame, table_name: str) -> dict[str, str]:
-    rows = latest(contract, table_name).where("kind = 'setting'").select("name", "value").collect()
-    return {r["name"]: r["value"] for r in rows}
+def _contract_columns(contract, table_name: str) -> list[tuple[str, str, bool]]:
+    rows = contract if isinstance(contract, list) else _contract_rows(contract, table_name)
+    cols = [r for r in rows if r["kind"] == "column"]
+    return [(r["name"], r["value"], bool(r["nullable"])) for r in sorted(cols, key=lambda r: r["ordinal"])]
+
+
+def _contract_settings(contract, table_name: str) -> dict[str, str]:
+    rows = contract if isinstance(contract, list) else _contract_rows(contract, table_name)
+    return {r["name"]: r["value"] for r in rows if r["kind"] == "setting"}
 
 
 def _q(name: str) -> Column:
@@ -230,7 +240,8 @@ def _check_plan(df: DataFrame, contract: DataFrame, table_name: str,
     'always' (blocking), 'if_bad' (reported, blocking when the metric > 0) or
     'if_bad_only' (reported and blocking only when the metric > 0)."""
     spark = df.sparkSession
-    expected = _contract_columns(contract, table_name)
+    rows = _contract_rows(contract, table_name)
+    expected = _contract_columns(rows, table_name)
     have = {f.name: f.dataType for f in df.schema.fields}
     exp_names = {n for n, _, _ in expected}
     aggs = [F.count(F.lit(1)).alias("n_rows")]
@@ -250,7 +261,7 @@ def _check_plan(df: DataFrame, contract: DataFrame, table_name: str,
         if name not in exp_names:
             findings.append((name, "unexpected_column", None, dt.simpleString(), "n_rows", "always"))
     if settings is not None:
-        stored = _contract_settings(contract, table_name)
+        stored = _contract_settings(rows, table_name)
         for key in sorted(set(stored) | set(settings)):
             if stored.get(key) != settings.get(key):
                 # every row would load under the changed setting

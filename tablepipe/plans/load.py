@@ -15,12 +15,16 @@ contract; skipped when ``date_format`` is off or ``date_columns`` is given):
 from __future__ import annotations
 
 import time
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.clean import clean_with, date_columns_from_contract
-from ..operators.contract import (ContractViolation, check_contract, latest, load_contracts,
+from ..operators.contract import CONTRACT_SCHEMA
+from ..operators.contract import REPORT_SCHEMA as FINDINGS_SCHEMA
+from ..operators.contract import _contract_rows
+from ..operators.contract import (ContractViolation, check_contract, load_contracts,
                                   observe_capture, observe_contract, save_contract, split_by_contract)
 from ..operators.sample import validation_rows
 from ..sinks.tables import check_target, write_table
@@ -31,17 +35,33 @@ REPORT_SCHEMA = ("table_name string, rows_in bigint, rows_written bigint, rows_r
                  "findings bigint, blocking bigint, contract_created boolean, seconds double")
 
 
+@contextmanager
+def step(spark: SparkSession, text: str):
+    """Label the jobs of one step (shown in event logs and the Spark UI)."""
+    sc = spark.sparkContext
+    before = sc.getLocalProperty("spark.job.description")
+    sc.setJobDescription(f"tablepipe: {text}")
+    try:
+        yield
+    finally:
+        sc.setJobDescription(before)
+
+
 def _counted(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:
     obs = Observation(name)
     return df.observe(obs, F.count(F.lit(1)).alias("n")), obs
 
 
-def stored_contract(spark: SparkSession, location: str, table: str) -> DataFrame | None:
+def stored_contract_rows(spark: SparkSession, location: str, table: str) -> list:
+    """The latest contract rows of ``table`` (one per column / setting)."""
     stored = load_contracts(spark, location)
-    if stored is None:
-        return None
-    mine = latest(stored, table)
-    return mine if mine.limit(1).count() > 0 else None
+    return [] if stored is None else _contract_rows(stored, table)
+
+
+def stored_contract(spark: SparkSession, location: str, table: str) -> DataFrame | None:
+    """The latest contract of ``table`` pinned as a small frame; None if absent."""
+    rows = stored_contract_rows(spark, location, table)
+    return spark.createDataFrame(rows, CONTRACT_SCHEMA) if rows else None
 
 
 def run_load(spark: SparkSession, spec: JobSpec, contract_location: str, target: str | None = None,
@@ -53,50 +73,59 @@ def run_load(spark: SparkSession, spec: JobSpec, contract_location: str, target:
     check_target(spark, target, spec.if_table_exists)          # refuse early on 'fail'
     raw = source if source is not None else read_table(spark, spec.input_path, spec.input_format)
     settings = spec.settings()
-    contract = stored_contract(spark, contract_location, spec.target)
-    created = contract is None
+    with step(spark, "read contract"):
+        rows = stored_contract_rows(spark, contract_location, spec.target)
+    created = not rows
+    contract = None if created else spark.createDataFrame(rows, CONTRACT_SCHEMA)
     dates = spec.date_columns
     if not created and spec.date_format and dates is None:
         # date columns are fixed by the first load: no detection pass
-        cols = {r["name"]: r["value"] for r in contract.where("kind = 'column'").select("name", "value").collect()}
+        cols = {r["name"]: r["value"] for r in rows if r["kind"] == "column"}
         dates = date_columns_from_contract(raw, spec, cols)
-    cleaned = clean_with(raw, spec, dates)
-    report: DataFrame | None = None
+    with step(spark, "date detection"):
+        cleaned = clean_with(raw, spec, dates)
+    report_rows: list | None = None
     rows_rejected = 0
     if created:
         out, finish = observe_capture(cleaned, spec.target, 1, settings)
         out, written = _counted(out, "rows_written")
-        write_table(out, target, spec.if_table_exists)
-        save_contract(finish(), contract_location)
+        with step(spark, "write (contract captured in the job)"):
+            write_table(out, target, spec.if_table_exists)
+        with step(spark, "save contract"):
+            save_contract(finish(), contract_location)
     elif spec.on_violation == "report" and spec.sample_size >= 1.0:
         out, finish = observe_contract(cleaned, contract, spec.target, settings)
         out, written = _counted(out, "rows_written")
-        write_table(out, target, spec.if_table_exists)
-        report = finish()
+        with step(spark, "write (contract checked in the job)"):
+            write_table(out, target, spec.if_table_exists)
+        report_rows = finish().collect()
     else:
         checked = validation_rows(cleaned, spec.sample_size, spec.sample_keys)
-        report = check_contract(checked, contract, spec.target, settings).cache()
-        blocking = report.where("blocking").count()
+        with step(spark, "contract check"):
+            report_rows = check_contract(checked, contract, spec.target, settings).collect()   # one row per finding
+        blocking = sum(1 for r in report_rows if r["blocking"])
         if spec.on_violation == "fail" and blocking:
-            raise ContractViolation([r.asDict() for r in report.where("blocking").collect()])
+            raise ContractViolation([r.asDict() for r in report_rows if r["blocking"]])
         to_write = cleaned
         if spec.on_violation == "quarantine" and blocking:
             to_write, bad = split_by_contract(cleaned, contract, spec.target)
             bad, rejected = _counted(bad, "rows_rejected")
-            if quarantine_target:
-                bad.write.mode("append").parquet(quarantine_target)
-            else:
-                bad.write.format("noop").mode("overwrite").save()
+            with step(spark, "write quarantine"):
+                if quarantine_target:
+                    bad.write.mode("append").parquet(quarantine_target)
+                else:
+                    bad.write.format("noop").mode("overwrite").save()
             rows_rejected = int(rejected.get["n"])
         out, written = _counted(to_write, "rows_written")
-        write_table(out, target, spec.if_table_exists)
+        with step(spark, "write"):
+            write_table(out, target, spec.if_table_exists)
     rows_written = int(written.get["n"])
     n_findings = n_blocking = 0
-    if report is not None:
-        summary = report.agg(F.count(F.lit(1)).alias("n"), F.count_if("blocking").alias("b")).first()
-        n_findings, n_blocking = int(summary["n"]), int(summary["b"])
-        if findings_target:
-            report.withColumn("loaded_at", F.current_timestamp()).write.mode("append").parquet(findings_target)
+    if report_rows is not None:
+        n_findings, n_blocking = len(report_rows), sum(1 for r in report_rows if r["blocking"])
+        if findings_target and report_rows:
+            (spark.createDataFrame(report_rows, FINDINGS_SCHEMA).withColumn("loaded_at", F.current_timestamp())
+             .write.mode("append").parquet(findings_target))
     return spark.createDataFrame(
         [(spec.target, rows_written + rows_rejected, rows_written, rows_rejected, n_findings, n_blocking,
           created, round(time.time() - t0, 3))], REPORT_SCHEMA)

@@ -14,6 +14,9 @@ contract type (V5) and of nulls (V6).  The plan of that aggregate is built
 from metadata only (the contract rows, bounded by the number of columns).
 Checks over many tables at once (V4 across a catalog) are a full outer join
 of contract rows and observed schema rows.
+
+The single-table checks take the contract as a frame or as its rows already
+collected (streams and loads pin them once instead of once per batch).
 """
 
 from __future__ import annotations
@@ -191,10 +194,14 @@ def settings_drift(contract: DataFrame, current: DataFrame) -> DataFrame:
 # --------------------------------------------------------------------------
 # V4-V6 for one table: one aggregate pass
 # --------------------------------------------------------------------------
-def _contract_rows(contract: DataFrame, table_name: str) -> list:
-    """The table's rows of its newest version: one collect of metadata (rows
-    per column and setting, all versions) without a shuffle."""
-    rows = contract.where(F.col("table_name") == table_name).collect()
+def _contract_rows(contract, table_name: str) -> list:
+    """The table's rows of its newest version.  ``contract`` is a contract
+    frame (one collect of metadata, all versions, no shuffle) or rows already
+    collected."""
+    if isinstance(contract, list):
+        rows = [r for r in contract if r["table_name"] == table_name]
+    else:
+        rows = contract.where(F.col("table_name") == table_name).collect()
     if not rows:
         return []
     newest = max(r["version"] for r in rows)
@@ -202,13 +209,13 @@ def _contract_rows(contract: DataFrame, table_name: str) -> list:
 
 
 def _contract_columns(contract, table_name: str) -> list[tuple[str, str, bool]]:
-    rows = contract if isinstance(contract, list) else _contract_rows(contract, table_name)
+    rows = _contract_rows(contract, table_name)
     cols = [r for r in rows if r["kind"] == "column"]
     return [(r["name"], r["value"], bool(r["nullable"])) for r in sorted(cols, key=lambda r: r["ordinal"])]
 
 
 def _contract_settings(contract, table_name: str) -> dict[str, str]:
-    rows = contract if isinstance(contract, list) else _contract_rows(contract, table_name)
+    rows = _contract_rows(contract, table_name)
     return {r["name"]: r["value"] for r in rows if r["kind"] == "setting"}
 
 

@@ -76,7 +76,7 @@ def run_load(spark: SparkSession, spec: JobSpec, contract_location: str, target:
     with step(spark, "read contract"):
         rows = stored_contract_rows(spark, contract_location, spec.target)
     created = not rows
-    contract = None if created else spark.createDataFrame(rows, CONTRACT_SCHEMA)
+    contract = None if created else rows          # collected rows: the checks need no further job
     dates = spec.date_columns
     if not created and spec.date_format and dates is None:
         # date columns are fixed by the first load: no detection pass

@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators.clean import clean, date_columns_from_contract
-from ..operators.contract import CONTRACT_SCHEMA, check_contract, observe_contract, split_by_contract
+from ..operators.contract import check_contract, observe_contract, split_by_contract
 from ..operators.dates import detect_date_columns
 from ..session import scratch_path
 from ..operators.profile import qualified
@@ -83,7 +83,7 @@ def incremental_ingest(spark: SparkSession, source_dir: str, target: str, *, fmt
     if contract is not None:
         # pin the contract rows once (metadata: one row per column / setting)
         rows = contract.collect()
-        contract = spark.createDataFrame(rows, CONTRACT_SCHEMA)
+        contract = rows                       # checks take the collected rows: no job per batch
         contract_types = {r["name"]: r["value"] for r in rows if r["kind"] == "column"}
     # The contract fixes the date columns; only without one (or a given list)
     # does the existing data get a detection pass.

@@ -83,8 +83,14 @@ def head_rows(df: DataFrame, n: int, keys: list[str], topk_max_rows: int = TOPK_
     def lit_key(row) -> Column:
         return F.struct(*[lit_value(row[i], fields[k]).alias(k) for i, k in enumerate(keys)])
 
-    below = df.where(key < lit_key(lo))             # every partition before the cut
-    inside = df.where((key >= lit_key(lo)) & (key <= lit_key(hi)))
+    # Plain bounds on the leading key are implied by the struct bounds; unlike
+    # them they reach the Parquet scan, whose statistics skip row groups.
+    lead, k0 = col(keys[0]), keys[0]
+    lead_le_lo = lead <= lit_value(lo[0], fields[k0]) if lo[0] is not None else F.lit(True)
+    lead_in = ((lead >= lit_value(lo[0], fields[k0])) if lo[0] is not None else F.lit(True)) & \
+              ((lead <= lit_value(hi[0], fields[k0])) if hi[0] is not None else lead.isNull())
+    below = df.where(lead_le_lo | lead.isNull()).where(key < lit_key(lo))     # partitions before the cut
+    inside = df.where(lead_in | lead.isNull()).where((key >= lit_key(lo)) & (key <= lit_key(hi)))
     if tuple(lo) == tuple(hi):
         # all rows of the cut partition tie on the keys: any ``take`` of them
         return below.unionByName(_prefix_by_partition(inside, take))

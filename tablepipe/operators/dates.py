@@ -41,11 +41,28 @@ def date_detection_report(df: DataFrame, columns: list[str] | None = None) -> Da
             .withColumn("is_date", (F.col("non_null") > 0) & (F.col("failures") == 0)))
 
 
-def detect_date_columns(df: DataFrame, columns: list[str] | None = None) -> list[str]:
-    """Names of the date columns (a single row per string column reaches the driver)."""
-    rows = date_detection_report(df, columns).where("is_date").select("column_name").collect()
+PROBE_ROWS = 10_000
+
+
+def detect_date_columns(df: DataFrame, columns: list[str] | None = None,
+                        probe_rows: int = PROBE_ROWS) -> list[str]:
+    """Names of the date columns (a single row per string column reaches the driver).
+
+    A probe of the first ``probe_rows`` rows rules out every column that
+    already fails there (exact: a failure is a failure).  Only the remaining
+    candidates get the whole-column check, so with column pruning the full
+    pass reads the few plausible date columns, not every string column."""
+    cols = string_columns(df) if columns is None else list(columns)
+    if not cols:
+        return []
+    if probe_rows:
+        probe = date_detection_report(df.limit(probe_rows), cols).where("failures = 0").collect()
+        cols = [c for c in cols if c in {r["column_name"] for r in probe}]
+        if not cols:
+            return []
+    rows = date_detection_report(df, cols).where("is_date").select("column_name").collect()
     found = {r[0] for r in rows}
-    return [c for c in (string_columns(df) if columns is None else columns) if c in found]
+    return [c for c in cols if c in found]
 
 
 def parse_date_columns(df: DataFrame, columns: list[str]) -> DataFrame:

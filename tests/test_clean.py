@@ -223,3 +223,12 @@ def test_fast_try_cast_matches_spark_other_sources(spark, decs, floats, ints, ed
             got = df.select(try_cast(F.col("x"), t, src).alias("a"), F.col("x").try_cast(t).alias("b")).collect()
             for r in got:
                 assert (r.a == r.b) or (r.a != r.a and r.b != r.b), (src, t, r)
+
+
+def test_date_probe_then_whole_column(spark):
+    from tablepipe.operators.dates import detect_date_columns
+    rows = [(f"2024-01-{(i % 28) + 1:02d}", f"2023-05-{(i % 28) + 1:02d}", f"x{i}") for i in range(300)]
+    rows[250] = ("2024-01-05", "late bad value", "x")          # fails only after the probe
+    df = spark.createDataFrame(rows, "a string, b string, c string").coalesce(1)
+    assert detect_date_columns(df, probe_rows=100) == ["a"]       # b caught by the full pass, c by the probe
+    assert detect_date_columns(df, probe_rows=0) == ["a"]

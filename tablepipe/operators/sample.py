@@ -26,7 +26,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.exprs import col
-
 from ..session import checkpoint_root
 
 TOPK_MAX_ROWS = 200_000

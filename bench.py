@@ -116,20 +116,40 @@ def main() -> None:
         bench_csv_load(spark, warm_dir)
         bench_multi_file_load(spark, warm_dir, copies=2, files=4)
     run_noop(spark.read.parquet(f"{sf_dir}/lineitem.parquet"))
-    times: dict[str, float] = {}
-    for name in HEADLINE:
+    times: dict[str, float | None] = {}
+    errors: dict[str, str] = {}
+
+    def timed(name, fn):
+        """Run one step; a failure is recorded, not fatal (the line is always printed)."""
         t0 = time.time()
-        run_noop(qs[name](spark, sf_dir))
-        times[name] = round(time.time() - t0, 3)
-    load_s, load_rows = bench_load(spark, sf_dir)
-    times["load_lineitem"] = round(load_s, 3)
-    load1_s, _ = bench_load(spark, sf_dir, "report")
-    times["load_lineitem_one_pass"] = round(load1_s, 3)
-    csv_s, csv_rows = bench_csv_load(spark, sf_dir)
-    times["load_lineitem_csv"] = round(csv_s, 3)
-    multi_s, multi_rows = bench_multi_file_load(spark, sf_dir)
-    times["load_lineitem_8x_32_files"] = round(multi_s, 3)
-    total = round(sum(times.values()), 3)
+        try:
+            out = fn()
+            times[name] = round(time.time() - t0, 3)
+            return out
+        except Exception as e:  # pragma: no cover - reported in the JSON line
+            times[name] = None
+            errors[name] = f"{type(e).__name__}: {str(e)[:200]}"
+            return None
+
+    for name in HEADLINE:
+        timed(name, lambda: run_noop(qs[name](spark, sf_dir)))
+
+    def load_figure(name, fn):
+        res = timed(name, fn)
+        if res is None:
+            return None, 0
+        seconds, rows = res
+        times[name] = round(seconds, 3)
+        return seconds, rows
+
+    load_s, load_rows = load_figure("load_lineitem", lambda: bench_load(spark, sf_dir))
+    load1_s, _ = load_figure("load_lineitem_one_pass", lambda: bench_load(spark, sf_dir, "report"))
+    csv_s, csv_rows = load_figure("load_lineitem_csv", lambda: bench_csv_load(spark, sf_dir))
+    multi_s, multi_rows = load_figure("load_lineitem_8x_32_files", lambda: bench_multi_file_load(spark, sf_dir))
+    total = round(sum(v for v in times.values() if v is not None), 3)
+
+    def rate(rows, seconds):
+        return round(rows / seconds, 1) if seconds else None
     print(json.dumps({
         "metric": "headline_total_seconds",
         "value": total,
@@ -137,11 +157,12 @@ def main() -> None:
         "queries": times,
         "sf": float(sf) if sf.replace(".", "", 1).isdigit() else sf,
         "load_rows": load_rows,
-        "load_rows_per_sec": round(load_rows / load_s, 1) if load_s > 0 else None,
-        "load_rows_per_sec_one_pass": round(load_rows / load1_s, 1) if load1_s > 0 else None,
-        "csv_load_rows_per_sec": round(csv_rows / csv_s, 1) if csv_s > 0 else None,
+        "load_rows_per_sec": rate(load_rows, load_s),
+        "load_rows_per_sec_one_pass": rate(load_rows, load1_s),
+        "csv_load_rows_per_sec": rate(csv_rows, csv_s),
         "multi_file_load_rows": multi_rows,
-        "multi_file_load_rows_per_sec": round(multi_rows / multi_s, 1) if multi_s > 0 else None,
+        "multi_file_load_rows_per_sec": rate(multi_rows, multi_s),
+        "errors": errors,
         "cpus": cpus,
         "spark": spark.version,
     }))

@@ -213,7 +213,9 @@ def size_factors(spark: SparkSession, tables: dict[str, DataFrame], sample_fract
     rows = stats.where(F.col("column_name") == ROWS_MARK).select(
         "table_name", F.round(F.col("n_values") / F.lit(sample_fraction)).cast("bigint").alias("n_rows"))
     if row_counts is not None:
-        rows = (rows.join(row_counts.select("table_name", F.col("n_rows").alias("_exact")), "table_name", "left")
+        # one row per input on each side: broadcast is bounded by the number of inputs
+        rows = (rows.join(F.broadcast(row_counts.select("table_name", F.col("n_rows").alias("_exact"))),
+                          "table_name", "left")
                 .select("table_name", F.coalesce("_exact", "n_rows").alias("n_rows")))
     strs = (stats.where(F.col("column_name") != ROWS_MARK)
             .groupBy("table_name").agg(
@@ -221,7 +223,8 @@ def size_factors(spark: SparkSession, tables: dict[str, DataFrame], sample_fract
                 F.sum("median_len").alias("sum_median_len"),
                 F.avg("avg_len").alias("mean_value_len")))              # P7 input
     facts = spark.createDataFrame([schema_facts(t, df.schema) for t, df in tables.items()], SCHEMA_FACTS)
-    j = facts.join(rows, "table_name", "left").join(strs, "table_name", "left")
+    # one row per table on every side (bounded by the number of inputs)
+    j = facts.join(F.broadcast(rows), "table_name", "left").join(F.broadcast(strs), "table_name", "left")
     n = F.col("n_cols")
     safe_n = F.greatest(n, F.lit(1))
     # Columns without any non-null value have no median and are left out.
@@ -265,12 +268,12 @@ def load_plan(spark: SparkSession, inputs: dict[str, str], budget_bytes: float,
     exact_rows = footers.select("table_name", F.col("num_rows").alias("n_rows")) if footers is not None else None
     factors = size_factors(spark, frames, sample_fraction, exact_rows)
     sizes = (spark.createDataFrame([(t, f) for t, f in fmts.items()], "table_name string, format string")
-             .join(file_totals(spark, inputs).select("table_name", "file_bytes"), "table_name", "left"))
+             .join(F.broadcast(file_totals(spark, inputs).select("table_name", "file_bytes")), "table_name", "left"))
     if footers is not None:
-        sizes = sizes.join(footers.select("table_name", "uncompressed_bytes"), "table_name", "left")
+        sizes = sizes.join(F.broadcast(footers.select("table_name", "uncompressed_bytes")), "table_name", "left")
     else:
         sizes = sizes.withColumn("uncompressed_bytes", F.lit(None).cast("bigint"))
-    j = factors.join(sizes, "table_name")
+    j = factors.join(F.broadcast(sizes), "table_name")
     est = F.when(F.col("format") == "parquet",
                  F.col("parquet_coarse_factor") * F.col("uncompressed_bytes")) \
            .otherwise(F.col("n_rows") * F.col("text_type_factor") * F.col("row_bytes"))

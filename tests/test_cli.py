@@ -58,3 +58,15 @@ def test_recommended_conf():
     assert int(big["spark.sql.shuffle.partitions"]) == 524288      # 100 TiB / 200 MiB
     assert big["spark.sql.files.maxPartitionBytes"] == str(256 * 1024 ** 2)
     assert big["spark.sql.adaptive.skewJoin.enabled"] == "true"
+
+
+def test_config_formats(tmp_dir):
+    from tablepipe.__main__ import read_config
+    with open(f"{tmp_dir}/c.json", "w") as f:
+        json.dump({"schema_config": {"column_naming": "capitalize"}, "database": {"table_name": "x"}}, f)
+    with open(f"{tmp_dir}/c.toml", "w") as f:
+        f.write('[schema_config]\ncolumn_naming = "upper"\ndate_format = false\n[database]\nif_table_exists = "append"\n')
+    j = JobSpec.from_config(read_config(f"{tmp_dir}/c.json"))
+    t = JobSpec.from_config(read_config(f"{tmp_dir}/c.toml"))
+    assert (j.column_naming, j.target) == ("capitalize", "x")
+    assert (t.column_naming, t.date_format, t.if_table_exists) == ("upper", False, "append")

@@ -73,9 +73,11 @@ def incremental_ingest(spark: SparkSession, source_dir: str, target: str, *, fmt
                        on_violation: str = "report", report_target: str | None = None,
                        quarantine_target: str | None = None, checkpoint: str | None = None,
                        max_files_per_trigger: int = 1, date_columns: list[str] | None = None,
-                       multiline: bool = False) -> dict:
+                       multiline: bool = False, trigger: str | None = None, wait: bool = True):
     """Run the stream to the end of the available files (``availableNow``)
-    and return the last progress figures."""
+    and return the progress figures.  With ``trigger`` (a processing-time
+    interval such as ``"1 minute"``) the stream keeps watching the folder;
+    with ``wait=False`` the running ``StreamingQuery`` is returned instead."""
     if mode not in ("fail", "append", "replace"):
         raise ValueError("mode must be fail, append or replace")
     check_target(spark, target, mode)
@@ -144,8 +146,11 @@ def incremental_ingest(spark: SparkSession, source_dir: str, target: str, *, fmt
         finally:
             batch.unpersist()
 
-    q = (stream.writeStream.foreachBatch(write_batch)
-         .option("checkpointLocation", ckpt).trigger(availableNow=True).start())
+    writer = stream.writeStream.foreachBatch(write_batch).option("checkpointLocation", ckpt)
+    writer = writer.trigger(processingTime=trigger) if trigger else writer.trigger(availableNow=True)
+    q = writer.start()
+    if not wait:
+        return q
     q.awaitTermination()
     progress = q.recentProgress
     return {

@@ -99,3 +99,17 @@ def test_date_columns_from_contract(spark, events, tmp_dir):
     # detection on the data would have left ts as text (one bad value); the contract keeps it a date
     assert out.schema["ts"].dataType.simpleString() == "timestamp_ntz"
     assert spark.read.parquet(f"{tmp_dir}/rep").where("finding = 'null_values'").first().bad_rows == 1
+
+
+def test_continuous_trigger_picks_up_new_files(spark, events, tmp_dir):
+    src, tgt = f"{tmp_dir}/src", f"{tmp_dir}/tgt"
+    _files(events, src, 2, 0)
+    q = incremental_ingest(spark, src, tgt, mode="fail", checkpoint=f"{tmp_dir}/c", trigger="1 second",
+                           wait=False)
+    try:
+        q.processAllAvailable()
+        _files(events, src, 2, 1)
+        q.processAllAvailable()
+    finally:
+        q.stop()
+    assert read_ingested(spark, tgt).count() == events.count()

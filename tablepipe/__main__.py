@@ -1,6 +1,7 @@
 """Command line: ``python -m tablepipe <command> ...`` (or under spark-submit).
 
     load CONFIG [--contracts DIR] [--target T] [--quarantine DIR] [--on-violation M] [--budget BYTES]
+    check CONFIG --contracts DIR      (dry run: findings only, exit 1 when blocking)
     sql  "SELECT ..." --table name=path [--table ...] [--rows N]
     plan --budget BYTES name=path [name=path ...]
 
@@ -51,6 +52,9 @@ def main(argv=None, spark: SparkSession | None = None) -> int:
     p_load.add_argument("--on-violation", default=None, choices=["fail", "report", "quarantine"])
     p_load.add_argument("--budget", type=float, default=None,
                         help="memory budget in bytes: size the input first and stream it when too big")
+    p_check = sub.add_parser("check")
+    p_check.add_argument("config")
+    p_check.add_argument("--contracts", required=True)
     p_sql = sub.add_parser("sql")
     p_sql.add_argument("query")
     p_sql.add_argument("--table", action="append", default=[])
@@ -76,6 +80,26 @@ def main(argv=None, spark: SparkSession | None = None) -> int:
             report = run_load(spark, spec, contracts, target=args.target, quarantine_target=args.quarantine)
             for row in report.collect():
                 print(json.dumps(row.asDict(), default=str))
+    elif args.cmd == "check":
+        from .operators.clean import clean_with, date_columns_from_contract
+        from .operators.contract import check_contract
+        from .plans.load import stored_contract_rows
+        from .sources.files import read_table
+        from .spec import JobSpec
+        spec = JobSpec.from_config(read_config(args.config))
+        rows = stored_contract_rows(spark, args.contracts, spec.target)
+        if not rows:
+            print(json.dumps({"table_name": spec.target, "finding": "no_contract_yet"}))
+            return 0
+        raw = read_table(spark, spec.input_path, spec.input_format)
+        dates = None
+        if spec.date_format and spec.date_columns is None:
+            dates = date_columns_from_contract(raw, spec, {r["name"]: r["value"] for r in rows if r["kind"] == "column"})
+        report = check_contract(clean_with(raw, spec, dates), rows, spec.target, spec.settings())
+        found = report.collect()                      # one row per finding
+        for row in found:
+            print(json.dumps(row.asDict(), default=str))
+        return 1 if any(r["blocking"] for r in found) else 0
     elif args.cmd == "sql":
         from .plans.query import register_tables, run_sql
         register_tables(spark, _pairs(args.table))

@@ -70,3 +70,20 @@ def test_config_formats(tmp_dir):
     t = JobSpec.from_config(read_config(f"{tmp_dir}/c.toml"))
     assert (j.column_naming, j.target) == ("capitalize", "x")
     assert (t.column_naming, t.date_format, t.if_table_exists) == ("upper", False, "append")
+
+
+def test_cli_check_dry_run(spark, tmp_dir, capsys):
+    cfg = f"{tmp_dir}/config.yml"
+    with open(cfg, "w") as f:
+        f.write(CONFIG)
+    contracts = f"{tmp_dir}/contracts"
+    assert main(["check", cfg, "--contracts", contracts], spark=spark) == 0
+    assert "no_contract_yet" in capsys.readouterr().out
+    main(["load", cfg, "--contracts", contracts, "--target", f"{tmp_dir}/o"], spark=spark)
+    capsys.readouterr()
+    assert main(["check", cfg, "--contracts", contracts], spark=spark) == 0
+    assert capsys.readouterr().out.strip() == ""
+    with open(cfg, "w") as f:
+        f.write(CONFIG.replace("column_naming: 'upper'", "column_naming: 'lower'"))
+    assert main(["check", cfg, "--contracts", contracts], spark=spark) == 1
+    assert "setting_changed" in capsys.readouterr().out

@@ -7,7 +7,10 @@ contract; skipped when ``date_format`` is off or ``date_columns`` is given):
 * first load: one — the write; the contract (null presence per column) and
   the row count are ``Observation`` metrics of the write job itself;
 * ``report``: one — the check's aggregates ride along in the write job;
-* ``fail``: two — the check must finish before anything is written;
+* ``fail``: one for path targets — the write goes to a staging folder with
+  the check observed in the same job, and is committed by renames only when
+  nothing blocks (else the staging folder is dropped); two for catalog
+  tables or sampled checks (check first, then write);
 * ``quarantine``: two when the check finds nothing, else three (good rows and
   rejected rows are written by two jobs from one row predicate).
 """
@@ -27,7 +30,7 @@ from ..operators.contract import _contract_rows
 from ..operators.contract import (ContractViolation, check_contract, load_contracts,
                                   observe_capture, observe_contract, save_contract, split_by_contract)
 from ..operators.sample import validation_rows
-from ..sinks.tables import check_target, write_table
+from ..sinks.tables import check_target, commit_staged, discard_staged, is_path, stage, write_table
 from ..sources.files import read_table
 from ..spec import JobSpec
 
@@ -93,6 +96,20 @@ def run_load(spark: SparkSession, spec: JobSpec, contract_location: str, target:
             write_table(out, target, spec.if_table_exists)
         with step(spark, "save contract"):
             save_contract(finish(), contract_location)
+    elif spec.on_violation == "fail" and is_path(target) and spec.sample_size >= 1.0:
+        # One pass: stage the write with the check observed in the same job,
+        # then commit by renames, or drop the staging folder and raise.
+        out, finish = observe_contract(cleaned, contract, spec.target, settings)
+        out, written = _counted(out, "rows_written")
+        with step(spark, "write to staging (contract checked in the job)"):
+            staging = stage(out, target)
+        report_rows = finish().collect()
+        blocking_rows = [r.asDict() for r in report_rows if r["blocking"]]
+        if blocking_rows:
+            discard_staged(spark, staging)
+            raise ContractViolation(blocking_rows)
+        with step(spark, "commit staged files"):
+            commit_staged(spark, staging, target, spec.if_table_exists)
     elif spec.on_violation == "report" and spec.sample_size >= 1.0:
         out, finish = observe_contract(cleaned, contract, spec.target, settings)
         out, written = _counted(out, "rows_written")

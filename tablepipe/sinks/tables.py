@@ -67,22 +67,64 @@ def write_table(df: DataFrame, target: str, mode: str = "fail", fmt: str = "parq
     if mode != "replace" or not target_exists(spark, target):
         w.mode(SPARK_MODE[mode] if mode != "replace" else "overwrite").save(target)
         return
-    tag = uuid.uuid4().hex[:12]
-    staging, retired = f"{target.rstrip('/')}.__staging-{tag}", f"{target.rstrip('/')}.__retired-{tag}"
-    fs, tpath = _fs(spark, target)
-    _, spath = _fs(spark, staging)
+    commit_staged(spark, stage(df, target, fmt, partition_by, **options), target, "replace")
+
+
+def stage(df: DataFrame, target: str, fmt: str = "parquet", partition_by: list[str] | None = None,
+          **options: str) -> str:
+    """Write ``df`` to a fresh staging folder next to ``target`` (path targets);
+    return its path.  Nothing is visible at the target until ``commit_staged``."""
+    staging = f"{target.rstrip('/')}.__staging-{uuid.uuid4().hex[:12]}"
+    w = df.write.format(fmt).options(**options)
+    if partition_by:
+        w = w.partitionBy(*partition_by)
     try:
         w.mode("errorifexists").save(staging)
     except Exception:
-        fs.delete(spath, True)                      # nothing of the failed job stays
+        discard_staged(df.sparkSession, staging)
         raise
-    _, rpath = _fs(spark, retired)
-    if not fs.rename(tpath, rpath):
-        raise RuntimeError(f"could not move {target} aside")
+    return staging
+
+
+def discard_staged(spark: SparkSession, staging: str) -> None:
+    fs, spath = _fs(spark, staging)
+    fs.delete(spath, True)
+
+
+def commit_staged(spark: SparkSession, staging: str, target: str, mode: str) -> None:
+    """Make a staged write visible with renames only (no data is rewritten):
+    ``fail`` / ``replace`` swap the folder in, ``append`` moves the data files
+    (relative paths kept, so partition folders too) into the target."""
+    check_target(spark, target, mode)
+    fs, tpath = _fs(spark, target)
+    _, spath = _fs(spark, staging)
+    if mode == "append" and fs.exists(tpath):
+        files = fs.listFiles(spath, True)
+        base = str(spath.toUri().getPath()).rstrip("/")
+        jvm = spark._jvm
+        while files.hasNext():
+            src = files.next().getPath()
+            rel = str(src.toUri().getPath())[len(base) + 1:]
+            if any(part.startswith(("_", ".")) for part in rel.split("/")):
+                continue                                  # _SUCCESS, checksums
+            dst = jvm.org.apache.hadoop.fs.Path(tpath, rel)
+            fs.mkdirs(dst.getParent())
+            if not fs.rename(src, dst):
+                raise RuntimeError(f"could not move {src} into {target}")
+        fs.delete(spath, True)
+        return
+    if fs.exists(tpath):                                  # replace: swap, keep the old one until done
+        _, retired = _fs(spark, f"{target.rstrip('/')}.__retired-{uuid.uuid4().hex[:12]}")
+        if not fs.rename(tpath, retired):
+            raise RuntimeError(f"could not move {target} aside")
+        if not fs.rename(spath, tpath):
+            fs.rename(retired, tpath)
+            raise RuntimeError(f"could not move {staging} into place")
+        fs.delete(retired, True)
+        return
+    fs.mkdirs(tpath.getParent())
     if not fs.rename(spath, tpath):
-        fs.rename(rpath, tpath)                     # put the old table back
         raise RuntimeError(f"could not move {staging} into place")
-    fs.delete(rpath, True)
 
 
 def create_target(df: DataFrame, target: str, mode: str = "fail", fmt: str = "parquet") -> None:

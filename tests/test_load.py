@@ -108,3 +108,20 @@ def test_orchestrate_batch_and_incremental(spark, orders, tmp_dir):
     assert small["files_per_trigger"] == 1                 # ratio > 5: 15% of 5 files, at least 1
     assert small["report"]["batches"] == 5
     assert read_ingested(spark, f"{tmp_dir}/t2").count() == orders.count()
+
+
+def test_fail_mode_is_one_staged_pass(spark, orders, tmp_dir):
+    import os
+    contracts, target = f"{tmp_dir}/contracts", f"{tmp_dir}/orders"
+    spec = JobSpec(table_name="orders", if_table_exists="append")
+    run_load(spark, spec, contracts, target=target, source=orders)
+    n = orders.count()
+    rep = run_load(spark, spec, contracts, target=target, source=orders).first()
+    assert rep.rows_written == n and spark.read.parquet(target).count() == 2 * n
+    with pytest.raises(ContractViolation):
+        run_load(spark, spec, contracts, target=target, source=_planted(orders))
+    assert spark.read.parquet(target).count() == 2 * n
+    assert not [p for p in os.listdir(tmp_dir) if "__staging" in p or "__retired" in p]
+    rep = run_load(spark, JobSpec(table_name="orders", if_table_exists="replace"), contracts, target=target,
+                   source=orders).first()
+    assert rep.rows_written == n and spark.read.parquet(target).count() == n

@@ -11,8 +11,9 @@ contract; skipped when ``date_format`` is off or ``date_columns`` is given):
   the check observed in the same job, and is committed by renames only when
   nothing blocks (else the staging folder is dropped); two for catalog
   tables or sampled checks (check first, then write);
-* ``quarantine``: two when the check finds nothing, else three (good rows and
-  rejected rows are written by two jobs from one row predicate).
+* ``quarantine``: one for path targets when nothing blocks (same staging);
+  when rows break the contract, good and rejected rows are then written by
+  two jobs from one row predicate.
 """
 
 from __future__ import annotations
@@ -67,6 +68,23 @@ def stored_contract(spark: SparkSession, location: str, table: str) -> DataFrame
     return spark.createDataFrame(rows, CONTRACT_SCHEMA) if rows else None
 
 
+def _write_split(spark: SparkSession, cleaned: DataFrame, contract, spec: JobSpec, target: str,
+                 quarantine_target: str | None) -> tuple[Observation, int]:
+    """Quarantine: rows that keep the contract to the target, the others (as
+    they came, with their violations) to the quarantine; one row predicate."""
+    good, bad = split_by_contract(cleaned, contract, spec.target)
+    bad, rejected = _counted(bad, "rows_rejected")
+    with step(spark, "write quarantine"):
+        if quarantine_target:
+            bad.write.mode("append").parquet(quarantine_target)
+        else:
+            bad.write.format("noop").mode("overwrite").save()
+    out, written = _counted(good, "rows_written")
+    with step(spark, "write"):
+        write_table(out, target, spec.if_table_exists)
+    return written, int(rejected.get["n"])
+
+
 def run_load(spark: SparkSession, spec: JobSpec, contract_location: str, target: str | None = None,
              source: DataFrame | None = None, quarantine_target: str | None = None,
              findings_target: str | None = None) -> DataFrame:
@@ -96,20 +114,24 @@ def run_load(spark: SparkSession, spec: JobSpec, contract_location: str, target:
             write_table(out, target, spec.if_table_exists)
         with step(spark, "save contract"):
             save_contract(finish(), contract_location)
-    elif spec.on_violation == "fail" and is_path(target) and spec.sample_size >= 1.0:
-        # One pass: stage the write with the check observed in the same job,
-        # then commit by renames, or drop the staging folder and raise.
+    elif spec.on_violation in ("fail", "quarantine") and is_path(target) and spec.sample_size >= 1.0:
+        # One pass when nothing blocks: stage the write with the check observed
+        # in the same job, then commit by renames.  Otherwise drop the staging
+        # folder and raise (fail) or split the rows (quarantine).
         out, finish = observe_contract(cleaned, contract, spec.target, settings)
         out, written = _counted(out, "rows_written")
         with step(spark, "write to staging (contract checked in the job)"):
             staging = stage(out, target)
         report_rows = finish().collect()
         blocking_rows = [r.asDict() for r in report_rows if r["blocking"]]
-        if blocking_rows:
+        if not blocking_rows:
+            with step(spark, "commit staged files"):
+                commit_staged(spark, staging, target, spec.if_table_exists)
+        else:
             discard_staged(spark, staging)
-            raise ContractViolation(blocking_rows)
-        with step(spark, "commit staged files"):
-            commit_staged(spark, staging, target, spec.if_table_exists)
+            if spec.on_violation == "fail":
+                raise ContractViolation(blocking_rows)
+            written, rows_rejected = _write_split(spark, cleaned, contract, spec, target, quarantine_target)
     elif spec.on_violation == "report" and spec.sample_size >= 1.0:
         out, finish = observe_contract(cleaned, contract, spec.target, settings)
         out, written = _counted(out, "rows_written")
@@ -123,19 +145,12 @@ def run_load(spark: SparkSession, spec: JobSpec, contract_location: str, target:
         blocking = sum(1 for r in report_rows if r["blocking"])
         if spec.on_violation == "fail" and blocking:
             raise ContractViolation([r.asDict() for r in report_rows if r["blocking"]])
-        to_write = cleaned
         if spec.on_violation == "quarantine" and blocking:
-            to_write, bad = split_by_contract(cleaned, contract, spec.target)
-            bad, rejected = _counted(bad, "rows_rejected")
-            with step(spark, "write quarantine"):
-                if quarantine_target:
-                    bad.write.mode("append").parquet(quarantine_target)
-                else:
-                    bad.write.format("noop").mode("overwrite").save()
-            rows_rejected = int(rejected.get["n"])
-        out, written = _counted(to_write, "rows_written")
-        with step(spark, "write"):
-            write_table(out, target, spec.if_table_exists)
+            written, rows_rejected = _write_split(spark, cleaned, contract, spec, target, quarantine_target)
+        else:
+            out, written = _counted(cleaned, "rows_written")
+            with step(spark, "write"):
+                write_table(out, target, spec.if_table_exists)
     rows_written = int(written.get["n"])
     n_findings = n_blocking = 0
     if report_rows is not None:

@@ -125,3 +125,15 @@ def test_fail_mode_is_one_staged_pass(spark, orders, tmp_dir):
     rep = run_load(spark, JobSpec(table_name="orders", if_table_exists="replace"), contracts, target=target,
                    source=orders).first()
     assert rep.rows_written == n and spark.read.parquet(target).count() == n
+
+
+def test_quarantine_clean_data_commits_staged(spark, orders, tmp_dir):
+    import os
+    contracts, target = f"{tmp_dir}/contracts", f"{tmp_dir}/orders"
+    run_load(spark, JobSpec(table_name="orders", if_table_exists="append"), contracts, target=target, source=orders)
+    rep = run_load(spark, JobSpec(table_name="orders", if_table_exists="append", on_violation="quarantine"),
+                   contracts, target=target, source=orders, quarantine_target=f"{tmp_dir}/q").first()
+    assert (rep.rows_written, rep.rows_rejected, rep.blocking) == (orders.count(), 0, 0)
+    assert spark.read.parquet(target).count() == 2 * orders.count()
+    assert not os.path.exists(f"{tmp_dir}/q")
+    assert not [p for p in os.listdir(tmp_dir) if "__staging" in p]

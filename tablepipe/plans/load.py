@@ -169,7 +169,6 @@ def orchestrate(spark: SparkSession, spec: JobSpec, contract_location: str, budg
     (decision eager / lazy) or as an incremental file stream (streaming) with
     the plan's chunk fraction turned into files per micro-batch.  Returns the
     plan row and what the chosen path reports."""
-    from ..operators.contract import capture_contract
     from ..operators.profile import file_totals, load_plan
     from ..sources.files import table_format
     from ..streaming.incremental import files_per_trigger, incremental_ingest
@@ -181,18 +180,12 @@ def orchestrate(spark: SparkSession, spec: JobSpec, contract_location: str, budg
         return {"plan": plan.asDict(), "path": "batch", "report": report.asDict()}
     n_files = int(file_totals(spark, {spec.target: spec.input_path}).first()["files"])
     per_trigger = files_per_trigger(n_files, float(plan["chunk_fraction"]))
-    contract = stored_contract(spark, contract_location, spec.target)
-    if contract is None:
-        # first load: the contract comes from the data before the stream starts
-        from ..operators.clean import clean_with
-        first = clean_with(read_table(spark, spec.input_path, fmt), spec)
-        save_contract(capture_contract(first, spec.target, 1, spec.settings()), contract_location)
-        contract = stored_contract(spark, contract_location, spec.target)
     progress = incremental_ingest(
         spark, spec.input_path, target, fmt=fmt, column_naming=spec.column_naming,
         data_type=spec.data_type, date_format=spec.date_format, decimal_precision=spec.decimal_precision,
-        mode=spec.if_table_exists, contract=contract, table_name=spec.target,
-        on_violation="report" if spec.on_violation == "report" else spec.on_violation,
+        mode=spec.if_table_exists, contract_location=contract_location, settings=spec.settings(),
+        table_name=spec.target,
+        on_violation=spec.on_violation,
         checkpoint=checkpoint, max_files_per_trigger=per_trigger)
     return {"plan": plan.asDict(), "path": "incremental", "files_per_trigger": per_trigger,
             "report": progress}

@@ -28,7 +28,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators.clean import clean, date_columns_from_contract
-from ..operators.contract import check_contract, observe_contract, split_by_contract
+from ..operators.contract import (CONTRACT_SCHEMA, _contract_rows, check_contract, load_contracts,
+                                  observe_capture, observe_contract, save_contract, split_by_contract)
 from ..operators.dates import detect_date_columns
 from ..session import scratch_path
 from ..operators.profile import qualified
@@ -73,15 +74,27 @@ def incremental_ingest(spark: SparkSession, source_dir: str, target: str, *, fmt
                        on_violation: str = "report", report_target: str | None = None,
                        quarantine_target: str | None = None, checkpoint: str | None = None,
                        max_files_per_trigger: int = 1, date_columns: list[str] | None = None,
-                       multiline: bool = False, trigger: str | None = None, wait: bool = True):
+                       multiline: bool = False, trigger: str | None = None, wait: bool = True,
+                       contract_location: str | None = None, settings: dict[str, str] | None = None):
     """Run the stream to the end of the available files (``availableNow``)
     and return the progress figures.  With ``trigger`` (a processing-time
     interval such as ``"1 minute"``) the stream keeps watching the folder;
-    with ``wait=False`` the running ``StreamingQuery`` is returned instead."""
+    with ``wait=False`` the running ``StreamingQuery`` is returned instead.
+
+    With ``contract_location`` (and no ``contract``) the stored contract of
+    ``table_name`` is used; when there is none yet, the first micro-batch is
+    the first load: its contract is captured as an observation of its own
+    write, stored, and the later batches are checked against it."""
     if mode not in ("fail", "append", "replace"):
         raise ValueError("mode must be fail, append or replace")
     check_target(spark, target, mode)
     contract_types = None
+    if contract is None and contract_location is not None:
+        stored = load_contracts(spark, contract_location)
+        if stored is not None:
+            rows = _contract_rows(stored, table_name)
+            contract = spark.createDataFrame(rows, CONTRACT_SCHEMA) if rows else None
+    capture_first = contract is None and contract_location is not None
     if contract is not None:
         # pin the contract rows once (metadata: one row per column / setting)
         rows = contract.collect()
@@ -118,7 +131,18 @@ def incremental_ingest(spark: SparkSession, source_dir: str, target: str, *, fmt
          .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy(STREAM_COL, BATCH_COL).parquet(path))
 
+    state = {"contract": contract}
+
     def write_batch(batch: DataFrame, batch_id: int) -> None:
+        contract = state["contract"]
+        if contract is None and capture_first:
+            # first load: capture the contract in this batch's write, store it
+            observed, finish = observe_capture(batch, table_name, 1, settings)
+            write_parts(observed, target, batch_id)
+            captured = finish()
+            save_contract(captured, contract_location)
+            state["contract"] = captured.collect()
+            return
         if contract is None:
             write_parts(batch, target, batch_id)
             return

@@ -113,3 +113,19 @@ def test_continuous_trigger_picks_up_new_files(spark, events, tmp_dir):
     finally:
         q.stop()
     assert read_ingested(spark, tgt).count() == events.count()
+
+
+def test_first_batch_is_the_first_load(spark, events, tmp_dir):
+    from tablepipe.operators.contract import load_contracts
+    src, tgt, loc = f"{tmp_dir}/src", f"{tmp_dir}/tgt", f"{tmp_dir}/contracts"
+    _files(events, src, 2, 0)
+    later = events.where(F.col("event_id") % 2 == 1).withColumn(
+        "value", F.when(F.col("event_id") % 7 == 0, None).otherwise(F.col("value")))
+    later.coalesce(1).write.mode("append").parquet(src)
+    incremental_ingest(spark, src, tgt, mode="fail", table_name="events", contract_location=loc,
+                       on_violation="report", report_target=f"{tmp_dir}/rep", checkpoint=f"{tmp_dir}/c")
+    stored = load_contracts(spark, loc)
+    assert stored.where("kind = 'column'").count() == 6
+    rep = spark.read.parquet(f"{tmp_dir}/rep")
+    assert rep.where("finding = 'null_values'").first().bad_rows == later.where("value IS NULL").count()
+    assert read_ingested(spark, tgt).count() == events.count()

@@ -126,10 +126,10 @@ GROUP BY l.l_returnflag
 """, ("lineitem", "orders"))
 
 # as-of: the customer's last order at or before each event.  No join pairs and
-# no window over a whole key: within a (customer, month) bucket a window over
+# no window over a whole key: within a (customer, day) bucket a window over
 # the union of both sides finds the in-bucket match; the last order of the
-# earlier buckets comes from a window over the small (customer, month)
-# summary, whose size per key is bounded by the number of months.
+# earlier buckets comes from a window over the small (customer, day) summary,
+# whose size per key is bounded by the number of days.
 _ASOF = """
 WITH u AS (
   SELECT o_custkey AS k, date_trunc('{month}', o_orderdate) AS b, o_orderdate AS t, 0 AS side,
@@ -154,7 +154,7 @@ FROM in_bucket i JOIN carry c ON i.k = c.k AND i.b = c.b
 WHERE i.side = 1
 """
 sql_query("sql_asof",
-          _ASOF.format(month="MONTH", last="last(orderkey, true)",
+          _ASOF.format(month="DAY", last="last(orderkey, true)",
                        last_carry="last(last_in_bucket, true)"),
           """
 SELECT e.event_id, e.user_id,

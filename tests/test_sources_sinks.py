@@ -94,3 +94,18 @@ def test_failed_replace_keeps_old_table(spark, tmp_dir):
     assert read_target(spark, target).count() == 5
     import os
     assert not [p for p in os.listdir(tmp_dir) if "__staging" in p or "__retired" in p]
+
+
+def test_staged_append_keeps_partition_folders(spark, tmp_dir):
+    import os
+    from tablepipe.sinks import write_table
+    from tablepipe.sinks.tables import commit_staged, stage
+    df = spark.read.parquet("/root/testdata/sf0.001/nation.parquet")
+    target = f"{tmp_dir}/by_region"
+    write_table(df, target, "fail", partition_by=["n_regionkey"])
+    staging = stage(df, target, partition_by=["n_regionkey"])
+    commit_staged(spark, staging, target, "append")
+    back = spark.read.parquet(target)
+    assert back.count() == 50
+    assert back.groupBy("n_regionkey").count().where("count = 10").count() == 5
+    assert not os.path.exists(staging)

@@ -44,6 +44,37 @@ def date_detection_report(df: DataFrame, columns: list[str] | None = None) -> Da
 PROBE_ROWS = 10_000
 
 
+def probe_date_columns(df: DataFrame, columns: list[str] | None = None,
+                       probe_rows: int = PROBE_ROWS) -> list[str]:
+    """Candidate date columns: string columns without a failing value in the
+    first ``probe_rows`` rows (a cheap limit scan).  Candidates still need the
+    whole-column check (``detect_date_columns`` or ``observe_date_check``)."""
+    cols = string_columns(df) if columns is None else list(columns)
+    if not cols:
+        return []
+    ok = {r["column_name"] for r in
+          date_detection_report(df.limit(probe_rows), cols).where("failures = 0").collect()}
+    return [c for c in cols if c in ok]
+
+
+def observe_date_check(df: DataFrame, columns: list[str]):
+    """The whole-column date check of ``columns`` as an Observation of the job
+    that consumes the returned frame.  Returns (frame, confirmed) where
+    ``confirmed()`` lists the columns with values and no failure."""
+    from pyspark.sql import Observation
+    obs = Observation("date_check")
+    aggs = [F.count(F.lit(0)).alias("_rows")]
+    for i, c in enumerate(columns):
+        aggs.append(F.count_if(col(c).isNotNull()).alias(f"n{i}"))
+        aggs.append(F.count_if(not_date_text(col(c))).alias(f"f{i}"))
+    out = df.observe(obs, *aggs)
+
+    def confirmed() -> list[str]:
+        m = obs.get
+        return [c for i, c in enumerate(columns) if int(m[f"n{i}"]) > 0 and int(m[f"f{i}"]) == 0]
+    return out, confirmed
+
+
 def detect_date_columns(df: DataFrame, columns: list[str] | None = None,
                         probe_rows: int = PROBE_ROWS) -> list[str]:
     """Names of the date columns (a single row per string column reaches the driver).
@@ -52,14 +83,10 @@ def detect_date_columns(df: DataFrame, columns: list[str] | None = None,
     already fails there (exact: a failure is a failure).  Only the remaining
     candidates get the whole-column check, so with column pruning the full
     pass reads the few plausible date columns, not every string column."""
-    cols = string_columns(df) if columns is None else list(columns)
+    cols = probe_date_columns(df, columns, probe_rows) if probe_rows else (
+        string_columns(df) if columns is None else list(columns))
     if not cols:
         return []
-    if probe_rows:
-        probe = date_detection_report(df.limit(probe_rows), cols).where("failures = 0").collect()
-        cols = [c for c in cols if c in {r["column_name"] for r in probe}]
-        if not cols:
-            return []
     rows = date_detection_report(df, cols).where("is_date").select("column_name").collect()
     found = {r[0] for r in rows}
     return [c for c in cols if c in found]

@@ -1,11 +1,13 @@
 """A whole batch load: clean -> contract -> write -> run report (M1).
 
-Passes over the source, beyond date detection (one aggregate over the string
-columns, on the first load only: later loads take the date columns from the
-contract; skipped when ``date_format`` is off or ``date_columns`` is given):
-
-* first load: one — the write; the contract (null presence per column) and
-  the row count are ``Observation`` metrics of the write job itself;
+Passes over the source, beyond a probe of the first rows for date columns
+(first load only: later loads take the date columns from the contract;
+skipped when ``date_format`` is off or ``date_columns`` is given):
+
+* first load: one — the write; the contract (null presence per column), the
+  row count and, for a path target, the whole-column check of the probed date
+  columns are ``Observation`` metrics of the (staged) write job; only when a
+  probed column fails later is the load written again with the proven ones;
 * ``report``: one — the check's aggregates ride along in the write job;
 * ``fail``: one for path targets — the write goes to a staging folder with
   the check observed in the same job, and is committed by renames only when
@@ -24,7 +26,9 @@ from contextlib import contextmanager
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.clean import clean_with, date_columns_from_contract
+from ..operators.clean import clean, clean_with, date_columns_from_contract
+from ..operators.dates import clean_dates, observe_date_check, probe_date_columns
+from ..operators.rounding import round_floats
 from ..operators.contract import CONTRACT_SCHEMA
 from ..operators.contract import REPORT_SCHEMA as FINDINGS_SCHEMA
 from ..operators.contract import _contract_rows
@@ -103,11 +107,47 @@ def run_load(spark: SparkSession, spec: JobSpec, contract_location: str, target:
         # date columns are fixed by the first load: no detection pass
         cols = {r["name"]: r["value"] for r in rows if r["kind"] == "column"}
         dates = date_columns_from_contract(raw, spec, cols)
-    with step(spark, "date detection"):
-        cleaned = clean_with(raw, spec, dates)
+    candidates: list[str] = []
+    if created and spec.date_format and dates is None and is_path(target):
+        # First load into a path: the probe proposes date columns, the write
+        # parses them and checks the whole columns in the same job (staged).
+        pre = clean(raw, column_naming=spec.column_naming, data_type=spec.data_type, date_format=False)
+        with step(spark, "date probe"):
+            candidates = probe_date_columns(pre)
+        if not candidates:
+            dates = []
+    if candidates:
+        pre, confirmed = observe_date_check(pre, candidates)
+        cleaned = clean_dates(pre, candidates)
+        if spec.decimal_precision is not None:
+            cleaned = round_floats(cleaned, spec.decimal_precision)
+    else:
+        with step(spark, "date detection"):
+            cleaned = clean_with(raw, spec, dates)
     report_rows: list | None = None
     rows_rejected = 0
-    if created:
+    if created and candidates:
+        out, finish = observe_capture(cleaned, spec.target, 1, settings)
+        out, written = _counted(out, "rows_written")
+        with step(spark, "write to staging (dates and contract checked in the job)"):
+            staging = stage(out, target)
+        proven = confirmed()
+        if set(proven) == set(candidates):
+            with step(spark, "commit staged files"):
+                commit_staged(spark, staging, target, spec.if_table_exists)
+            with step(spark, "save contract"):
+                save_contract(finish(), contract_location)
+        else:
+            # a candidate failed beyond the probe: write again with the proven ones
+            discard_staged(spark, staging)
+            cleaned = clean_with(raw, spec, proven)
+            out, finish = observe_capture(cleaned, spec.target, 1, settings)
+            out, written = _counted(out, "rows_written")
+            with step(spark, "write (contract captured in the job)"):
+                write_table(out, target, spec.if_table_exists)
+            with step(spark, "save contract"):
+                save_contract(finish(), contract_location)
+    elif created:
         out, finish = observe_capture(cleaned, spec.target, 1, settings)
         out, written = _counted(out, "rows_written")
         with step(spark, "write (contract captured in the job)"):

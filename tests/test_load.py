@@ -137,3 +137,22 @@ def test_quarantine_clean_data_commits_staged(spark, orders, tmp_dir):
     assert spark.read.parquet(target).count() == 2 * orders.count()
     assert not os.path.exists(f"{tmp_dir}/q")
     assert not [p for p in os.listdir(tmp_dir) if "__staging" in p]
+
+
+def test_first_load_dates_checked_in_the_write(spark, tmp_dir):
+    import os
+    orders = spark.read.parquet("/root/testdata/sf0.01/orders.parquet")
+    text = orders.withColumn("o_orderdate", F.date_format("o_orderdate", "yyyy-MM-dd")).coalesce(1)
+    good = run_load(spark, JobSpec(table_name="orders", if_table_exists="fail"), f"{tmp_dir}/c1",
+                    target=f"{tmp_dir}/t1", source=text).first()
+    out = spark.read.parquet(f"{tmp_dir}/t1")
+    assert good.rows_written == 15000 and out.schema["o_orderdate"].dataType.simpleString() == "timestamp_ntz"
+    # one bad value after the probe rows: the column is proven not a date and the load is rewritten
+    late_bad = text.withColumn("o_orderdate", F.when(F.col("o_orderkey") == 14000, "soon")
+                               .otherwise(F.col("o_orderdate")))
+    rep = run_load(spark, JobSpec(table_name="orders", if_table_exists="fail"), f"{tmp_dir}/c2",
+                   target=f"{tmp_dir}/t2", source=late_bad).first()
+    out2 = spark.read.parquet(f"{tmp_dir}/t2")
+    assert rep.rows_written == 15000 and out2.schema["o_orderdate"].dataType.simpleString() == "string"
+    assert out2.where("o_orderdate = 'soon'").count() == 1
+    assert not [p for p in os.listdir(tmp_dir) if "__staging" in p]

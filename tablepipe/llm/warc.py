@@ -35,8 +35,6 @@ MIN_PAYLOAD = 0
 SAMPLE_ROWS = 2000
 SAMPLE_BYTES = 16_384
 DICT_BYTES = 65_536
-# Pages per archive file; an archive is read back as one value.
-ARCHIVE_BYTES = 64 << 20
 DATE = "2020-01-01T00:00:00Z"
 
 
@@ -120,13 +118,16 @@ def classified(pages: DataFrame, id_col: str, url_col: str, html_col: str, min_p
     return out.select("page_id", "url", "payload", F.when(revisit, F.col("first.page_id")).alias("refers_to"), revisit.alias("revisit"))
 
 
-def write_archives(pages: DataFrame, path: str, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", min_payload: int = MIN_PAYLOAD, archive_bytes: int = ARCHIVE_BYTES) -> str:
-    """Write every page under ``path``, an archive a partition; returns ``path``."""
-    total = pages.agg(F.sum(F.length(F.col(html_col).cast("binary")))).first()[0] or 0
-    # An evenly spread sample: the rows whose hash is smallest (a top-k of bounded rows and bytes).
+def write_archives(pages: DataFrame, path: str, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", min_payload: int = MIN_PAYLOAD) -> str:
+    """Write every page under ``path``, an archive a partition; returns ``path``.
+
+    Partitions are those of the join, so an archive is about as large as the
+    session's advisory partition size; one is read back as one value."""
+    # An evenly spread sample: a hash range that holds about SAMPLE_ROWS rows, half of it for the bound.
+    share = SAMPLE_ROWS / 2 / max(pages.count(), SAMPLE_ROWS / 2)
     prefix = F.substring(F.coalesce(F.col(html_col).cast("binary"), F.lit(b"")), 1, SAMPLE_BYTES)
-    some = pages.select(F.col(id_col).alias("page_id"), F.col(url_col).cast("string").alias("url"), prefix.alias("payload"), F.xxhash64(id_col, F.lit(7)).alias("h"))
-    some = some.orderBy("h").limit(SAMPLE_ROWS).collect()
+    some = pages.select(F.col(id_col).alias("page_id"), F.col(url_col).cast("string").alias("url"), prefix.alias("payload"), F.pmod(F.xxhash64(id_col, url_col), F.lit(1_000_003)).alias("h"))
+    some = some.where(F.col("h") < share * 1_000_003).limit(SAMPLE_ROWS).collect()
     dictionary = train_dictionary([record(r.page_id, r.url, bytes(r.payload), sha1_base32(bytes(r.payload)), None, False) for r in some])
 
     def compress(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -142,8 +143,7 @@ def write_archives(pages: DataFrame, path: str, id_col: str = "page_id", url_col
                 yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary())], names=["frame"])
 
     rows = classified(pages, id_col, url_col, html_col, min_payload)
-    spread = rows.repartition(max(pages.sparkSession.sparkContext.defaultParallelism, -(-total // archive_bytes)))
-    packed = spread.mapInArrow(compress, "frame binary")
+    packed = rows.mapInArrow(compress, "frame binary")
     packed.select(F.col("frame").cast("string").alias("value")).write.option("lineSep", EMPTY_FRAME.decode("latin-1")).text(path)
     return path
 

@@ -1,15 +1,37 @@
-"""The corpus pipeline: each stage takes (spark, docs, sf_dir), its result is
-written as Parquet and read again as the next stage's docs."""
+"""The corpus pipeline: quality filter, near duplicates, repeated passages, mix to
+target weights, packing.  Each stage takes (spark, docs, sf_dir), calls one
+operator of ``tablepipe.llm`` and returns documents (the last one pieces); its
+result is written as Parquet and read again as the next stage's docs."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tablepipe.llm import mixing, packing
+from tablepipe.llm import minhash, mixing, packing, quality, suffixes
 from tablepipe.llm.common import table, written
 from tablepipe.llm.queries import TOKENIZERS
 
 
+def classify(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality classifier keeps."""
+    return quality.filtered(docs, table(spark, sf_dir, "labels"))
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each near-duplicate component (that of the smallest id); of
+    rows that share this id, one stays."""
+    found = minhash.near_duplicates(docs).where("kept").select(F.col("doc_id").alias("kept_id")).distinct()
+    named = docs.join(found, F.col("doc_id") == F.col("kept_id"), "left_semi").dropDuplicates(["doc_id"])
+    return named.unionByName(docs.where("doc_id is null"))
+
+
+def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without later copies of 200-byte strings; the first copy stays."""
+    found = suffixes.removed(docs, keep="first")
+    return suffixes.kept_text(found, docs.columns)
+
+
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as the target weights take them."""
     taken, _ = mixing.mix(docs)
@@ -21,12 +43,13 @@ def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return packing.digest(packing.pack(docs, f"{TOKENIZERS}/word_bpe_49k.json"))
 
 
-STAGES = [("mix", mix), ("pack", pack)]
-# The classifier is fitted, so SQL cannot express the rows; tests hold each stage against brute force.
+STAGES = [("quality", classify), ("near_duplicates", near_duplicates), ("repeated_passages", repeated_passages), ("mix", mix), ("pack", pack)]
+# The classifier is fitted, so SQL cannot express the rows; the tests hold each stage against brute force.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The packed pieces of the documents of ``sf_dir``."""
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
         docs = written(stage(spark, docs, sf_dir), f"stage-{name}")

@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablepipe.llm import html, imatch, kmtree, licenses, minhash, mixing, packing, quality, warc
+from tablepipe.llm import html, imatch, kmtree, licenses, minhash, mixing, packing, quality, suffixes, warc
 from tablepipe.llm.common import table
 from tablepipe.session import checkpoint_root
 
@@ -49,6 +49,11 @@ def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc.doc_id", "evidence", "host_posterior", "path_posterior", "score", "keep")
 
 
+def op7_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What stays of every document without repeated 200-byte strings."""
+    return suffixes.digest(suffixes.removed(table(spark, sf_dir, "documents")))
+
+
 def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every page written to compressed archives and read back."""
     pages = table(spark, sf_dir, "pages")
@@ -72,6 +77,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_html": op4_html,
     "op5_kmeans_tree": op5_kmeans_tree,
     "op6_quality": op6_quality,
+    "op7_suffixes": op7_suffixes,
     "op8_warc": op8_warc,
     "op9_imatch": op9_imatch,
     "op10_minhash": op10_minhash,

@@ -7,15 +7,15 @@
 2. The representatives' values are cut into 36 bands of 7; members of a band
    bucket are candidates.  At similarity 0.85 a pair shares a band but for a
    chance of 1e-6, so none is lost in practice.
-3. A bucket never emits all its pairs.  In rounds, a few pivots of each bucket
-   are held against the members that are not yet in the pivot's component, then
-   leave the bucket.  A bucket is done when its members are all in one component
-   or have been pivots: every pair of a bucket has then been compared, or is
-   known to be in one component.
-4. A pair's signatures are compared in steps of 36 values.  After each step the
+3. A bucket never emits all its pairs.  In rounds, the largest components of a
+   bucket (single documents at first) are held against its other components,
+   then leave it.  A bucket is done when its members are all in one component:
+   every two of its components have then been compared.  Components meet in
+   packed chunks of documents, so a large one costs rows by its chunks.
+4. Two signatures are compared in steps of 36 values.  After each step the
    posterior chance that the similarity reaches the threshold (uniform prior) is
    bounded; below the chosen miss probability the pair is dropped.
-5. Survivors are confirmed on the full shingle sets.
+5. Survivors are confirmed on the full shingle sets, until a document is linked.
 6. Components come from repeated smallest-label steps with pointer jumping.
 
 Defined results: null, empty or blank text has an empty set, is its own
@@ -41,7 +41,10 @@ BANDS, ROWS = 36, 7
 STEP = 36
 THRESHOLD = (85, 100)
 MISS = 1e-6
-PIVOTS = 16
+PIVOTS = 64
+CHUNK = 64
+# Ids (24 bytes each) sent to all executors at most; more are shuffled.
+BROADCAST_ROWS = 1_000_000
 _CACHE_WORDS = 500_000
 _MASK = (1 << 64) - 1
 
@@ -130,44 +133,60 @@ def sketches(docs: DataFrame, id_col: str, text_col: str, words: int, n: int) ->
     return written(rows.mapInArrow(run, f"doc_id {kind}, n_shingles long, digest binary, sig binary"), "sketches")
 
 
-def verified(pairs: DataFrame, sigs: DataFrame, sets: DataFrame, n: int, step: int, threshold: tuple[int, int], miss: float) -> DataFrame:
-    """The (a, b) of ``pairs`` whose similarity reaches the threshold.  ``sigs`` and
-    ``sets`` hold the signature and the sorted shingles of each id as bytes."""
+def block_links(asks: DataFrame, labels: DataFrame, data: DataFrame, n: int, step: int, threshold: tuple[int, int], miss: float, chunk: int) -> DataFrame:
+    """(a, b): a link for every document of an asking component that has one to the
+    target component, or several; none where there is none.
+
+    ``asks``: label, target (labels of two components).  The documents of both
+    sides, with signature and shingles, are packed into chunks of bounded size
+    that meet by target; a chunk pair compares signatures step by step, then
+    confirms on the full sets, the most alike first, until a document is linked."""
     least = least_matches(step, n, threshold[0] / threshold[1], miss)
+    kind = labels.schema["id"].dataType.simpleString()
+
+    def packed(rows: DataFrame, name: str) -> DataFrame:
+        """target and chunks of (id, sig, shingles) of the (target, id) rows."""
+        rows = written(rows, name)
+        sizes = rows.groupBy(F.col("target").alias("s_target")).agg(F.ceil(F.count(F.lit(1)) / chunk).alias("chunks"))
+        dealt = rows.join(sizes, F.col("target") == F.col("s_target")).select("target", "id", F.pmod(F.xxhash64("id", F.lit(9)), F.col("chunks")).alias("chunk"))
+        needed = dealt if rows.count() > BROADCAST_ROWS else F.broadcast(dealt)  # 24 bytes a row
+        full = data.join(needed.withColumnRenamed("id", "d_id"), F.col("id") == F.col("d_id")).select("target", "chunk", F.struct("id", "sig", "shingles").alias("doc"))
+        return full.groupBy("target", "chunk").agg(F.collect_list("doc").alias(name))
+
+    own = labels.select("id", F.col("label").alias("own_label"))
+    askers = packed(asks.join(own, F.col("label") == F.col("own_label")).select("target", "id"), "askers")
+    wanted = packed(asks.select("target").distinct().join(own, F.col("target") == F.col("own_label")).select("target", "id"), "wanted")
+    met = askers.select("target", "askers").join(wanted.select(F.col("target").alias("w_target"), "wanted"), F.col("target") == F.col("w_target")).select("askers", "wanted")
+
+    def sides(column: pa.Array) -> tuple[pa.Array, np.ndarray, list[np.ndarray]]:
+        docs = column.flatten()
+        sigs = np.frombuffer(b"".join(docs.field("sig").to_pylist()), "<u4").reshape(-1, n)
+        return docs.field("id"), sigs, [np.frombuffer(x, "<u8") for x in docs.field("shingles").to_pylist()]
 
-    def prune(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for k in range(0, batch.num_rows, 2048):
-                some = batch.slice(k, 2048)
-                x, y = (np.frombuffer(b"".join(some.column(c).to_pylist()), "<u4").reshape(-1, n) for c in (2, 3))
-                live, equal = np.arange(len(x)), np.zeros(len(x), np.int64)
-                for j, need in enumerate(least):  # only pairs still in the running see the next values
-                    part = slice(j * step, (j + 1) * step)
-                    equal = equal + (x[live, part] == y[live, part]).sum(axis=1)
+            for k in range(batch.num_rows):
+                (x_ids, x, x_sets), (y_ids, y, y_sets) = (sides(batch.column(c).slice(k, 1)) for c in (0, 1))
+                i, j = (g.ravel() for g in np.indices((len(x), len(y))))
+                equal = np.zeros(len(i), np.int64)
+                for turn, need in enumerate(least):  # only pairs still in the running see the next values
+                    part = slice(turn * step, (turn + 1) * step)
+                    equal = equal + (x[i, part] == y[j, part]).sum(axis=1)
                     stays = equal >= need
-                    live, equal = live[stays], equal[stays]
-                yield pa.RecordBatch.from_arrays([some.column(c).take(pa.array(live)) for c in (0, 1)], names=["a", "b"])
-
-    def confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for k in range(0, batch.num_rows, 256):
-                some, stays = batch.slice(k, 256), []
-                for row, (x, y) in enumerate(zip(some.column(2), some.column(3), strict=True)):
-                    x, y = np.frombuffer(x.as_py(), "<u8"), np.frombuffer(y.as_py(), "<u8")
-                    both = len(np.intersect1d(x, y, assume_unique=True))
-                    if threshold[1] * both >= threshold[0] * (len(x) + len(y) - both):
-                        stays.append(row)
-                yield pa.RecordBatch.from_arrays([some.column(c).take(pa.array(stays, pa.int64())) for c in (0, 1)], names=["a", "b"])
-
-    kind = pairs.schema["a"].dataType.simpleString()
-
-    def both(rows: DataFrame, what: DataFrame, col: str) -> DataFrame:
-        left, right = (what.select(F.col("id").alias(f"{s}_id"), F.col(col).alias(s)) for s in ("x", "y"))
-        rows = rows.join(left, F.col("a") == F.col("x_id")).join(right, F.col("b") == F.col("y_id"))
-        return rows.select("a", "b", "x", "y")
-
-    likely = both(pairs, sigs, "sig").mapInArrow(prune, f"a {kind}, b {kind}")
-    return both(likely, sets, "shingles").mapInArrow(confirm, f"a {kind}, b {kind}")
+                    i, j, equal = i[stays], j[stays], equal[stays]
+                linked: dict[int, int] = {}
+                for at in np.argsort(-equal, kind="stable").tolist():
+                    p, q = int(i[at]), int(j[at])
+                    if p not in linked:
+                        u, v = x_sets[p], y_sets[q]
+                        if min(len(u), len(v)) * threshold[1] < max(len(u), len(v)) * threshold[0]:
+                            continue
+                        both = len(np.intersect1d(u, v, assume_unique=True))
+                        if threshold[1] * both >= threshold[0] * (len(u) + len(v) - both):
+                            linked[p] = q
+                yield pa.RecordBatch.from_arrays([x_ids.take(pa.array(list(linked), pa.int64())), y_ids.take(pa.array(list(linked.values()), pa.int64()))], names=["a", "b"])
+
+    return met.mapInArrow(run, f"a {kind}, b {kind}")
 
 
 def components(edges: DataFrame, name: str = "labels") -> DataFrame:
@@ -192,7 +211,7 @@ def components(edges: DataFrame, name: str = "labels") -> DataFrame:
         labels = moved.select("id", "label")
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS, threshold: tuple[int, int] = THRESHOLD, bands: int = BANDS, rows: int = ROWS, step: int = STEP, miss: float = MISS, pivots: int = PIVOTS) -> DataFrame:
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS, threshold: tuple[int, int] = THRESHOLD, bands: int = BANDS, rows: int = ROWS, step: int = STEP, miss: float = MISS, pivots: int = PIVOTS, chunk: int = CHUNK) -> DataFrame:
     """doc_id, n_shingles, component_id, kept; one row per row of ``docs``."""
     n = bands * rows
     sketched = sketches(docs, id_col, text_col, words, n)
@@ -217,28 +236,36 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")).join(ids, "id", "left_semi")
     kind = docs.schema[id_col].dataType.simpleString()
-    sets = written(texts.mapInArrow(hashed, f"id {kind}, shingles binary").where(F.length("shingles") > 0).dropDuplicates(["id", "shingles"]), "sets")
-
-    edges, labels, turn = None, ids.select("id", F.col("id").alias("label")), 0
+    sets = texts.mapInArrow(hashed, f"id {kind}, shingles binary").where(F.length("shingles") > 0)
+    data = written(sets.join(sigs, "id").dropDuplicates(["id", "sig", "shingles"]), "data")
+
+    # How much company an id has: a group's common origin shares most buckets and comes first.
+    filled = members.groupBy(F.col("bucket").alias("f_bucket")).agg(F.count(F.lit(1)).alias("filled"))
+    company = written(members.join(filled, F.col("bucket") == F.col("f_bucket")).groupBy(F.col("id").alias("c_id")).agg(F.sum("filled").alias("company")), "company")
+    edges, turn = None, 0
+    labels = written(ids.join(company, F.col("id") == F.col("c_id")).select("id", F.col("id").alias("label"), "company"), "classes")
     while True:
-        named = members.join(labels, "id")
-        open_ = named.groupBy("bucket").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low < high").select("bucket")
-        named = written(named.join(open_.withColumnRenamed("bucket", "o_bucket"), F.col("bucket") == F.col("o_bucket")).select("bucket", "id", "label"), "open")
+        sizes = labels.groupBy(F.col("label").alias("z_label")).agg(F.count(F.lit(1)).alias("size"), F.max("company").alias("company"))
+        named = members.join(labels.select(F.col("id").alias("n_id"), "label"), F.col("id") == F.col("n_id")).select("bucket", "id", "label")
+        open_ = named.groupBy(F.col("bucket").alias("o_bucket")).agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low < high").select("o_bucket")
+        named = written(named.join(open_, F.col("bucket") == F.col("o_bucket")).select("bucket", "id", "label"), "open")
         if not named.limit(1).count():
             break
-        # One pivot to begin with: most of a group falls to it. Then several a round, smallest components first.
-        sizes = labels.groupBy(F.col("label").alias("z_label")).agg(F.count(F.lit(1)).alias("size"))
-        order = ["id"] if turn == 0 else ["size", "id"]
-        ranked = named.join(sizes, F.col("label") == F.col("z_label")).withColumn("rank", F.row_number().over(Window.partitionBy("bucket").orderBy(*order))).where(F.col("rank") <= (1 if turn == 0 else pivots))
-        chosen = written(ranked.select(F.col("bucket").alias("p_bucket"), F.col("id").alias("p_id"), F.col("label").alias("p_label"), "rank"), "pivots")
-        met = named.join(chosen, (F.col("bucket") == F.col("p_bucket")) & (F.col("label") != F.col("p_label")))
-        pairs = written(met.select(F.least("id", "p_id").alias("a"), F.greatest("id", "p_id").alias("b")).distinct(), "pairs")
-        links = written(verified(pairs, sigs, sets, n, step, threshold, miss), "links")
-        edges = links if edges is None else edges.unionByName(links)
-        members = written(named.join(chosen, (F.col("bucket") == F.col("p_bucket")) & (F.col("id") == F.col("p_id")), "left_anti").select("bucket", "id"), "members")
+        parts = named.select("bucket", "label").distinct().join(sizes, F.col("label") == F.col("z_label"))
+        # The largest component of a bucket first: most others fall to it. Then several a round.
+        first = Window.partitionBy("bucket").orderBy(F.desc("size"), F.desc("company"), "label")
+        chosen = parts.withColumn("rank", F.row_number().over(first)).where(F.col("rank") <= (1 if turn < 2 else pivots))
+        chosen = written(chosen.select(F.col("bucket").alias("p_bucket"), F.col("label").alias("target"), F.col("size").alias("p_size")), "pivots")
+        met = parts.join(chosen, (F.col("bucket") == F.col("p_bucket")) & (F.col("label") != F.col("target")))
+        # Of two components the smaller asks.
+        swap = (F.col("p_size") < F.col("size")) | ((F.col("p_size") == F.col("size")) & (F.col("target") > F.col("label")))
+        asks = written(met.select(F.when(swap, F.col("target")).otherwise(F.col("label")).alias("label"), F.when(swap, F.col("label")).otherwise(F.col("target")).alias("target")).distinct(), "asks")
+        links = written(block_links(asks, labels, data, n, step, threshold, miss, chunk), "links")
+        members = written(named.join(chosen, (F.col("bucket") == F.col("p_bucket")) & (F.col("label") == F.col("target")), "left_anti").select("bucket", "id"), "members")
         if links.limit(1).count():
+            edges = links if edges is None else edges.unionByName(links)
             found = components(edges).select(F.col("id").alias("f_id"), F.col("label").alias("f_label"))
-            labels = written(ids.join(found, F.col("id") == F.col("f_id"), "left").select("id", F.coalesce("f_label", "id").alias("label")), "classes")
+            labels = written(labels.join(found, F.col("id") == F.col("f_id"), "left").select("id", F.coalesce("f_label", "id").alias("label"), "company"), "classes")
         turn += 1
 
     # Every row is labelled through the class of its own set.

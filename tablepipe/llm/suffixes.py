@@ -242,23 +242,30 @@ def _large_groups(parts: DataFrame, length: int, gram: int, keep: str) -> DataFr
     place = F.struct("id", "pos", "key")
     found = written(parts.mapInArrow(bands, f"g long, id {kind}, key long, pos long, band long, core long, extent long").withColumn("place", place), "bands")
 
-    def tied(rows: DataFrame, by: list[str]) -> DataFrame:
-        """``rows`` with the first and last place of their equals."""
-        ends = rows.groupBy(*[F.col(c).alias(f"t_{c}") for c in by]).agg(F.min("place").alias("first"), F.max("place").alias("last"))
-        on = [F.col(c) == F.col(f"t_{c}") for c in by]
-        return rows.join(ends, on[0] if len(on) == 1 else on[0] & on[1] & on[2]).drop(*[f"t_{c}" for c in by])
-
-    goes = F.col("place") != F.col("first") if keep == "first" else F.col("first") != F.col("last")
-    extents = written(tied(found.withColumn("both", F.xxhash64("core", "extent")), ["g", "band", "both"]).withColumn("goes", goes), "extents")
+    def ends(rows: DataFrame, by: list[str]) -> DataFrame:
+        """The first and last place of what is equal in ``by``."""
+        return rows.groupBy(*[F.col(c).alias(f"t_{c}") for c in by]).agg(F.min("place").alias("first"), F.max("place").alias("last"))
+
+    def going(rows: DataFrame, tied: DataFrame, by: list[str]) -> DataFrame:
+        """The rows whose equals lie elsewhere (with "first": not the first of them)."""
+        on = F.lit(True)
+        for c in by:
+            on = on & (F.col(c) == F.col(f"t_{c}"))
+        more = rows.join(tied.where(F.col("first") != F.col("last")), on)
+        return more.where(F.col("place") != F.col("first")) if keep == "first" else more
+
+    by = ["g", "band", "core", "extent"]
+    tied = written(ends(found, by), "extents")
     # Left open: extents that differ though their core is shared; one place of each extent takes part.
-    cores = extents.groupBy(F.col("g").alias("c_g"), F.col("band").alias("c_band"), F.col("core").alias("c_core")).agg((F.min("extent") != F.max("extent")).alias("open"))
-    unsettled = extents.where(F.col("place") == F.col("first")).join(cores.where("open"), (F.col("g") == F.col("c_g")) & (F.col("band") == F.col("c_band")) & (F.col("core") == F.col("c_core")))
-    asked = unsettled.groupBy(F.col("g").alias("a_g"), F.col("key").alias("a_key"), F.col("pos").alias("a_pos")).agg(F.collect_set("band").alias("bands"))
+    cores = tied.groupBy(F.col("t_g").alias("c_g"), F.col("t_band").alias("c_band"), F.col("t_core").alias("c_core")).agg((F.min("t_extent") != F.max("t_extent")).alias("open"))
+    unsettled = tied.join(cores.where("open"), (F.col("t_g") == F.col("c_g")) & (F.col("t_band") == F.col("c_band")) & (F.col("t_core") == F.col("c_core")))
+    asked = unsettled.groupBy(F.col("t_g").alias("a_g"), F.col("first.key").alias("a_key"), F.col("first.pos").alias("a_pos")).agg(F.collect_set("t_band").alias("bands"))
     again = parts.join(asked, (F.col("g") == F.col("a_g")) & (F.col("key") == F.col("a_key")) & (F.col("pos") == F.col("a_pos"))).select("g", "id", "key", "pos", "before", "part", "bands")
     each = written(again.mapInArrow(windows, f"g long, id {kind}, key long, pos long, at long, hash long").withColumn("place", place), "windows")
-    single = tied(each, ["g", "at", "hash"]).where(goes)
+    single = going(each, ends(each, ["g", "at", "hash"]), ["g", "at", "hash"])
+    extents = going(found, tied, by)
     base = F.col("pos") - (length - gram)
-    whole_bands = extents.where("goes").select("key", (base + F.col("band") * BAND).alias("s"), (base + F.least(F.col("band") * BAND + BAND, F.lit(width)) - 1 + length).alias("t"))
+    whole_bands = extents.select("key", (base + F.col("band") * BAND).alias("s"), (base + F.least(F.col("band") * BAND + BAND, F.lit(width)) - 1 + length).alias("t"))
     # Runs of single windows are merged per document later.
     return whole_bands.unionByName(single.select("key", (base + F.col("at")).alias("s"), (base + F.col("at") + length).alias("t")))
 

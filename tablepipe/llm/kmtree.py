@@ -33,8 +33,8 @@ from tablepipe.llm.common import written
 
 K = 20
 SAMPLE = 16_384
-BRANCH = 16
-LEAF = 64
+BRANCH = 8
+LEAF = 512
 CALIBRATION = 64
 TARGET = 0.97
 BLOCK_ROWS = 256
@@ -138,7 +138,9 @@ def nearest(vectors: DataFrame, queries: Column, id_col: str = "vec_id", vector_
     rows = rows.where(F.size("v") == dim)
     pick = F.pmod(F.xxhash64("vec_id", F.lit(seed)), F.lit(1_000_003))
     fit = rows.where(pick < 1_000_003 * min(1.0, 0.9 * sample / total)).select("v").limit(sample).collect()
-    tree = fit_tree(np.asarray([r[0] for r in fit]) if fit else np.asarray([rows.first()["v"]]))
+    points = np.asarray([r[0] for r in fit]) if fit else np.asarray([rows.first()["v"]])
+    tree = fit_tree(points)
+    point_leaf = assign(tree, points)
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -154,20 +156,29 @@ def nearest(vectors: DataFrame, queries: Column, id_col: str = "vec_id", vector_
         for b in batches:
             for s in range(0, b.num_rows, 256):
                 some = b.slice(s, 256)
-                row, leaf = [], []
-                for i, q in enumerate(_matrix(some.column(1), dim)):
+                row, leaf, asks = [], [], _matrix(some.column(1), dim)
+                # Sample vectors are candidates too: the last of the query's k best among those in its leaves (its own
+                # vector apart) bounds its k-th nearest found from below, and no lower score need leave a task.
+                known, floor, seen = asks @ points.T, np.full(some.num_rows, -np.inf), np.zeros(tree.leaves, bool)
+                for i, q in enumerate(asks):
                     go = [j for j in best_first(tree, q, counts, visits, k + 1) if counts[j]]
                     row += [i] * len(go)
                     leaf += go
-                yield pa.RecordBatch.from_arrays([some.column(0).take(pa.array(row, pa.int64())), pa.array(leaf, pa.int64())], names=["vec_id", "leaf"])
+                    seen[:] = False
+                    seen[go] = True
+                    mine = known[i][seen[point_leaf]]
+                    if len(mine) > k:
+                        floor[i] = np.partition(mine, len(mine) - k - 1)[len(mine) - k - 1] - 1e-12
+                at = pa.array(row, pa.int64())
+                yield pa.RecordBatch.from_arrays([some.column(0).take(at), pa.array(leaf, pa.int64()), pa.array(floor).take(at)], names=["vec_id", "leaf", "floor"])
 
     # Chunks of a leaf's queries and blocks of its members, both of bounded size, meet by leaf.
-    met = asked.select("vec_id", "v").mapInArrow(visit, f"vec_id {kind}, leaf long")
+    met = asked.select("vec_id", "v").mapInArrow(visit, f"vec_id {kind}, leaf long, floor double")
     met = written(met, "visits")
     per_leaf = met.groupBy(F.col("leaf").alias("m_leaf")).agg(F.count(F.lit(1)).alias("n"))
     spread = lambda df, n, size: F.pmod(F.xxhash64("vec_id", F.lit(3)), F.ceil(F.col(n) / size))
     met = met.join(F.broadcast(per_leaf), F.col("leaf") == F.col("m_leaf")).withColumn("chunk", spread(met, "n", CHUNK_QUERIES))  # one row a leaf
-    chunks = met.join(asked, "vec_id").groupBy("leaf", "chunk").agg(F.collect_list(F.struct("vec_id", "v")).alias("q"))
+    chunks = met.join(asked, "vec_id").groupBy("leaf", "chunk").agg(F.collect_list(F.struct("vec_id", "v", "floor")).alias("q"))
     sizes = spark.createDataFrame(pa.table({"s_leaf": pa.array(range(tree.leaves), pa.int64()), "n": pa.array(counts, pa.int64())}))
     blocks = dealt.join(F.broadcast(sizes), F.col("leaf") == F.col("s_leaf")).withColumn("block", spread(dealt, "n", BLOCK_ROWS))
     blocks = blocks.groupBy(F.col("leaf").alias("b_leaf"), "block").agg(F.collect_list(F.struct("vec_id", "v")).alias("x"))
@@ -179,13 +190,14 @@ def nearest(vectors: DataFrame, queries: Column, id_col: str = "vec_id", vector_
             for i in range(b.num_rows):
                 q, x = (b.column(c).slice(i, 1).flatten() for c in (0, 1))
                 q_ids, x_ids = q.field("vec_id"), x.field("vec_id")
+                least = q.field("floor").to_numpy()
                 names, own = q_ids.to_pylist(), x_ids.to_numpy(zero_copy_only=False)
                 x_rows = _matrix(x.field("v"), dim)
                 scores = _matrix(q.field("v"), dim) @ x_rows.T
                 out_q, out_x, out_s = [], [], []
                 for j, name in enumerate(names):
                     floor = best.get(name)
-                    at = np.flatnonzero((own != name) & (scores[j] >= (floor[0] if floor is not None and len(floor) >= k else -np.inf)))
+                    at = np.flatnonzero((own != name) & (scores[j] >= (max(floor[0], least[j]) if floor is not None and len(floor) >= k else least[j])))
                     at = at[_top(scores[j][at], own[at], k)] if len(at) else at
                     if len(at):
                         mine = scores[j][at]

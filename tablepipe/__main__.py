@@ -75,7 +75,8 @@ def main(argv=None, spark: SparkSession | None = None) -> int:
         contracts = args.contracts or scratch_path(spark, "contracts")
         if args.budget is not None:
             from .plans.load import orchestrate
-            print(json.dumps(orchestrate(spark, spec, contracts, args.budget, target=args.target), default=str))
+            print(json.dumps(orchestrate(spark, spec, contracts, args.budget, target=args.target,
+                                         quarantine_target=args.quarantine), default=str))
         else:
             report = run_load(spark, spec, contracts, target=args.target, quarantine_target=args.quarantine)
             for row in report.collect():

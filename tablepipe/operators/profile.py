@@ -251,16 +251,16 @@ def size_factors(spark: SparkSession, tables: dict[str, DataFrame], sample_fract
 # --------------------------------------------------------------------------
 def load_plan(spark: SparkSession, inputs: dict[str, str], budget_bytes: float,
               formats: dict[str, str] | None = None, sample_fraction: float = 1.0,
-              csv_infer_ratio: float = 0.1) -> DataFrame:
+              csv_infer_ratio: float = 1.0, csv_options: dict[str, str] | None = None) -> DataFrame:
     """One row per input path: estimate, ratio to the budget, decision
     (eager / lazy / streaming; the first two are one batch job, the last an
     incremental job), chunk fraction and rows, bytes on disk.  CSV inputs are
-    typed by sampled inference (``csv_infer_ratio``) so numbers are not
-    sized as text."""
+    typed by inference over all rows (``csv_infer_ratio`` of them) so numbers
+    are not sized as text."""
     from ..sources.files import read_csv, read_table, table_format
     formats = formats or {}
     fmts = {t: table_format(p, formats.get(t)) for t, p in inputs.items()}
-    frames = {t: (read_csv(spark, p, inferSchema="true", samplingRatio=str(csv_infer_ratio))
+    frames = {t: (read_csv(spark, p, inferSchema="true", samplingRatio=str(csv_infer_ratio), **(csv_options or {}))
                   if fmts[t] == "csv" else read_table(spark, p, fmts[t]))
               for t, p in inputs.items()}
     pq_inputs = {t: p for t, p in inputs.items() if fmts[t] == "parquet"}

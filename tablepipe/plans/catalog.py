@@ -400,7 +400,7 @@ UNION ALL SELECT 'customer', 'c_phone', 'unexpected_column', NULL, 'string'
 """)
 def contract_catalog_drift(spark, sf_dir):
     contracts = reduce(DataFrame.unionByName,
-                       [capture_contract(table(spark, sf_dir, t), t) for t in TEST_TABLES])
+                       [capture_contract(table(spark, sf_dir, t), t, nullable_from_data=False) for t in TEST_TABLES])
     now = {t: table(spark, sf_dir, t) for t in TEST_TABLES}
     now["orders"] = orders_drifted(spark, sf_dir)
     now["lineitem"] = now["lineitem"].drop("l_tax")
@@ -849,5 +849,58 @@ def orchestrated_load(spark, sf_dir):
     return read_ingested(spark, target)
 
 
+def _both_paths(spark, sf_dir, name, **settings):
+    """The same spec over files of planted orders, once as a batch load and once
+    gathered by the stream first; yields (path, what run_load reports, target, quarantine)."""
+    clean_files, files = scratch_path(spark, f"{name}-clean"), scratch_path(spark, f"{name}-files")
+    table(spark, sf_dir, "orders").withColumn("o_custkey", F.col("o_custkey").cast("string")).write.parquet(clean_files)
+    split_into_files(orders_planted(spark, sf_dir), files, 5)
+    for budget in (1e15, 1024):
+        contracts = scratch_path(spark, f"{name}-contracts")
+        first = JobSpec(input_path=clean_files, input_format="parquet", table_name="orders", data_type={"o_totalprice": "float64"})
+        run_load(spark, first, contracts, target=scratch_path(spark, f"{name}-first"))
+        spec = JobSpec(input_path=files, input_format="parquet", table_name="orders", data_type={"o_totalprice": "float64"}, **settings)
+        target, rejects = scratch_path(spark, f"{name}-target"), scratch_path(spark, f"{name}-rejects")
+        out = orchestrate(spark, spec, contracts, budget, target=target, quarantine_target=rejects)
+        yield out["path"], out["report"], target, rejects
+
+
+@register("orchestrated_quarantine", """
+WITH o AS (SELECT count(*) AS n, count_if(o_orderkey % 101 = 0) AS bad FROM orders)
+SELECT path, n AS rows_in, n - bad AS rows_written, bad AS rows_rejected, n - bad AS in_target, bad AS in_quarantine
+FROM o, (VALUES ('batch'), ('incremental')) AS paths(path)
+""")
+def orchestrated_quarantine(spark, sf_dir):
+    """Kept and rejected rows are the same whichever path the size chooses."""
+    parts = []
+    for path, report, target, rejects in _both_paths(spark, sf_dir, "orch-quarantine", on_violation="quarantine"):
+        kept = spark.read.parquet(target).agg(F.count(F.lit(1)).alias("in_target"))
+        bad = spark.read.parquet(rejects).agg(F.count(F.lit(1)).alias("in_quarantine"))
+        figures = [F.lit(report[k]).cast("bigint").alias(k) for k in ("rows_in", "rows_written", "rows_rejected")]
+        parts.append(kept.crossJoin(bad).select(F.lit(path).alias("path"), *figures, "in_target", "in_quarantine"))
+    return reduce(DataFrame.unionByName, parts)
+
+
+@register("stream_rerun_append", "SELECT * FROM orders")
+def stream_rerun_append(spark, sf_dir):
+    """A rerun of the same stream adds nothing: its checkpoint follows from source and target."""
+    source, target = scratch_path(spark, "rerun-files"), scratch_path(spark, "rerun-target")
+    split_into_files(table(spark, sf_dir, "orders"), source, 3)
+    for _ in range(2):
+        incremental_ingest(spark, source, target, mode="append", date_format=False, max_files_per_trigger=2)
+    return read_ingested(spark, target)
+
+
+@register("csv_load_documents", "SELECT doc_id, text, lang, source, n_chars FROM documents")
+def csv_load_documents(spark, sf_dir):
+    """Texts with line breaks, quotes and outer blanks through CSV and a config load."""
+    source, target = scratch_path(spark, "documents-csv"), scratch_path(spark, "documents-loaded")
+    write_csv(table(spark, sf_dir, "documents"), source)
+    spec = JobSpec(input_path=source, input_format="csv", table_name="documents", multiline=True, date_format=False,
+                   data_type={"doc_id": "int64", "n_chars": "int64"})
+    run_load(spark, spec, scratch_path(spark, "documents-contracts"), target=target)
+    return spark.read.parquet(target)
+
+
 # Q1 coverage queries register themselves into this catalogue.
 from . import sql_coverage  # noqa: E402,F401

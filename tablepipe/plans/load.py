@@ -20,6 +20,7 @@ skipped when ``date_format`` is off or ``date_columns`` is given):
 
 from __future__ import annotations
 
+import hashlib
 import time
 from contextlib import contextmanager
 
@@ -36,7 +37,7 @@ from ..operators.contract import (ContractViolation, check_contract, load_contra
                                   observe_capture, observe_contract, save_contract, split_by_contract)
 from ..operators.sample import validation_rows
 from ..sinks.tables import check_target, commit_staged, discard_staged, is_path, stage, write_table
-from ..sources.files import read_table
+from ..sources.files import read_table, table_format
 from ..spec import JobSpec
 
 REPORT_SCHEMA = ("table_name string, rows_in bigint, rows_written bigint, rows_rejected bigint, "
@@ -79,16 +80,19 @@ def _write_split(spark: SparkSession, cleaned: DataFrame, contract, spec: JobSpe
     good, bad = split_by_contract(cleaned, contract, spec.target)
     bad, rejected = _counted(bad, "rows_rejected")
     with step(spark, "write quarantine"):
-        if quarantine_target:
-            bad.write.mode("append").parquet(quarantine_target)
-        else:
-            bad.write.format("noop").mode("overwrite").save()
+        bad.write.mode("append").parquet(quarantine_target)
     out, written = _counted(good, "rows_written")
     with step(spark, "write"):
         write_table(out, target, spec.if_table_exists)
     return written, int(rejected.get["n"])
 
 
+def read_source(spark: SparkSession, spec: JobSpec) -> DataFrame:
+    """The spec's input, CSV with its settings."""
+    csv = table_format(spec.input_path, spec.input_format) == "csv"
+    return read_table(spark, spec.input_path, spec.input_format, **(spec.csv_options() if csv else {}))
+
+
 def run_load(spark: SparkSession, spec: JobSpec, contract_location: str, target: str | None = None,
              source: DataFrame | None = None, quarantine_target: str | None = None,
              findings_target: str | None = None) -> DataFrame:
@@ -96,7 +100,9 @@ def run_load(spark: SparkSession, spec: JobSpec, contract_location: str, target:
     t0 = time.time()
     target = target or spec.target
     check_target(spark, target, spec.if_table_exists)          # refuse early on 'fail'
-    raw = source if source is not None else read_table(spark, spec.input_path, spec.input_format)
+    if spec.on_violation == "quarantine" and not quarantine_target:
+        raise ValueError("on_violation 'quarantine' needs a quarantine target for the rejected rows")
+    raw = source if source is not None else read_source(spark, spec)
     settings = spec.settings()
     with step(spark, "read contract"):
         rows = stored_contract_rows(spark, contract_location, spec.target)
@@ -204,28 +210,43 @@ def run_load(spark: SparkSession, spec: JobSpec, contract_location: str, target:
 
 
 def orchestrate(spark: SparkSession, spec: JobSpec, contract_location: str, budget_bytes: float,
-                target: str | None = None, checkpoint: str | None = None) -> dict:
+                target: str | None = None, checkpoint: str | None = None,
+                quarantine_target: str | None = None, findings_target: str | None = None) -> dict:
     """Size the input against a memory budget, then load it as one batch job
-    (decision eager / lazy) or as an incremental file stream (streaming) with
-    the plan's chunk fraction turned into files per micro-batch.  Returns the
-    plan row and what the chosen path reports."""
-    from ..operators.profile import file_totals, load_plan
-    from ..sources.files import table_format
-    from ..streaming.incremental import files_per_trigger, incremental_ingest
+    (decision eager / lazy) or gather it first by an incremental file stream
+    (streaming) with the plan's chunk fraction turned into files per
+    micro-batch.  Either way ``run_load`` cleans, checks, splits and commits,
+    so schema, checks, kept and rejected rows do not depend on the size.
+
+    The stream writes source rows to a folder beside its ``checkpoint``; the
+    target is touched once, when all chunks have arrived.  A run that is cut
+    short goes on where it stopped.  After an ``append`` the checkpoint stays,
+    so a rerun loads new files only; after ``fail`` and ``replace`` it goes,
+    so the next run loads the whole input again."""
+    from ..operators.profile import file_totals, load_plan, qualified
+    from ..session import shared_root
+    from ..sinks.tables import _fs
+    from ..streaming.incremental import files_per_trigger, incremental_ingest, read_ingested
     target = target or spec.target
+    check_target(spark, target, spec.if_table_exists)
     fmt = table_format(spec.input_path, spec.input_format)
-    plan = load_plan(spark, {spec.target: spec.input_path}, budget_bytes, {spec.target: fmt}).first()
+    csv = spec.csv_options() if fmt == "csv" else None
+    plan = load_plan(spark, {spec.target: spec.input_path}, budget_bytes, {spec.target: fmt}, csv_options=csv).first()
     if plan["load_mode"] == "batch":
-        report = run_load(spark, spec, contract_location, target=target).first()
+        report = run_load(spark, spec, contract_location, target=target, quarantine_target=quarantine_target,
+                          findings_target=findings_target).first()
         return {"plan": plan.asDict(), "path": "batch", "report": report.asDict()}
     n_files = int(file_totals(spark, {spec.target: spec.input_path}).first()["files"])
     per_trigger = files_per_trigger(n_files, float(plan["chunk_fraction"]))
+    name = hashlib.sha1(f"{qualified(spark, spec.input_path)}\n{target}".encode()).hexdigest()[:16]
+    root = (checkpoint or f"{shared_root(spark)}/tablepipe/gather-{name}").rstrip("/")
     progress = incremental_ingest(
-        spark, spec.input_path, target, fmt=fmt, column_naming=spec.column_naming,
-        data_type=spec.data_type, date_format=spec.date_format, decimal_precision=spec.decimal_precision,
-        mode=spec.if_table_exists, contract_location=contract_location, settings=spec.settings(),
-        table_name=spec.target,
-        on_violation=spec.on_violation,
-        checkpoint=checkpoint, max_files_per_trigger=per_trigger)
+        spark, spec.input_path, f"{root}/rows", fmt=fmt, column_naming=None, data_type=None, date_format=False,
+        mode="append", checkpoint=f"{root}/stream", max_files_per_trigger=per_trigger, csv_options=csv)
+    fs, rows = _fs(spark, f"{root}/rows")
+    source = read_ingested(spark, f"{root}/rows") if fs.exists(rows) else read_source(spark, spec).limit(0)
+    report = run_load(spark, spec, contract_location, target=target, source=source,
+                      quarantine_target=quarantine_target, findings_target=findings_target).first()
+    fs.delete(rows if spec.if_table_exists == "append" else _fs(spark, root)[1], True)
     return {"plan": plan.asDict(), "path": "incremental", "files_per_trigger": per_trigger,
-            "report": progress}
+            "report": report.asDict(), "progress": progress}

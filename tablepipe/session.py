@@ -45,6 +45,8 @@ def checkpoint_root(spark: SparkSession) -> str:
         return current
     conf_dir = spark.conf.get("spark.checkpoint.dir", None)
     if not conf_dir:
+        if not sc.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         # Only reached in tests / local runs: no cluster-wide folder is named.
         conf_dir = tempfile.mkdtemp(prefix="tp-ckpt-")
     sc.setCheckpointDir(conf_dir)
@@ -57,6 +59,12 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{root}/tablepipe/{name}-{uuid.uuid4().hex[:12]}"
 
 
+def shared_root(spark: SparkSession) -> str:
+    """A folder that outlives the session: the one named in ``spark.checkpoint.dir``
+    (the session's own scratch folder in local runs that name none)."""
+    return (spark.conf.get("spark.checkpoint.dir", None) or checkpoint_root(spark)).rstrip("/")
+
+
 def recommended_conf(input_bytes: float, total_cores: int) -> dict[str, str]:
     """Session settings sized for a load of ``input_bytes`` on ``total_cores``.
 

@@ -105,8 +105,8 @@ def commit_staged(spark: SparkSession, staging: str, target: str, mode: str) ->
         while files.hasNext():
             src = files.next().getPath()
             rel = str(src.toUri().getPath())[len(base) + 1:]
-            if any(part.startswith(("_", ".")) for part in rel.split("/")):
-                continue                                  # _SUCCESS, checksums
+            if rel == "_SUCCESS" or rel.split("/")[-1].startswith("."):
+                continue                                  # job marker, checksums; partitions may begin with "_"
             dst = jvm.org.apache.hadoop.fs.Path(tpath, rel)
             fs.mkdirs(dst.getParent())
             if not fs.rename(src, dst):

@@ -26,9 +26,13 @@ CSV_OPTIONS = {
     "quote": '"',
     "escape": '"',
     "mode": "PERMISSIVE",
+    # An unquoted empty field is null, a quoted one the empty text; only \\N is null as text.
+    "nullValue": "\\N",
     **TS_OPTIONS,
 }
-CSV_WRITE_OPTIONS = {"header": "true", "quote": '"', "escape": '"', **TS_OPTIONS}
+# The writer's default would trim text.
+CSV_WRITE_OPTIONS = {"header": "true", "quote": '"', "escape": '"', "ignoreLeadingWhiteSpace": "false",
+                     "ignoreTrailingWhiteSpace": "false", **TS_OPTIONS}
 CORRUPT = "_corrupt_record"
 
 

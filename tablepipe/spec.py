@@ -24,6 +24,8 @@ class JobSpec:
     table_name: str = ""
     if_table_exists: str = "fail"            # fail | append | replace
     on_violation: str = "fail"               # fail | report | quarantine
+    multiline: bool = False                  # CSV: quoted newlines inside a record
+    bad_rows: str = "fail"                   # CSV rows with too many or too few fields: fail | keep
 
     def __post_init__(self) -> None:
         self.column_naming = (self.column_naming or "lower").lower()
@@ -38,6 +40,8 @@ class JobSpec:
             raise ValueError(f"if_table_exists must be one of {IF_EXISTS}")
         if self.on_violation not in ("fail", "report", "quarantine"):
             raise ValueError("on_violation must be fail, report or quarantine")
+        if self.bad_rows not in ("fail", "keep"):
+            raise ValueError("bad_rows must be fail or keep")
         if self.decimal_precision is not None and int(self.decimal_precision) < 0:
             raise ValueError("decimal_precision must be >= 0")
 
@@ -59,6 +63,8 @@ class JobSpec:
         date_format = sc.get("date_format")
         return cls(
             input_path=str(path.get("input_path") or ""),
+            multiline=bool(path.get("multiline") or False),
+            bad_rows=path.get("bad_rows") or "fail",
             column_naming=sc.get("column_naming") or "lower",
             date_format=True if date_format is None else bool(date_format),
             data_type=dict(sc.get("data_type") or {}),
@@ -72,6 +78,10 @@ class JobSpec:
     def target(self) -> str:
         return target_name(self.table_name, self.input_path)
 
+    def csv_options(self) -> dict[str, str]:
+        """Reader options of the CSV settings."""
+        return {"multiLine": str(self.multiline).lower(), "mode": "FAILFAST" if self.bad_rows == "fail" else "PERMISSIVE"}
+
     def settings(self) -> dict[str, str]:
         """The settings that must stay equal across loads (V8), as text."""
         d = asdict(self)

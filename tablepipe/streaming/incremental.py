@@ -23,15 +23,15 @@ import hashlib
 import math
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators.clean import clean, date_columns_from_contract
-from ..operators.contract import (CONTRACT_SCHEMA, _contract_rows, check_contract, load_contracts,
+from ..operators.contract import (CONTRACT_SCHEMA, REPORT_SCHEMA, _contract_rows, check_contract, load_contracts,
                                   observe_capture, observe_contract, save_contract, split_by_contract)
 from ..operators.dates import detect_date_columns
-from ..session import scratch_path
+from ..session import scratch_path, shared_root
 from ..operators.profile import qualified
 from ..sources.files import CSV_OPTIONS
 from ..sinks.tables import check_target, target_exists
@@ -75,7 +75,8 @@ def incremental_ingest(spark: SparkSession, source_dir: str, target: str, *, fmt
                        quarantine_target: str | None = None, checkpoint: str | None = None,
                        max_files_per_trigger: int = 1, date_columns: list[str] | None = None,
                        multiline: bool = False, trigger: str | None = None, wait: bool = True,
-                       contract_location: str | None = None, settings: dict[str, str] | None = None):
+                       contract_location: str | None = None, settings: dict[str, str] | None = None,
+                       csv_options: dict[str, str] | None = None):
     """Run the stream to the end of the available files (``availableNow``)
     and return the progress figures.  With ``trigger`` (a processing-time
     interval such as ``"1 minute"``) the stream keeps watching the folder;
@@ -87,7 +88,16 @@ def incremental_ingest(spark: SparkSession, source_dir: str, target: str, *, fmt
     write, stored, and the later batches are checked against it."""
     if mode not in ("fail", "append", "replace"):
         raise ValueError("mode must be fail, append or replace")
-    check_target(spark, target, mode)
+    if on_violation == "quarantine" and not quarantine_target:
+        raise ValueError("on_violation 'quarantine' needs a quarantine target for the rejected rows")
+    if not checkpoint and mode == "append":
+        # the same source and target go on where they stopped: a rerun adds new files only
+        name = hashlib.sha1(f"{qualified(spark, source_dir)}\n{qualified(spark, target)}".encode()).hexdigest()[:16]
+        checkpoint = f"{shared_root(spark)}/tablepipe/stream-{name}"
+    ckpt = checkpoint or scratch_path(spark, "stream-ckpt")
+    resumed = target_exists(spark, ckpt)      # the exists-mode was applied when this checkpoint began
+    if not resumed:
+        check_target(spark, target, mode)
     contract_types = None
     if contract is None and contract_location is not None:
         stored = load_contracts(spark, contract_location)
@@ -113,60 +123,70 @@ def incremental_ingest(spark: SparkSession, source_dir: str, target: str, *, fmt
     reader = (spark.readStream.format(fmt).schema(src_schema)
               .option("maxFilesPerTrigger", str(max_files_per_trigger)))
     if fmt == "csv":
-        reader = reader.options(**CSV_OPTIONS).option("multiLine", str(multiline).lower())
+        reader = reader.options(**CSV_OPTIONS).option("multiLine", str(multiline).lower()).options(**(csv_options or {}))
     stream = clean(reader.load(source_dir), column_naming=column_naming, data_type=data_type,
                    date_format=date_format, decimal_precision=decimal_precision, date_columns=dates)
-    if mode == "replace" and target_exists(spark, target):
+    if mode == "replace" and not resumed and target_exists(spark, target):
         empty = spark.createDataFrame([], stream.schema.add(STREAM_COL, T.StringType()).add(BATCH_COL, T.LongType()))
         empty.write.mode("overwrite").partitionBy(STREAM_COL, BATCH_COL).parquet(target)
 
-    ckpt = checkpoint or scratch_path(spark, "stream-ckpt")
     # Batch ids restart with every checkpoint: the stream id keeps two streams
     # appending to one target apart, the batch id makes a replay overwrite
     # only what that batch wrote before.
     stream_id = hashlib.sha1(qualified(spark, ckpt).encode()).hexdigest()[:12]
 
-    def write_parts(df: DataFrame, path: str, batch_id: int) -> None:
-        (df.withColumn(STREAM_COL, F.lit(stream_id)).withColumn(BATCH_COL, F.lit(batch_id).cast("bigint"))
+    def write_parts(df: DataFrame, path: str, batch_id: int) -> int:
+        counted = Observation()
+        (df.observe(counted, F.count(F.lit(1)).alias("n")).withColumn(STREAM_COL, F.lit(stream_id)).withColumn(BATCH_COL, F.lit(batch_id).cast("bigint"))
          .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy(STREAM_COL, BATCH_COL).parquet(path))
+        return int(counted.get["n"])
 
-    state = {"contract": contract}
+    # Figures of this run, added up batch by batch (the query's own progress keeps 100 batches only).
+    state = {"contract": contract, "batches": 0, "input_rows": 0, "rows_written": 0, "rows_rejected": 0, "findings": 0}
+
+    def add(**figures: int) -> None:
+        for k, n in figures.items():
+            state[k] += n
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
         contract = state["contract"]
         if contract is None and capture_first:
             # first load: capture the contract in this batch's write, store it
             observed, finish = observe_capture(batch, table_name, 1, settings)
-            write_parts(observed, target, batch_id)
+            n = write_parts(observed, target, batch_id)
+            add(batches=n > 0, input_rows=n, rows_written=n)
             captured = finish()
             save_contract(captured, contract_location)
             state["contract"] = captured.collect()
             return
         if contract is None:
-            write_parts(batch, target, batch_id)
+            n = write_parts(batch, target, batch_id)
+            add(batches=n > 0, input_rows=n, rows_written=n)
             return
         if on_violation == "report":
             # one pass: the check is an Observation of the write job
-            observed, finish = observe_contract(batch, contract, table_name)
-            write_parts(observed, target, batch_id)
+            observed, finish = observe_contract(batch, contract, table_name, settings)
+            n = write_parts(observed, target, batch_id)
+            found = finish()
+            add(batches=n > 0, input_rows=n, rows_written=n, findings=found.count())
             if report_target:
-                write_parts(finish(), report_target, batch_id)
+                write_parts(found, report_target, batch_id)
             return
         batch.persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            report = check_contract(batch, contract, table_name).cache()
-            if report_target:
-                write_parts(report, report_target, batch_id)
-            blocking = report.where("blocking").limit(20).collect()
-            good = batch
+            rows = check_contract(batch, contract, table_name, settings).collect()    # one row per finding
+            if report_target and rows:
+                write_parts(spark.createDataFrame(rows, REPORT_SCHEMA), report_target, batch_id)
+            blocking = [r for r in rows if r["blocking"]]
+            good, rejected = batch, 0
             if blocking and on_violation == "fail":
                 raise ValueError(f"batch {batch_id} breaks the contract: {blocking}")
             if blocking and on_violation == "quarantine":
                 good, bad = split_by_contract(batch, contract, table_name)
-                if quarantine_target:
-                    write_parts(bad, quarantine_target, batch_id)
-            write_parts(good, target, batch_id)
+                rejected = write_parts(bad, quarantine_target, batch_id)
+            n = write_parts(good, target, batch_id)
+            add(batches=n + rejected > 0, input_rows=n + rejected, rows_written=n, rows_rejected=rejected, findings=len(rows))
         finally:
             batch.unpersist()
 
@@ -176,12 +196,7 @@ def incremental_ingest(spark: SparkSession, source_dir: str, target: str, *, fmt
     if not wait:
         return q
     q.awaitTermination()
-    progress = q.recentProgress
-    return {
-        "batches": sum(1 for p in progress if p.get("numInputRows", 0) > 0),
-        "input_rows": sum(int(p.get("numInputRows", 0)) for p in progress),
-        "checkpoint": ckpt,
-    }
+    return {k: int(n) for k, n in state.items() if k != "contract"} | {"checkpoint": ckpt}
 
 
 def read_ingested(spark: SparkSession, target: str, keep_batch: bool = False) -> DataFrame:

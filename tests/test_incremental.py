@@ -129,3 +129,21 @@ def test_first_batch_is_the_first_load(spark, events, tmp_dir):
     rep = spark.read.parquet(f"{tmp_dir}/rep")
     assert rep.where("finding = 'null_values'").first().bad_rows == later.where("value IS NULL").count()
     assert read_ingested(spark, tgt).count() == events.count()
+
+
+def test_resumed_replace_and_fail_keep_what_was_loaded(spark, tmp_dir):
+    from tablepipe.streaming import incremental_ingest, read_ingested, split_into_files
+    src = f"{tmp_dir}/src"
+    split_into_files(spark.range(100), src, 4)
+    for mode in ("replace", "fail"):
+        for _ in range(2):
+            incremental_ingest(spark, src, f"{tmp_dir}/{mode}", mode=mode, checkpoint=f"{tmp_dir}/ck-{mode}", max_files_per_trigger=2)
+            assert read_ingested(spark, f"{tmp_dir}/{mode}").count() == 100
+
+
+def test_figures_count_every_batch(spark, tmp_dir):
+    from tablepipe.streaming import incremental_ingest
+    src = f"{tmp_dir}/src"
+    spark.range(1120).repartition(112).write.parquet(src)
+    out = incremental_ingest(spark, src, f"{tmp_dir}/t", mode="append", max_files_per_trigger=1, date_format=False)
+    assert out["input_rows"] == out["rows_written"] == 1120 and out["batches"] > 100

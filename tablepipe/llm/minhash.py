@@ -7,11 +7,13 @@
 2. The representatives' values are cut into 36 bands of 7; members of a band
    bucket are candidates.  At similarity 0.85 a pair shares a band but for a
    chance of 1e-6, so none is lost in practice.
-3. A bucket never emits all its pairs.  In rounds, the largest components of a
-   bucket (single documents at first) are held against its other components,
-   then leave it.  A bucket is done when its members are all in one component:
-   every two of its components have then been compared.  Components meet in
-   packed chunks of documents, so a large one costs rows by its chunks.
+3. A bucket never emits all its pairs.  In rounds, the largest component of a
+   bucket (a single document at first) is held against its other components,
+   then leaves it.  Components meet in packed chunks of documents, so a large one
+   costs rows by its chunks.  Once a round links few of those that it compares,
+   what is left in a bucket is packed into chunks, and its chunks meet: a row for
+   a document and chunk, not for a pair.  A bucket is done when its members are
+   all in one component or all its chunks have met.
 4. Two signatures are compared in steps of 36 values.  After each step the
    posterior chance that the similarity reaches the threshold (uniform prior) is
    bounded; below the chosen miss probability the pair is dropped.
@@ -41,8 +43,10 @@ BANDS, ROWS = 36, 7
 STEP = 36
 THRESHOLD = (85, 100)
 MISS = 1e-6
-PIVOTS = 64
-CHUNK = 64
+# Documents in a chunk: of a component, of a bucket.
+CHUNK, BUCKET_CHUNK = 64, 128
+# Rounds go on while they link one in so many of the documents that ask.
+WORTH = 5
 # Ids (24 bytes each) sent to all executors at most; more are shuffled.
 BROADCAST_ROWS = 1_000_000
 _CACHE_WORDS = 500_000
@@ -133,6 +137,43 @@ def sketches(docs: DataFrame, id_col: str, text_col: str, words: int, n: int) ->
     return written(rows.mapInArrow(run, f"doc_id {kind}, n_shingles long, digest binary, sig binary"), "sketches")
 
 
+def with_data(dealt: DataFrame, data: DataFrame, rows: int) -> DataFrame:
+    """The signature and shingles of each id of the ``rows`` rows of ``dealt``."""
+    needed = dealt.withColumnRenamed("id", "d_id")
+    return data.join(needed if rows > BROADCAST_ROWS else F.broadcast(needed), F.col("id") == F.col("d_id")).drop("d_id")
+
+
+class Likeness:
+    """Pruning by signatures and confirmation on full sets."""
+
+    def __init__(self, n: int, step: int, threshold: tuple[int, int], miss: float):
+        self.n, self.step, self.threshold = n, step, threshold
+        self.least = least_matches(step, n, threshold[0] / threshold[1], miss)
+
+    def unpacked(self, docs: pa.StructArray) -> tuple[pa.Array, np.ndarray, list[np.ndarray]]:
+        sigs = np.frombuffer(b"".join(docs.field("sig").to_pylist()), "<u4").reshape(-1, self.n)
+        return docs.field("id"), sigs, [np.frombuffer(x, "<u8") for x in docs.field("shingles").to_pylist()]
+
+    def candidates(self, x: np.ndarray, y: np.ndarray, i: np.ndarray, j: np.ndarray) -> list[tuple[int, int]]:
+        """The pairs (i, j) that stay, the most alike first; only pairs still in the
+        running see the next values."""
+        equal = np.zeros(len(i), np.int64)
+        for turn, need in enumerate(self.least):
+            part = slice(turn * self.step, (turn + 1) * self.step)
+            equal = equal + (x[i, part] == y[j, part]).sum(axis=1)
+            stays = equal >= need
+            i, j, equal = i[stays], j[stays], equal[stays]
+        best = np.argsort(-equal, kind="stable")
+        return list(zip(i[best].tolist(), j[best].tolist(), strict=True))
+
+    def confirmed(self, u: np.ndarray, v: np.ndarray) -> bool:
+        low, high = self.threshold
+        if min(len(u), len(v)) * high < max(len(u), len(v)) * low:
+            return False
+        both = len(np.intersect1d(u, v, assume_unique=True))
+        return high * both >= low * (len(u) + len(v) - both)
+
+
 def block_links(asks: DataFrame, labels: DataFrame, data: DataFrame, n: int, step: int, threshold: tuple[int, int], miss: float, chunk: int) -> DataFrame:
     """(a, b): a link for every document of an asking component that has one to the
     target component, or several; none where there is none.
@@ -141,7 +182,6 @@ def block_links(asks: DataFrame, labels: DataFrame, data: DataFrame, n: int, ste
     sides, with signature and shingles, are packed into chunks of bounded size
     that meet by target; a chunk pair compares signatures step by step, then
     confirms on the full sets, the most alike first, until a document is linked."""
-    least = least_matches(step, n, threshold[0] / threshold[1], miss)
     kind = labels.schema["id"].dataType.simpleString()
 
     def packed(rows: DataFrame, name: str) -> DataFrame:
@@ -149,46 +189,71 @@ def block_links(asks: DataFrame, labels: DataFrame, data: DataFrame, n: int, ste
         rows = written(rows, name)
         sizes = rows.groupBy(F.col("target").alias("s_target")).agg(F.ceil(F.count(F.lit(1)) / chunk).alias("chunks"))
         dealt = rows.join(sizes, F.col("target") == F.col("s_target")).select("target", "id", F.pmod(F.xxhash64("id", F.lit(9)), F.col("chunks")).alias("chunk"))
-        needed = dealt if rows.count() > BROADCAST_ROWS else F.broadcast(dealt)  # 24 bytes a row
-        full = data.join(needed.withColumnRenamed("id", "d_id"), F.col("id") == F.col("d_id")).select("target", "chunk", F.struct("id", "sig", "shingles").alias("doc"))
+        full = with_data(dealt, data, rows.count()).select("target", "chunk", F.struct("id", "sig", "shingles").alias("doc"))
         return full.groupBy("target", "chunk").agg(F.collect_list("doc").alias(name))
 
     own = labels.select("id", F.col("label").alias("own_label"))
     askers = packed(asks.join(own, F.col("label") == F.col("own_label")).select("target", "id"), "askers")
     wanted = packed(asks.select("target").distinct().join(own, F.col("target") == F.col("own_label")).select("target", "id"), "wanted")
     met = askers.select("target", "askers").join(wanted.select(F.col("target").alias("w_target"), "wanted"), F.col("target") == F.col("w_target")).select("askers", "wanted")
-
-    def sides(column: pa.Array) -> tuple[pa.Array, np.ndarray, list[np.ndarray]]:
-        docs = column.flatten()
-        sigs = np.frombuffer(b"".join(docs.field("sig").to_pylist()), "<u4").reshape(-1, n)
-        return docs.field("id"), sigs, [np.frombuffer(x, "<u8") for x in docs.field("shingles").to_pylist()]
+    alike = Likeness(n, step, threshold, miss)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for k in range(batch.num_rows):
-                (x_ids, x, x_sets), (y_ids, y, y_sets) = (sides(batch.column(c).slice(k, 1)) for c in (0, 1))
+                (x_ids, x, x_sets), (y_ids, y, y_sets) = (alike.unpacked(batch.column(c).slice(k, 1).flatten()) for c in (0, 1))
                 i, j = (g.ravel() for g in np.indices((len(x), len(y))))
-                equal = np.zeros(len(i), np.int64)
-                for turn, need in enumerate(least):  # only pairs still in the running see the next values
-                    part = slice(turn * step, (turn + 1) * step)
-                    equal = equal + (x[i, part] == y[j, part]).sum(axis=1)
-                    stays = equal >= need
-                    i, j, equal = i[stays], j[stays], equal[stays]
                 linked: dict[int, int] = {}
-                for at in np.argsort(-equal, kind="stable").tolist():
-                    p, q = int(i[at]), int(j[at])
-                    if p not in linked:
-                        u, v = x_sets[p], y_sets[q]
-                        if min(len(u), len(v)) * threshold[1] < max(len(u), len(v)) * threshold[0]:
-                            continue
-                        both = len(np.intersect1d(u, v, assume_unique=True))
-                        if threshold[1] * both >= threshold[0] * (len(u) + len(v) - both):
-                            linked[p] = q
+                for p, q in alike.candidates(x, y, i, j):
+                    if p not in linked and alike.confirmed(x_sets[p], y_sets[q]):
+                        linked[p] = q
                 yield pa.RecordBatch.from_arrays([x_ids.take(pa.array(list(linked), pa.int64())), y_ids.take(pa.array(list(linked.values()), pa.int64()))], names=["a", "b"])
 
     return met.mapInArrow(run, f"a {kind}, b {kind}")
 
 
+def bucket_links(named: DataFrame, data: DataFrame, n: int, step: int, threshold: tuple[int, int], miss: float, chunk: int) -> DataFrame:
+    """(a, b): links that join all linked components of a bucket.
+
+    ``named``: bucket, id, label.  A bucket's documents are dealt to chunks; every
+    two chunks meet once as a row, where pairs of different labels are compared
+    unless links found there already join them."""
+    kind = named.schema["id"].dataType.simpleString()
+    sizes = named.groupBy(F.col("bucket").alias("s_bucket")).agg(F.ceil(F.count(F.lit(1)) / chunk).alias("chunks"))
+    dealt = named.join(sizes, F.col("bucket") == F.col("s_bucket")).withColumn("own", F.pmod(F.xxhash64("id", F.lit(9)), F.col("chunks")))
+    full = with_data(dealt.select("bucket", "id", "label", "own", "chunks"), data, named.count())
+    doc = F.struct("own", "label", "id", "sig", "shingles").alias("doc")
+    full = full.select("bucket", "own", F.explode(F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1)).alias("other"), doc)
+    met = full.groupBy("bucket", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high")).agg(F.collect_list("doc").alias("docs")).select("low", "docs")
+    alike = Likeness(n, step, threshold, miss)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for k in range(batch.num_rows):
+                docs = batch.column(1).slice(k, 1).flatten()
+                ids, sigs, sets = alike.unpacked(docs)
+                label = docs.field("label").dictionary_encode().indices.to_numpy()
+                low = docs.field("own").to_numpy() == batch.column(0)[k].as_py()
+                i, j = np.nonzero(np.triu(label[:, None] != label[None, :], 1) & ((low[:, None] != low[None, :]) | low.all()))
+                root = list(range(len(label)))
+
+                def find(x: int, root: list[int] = root) -> int:
+                    while root[x] != x:
+                        root[x] = x = root[root[x]]
+                    return x
+
+                links = []
+                for p, q in alike.candidates(sigs, sigs, i, j):
+                    u, v = find(int(label[p])), find(int(label[q]))
+                    if u != v and alike.confirmed(sets[p], sets[q]):
+                        root[u] = v
+                        links.append((p, q))
+                a, b = (ids.take(pa.array([x[c] for x in links], pa.int64())) for c in (0, 1))
+                yield pa.RecordBatch.from_arrays([a, b], names=["a", "b"])
+
+    return met.mapInArrow(run, f"a {kind}, b {kind}")
+
+
 def components(edges: DataFrame, name: str = "labels") -> DataFrame:
     """id, label (smallest id reachable) for every end of ``edges`` (a, b).
 
@@ -211,7 +276,7 @@ def components(edges: DataFrame, name: str = "labels") -> DataFrame:
         labels = moved.select("id", "label")
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS, threshold: tuple[int, int] = THRESHOLD, bands: int = BANDS, rows: int = ROWS, step: int = STEP, miss: float = MISS, pivots: int = PIVOTS, chunk: int = CHUNK) -> DataFrame:
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS, threshold: tuple[int, int] = THRESHOLD, bands: int = BANDS, rows: int = ROWS, step: int = STEP, miss: float = MISS, chunk: int = CHUNK, bucket_chunk: int = BUCKET_CHUNK) -> DataFrame:
     """doc_id, n_shingles, component_id, kept; one row per row of ``docs``."""
     n = bands * rows
     sketched = sketches(docs, id_col, text_col, words, n)
@@ -242,8 +307,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     # How much company an id has: a group's common origin shares most buckets and comes first.
     filled = members.groupBy(F.col("bucket").alias("f_bucket")).agg(F.count(F.lit(1)).alias("filled"))
     company = written(members.join(filled, F.col("bucket") == F.col("f_bucket")).groupBy(F.col("id").alias("c_id")).agg(F.sum("filled").alias("company")), "company")
-    edges, turn = None, 0
     labels = written(ids.join(company, F.col("id") == F.col("c_id")).select("id", F.col("id").alias("label"), "company"), "classes")
+    edges, rounds = None, True
     while True:
         sizes = labels.groupBy(F.col("label").alias("z_label")).agg(F.count(F.lit(1)).alias("size"), F.max("company").alias("company"))
         named = members.join(labels.select(F.col("id").alias("n_id"), "label"), F.col("id") == F.col("n_id")).select("bucket", "id", "label")
@@ -251,22 +316,28 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         named = written(named.join(open_, F.col("bucket") == F.col("o_bucket")).select("bucket", "id", "label"), "open")
         if not named.limit(1).count():
             break
-        parts = named.select("bucket", "label").distinct().join(sizes, F.col("label") == F.col("z_label"))
-        # The largest component of a bucket first: most others fall to it. Then several a round.
-        first = Window.partitionBy("bucket").orderBy(F.desc("size"), F.desc("company"), "label")
-        chosen = parts.withColumn("rank", F.row_number().over(first)).where(F.col("rank") <= (1 if turn < 2 else pivots))
-        chosen = written(chosen.select(F.col("bucket").alias("p_bucket"), F.col("label").alias("target"), F.col("size").alias("p_size")), "pivots")
-        met = parts.join(chosen, (F.col("bucket") == F.col("p_bucket")) & (F.col("label") != F.col("target")))
-        # Of two components the smaller asks.
-        swap = (F.col("p_size") < F.col("size")) | ((F.col("p_size") == F.col("size")) & (F.col("target") > F.col("label")))
-        asks = written(met.select(F.when(swap, F.col("target")).otherwise(F.col("label")).alias("label"), F.when(swap, F.col("label")).otherwise(F.col("target")).alias("target")).distinct(), "asks")
-        links = written(block_links(asks, labels, data, n, step, threshold, miss, chunk), "links")
-        members = written(named.join(chosen, (F.col("bucket") == F.col("p_bucket")) & (F.col("label") == F.col("target")), "left_anti").select("bucket", "id"), "members")
+        if rounds:
+            parts = named.select("bucket", "label").distinct().join(sizes, F.col("label") == F.col("z_label"))
+            # The largest component of a bucket: most others fall to it.
+            first = Window.partitionBy("bucket").orderBy(F.desc("size"), F.desc("company"), "label")
+            chosen = parts.withColumn("rank", F.row_number().over(first)).where("rank = 1")
+            chosen = written(chosen.select(F.col("bucket").alias("p_bucket"), F.col("label").alias("target"), F.col("size").alias("p_size")), "pivots")
+            met = parts.join(chosen, (F.col("bucket") == F.col("p_bucket")) & (F.col("label") != F.col("target")))
+            # Of two components the smaller asks.
+            swap = (F.col("p_size") < F.col("size")) | ((F.col("p_size") == F.col("size")) & (F.col("target") > F.col("label")))
+            asks = written(met.select(F.when(swap, F.col("target")).otherwise(F.col("label")).alias("label"), F.when(swap, F.col("label")).otherwise(F.col("target")).alias("target")).distinct(), "asks")
+            links = written(block_links(asks, labels, data, n, step, threshold, miss, chunk), "links")
+            members = written(named.join(chosen, (F.col("bucket") == F.col("p_bucket")) & (F.col("label") == F.col("target")), "left_anti").select("bucket", "id"), "members")
+            worth = links.count() * WORTH >= asks.count()
+        else:
+            links = written(bucket_links(named, data, n, step, threshold, miss, bucket_chunk), "links")
         if links.limit(1).count():
             edges = links if edges is None else edges.unionByName(links)
             found = components(edges).select(F.col("id").alias("f_id"), F.col("label").alias("f_label"))
             labels = written(labels.join(found, F.col("id") == F.col("f_id"), "left").select("id", F.coalesce("f_label", "id").alias("label"), "company"), "classes")
-        turn += 1
+        if not rounds:
+            break  # all chunks of all buckets have met
+        rounds = worth
 
     # Every row is labelled through the class of its own set.
     of_class = classes.join(labels, "id", "left").select(F.col("digest").alias("l_digest"), F.coalesce("label", "id").alias("label"))

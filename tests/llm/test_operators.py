@@ -299,7 +299,7 @@ def test_minhash(spark, awkward, empty):
     docs = spark.createDataFrame([(k, t, "z") for k, t in texts.items()], "doc_id long, text string, label string")
     some = awkward.where("doc_id is not null").select("doc_id", "text", "label")
     docs = docs.unionByName(some)
-    got = minhash.near_duplicates(docs, chunk=16, pivots=4).collect()
+    got = minhash.near_duplicates(docs, chunk=16, bucket_chunk=16).collect()
     assert len(got) == docs.count()
     want = brute_components(texts | {r.doc_id: r.text for r in some.collect()})
     assert {r.doc_id: (r.component_id, r.n_shingles) for r in got} == want

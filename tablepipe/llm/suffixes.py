@@ -18,8 +18,8 @@ in the same document or another.  ``keep="none"`` takes every copy,
    other end tells whether one follows.
 4. A gram with more than GROUP classes is never gathered: its surroundings are
    cut into bands of windows, whose common core and whole extent are compared by
-   hashed aggregates, then what is still open window by window.  The result is
-   the same.
+   hashed aggregates, then what is still open by narrower bands and at last
+   window by window.  The result is the same.
 
 Identity of classes, bands and single windows is by pairs of 64-bit hashes.
 
@@ -45,7 +45,8 @@ from tablepipe.llm.common import written
 LENGTH = 200
 GRAM = 48
 GROUP = 1024
-BAND = 17
+# Windows in a band, level by level.
+BANDS = (17, 4, 1)
 BROADCAST_BYTES = 64 << 20
 # Symbols a task orders at a time.
 CHUNK = 2_000_000
@@ -205,69 +206,66 @@ def mixed_symbols(symbols: np.ndarray) -> np.ndarray:
     return anchors.mix(symbols + np.uint64(0x1234567))
 
 
-def _large_groups(parts: DataFrame, length: int, gram: int, keep: str) -> DataFrame:
-    """Spans of grams with many classes, by hashed aggregates only."""
-    width = length - gram + 1
-    lows = np.arange(0, width, BAND)
-    highs = np.minimum(lows + BAND, width) - 1
-
-    def bands(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for k in range(0, batch.num_rows, 1024):
-                some = batch.slice(k, 1024)
-                symbols = _matrix(some.column("part").to_pylist(), some.column("before").to_pylist(), length, gram)
-                whole = _whole(symbols, length)
-                core = _window_hashes(symbols, highs, lows + length).view(np.int64)
-                extent = _window_hashes(symbols, lows, highs + length).view(np.int64)
-                live = np.stack([whole[:, a : b + 1].any(axis=1) for a, b in zip(lows, highs, strict=True)], axis=1)
-                row, band = np.nonzero(live)
-                at = pa.array(row)
-                yield pa.RecordBatch.from_arrays([*[some.column(c).take(at) for c in ("g", "id", "key", "pos")], pa.array(band), pa.array(core[row, band]), pa.array(extent[row, band])], names=["g", "id", "key", "pos", "band", "core", "extent"])
-
-    def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for k in range(0, batch.num_rows, 1024):
-                some = batch.slice(k, 1024)
-                symbols = _matrix(some.column("part").to_pylist(), some.column("before").to_pylist(), length, gram)
-                starts = np.arange(width)
-                hashes = _window_hashes(symbols, starts, starts + length).view(np.int64)
-                asked = np.zeros((len(symbols), len(lows)), bool)
-                for j, which in enumerate(some.column("bands").to_pylist()):
-                    asked[j, which] = True
-                row, at = np.nonzero(_whole(symbols, length) & np.repeat(asked, highs - lows + 1, axis=1))
-                take = pa.array(row)
-                yield pa.RecordBatch.from_arrays([*[some.column(c).take(take) for c in ("g", "id", "key", "pos")], pa.array(at), pa.array(hashes[row, at])], names=["g", "id", "key", "pos", "at", "hash"])
+def _levels(width: int) -> list[list[tuple[int, int, int]]]:
+    """(first, last, parent's first) of the bands of windows, level by level."""
+    out, above = [], [(0, width - 1, 0)]
+    for size in BANDS:
+        above = [(a, min(a + size - 1, last), first) for first, last, _ in above for a in range(first, last + 1, size)]
+        out.append(above)
+    return out
 
-    kind = parts.schema["id"].dataType.simpleString()
-    place = F.struct("id", "pos", "key")
-    found = written(parts.mapInArrow(bands, f"g long, id {kind}, key long, pos long, band long, core long, extent long").withColumn("place", place), "bands")
 
-    def ends(rows: DataFrame, by: list[str]) -> DataFrame:
-        """The first and last place of what is equal in ``by``."""
-        return rows.groupBy(*[F.col(c).alias(f"t_{c}") for c in by]).agg(F.min("place").alias("first"), F.max("place").alias("last"))
+def _large_groups(parts: DataFrame, length: int, gram: int, keep: str) -> DataFrame:
+    """Spans of grams with many classes, by hashed aggregates only.
+
+    A band of windows is settled as a whole where its extents are equal, or no
+    other has its core; what is open goes on to the narrower bands within, the
+    last of one window each, so rows stand for the ends of matches only."""
+
+    def banded(level: list[tuple[int, int, int]]):
+        lows, highs, above = (np.array([band[k] for band in level]) for k in range(3))
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                for k in range(0, batch.num_rows, 1024):
+                    some = batch.slice(k, 1024)
+                    symbols = _matrix(some.column("part").to_pylist(), some.column("before").to_pylist(), length, gram)
+                    whole = np.cumsum(np.pad(_whole(symbols, length), ((0, 0), (1, 0))), axis=1)
+                    live = whole[:, highs + 1] > whole[:, lows]
+                    live &= np.array([np.isin(above, which) for which in some.column("open").to_pylist()])
+                    core = _window_hashes(symbols, highs, lows + length).view(np.int64)
+                    extent = _window_hashes(symbols, lows, highs + length).view(np.int64)
+                    row, band = np.nonzero(live)
+                    at = pa.array(row)
+                    bands = [pa.array(x) for x in (lows[band], highs[band], core[row, band], extent[row, band])]
+                    yield pa.RecordBatch.from_arrays([*[some.column(c).take(at) for c in ("g", "id", "key", "pos")], *bands], names=["g", "id", "key", "pos", "low", "high", "core", "extent"])
+
+        return run
 
-    def going(rows: DataFrame, tied: DataFrame, by: list[str]) -> DataFrame:
-        """The rows whose equals lie elsewhere (with "first": not the first of them)."""
-        on = F.lit(True)
+    kind = parts.schema["id"].dataType.simpleString()
+    by, base, spans = ["g", "low", "core", "extent"], F.col("pos") - (length - gram), None
+    asking = parts.withColumn("open", F.array(F.lit(0).cast("long")))
+    levels = _levels(length - gram + 1)
+    for turn, level in enumerate(levels):
+        found = asking.select("g", "id", "key", "pos", "before", "part", "open").mapInArrow(banded(level), f"g long, id {kind}, key long, pos long, low long, high long, core long, extent long")
+        found = written(found.withColumn("place", F.struct("id", "pos", "key")), "bands")
+        # The first and last place of each extent.
+        tied = written(found.groupBy(*[F.col(c).alias(f"t_{c}") for c in by]).agg(F.min("place").alias("first"), F.max("place").alias("last")), "extents")
+        # Bands whose equals lie elsewhere (with "first": not the first of them).
+        same = F.lit(True)
         for c in by:
-            on = on & (F.col(c) == F.col(f"t_{c}"))
-        more = rows.join(tied.where(F.col("first") != F.col("last")), on)
-        return more.where(F.col("place") != F.col("first")) if keep == "first" else more
-
-    by = ["g", "band", "core", "extent"]
-    tied = written(ends(found, by), "extents")
-    # Left open: extents that differ though their core is shared; one place of each extent takes part.
-    cores = tied.groupBy(F.col("t_g").alias("c_g"), F.col("t_band").alias("c_band"), F.col("t_core").alias("c_core")).agg((F.min("t_extent") != F.max("t_extent")).alias("open"))
-    unsettled = tied.join(cores.where("open"), (F.col("t_g") == F.col("c_g")) & (F.col("t_band") == F.col("c_band")) & (F.col("t_core") == F.col("c_core")))
-    asked = unsettled.groupBy(F.col("t_g").alias("a_g"), F.col("first.key").alias("a_key"), F.col("first.pos").alias("a_pos")).agg(F.collect_set("t_band").alias("bands"))
-    again = parts.join(asked, (F.col("g") == F.col("a_g")) & (F.col("key") == F.col("a_key")) & (F.col("pos") == F.col("a_pos"))).select("g", "id", "key", "pos", "before", "part", "bands")
-    each = written(again.mapInArrow(windows, f"g long, id {kind}, key long, pos long, at long, hash long").withColumn("place", place), "windows")
-    single = going(each, ends(each, ["g", "at", "hash"]), ["g", "at", "hash"])
-    extents = going(found, tied, by)
-    base = F.col("pos") - (length - gram)
-    whole_bands = extents.select("key", (base + F.col("band") * BAND).alias("s"), (base + F.least(F.col("band") * BAND + BAND, F.lit(width)) - 1 + length).alias("t"))
-    # Runs of single windows are merged per document later.
-    return whole_bands.unionByName(single.select("key", (base + F.col("at")).alias("s"), (base + F.col("at") + length).alias("t")))
+            same = same & (F.col(c) == F.col(f"t_{c}"))
+        more = found.join(tied.where(F.col("first") != F.col("last")), same)
+        more = more.where(F.col("place") != F.col("first")) if keep == "first" else more
+        more = more.select("key", (base + F.col("low")).alias("s"), (base + F.col("high") + length).alias("t"))
+        spans = more if spans is None else spans.unionByName(more)
+        if turn + 1 == len(levels):
+            return spans  # a window is its own core
+        # Left open: extents that differ though their core is shared; one place of each extent takes part.
+        cores = tied.groupBy(F.col("t_g").alias("c_g"), F.col("t_low").alias("c_low"), F.col("t_core").alias("c_core")).agg((F.min("t_extent") != F.max("t_extent")).alias("differ"))
+        unsettled = tied.join(cores.where("differ"), (F.col("t_g") == F.col("c_g")) & (F.col("t_low") == F.col("c_low")) & (F.col("t_core") == F.col("c_core")))
+        asked = unsettled.groupBy(F.col("t_g").alias("a_g"), F.col("first.key").alias("a_key"), F.col("first.pos").alias("a_pos")).agg(F.collect_set("t_low").alias("open"))
+        asking = parts.join(asked, (F.col("g") == F.col("a_g")) & (F.col("key") == F.col("a_key")) & (F.col("pos") == F.col("a_pos")))
 
 
 def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH, gram: int = GRAM, keep: str = "none", group: int = GROUP) -> DataFrame:

@@ -45,8 +45,8 @@ def run_noop(df) -> None:
 def bench_load(spark, sf_dir: str, on_violation: str = "fail") -> tuple[float, int]:
     """First load captures the contract and writes; the second is checked
     against it and appended.  Returns (seconds of the checked load, rows).
-    ``fail`` checks before writing (two passes); ``report`` checks inside the
-    write job (one pass)."""
+    Both check inside the write job (one pass): ``fail`` writes to a staging
+    folder and commits it when nothing blocks, ``report`` writes directly."""
     contracts = scratch_path(spark, "bench-contracts")
     target = scratch_path(spark, "bench-target")
     src = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
@@ -82,7 +82,7 @@ def bench_csv_load(spark, sf_dir: str) -> tuple[float, int]:
 def bench_multi_file_load(spark, sf_dir: str, copies: int = 8, files: int = 32) -> tuple[float, int]:
     """The layout a cluster reads: many files.  ``copies`` key-shifted copies
     of lineitem written by Spark as ``files`` files (setup, untimed), then a
-    checked load (fail mode: check, then write) of all of them."""
+    checked load (fail mode: staged write with the check in it) of all of them."""
     base = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
     shifted = [base.withColumn("l_orderkey", F.col("l_orderkey") + F.lit(i * 10_000_000_000))
                for i in range(copies)]

@@ -46,15 +46,19 @@ PROBE_ROWS = 10_000
 
 def probe_date_columns(df: DataFrame, columns: list[str] | None = None,
                        probe_rows: int = PROBE_ROWS) -> list[str]:
-    """Candidate date columns: string columns without a failing value in the
-    first ``probe_rows`` rows (a cheap limit scan).  Candidates still need the
-    whole-column check (``detect_date_columns`` or ``observe_date_check``)."""
+    """Candidate date columns: string columns without a failing value among
+    ``probe_rows`` rows.  Candidates still need the whole-column check
+    (``detect_date_columns`` or ``observe_date_check``).
+
+    One flag per column and row reaches the driver, taken split by split until
+    there are enough: no task gathers rows of every split, and wide texts stay
+    on the executors."""
     cols = string_columns(df) if columns is None else list(columns)
     if not cols:
         return []
-    ok = {r["column_name"] for r in
-          date_detection_report(df.limit(probe_rows), cols).where("failures = 0").collect()}
-    return [c for c in cols if c in ok]
+    flags = F.array(*[F.coalesce(not_date_text(col(c)), F.lit(False)) for c in cols]).alias("failed")
+    failed = [r["failed"] for r in df.select(flags).take(probe_rows)]
+    return [c for i, c in enumerate(cols) if not any(row[i] for row in failed)]
 
 
 def observe_date_check(df: DataFrame, columns: list[str]):

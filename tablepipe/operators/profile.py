@@ -210,21 +210,21 @@ def size_factors(spark: SparkSession, tables: dict[str, DataFrame], sample_fract
     sampled = tables if sample_fraction >= 1.0 else {
         t: df.sample(fraction=sample_fraction, seed=29) for t, df in tables.items()}
     stats = string_length_stats(sampled)
-    rows = stats.where(F.col("column_name") == ROWS_MARK).select(
-        "table_name", F.round(F.col("n_values") / F.lit(sample_fraction)).cast("bigint").alias("n_rows"))
+    # Row counts and string figures from one aggregate: each table is scanned once.
+    is_rows = F.col("column_name") == ROWS_MARK
+    figures = stats.groupBy("table_name").agg(
+        F.round(F.max(F.when(is_rows, F.col("n_values"))) / F.lit(sample_fraction)).cast("bigint").alias("n_rows"),
+        F.avg(F.when(~is_rows, F.col("median_len"))).alias("mean_median_len"),          # P1
+        F.sum(F.when(~is_rows, F.col("median_len"))).alias("sum_median_len"),
+        F.avg(F.when(~is_rows, F.col("avg_len"))).alias("mean_value_len"))              # P7 input
     if row_counts is not None:
         # one row per input on each side: broadcast is bounded by the number of inputs
-        rows = (rows.join(F.broadcast(row_counts.select("table_name", F.col("n_rows").alias("_exact"))),
-                          "table_name", "left")
-                .select("table_name", F.coalesce("_exact", "n_rows").alias("n_rows")))
-    strs = (stats.where(F.col("column_name") != ROWS_MARK)
-            .groupBy("table_name").agg(
-                F.avg("median_len").alias("mean_median_len"),          # P1
-                F.sum("median_len").alias("sum_median_len"),
-                F.avg("avg_len").alias("mean_value_len")))              # P7 input
+        figures = (figures.join(F.broadcast(row_counts.select("table_name", F.col("n_rows").alias("_exact"))),
+                                "table_name", "left")
+                   .withColumn("n_rows", F.coalesce("_exact", "n_rows")).drop("_exact"))
     facts = spark.createDataFrame([schema_facts(t, df.schema) for t, df in tables.items()], SCHEMA_FACTS)
     # one row per table on every side (bounded by the number of inputs)
-    j = facts.join(F.broadcast(rows), "table_name", "left").join(F.broadcast(strs), "table_name", "left")
+    j = facts.join(F.broadcast(figures), "table_name", "left")
     n = F.col("n_cols")
     safe_n = F.greatest(n, F.lit(1))
     # Columns without any non-null value have no median and are left out.

@@ -4,9 +4,9 @@ category, each with its DuckDB-dialect twin.
 Shapes are chosen to hold at scale: dimension joins let Spark broadcast only
 below its size threshold (sort-merge join above it, AQE splits skewed
 partitions); windows partition by customer, not by a 5-value segment; the
-as-of query splits each key by month (no join pairs, no whole-key window); the range join meets a
-calendar whose size is bounded by the date span; sums that would depend on
-addition order are exact decimals.
+as-of query splits each key by day (no join pairs, no whole-key window); the
+range join meets a calendar by the month; sums that would depend on addition
+order are exact decimals.
 """
 
 from __future__ import annotations
@@ -93,14 +93,16 @@ FULL OUTER JOIN (SELECT c_nationkey AS nationkey, count(DISTINCT c_custkey) AS n
   ON s.nationkey = c.nationkey
 """, None, ("supplier", "customer"))
 
-# range join: orders to the months of their own date span (small, bounded side)
+# range join: orders to the months of their own date span; an order meets the
+# one month it is truncated to, the interval is the residual condition
 sql_query("sql_range_join", """
 WITH span AS (SELECT date_trunc('MONTH', min(o_orderdate)) AS lo, max(o_orderdate) AS hi FROM orders),
 months AS (
   SELECT m AS m_start, m + INTERVAL 1 MONTH AS m_end
   FROM span LATERAL VIEW explode(sequence(lo, hi, INTERVAL 1 MONTH)) t AS m)
 SELECT m.m_start, count(*) AS n_orders
-FROM orders o JOIN months m ON o.o_orderdate >= m.m_start AND o.o_orderdate < m.m_end
+FROM orders o JOIN months m ON date_trunc('MONTH', o.o_orderdate) = m.m_start
+  AND o.o_orderdate >= m.m_start AND o.o_orderdate < m.m_end
 GROUP BY m.m_start
 """, """
 WITH span AS (SELECT date_trunc('month', min(o_orderdate)) AS lo, max(o_orderdate) AS hi FROM orders),
@@ -201,10 +203,8 @@ in_b AS (
   SELECT o_orderkey, k, b, pb,
          sum(p) OVER (PARTITION BY k, b ORDER BY t, o_orderkey
                       ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS run_in_b,
-         lag(t) OVER (PARTITION BY k, b ORDER BY t, o_orderkey) AS prev_in_b
-  FROM o),
-in_pb AS (
-  SELECT o_orderkey, row_number() OVER (PARTITION BY k, pb ORDER BY p DESC, o_orderkey) AS rn_in_pb
+         lag(t) OVER (PARTITION BY k, b ORDER BY t, o_orderkey) AS prev_in_b,
+         row_number() OVER (PARTITION BY k, pb ORDER BY p DESC, o_orderkey) AS rn_in_pb
   FROM o),
 months AS (
   SELECT k, b,
@@ -219,11 +219,10 @@ bands AS (
            AS above
   FROM (SELECT k, pb, count(*) AS c FROM o GROUP BY k, pb) c)
 SELECT i.o_orderkey, i.k AS o_custkey,
-       CAST(bd.above + r.rn_in_pb AS INT) AS price_rank,
+       CAST(bd.above + i.rn_in_pb AS INT) AS price_rank,
        coalesce(i.prev_in_b, m.last_before_b) AS prev_orderdate,
        CAST(m.before_b + i.run_in_b AS DOUBLE) AS running_total
 FROM in_b i
-JOIN in_pb r ON r.o_orderkey = i.o_orderkey
 JOIN months m ON m.k = i.k AND m.b = i.b
 JOIN bands bd ON bd.k = i.k AND bd.pb = i.pb
 """, """

@@ -2,7 +2,9 @@
 
 Rules are regular expressions with a label, a priority and keywords, derived from
 the expressions themselves.  One Aho-Corasick pass finds the keywords that occur
-and only their rules run, in priority order.  A
+and only rules with all keywords of an alternative run, in priority order.  A
+space of a rule stands for a run of white space, over line ends also with the
+comment marks around them.  A
 detection that lies inside an accepted one is suppressed (of equal spans the
 rule of higher priority, then the earlier rule, stays).
 
@@ -150,6 +152,10 @@ BODIES = (
     ("eupl", r"licensed under the eupl, version 1\.[012]"),
     ("proprietary", r"unauthorized copying of this file, via any medium,? is strictly prohibited"),
 )
+# What a space of a rule matches: white space, over a line end with comment marks before and after it.
+BLANK = r"(?:[\t-\r ]|\xc2\xa0)"
+MARK = r"[#*/;%>!|-]"
+SPACE = rf"""(?:{BLANK}++(?!{MARK}|["'](?=[ \t])|(?:rem|dnl)[ \t])|(?:[ \t]++{MARK}*+[ \t]*+)?+[\r\n](?:{BLANK}|{MARK}|(?<=[\r\n\t ])["'](?=[ \t])|(?<=[\r\n])(?:rem|dnl)(?=[ \t\r\n]))*+|{BLANK}++)"""
 # kind: (priority, confidence, shape around the pattern)
 KINDS = {
     "spdx": (4, 1.0, r"spdx-license-identifier:\s*(?:{0})(?![0-9a-z.+-])"),
@@ -158,20 +164,28 @@ KINDS = {
     "url": (2, 0.85, r"(?:https?://)?(?:www\.)?(?:{0})"),
     "name": (1, 0.7, r"(?<![0-9a-z])(?:{0})(?![0-9a-z])"),
 }
+# Pieces of an alternative that a text must hold before its rule runs.
+KEYWORDS = 4
 
 
-def keywords(pattern: str) -> list[str]:
-    """For each top-level alternative its longest literal run; a match holds one of them."""
+def spaced(pattern: str) -> str:
+    """``pattern`` with each space, also as one of two characters, widened to SPACE."""
+    return re.sub(r"\[- \]| ", lambda m: SPACE if m[0] == " " else f"(?:-|{SPACE})", pattern)
+
+
+def keywords(pattern: str) -> list[frozenset[str]]:
+    """For each top-level alternative its longest literal pieces without spaces; a
+    match holds all those of one alternative."""
     out = []
     for part in _alternatives(pattern):
         bare = re.sub(r"\[[^\]]*\][+*?]?", "\0", part)
-        while (bare2 := re.sub(r"\((?:\?[:=!<]+)?[^()]*\)[?*+]?", "\0", bare)) != bare:
+        while (bare2 := re.sub(r"\((?:\?[:=!<]+)?[^()]*\)[?*+]?", "\0", bare.replace("\\(", "\0").replace("\\)", "\0"))) != bare:
             bare = bare2
-        bare = re.sub(r"\\s[*+]?|.\?|.\*|\\[dwb][+*?]?", lambda m: "\0" if not m[0].startswith("\\.") else "\0", bare.replace("\\.", "\1")).replace("\1", ".")
-        best = max(re.split("\0+", bare.replace("\\", "")), key=len)
-        if len(best) < 2:
+        bare = re.sub(r"\\s[*+]?|.\?|.\*|\\[dwb][+*?]?", "\0", bare.replace("\\.", "\1")).replace("\1", ".")
+        pieces = {p for p in re.split("[\0 ]+", bare.replace("\\", "")) if len(p) > 1}
+        if not pieces:
             raise ValueError(f"no keyword in {part}")
-        out.append(best)
+        out.append(frozenset(sorted(pieces, key=lambda p: (-len(p), p))[:KEYWORDS]))
     return out
 
 
@@ -188,12 +202,12 @@ def _alternatives(pattern: str) -> list[str]:
     return [*parts, pattern[start:]]
 
 
-def rules() -> list[tuple[str, str, int, float, str, list[str]]]:
+def rules() -> list[tuple[str, str, int, float, str, list[frozenset[str]]]]:
     """(label, kind, priority, confidence, regular expression, keywords), highest priority first."""
     out = []
     for label, (names, spdx, urls) in FAMILIES.items():
         for kind, pattern in (("spdx", spdx), ("under", names), ("url", urls), ("name", names)):
-            out.append((label, kind, *KINDS[kind][:2], KINDS[kind][2].format(pattern), ["spdx-license-identifier"] if kind == "spdx" else keywords(pattern)))
+            out.append((label, kind, *KINDS[kind][:2], KINDS[kind][2].format(pattern), [frozenset(["spdx-license-identifier"])] if kind == "spdx" else keywords(pattern)))
     for label, pattern in BODIES:
         out.append((label, "body", *KINDS["body"][:2], pattern, keywords(pattern)))
     return sorted(out, key=lambda r: -r[2])
@@ -203,14 +217,15 @@ class Scanner:
     def __init__(self, base: tuple = BASE):
         import ahocorasick
 
-        self.rules = [(label, kind, prio, conf, re.compile(rx)) for label, kind, prio, conf, rx, _ in rules()]
+        self.rules = [(label, kind, prio, conf, re.compile(spaced(rx))) for label, kind, prio, conf, rx, _ in rules()]
         self.words = ahocorasick.Automaton()
-        by: dict[str, set[int]] = {}
+        by: dict[str, list[tuple[frozenset[str], int]]] = {}  # each alternative under its longest piece
         for k, (*_, keys) in enumerate(rules()):
-            for key in keys:
-                by.setdefault(key, set()).add(k)
-        for key, which in by.items():
-            self.words.add_word(key, frozenset(which))
+            for pieces in keys:
+                by.setdefault(max(pieces, key=lambda p: (len(p), p)), []).append((pieces, k))
+        self.needs = by
+        for key in {p for alternatives in by.values() for pieces, _ in alternatives for p in pieces}:
+            self.words.add_word(key, key)
         self.words.make_automaton()
         self.base = [(phrase.split()[-1], label, re.compile(f"(?<!{WORD})" + GAP.join(map(re.escape, phrase.split())) + f"(?!{WORD})")) for phrase, label in base]
         self.is_word = np.zeros(256, bool)
@@ -218,9 +233,8 @@ class Scanner:
 
     def detections(self, text: str) -> list[tuple[int, int, str, str, float]]:
         """(start, end, label, kind, confidence), none inside another, by start; ``text`` lower-cased Latin-1."""
-        due: set[int] = set()
-        for _, which in self.words.iter(text):
-            due |= which
+        held = {key for _, key in self.words.iter(text)}
+        due = {k for key in held for pieces, k in self.needs.get(key, ()) if pieces <= held}
         found = []
         for k in sorted(due):
             label, kind, prio, conf, rx = self.rules[k]

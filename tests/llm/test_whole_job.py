@@ -44,3 +44,27 @@ def test_every_license_rule_fires_alone():
     assert scan("this project uses cddl 1.0")["labels"] == "cddl"
     assert scan("altered source versions must be plainly marked as such")["labels"] == "zlib"
     assert scan("see mariadb.com/bsl")["labels"] == "busl"
+
+
+def test_license_rules_match_wrapped_text():
+    scan = licenses.Scanner().scan
+    for label, kind, _, _, rx, _ in licenses.rules():
+        for text in samples(rx):
+            for between in ("\n", "  ", "\r\n * ", "\n# ", "\n    // ", " */\n/* ", "\n-- ", "\n\n", "\ndnl ", '\n" ', " "):
+                got = scan(text.replace(" ", between))
+                assert label in got["labels"].split(","), (kind, text, between, got)
+    mit = """/*
+ * Permission is hereby granted, free of charge, to any person obtaining a copy
+ * of this software and associated documentation files (the "Software"), to deal
+ * in the Software without restriction, including without limitation the rights
+ * to use, copy, modify, merge, publish, distribute, sublicense, and/or sell
+ * copies of the Software.
+ *
+ * The above copyright notice and this permission notice shall be included in all
+ * copies or substantial portions of the Software.
+ */"""
+    for text in (mit, mit.replace("\n * ", "\n")):
+        got = scan(text)
+        assert got["labels"] == "mit" and [s["kind"] for s in got["spans"]] == ["body"] * 3
+    assert "lgpl" in scan("GNU Lesser General\nPublic License")["labels"].split(",")
+    assert scan("expat - license, expat / license")["labels"] == ""

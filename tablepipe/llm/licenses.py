@@ -264,8 +264,10 @@ class Scanner:
                 base |= {label} if hits else set()
         found = self.detections(s)
         labels = base | {f[2] for f in found}
-        miss = 1.0
-        for conf in {f[2]: max(x[4] for x in found if x[2] == f[2]) for f in found}.values() if len(found) < 50 else [max(f[4] for f in found)]:
+        miss, best = 1.0, {}
+        for _, _, label, _, conf in found:
+            best[label] = max(best.get(label, 0.0), conf)
+        for conf in best.values():
             miss *= 1 - min(conf, 0.99)
         if base:
             miss *= 0.05

@@ -68,3 +68,9 @@ def test_license_rules_match_wrapped_text():
         assert got["labels"] == "mit" and [s["kind"] for s in got["spans"]] == ["body"] * 3
     assert "lgpl" in scan("GNU Lesser General\nPublic License")["labels"].split(",")
     assert scan("expat - license, expat / license")["labels"] == ""
+
+
+def test_license_score_does_not_fall_with_evidence():
+    scan = licenses.Scanner().scan
+    score = [scan("cddl 1.0 and odbl 1.0\n" + "eupl 1.2\n" * n)["score"] for n in (0, 1, 47, 48, 49, 200)]
+    assert score == sorted(score) and abs(score[0] - 0.91) < 1e-12 and abs(score[-1] - 0.973) < 1e-12

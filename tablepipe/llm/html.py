@@ -1,8 +1,10 @@
 """Main text of web pages by composite text density (operator 4).
 
 A page becomes a tree of elements (unclosed and misnested tags are closed where
-the next block begins).  Elements that are boilerplate by tag, role or name are
-taken out.  For every other element: C characters, T tags, LC characters and LT
+the next block begins).  Elements that are boilerplate by tag, attribute, role or
+whole class name (the lists below) are taken out, but never one that holds the
+page's main element or largest article, or most of its text outside links (unless
+it lies outside the article or main element of the page).  For every other element: C characters, T tags, LC characters and LT
 tags in links below it, and
 
     density = C / T * log(C/LC * T/LT) / log(base),
@@ -33,7 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*+)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)(?:>|\Z)""", re.S)
-ATTRIBUTE = re.compile(r"""\b(class|id|role|hidden|aria-hidden|itemprop)\s*(?:=\s*("[^"]*"|'[^']*'|[^\s>]+))?""", re.I)
+ATTRIBUTE = re.compile(r"""([^\s"'>/=]+)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s>]+))?""")
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title noscript iframe xmp noembed noframes template svg math".split())
 BLOCK = frozenset("address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 head header hgroup hr html legend li main menu nav ol p pre section summary table tbody td tfoot th thead tr ul option".split())
@@ -44,19 +46,26 @@ CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td
 SCOPES = frozenset("ul ol dl table td th div section article main body html".split())
 DROP_TAGS = frozenset("head nav footer aside form button select input label menu dialog canvas object audio video".split())
 DROP_ROLES = frozenset("navigation banner contentinfo complementary search form menu menubar dialog alert alertdialog toolbar".split())
+# Whole class names, and ids of elements that are no sections or headings of an article.
 DROP_NAMES = frozenset(
-    "nav navbar navigation menu submenu breadcrumb breadcrumbs footer header masthead sidebar aside widget widgets ad ads advert adverts advertisement adsense sponsor sponsored promo promotion banner "
-    "cookie cookies consent gdpr notice notices alert popup modal overlay newsletter subscribe subscription signup login form search comment comments commentlist disqus respond replies reply discussion "
-    "share sharing social related recommended recommendations pager pagination toolbar copyright skip hidden".split()
+    "nav navbar navigation menu submenu breadcrumb breadcrumbs main-nav site-nav top-nav nav-menu main-menu primary-menu main-navigation site-navigation footer site-footer page-footer "
+    "masthead site-header sidebar left-sidebar right-sidebar sidebar-left sidebar-right widget widgets widget-area ad ads advert adverts advertisement adsbygoogle adsense ad-banner ad-container ad-slot sponsored "
+    "cookie-banner cookie-bar cookie-consent cookie-notice gdpr-banner popup modal newsletter newsletter-signup subscribe-form signup-form login-form search-form searchform search-box "
+    "comments comment-list commentlist comments-area comment-form disqus_thread share-buttons share-bar sharedaddy social-share social-links social-icons related-posts related-articles recommended-articles "
+    "pager pagination toolbar skip-link skip-to-content".split()
 )
+# An id inside an article names a place in it, unless on one of these.
+ID_TAGS = frozenset("div ul ol table".split())
+# What these hold is no text of the page.
+CONTROLS = frozenset("head button select input canvas object audio video".split())
 KEEP_TAGS = frozenset("html body main article".split())
 
 
 class Node:
-    __slots__ = ("tag", "parent", "dropped", "link", "chars", "tags", "lchars", "ltags", "sum", "density")
+    __slots__ = ("tag", "parent", "inside", "dropped", "link", "chars", "tags", "lchars", "ltags", "sum", "density")
 
-    def __init__(self, tag: str, parent: int, dropped: bool, link: bool):
-        self.tag, self.parent, self.dropped, self.link = tag, parent, dropped, link
+    def __init__(self, tag: str, parent: int, inside: bool, dropped: bool, link: bool):
+        self.tag, self.parent, self.inside, self.dropped, self.link = tag, parent, inside, dropped, link
         self.chars = self.tags = self.lchars = self.ltags = 0
         self.sum = self.density = 0.0
 
@@ -66,21 +75,52 @@ def _boilerplate(tag: str, raw: str, in_article: bool) -> bool:
         return True
     if not raw or tag in KEEP_TAGS:
         return False
+    attributes: dict[str, str] = {}
     for name, value in ATTRIBUTE.findall(raw):
-        name, value = name.lower(), value.strip("\"'").lower()
-        if name == "hidden" or name == "aria-hidden" and value == "true" or name == "role" and value in DROP_ROLES:
-            return True
-        if name in ("class", "id") and DROP_NAMES.intersection(re.split(r"[^a-z0-9]+", value)) and not (tag == "header" and in_article):
-            return True
-    return False
+        attributes.setdefault(name.lower(), value.strip("\"'").lower())  # of repeated attributes the first counts
+    if "hidden" in attributes and attributes["hidden"] != "until-found" or attributes.get("aria-hidden") == "true":
+        return True
+    if not DROP_ROLES.isdisjoint(attributes.get("role", "").split()[:1]):
+        return True
+    if tag == "header" and in_article:
+        return False
+    if not DROP_NAMES.isdisjoint(attributes.get("class", "").split()):
+        return True
+    return attributes.get("id", "").strip() in DROP_NAMES and (not in_article or tag in ID_TAGS)
+
+
+def _settle(nodes: list[Node], runs: list[tuple[int, str]]) -> None:
+    """``dropped`` of every element, from what each is by itself."""
+    text = [0] * len(nodes)  # characters outside links
+    for k, piece in runs:
+        if not nodes[k].link:
+            text[k] += len("".join(piece.split()))
+    for k in range(len(nodes) - 1, 0, -1):
+        if nodes[k].tag in CONTROLS:
+            text[k] = 0
+        text[nodes[k].parent] += text[k]
+    keeps = [False] * len(nodes)
+    articles = [k for k, n in enumerate(nodes) if n.tag == "article"]
+    stays = [max(articles, key=text.__getitem__, default=-1)] + [k for k, n in enumerate(nodes) if n.tag == "main"]
+    for k in stays:
+        while k >= 0 and not keeps[k]:
+            keeps[k] = True
+            k = nodes[k].parent
+    clear = [True] * len(nodes)  # nothing around it is boilerplate by itself
+    for k, node in enumerate(nodes[1:], 1):
+        clear[k] = clear[node.parent] and not node.dropped
+    found = any(k >= 0 and text[k] and clear[k] for k in stays)
+    for k, node in enumerate(nodes[1:], 1):
+        # Where the article is found, what lies outside all articles is not it, however long.
+        kept = keeps[k] or 2 * text[k] > text[0] and (node.inside or not found)
+        node.dropped = nodes[node.parent].dropped or node.dropped and not kept
 
 
 def parse(page: str) -> tuple[list[Node], list[tuple[int, str]]]:
     """The elements in page order (0: the root) and the text runs (element, text);
     an empty run marks a block boundary."""
-    nodes, runs = [Node("body", -1, False, False)], []
+    nodes, runs = [Node("body", -1, False, False, False)], []
     stack, at, size = [0], 0, len(page)
-    articles = 0
 
     def text(piece: str) -> None:
         if piece:
@@ -107,8 +147,6 @@ def parse(page: str) -> tuple[list[Node], list[tuple[int, str]]]:
         if closing:
             for k in range(len(stack) - 1, 0, -1):
                 if nodes[stack[k]].tag == tag:
-                    if tag == "article" or tag == "main":
-                        articles -= 1
                     del stack[k:]
                     break
                 if nodes[stack[k]].tag in SCOPES and tag not in SCOPES:
@@ -130,15 +168,16 @@ def parse(page: str) -> tuple[list[Node], list[tuple[int, str]]]:
             if tag == "br":
                 runs.append((stack[-1], " "))
             up = nodes[stack[-1]]
-            if tag in INLINE and not up.dropped and not _boilerplate(tag, raw, articles > 0):
+            boilerplate = _boilerplate(tag, raw, up.inside)
+            if tag in INLINE and not boilerplate:
                 continue
-            node = Node(tag, stack[-1], up.dropped or _boilerplate(tag, raw, articles > 0), up.link or tag == "a")
+            node = Node(tag, stack[-1], up.inside or tag in ("article", "main"), boilerplate, up.link or tag == "a")
             nodes.append(node)
             if tag not in VOID and not raw.endswith("/") or tag == "a":
                 stack.append(len(nodes) - 1)
-                articles += tag in ("article", "main")
         if tag in BLOCK:
             runs.append((stack[-1], ""))
+    _settle(nodes, runs)
     return nodes, runs
 
 

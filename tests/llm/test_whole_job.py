@@ -3,7 +3,7 @@
 import itertools
 import re
 
-from tablepipe.llm import licenses
+from tablepipe.llm import html, licenses
 
 
 def samples(pattern: str) -> list[str]:
@@ -74,3 +74,29 @@ def test_license_score_does_not_fall_with_evidence():
     scan = licenses.Scanner().scan
     score = [scan("cddl 1.0 and odbl 1.0\n" + "eupl 1.2\n" * n)["score"] for n in (0, 1, 47, 48, 49, 200)]
     assert score == sorted(score) and abs(score[0] - 0.91) < 1e-12 and abs(score[-1] - 0.973) < 1e-12
+
+
+def test_html_drops_only_boilerplate():
+    text = "A long sentence of the story that one may read. " * 12
+    page = lambda inner: f"<body><nav><a href=x>Menu</a></nav>{inner}<footer>Imprint</footer></body>"
+    want = " ".join(text.split())
+    # Attributes count by their names, not by what stands in a value.
+    for attribute in ('style="overflow:hidden"', 'href="/wiki/Hidden_Markov_model"', 'href="/p?id=search"', 'data-x="role=navigation"', "title='a hidden place'", "data-hidden", "data-id=comments"):
+        for tag in ("div", "a", "span", "p"):
+            got = html.main_text(page(f"<article><h1>Head</h1><p>{text}</p><{tag} {attribute}>And this</{tag}></article>"))
+            assert "And this" in got and want in got, (tag, attribute)
+    # Class names count whole.
+    for name in ("site no-sidebar", "ad-free", "has-header", "page-with-menu", "search-results", "menu-open"):
+        assert html.main_text(page(f'<div class="{name}"><h1>Head</h1><p>{text}</p></div>')) == f"Head\n\n{want}", name
+    for part in ('<div class="entry-header"><h1>Head</h1></div>', '<section id="discussion"><p>Head</p></section>', '<section id="comments">Head</section>', '<h2 id=navigation>Head</h2>'):
+        assert html.main_text(page(f"<article><p>{text}</p>{part}</article>")) == f"{want}\n\nHead", part
+    # What holds the article, the main element or most of the text stays.
+    for around in ('div class="widget"', "form id=aspnetForm", 'div class="modal"', "div hidden", "aside", "div role=dialog"):
+        for inner in ("article", "main", "div"):
+            got = html.main_text(page(f"<{around}><{inner}><h1>Head</h1><p>{text}</p></{inner}></{around.split()[0]}>"))
+            assert got == f"Head\n\n{want}", (around, inner)
+    # The list still takes out what it names.
+    for junk in ('<div class="ad">Buy</div>', "<div class='box sidebar'>Buy</div>", "<div id=comments>Buy</div>", "<div hidden>Buy</div>", "<p aria-hidden=true>Buy</p>", '<div role="navigation">Buy</div>', "<aside><article>Buy</article></aside>"):
+        assert html.main_text(page(f"<article><h1>Head</h1><p>{text}</p>{junk}</article>")) == f"Head\n\n{want}", junk
+    # A footer longer than a short article is none of it.
+    assert html.main_text("<body><article><p>Short one.</p></article><footer>" + text + "</footer></body>") == "Short one."

@@ -3,6 +3,9 @@
 import itertools
 import re
 
+import numpy as np
+
+import corpus_pipeline
 from tablepipe.llm import html, licenses
 
 
@@ -100,3 +103,20 @@ def test_html_drops_only_boilerplate():
         assert html.main_text(page(f"<article><h1>Head</h1><p>{text}</p>{junk}</article>")) == f"Head\n\n{want}", junk
     # A footer longer than a short article is none of it.
     assert html.main_text("<body><article><p>Short one.</p></article><footer>" + text + "</footer></body>") == "Short one."
+
+
+def test_pipeline_links_pairs_from_four_fifths(spark):
+    rng = np.random.default_rng(4)
+    texts, want = {}, set()
+    for k in range(60):  # pairs that differ in two to five words: similarity 0.77 to 0.91
+        w = [f"w{x}" for x in rng.integers(0, 10**6, 200)]
+        v = list(w)
+        for at in rng.choice(np.arange(10, 190, 9), 2 + k % 4, replace=False):
+            v[at] = "edit"
+        texts[2 * k], texts[2 * k + 1] = " ".join(w), " ".join(v)
+        a, b = ({tuple(x[i : i + 5]) for i in range(196)} for x in (w, v))
+        want |= {2 * k} | ({2 * k + 1} if 5 * len(a & b) < 4 * len(a | b) else set())
+    assert 60 < len(want) < 90
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    assert {r.doc_id for r in corpus_pipeline.near_duplicates(spark, docs, "").collect()} == want
+    assert (1 - 0.8**corpus_pipeline.ROWS) ** corpus_pipeline.BANDS < 1e-6

@@ -2,8 +2,11 @@
 
 Native: DataFrame functions only.
 
-* Document frequencies of all terms give the lexicon: the terms whose inverse
-  document frequency lies in the chosen band.
+* Document frequencies of all terms, counted over distinct texts, give the
+  lexicon: the terms whose inverse document frequency lies in the chosen band.
+* Near copies are distinct texts: where a group of them is large, its terms leave
+  the band.  So a text of whose sampled terms a share below LEAST is in the
+  lexicon has all its terms in its subsets instead.
 * A term's hash deals it to one of M random parts of the lexicon; the first
   SUBSETS of them are the randomised subsets.  M is a power of two near the
   document's number of distinct terms, so a subset holds one or two of its terms
@@ -18,7 +21,7 @@ of a common level that are not empty in both.
 Terms go to the lexicon by a broadcast only while its counted size is below
 BROADCAST_TERMS, else by a shuffled join.
 
-Defined results: null text is empty text; texts without lexicon terms have a
+Defined results: null text is empty text; only texts without any term have a
 fingerprint of empty subsets; equal fingerprints have likeness 1, those without a
 common level 0; repeated rows (same id and text) count as one document in the
 order and in the frequencies and are returned as often as they occur; rows that
@@ -39,7 +42,10 @@ HIGH_SHARE = 0.05
 LOW_DOCS = 2
 SUBSETS = 32
 PER_SUBSET = 1.5
+LEAST = 0.3
 BROADCAST_TERMS = 2_000_000
+# Groups of copies (a hash and an id each) sent to all executors at most; more are shuffled.
+BROADCAST_GROUPS = 1_000_000
 
 
 def _terms(text: Column) -> Column:
@@ -53,7 +59,7 @@ def lexicon(texts: DataFrame, text_col: str, high_share: float = HIGH_SHARE, low
     return written(counted.where(F.col("count").between(low_docs, max(low_docs, high_share * total))).select("term"), "lexicon")
 
 
-def fingerprints(texts: DataFrame, keys: list[str], text_col: str, terms: DataFrame, subsets: int = SUBSETS, per_subset: float = PER_SUBSET) -> DataFrame:
+def fingerprints(texts: DataFrame, keys: list[str], text_col: str, terms: DataFrame, subsets: int = SUBSETS, per_subset: float = PER_SUBSET, least: float = LEAST) -> DataFrame:
     """``keys``, level, low and high (hashes of the subsets at the level and the
     next one, null where empty).  ``keys`` must be unique."""
     found = texts.select(*keys, F.transform(_terms(F.col(text_col)), lambda t: F.xxhash64(t)).alias("_h"))
@@ -67,10 +73,15 @@ def fingerprints(texts: DataFrame, keys: list[str], text_col: str, terms: DataFr
     if terms.count() <= BROADCAST_TERMS:
         lexical = F.broadcast(lexical)
     rows = rows.join(lexical, F.col("_h") == F.col("_term"), "left")
-    low, high = F.col("_term").bitwiseAND(F.col("_mask")), F.col("_term").bitwiseAND(F.col("_mask") * 2 + 1)
-    sums = [F.bit_xor(F.when(part == j, F.col("_term"))).alias(f"_{name}{j}") for name, part in (("l", low), ("h", high)) for j in range(subsets)]
-    out = rows.groupBy(*keys, "level").agg(*sums)
-    return out.select(*keys, "level", *[F.array(*[F.col(f"_{s}{j}") for j in range(subsets)]).alias(name) for s, name in (("l", "low"), ("h", "high"))])
+    # Both lists are bounded: a subset holds few terms at any length.
+    out = rows.groupBy(*keys, "level", "_mask").agg(F.collect_list("_h").alias("_all"), F.collect_list("_term").alias("_lex"))
+    used = out.withColumn("_used", F.when(F.size("_lex") < F.size("_all") * least, F.col("_all")).otherwise(F.col("_lex")))
+
+    def hashes(mask: str) -> Column:
+        member = f"filter(_used, t -> (t & ({mask})) = j)"
+        return F.expr(f"transform(sequence(0L, {subsets - 1}L), j -> aggregate({member}, cast(null as bigint), (x, t) -> coalesce(x ^ t, t)))")
+
+    return used.select(*keys, "level", hashes("_mask").alias("low"), hashes("_mask * 2 + 1").alias("high"))
 
 
 def as_text(level: str, low: str, high: str) -> Column:
@@ -93,6 +104,16 @@ def likeness(a: tuple[str, str, str], b: tuple[str, str, str]) -> Column:
     return F.when(equal, F.lit(1.0)).when(la == lb, share(a0, b0)).when(lb == la + 1, share(a1, b0)).when(la == lb + 1, share(a0, b1)).otherwise(F.lit(0.0))
 
 
+def _one_of_copies(rows: DataFrame, order: DataFrame) -> DataFrame:
+    """Of the rows (doc_id, hash, text) of one text the first in the order."""
+    groups = order.groupBy(F.col("hash").alias("g_hash")).agg(F.count(F.lit(1)).alias("copies"), F.min_by("doc_id", "rank").alias("first_id")).where("copies > 1")
+    groups = written(groups, "groups")
+    if groups.count() <= BROADCAST_GROUPS:
+        groups = F.broadcast(groups)
+    found = rows.join(groups, F.col("hash") == F.col("g_hash"), "left")
+    return found.where(F.col("g_hash").isNull() | F.col("doc_id").eqNullSafe(F.col("first_id"))).select(*rows.columns)
+
+
 def edited_likeness(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next.
 
@@ -114,7 +135,7 @@ def edited_likeness(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     edited = F.concat(F.expr("substring(text, 1, n - n div 4)"), F.col("head"))
     both = both.select("doc_id", "hash", F.explode(F.array(F.struct(F.lit(False).alias("edit"), F.col("text").alias("text")), F.struct(F.lit(True).alias("edit"), edited.alias("text")))).alias("v")).select("doc_id", "hash", "v.*")
     both = both.withColumn("sha", F.when(F.col("edit"), F.sha2("text", 256)))
-    prints = written(fingerprints(both, ["doc_id", "hash", "edit", "sha"], "text", lexicon(rows, "text")), "prints")
+    prints = written(fingerprints(both, ["doc_id", "hash", "edit", "sha"], "text", lexicon(_one_of_copies(rows, order), "text")), "prints")
 
     def named(what: DataFrame, prefix: str) -> DataFrame:
         return what.select(*[F.col(c).alias(f"{prefix}_{c}") for c in ("doc_id", "hash", "level", "low", "high", "sha")])

@@ -6,7 +6,7 @@ import re
 import numpy as np
 
 import corpus_pipeline
-from tablepipe.llm import html, licenses
+from tablepipe.llm import html, imatch, licenses
 
 
 def samples(pattern: str) -> list[str]:
@@ -120,3 +120,25 @@ def test_pipeline_links_pairs_from_four_fifths(spark):
     docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
     assert {r.doc_id for r in corpus_pipeline.near_duplicates(spark, docs, "").collect()} == want
     assert (1 - 0.8**corpus_pipeline.ROWS) ** corpus_pipeline.BANDS < 1e-6
+
+
+def test_imatch_of_large_groups(spark):
+    rng = np.random.default_rng(8)
+    word = lambda n, of: [f"{of}{x}" for x in rng.integers(0, 400, n)]
+    texts = [" ".join(word(200, "w")) for _ in range(200)]
+    for g in ("g", "h"):  # two groups of near copies and one of copies, a tenth to a quarter of all each
+        base = word(200, g)
+        for k in range(60):
+            texts.append(" ".join(base[:7] + [f"{g}new{k}"] + base[8:]))
+    texts += [" ".join(word(200, "c"))] * 40
+    rng.shuffle(texts)
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    rows = {r.doc_id: r for r in imatch.edited_likeness(docs).collect()}
+    kind = lambda k: texts[k % len(texts)][0]
+    for g in "wghc":
+        assert np.mean([r.near_edited for k, r in rows.items() if kind(k) == g]) > 0.4, g
+    for r in rows.values():
+        assert not set(r.fingerprint.split(":")[1]) <= set("-,")
+    apart = [r.near_next for k, r in rows.items() if {kind(k), kind(k + 1)} == {"g", "h"}]
+    same = [r.near_next for k, r in rows.items() if kind(k) == kind(k + 1) and kind(k) in "ghc"]
+    assert apart and max(apart) < 0.1 and min(same) > 0.5

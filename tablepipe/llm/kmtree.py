@@ -15,7 +15,7 @@ Nothing but the tree (bounded by SAMPLE) is broadcast.
 Defined results: vectors that are null, zero, or hold a null or non-finite
 component take no part, nor do those of another length than most; every row is a
 candidate of its own (but those with the query's id); rows of one query id are
-one query (any of its vectors where they differ); an empty table gives no rows.
+one query (the least of its vectors where they differ); an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -41,6 +41,8 @@ BLOCK_ROWS = 256
 CHUNK_QUERIES = 256
 # Queries whose best scores a task remembers before it starts afresh.
 REMEMBERED = 50_000
+# The rounding error of an inner product, relative to the dimension and both norms, with room to spare.
+ROUNDING = 4 * np.finfo(np.float64).eps
 
 
 class Tree(NamedTuple):
@@ -137,19 +139,25 @@ def nearest(vectors: DataFrame, queries: Column, id_col: str = "vec_id", vector_
     dim, total = dims[0]["d"], dims[0]["count"]
     rows = rows.where(F.size("v") == dim)
     pick = F.pmod(F.xxhash64("vec_id", F.lit(seed)), F.lit(1_000_003))
-    fit = rows.where(pick < 1_000_003 * min(1.0, 0.9 * sample / total)).select("v").limit(sample).collect()
-    points = np.asarray([r[0] for r in fit]) if fit else np.asarray([rows.first()["v"]])
+    # Copies of a row count once, so that a hot id does not fill the sample.
+    fit = rows.where(pick < 1_000_003 * min(1.0, 0.9 * sample / total)).select("vec_id", "v").distinct().limit(sample).collect()
+    fit = fit or rows.select("vec_id", "v").limit(1).collect()
+    points, point_ids = np.asarray([r["v"] for r in fit]), pa.array([r["vec_id"] for r in fit]).to_numpy(zero_copy_only=False)
+    largest = np.linalg.norm(points, axis=1).max()
     tree = fit_tree(points)
     point_leaf = assign(tree, points)
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at = 0
         for b in batches:
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), b.column(2), pa.array(assign(tree, _matrix(b.column(1), dim)))], names=["vec_id", "v", "asks", "leaf"])
+            salt = pa.array(range(at, at + b.num_rows), pa.int64())  # tells the rows of one id apart
+            at += b.num_rows
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), b.column(2), pa.array(assign(tree, _matrix(b.column(1), dim))), salt], names=["vec_id", "v", "asks", "leaf", "salt"])
 
-    dealt = written(rows.mapInArrow(deal, f"vec_id {kind}, v array<double>, asks boolean, leaf long"), "leaves")
+    dealt = written(rows.mapInArrow(deal, f"vec_id {kind}, v array<double>, asks boolean, leaf long, salt long"), "leaves")
     counted = {r[0]: r[1] for r in dealt.groupBy("leaf").count().collect()}  # one row a leaf, bounded by the sample
     counts = [counted.get(j, 0) for j in range(tree.leaves)]
-    asked = dealt.where("asks").select("vec_id", "v").dropDuplicates(["vec_id"])
+    asked = dealt.where("asks").groupBy("vec_id").agg(F.min("v").alias("v"), F.count(F.lit(1)).alias("own"))
     visits = _calibrated(dealt, asked, tree, counts, dim, k, target, calibration, seed)
 
     def visit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -157,30 +165,32 @@ def nearest(vectors: DataFrame, queries: Column, id_col: str = "vec_id", vector_
             for s in range(0, b.num_rows, 256):
                 some = b.slice(s, 256)
                 row, leaf, asks = [], [], _matrix(some.column(1), dim)
-                # Sample vectors are candidates too: the last of the query's k best among those in its leaves (its own
-                # vector apart) bounds its k-th nearest found from below, and no lower score need leave a task.
+                # Sample vectors are candidates too: the last of the query's k best among those in its leaves (those of
+                # its own id apart) bounds its k-th nearest found from below, and no lower score need leave a task.
                 known, floor, seen = asks @ points.T, np.full(some.num_rows, -np.inf), np.zeros(tree.leaves, bool)
+                slack = ROUNDING * dim * largest * np.linalg.norm(asks, axis=1)
+                names, own = some.column(0).to_pylist(), some.column(2).to_pylist()
                 for i, q in enumerate(asks):
-                    go = [j for j in best_first(tree, q, counts, visits, k + 1) if counts[j]]
+                    go = [j for j in best_first(tree, q, counts, visits, k + own[i]) if counts[j]]
                     row += [i] * len(go)
                     leaf += go
                     seen[:] = False
                     seen[go] = True
-                    mine = known[i][seen[point_leaf]]
-                    if len(mine) > k:
-                        floor[i] = np.partition(mine, len(mine) - k - 1)[len(mine) - k - 1] - 1e-12
+                    mine = known[i][seen[point_leaf] & (point_ids != names[i])]
+                    if len(mine) >= k:
+                        floor[i] = np.partition(mine, len(mine) - k)[len(mine) - k] - slack[i]
                 at = pa.array(row, pa.int64())
                 yield pa.RecordBatch.from_arrays([some.column(0).take(at), pa.array(leaf, pa.int64()), pa.array(floor).take(at)], names=["vec_id", "leaf", "floor"])
 
     # Chunks of a leaf's queries and blocks of its members, both of bounded size, meet by leaf.
-    met = asked.select("vec_id", "v").mapInArrow(visit, f"vec_id {kind}, leaf long, floor double")
+    met = asked.mapInArrow(visit, f"vec_id {kind}, leaf long, floor double")
     met = written(met, "visits")
     per_leaf = met.groupBy(F.col("leaf").alias("m_leaf")).agg(F.count(F.lit(1)).alias("n"))
-    spread = lambda df, n, size: F.pmod(F.xxhash64("vec_id", F.lit(3)), F.ceil(F.col(n) / size))
-    met = met.join(F.broadcast(per_leaf), F.col("leaf") == F.col("m_leaf")).withColumn("chunk", spread(met, "n", CHUNK_QUERIES))  # one row a leaf
-    chunks = met.join(asked, "vec_id").groupBy("leaf", "chunk").agg(F.collect_list(F.struct("vec_id", "v", "floor")).alias("q"))
+    spread = lambda by, n, size: F.pmod(F.xxhash64(*by, F.lit(3)), F.ceil(F.col(n) / size))
+    met = met.join(F.broadcast(per_leaf), F.col("leaf") == F.col("m_leaf")).withColumn("chunk", spread(["vec_id"], "n", CHUNK_QUERIES))  # one row a leaf
+    chunks = met.join(asked.drop("own"), "vec_id").groupBy("leaf", "chunk").agg(F.collect_list(F.struct("vec_id", "v", "floor")).alias("q"))
     sizes = spark.createDataFrame(pa.table({"s_leaf": pa.array(range(tree.leaves), pa.int64()), "n": pa.array(counts, pa.int64())}))
-    blocks = dealt.join(F.broadcast(sizes), F.col("leaf") == F.col("s_leaf")).withColumn("block", spread(dealt, "n", BLOCK_ROWS))
+    blocks = dealt.join(F.broadcast(sizes), F.col("leaf") == F.col("s_leaf")).withColumn("block", spread(["vec_id", "salt"], "n", BLOCK_ROWS))
     blocks = blocks.groupBy(F.col("leaf").alias("b_leaf"), "block").agg(F.collect_list(F.struct("vec_id", "v")).alias("x"))
     pairs = chunks.join(blocks, F.col("leaf") == F.col("b_leaf")).select("q", "x")
 
@@ -193,7 +203,9 @@ def nearest(vectors: DataFrame, queries: Column, id_col: str = "vec_id", vector_
                 least = q.field("floor").to_numpy()
                 names, own = q_ids.to_pylist(), x_ids.to_numpy(zero_copy_only=False)
                 x_rows = _matrix(x.field("v"), dim)
-                scores = _matrix(q.field("v"), dim) @ x_rows.T
+                q_rows = _matrix(q.field("v"), dim)
+                scores = q_rows @ x_rows.T
+                least = least - ROUNDING * dim * np.linalg.norm(x_rows, axis=1).max() * np.linalg.norm(q_rows, axis=1)
                 out_q, out_x, out_s = [], [], []
                 for j, name in enumerate(names):
                     floor = best.get(name)

@@ -4,9 +4,11 @@ import itertools
 import re
 
 import numpy as np
+from pyspark.sql import functions as F
 
 import corpus_pipeline
-from tablepipe.llm import html, imatch, licenses
+
+from tablepipe.llm import html, imatch, kmtree, licenses
 
 
 def samples(pattern: str) -> list[str]:
@@ -142,3 +144,19 @@ def test_imatch_of_large_groups(spark):
     apart = [r.near_next for k, r in rows.items() if {kind(k), kind(k + 1)} == {"g", "h"}]
     same = [r.near_next for k, r in rows.items() if kind(k) == kind(k + 1) and kind(k) in "ghc"]
     assert apart and max(apart) < 0.1 and min(same) > 0.5
+
+
+def test_kmeans_tree_repeated_query_ids(spark):
+    rng = np.random.default_rng(6)
+    x = rng.normal(size=(600, 8))
+    x[0] *= 9  # its own copies beat all others
+    ids = [*range(600), *[0] * 35, *[20] * 7, *[33] * 400]
+    x = np.concatenate([x, np.tile(x[0], (35, 1)), np.tile(x[20], (7, 1)), np.tile(x[33], (400, 1))])
+    for scale in (1.0, 1e9):
+        d = x * scale
+        vectors = spark.createDataFrame([(k, v.tolist()) for k, v in zip(ids, d, strict=True)], "vec_id long, embedding array<double>")
+        rows = kmtree.nearest(vectors, F.col("vec_id") % 20 == 0, target=1.0).collect()
+        for q in range(0, 600, 20):
+            s = (d @ d[q])[np.asarray(ids) != q]
+            got = sorted((r.score for r in rows if r.query_id == q), reverse=True)
+            assert len(got) == 20 and np.allclose(got, np.sort(s)[::-1][:20], rtol=1e-9), (scale, q, len(got))

@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 import corpus_pipeline
 
 from tablepipe.llm import html, imatch, kmtree, licenses
+from tablepipe.llm.common import table
+from test_operators import SF, brute_components
 
 
 def samples(pattern: str) -> list[str]:
@@ -160,3 +162,10 @@ def test_kmeans_tree_repeated_query_ids(spark):
             s = (d @ d[q])[np.asarray(ids) != q]
             got = sorted((r.score for r in rows if r.query_id == q), reverse=True)
             assert len(got) == 20 and np.allclose(got, np.sort(s)[::-1][:20], rtol=1e-9), (scale, q, len(got))
+
+
+def test_pipeline_near_duplicates_against_brute_force(spark):
+    docs = table(spark, SF, "documents")
+    want = brute_components({r.doc_id: r.text for r in docs.collect()}, (80, 100))
+    got = corpus_pipeline.near_duplicates(spark, docs, SF).collect()
+    assert sorted(r.doc_id for r in got) == sorted(k for k, (c, _) in want.items() if c == k)

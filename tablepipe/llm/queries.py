@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablepipe.llm import html, imatch, kmtree, licenses, minhash, mixing, packing, quality, suffixes, warc
+from tablepipe.llm import columnar, html, imatch, kmtree, licenses, minhash, mixing, packing, periodic, quality, suffixes, warc, whitening
 from tablepipe.llm.common import table
 from tablepipe.session import checkpoint_root
 
@@ -70,6 +70,22 @@ def op10_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op11_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 highest integer inner products of every twentieth vector."""
+    return columnar.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
+def op12_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Periodic runs of every document, every tenth of which gets a periodic tail."""
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    return periodic.digest(periodic.collapse_runs(table(spark, sf_dir, "documents"), hashes=h))
+
+
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every vector on the first eight whitened components."""
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": op1_packing,
     "op2_licenses": op2_licenses,
@@ -81,6 +97,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_warc": op8_warc,
     "op9_imatch": op9_imatch,
     "op10_minhash": op10_minhash,
+    "op11_topk": op11_topk,
+    "op12_runs": op12_runs,
+    "op13_whitening": op13_whitening,
 }
 
 ORACLE: dict[str, str] = {
@@ -111,5 +130,20 @@ SELECT p.doc_id, p.size, t.source_size, t.target,
          (round(t.target)::BIGINT // t.source_size) * p.size
          + greatest(least(p.start + p.size, round(t.target)::BIGINT % t.source_size) - p.start, 0) END::BIGINT AS taken
 FROM placed p JOIN targets t ON p.source IS NOT DISTINCT FROM t.source
+""",
+    "op11_topk": """
+WITH usable AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(64 * x::DOUBLE)) AS v, list_transform(embedding, lambda x: x::DOUBLE) AS original
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0),
+asked AS (
+  SELECT vec_id, arg_min(v, original) AS v FROM usable WHERE vec_id % 20 = 0 GROUP BY vec_id),
+scored AS (
+  SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.v, c.v)::BIGINT AS score
+  FROM asked q JOIN usable c ON q.vec_id <> c.vec_id AND len(q.v) = len(c.v))
+SELECT query_id, rank::INTEGER AS rank, vec_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM scored)
+WHERE rank <= 20
 """,
 }

@@ -27,6 +27,7 @@ from ..sources import read_csv, row_counts, write_csv
 from ..spec import JobSpec
 from ..streaming import incremental_ingest, read_ingested, split_into_files
 from .load import orchestrate, run_load
+from .staged import staged_load
 from .query import TEST_TABLES, avg_by_group, register_dir, run_sql
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -874,13 +875,70 @@ def orchestrated_quarantine(spark, sf_dir):
     """Kept and rejected rows are the same whichever path the size chooses."""
     parts = []
     for path, report, target, rejects in _both_paths(spark, sf_dir, "orch-quarantine", on_violation="quarantine"):
-        kept = spark.read.parquet(target).agg(F.count(F.lit(1)).alias("in_target"))
-        bad = spark.read.parquet(rejects).agg(F.count(F.lit(1)).alias("in_quarantine"))
+        both = spark.read.parquet(target).select(F.lit(1).alias("good")).unionByName(spark.read.parquet(rejects).select(F.lit(0).alias("good")))
         figures = [F.lit(report[k]).cast("bigint").alias(k) for k in ("rows_in", "rows_written", "rows_rejected")]
-        parts.append(kept.crossJoin(bad).select(F.lit(path).alias("path"), *figures, "in_target", "in_quarantine"))
+        counts = both.agg(F.count_if(F.col("good") == 1).alias("in_target"), F.count_if(F.col("good") == 0).alias("in_quarantine"))
+        parts.append(counts.select(F.lit(path).alias("path"), *figures, "in_target", "in_quarantine"))
     return reduce(DataFrame.unionByName, parts)
 
 
+@register("ledger_rerun_append", """
+SELECT path, o.* FROM orders o, (VALUES ('batch'), ('incremental')) AS paths(path)
+""")
+def ledger_rerun_append(spark, sf_dir):
+    """Two thirds of the files, the same again, then all of them: every file is
+    loaded once, whichever path the size chooses."""
+    parts = []
+    for path, budget in (("batch", 1e15), ("incremental", 1024)):
+        source, target, contracts = (scratch_path(spark, f"ledger-{x}") for x in ("files", "target", "contracts"))
+        orders = table(spark, sf_dir, "orders")
+        spec = JobSpec(input_path=source, input_format="parquet", table_name="orders", if_table_exists="append", date_format=False)
+        orders.where("o_orderkey % 3 > 0").repartition(4).write.parquet(source)
+        for _ in range(2):
+            orchestrate(spark, spec, contracts, budget, target=target)
+        orders.where("o_orderkey % 3 = 0").repartition(2).write.mode("append").parquet(source)
+        orchestrate(spark, spec, contracts, budget, target=target)
+        parts.append(spark.read.parquet(target).withColumn("path", F.lit(path)))
+    return reduce(DataFrame.unionByName, parts)
+
+
+@register("staged_load_resumed", """
+WITH o AS (SELECT count(*) AS n, count_if(o_orderkey % 101 = 0) AS bad FROM orders)
+SELECT n AS rows_in, n - bad AS rows_written, bad AS rows_rejected, n - bad AS in_target, bad AS in_quarantine,
+       (SELECT CAST(sum(o_orderkey) AS BIGINT) FROM orders WHERE o_orderkey % 101 <> 0) AS key_sum, 5 AS batches
+FROM o
+""")
+def staged_load_resumed(spark, sf_dir):
+    """A load of five batches cut short after two and started again: the rest is
+    staged, everything is committed once."""
+    clean_files, files, contracts, target, rejects = (scratch_path(spark, f"resumed-{x}") for x in ("clean", "files", "contracts", "target", "rejects"))
+    table(spark, sf_dir, "orders").withColumn("o_custkey", F.col("o_custkey").cast("string")).write.parquet(clean_files)
+    split_into_files(orders_planted(spark, sf_dir), files, 5)
+    first = JobSpec(input_path=clean_files, input_format="parquet", table_name="orders", date_format=False)
+    run_load(spark, first, contracts, target=scratch_path(spark, "resumed-first"))
+    spec = JobSpec(input_path=files, input_format="parquet", table_name="orders", date_format=False, on_violation="quarantine")
+    seen = []
+
+    class Cut(Exception):
+        pass
+
+    def cut(batch: int) -> None:
+        seen.append(batch)
+        if len(seen) == 2:
+            raise Cut
+
+    for _ in range(2):
+        try:
+            report = staged_load(spark, spec, contracts, target, 0.1, quarantine_target=rejects, on_batch=cut)
+        except Cut:
+            pass
+    good, bad = spark.read.parquet(target), spark.read.parquet(rejects)
+    both = good.select("o_orderkey", F.lit(1).alias("good")).unionByName(bad.select("o_orderkey", F.lit(0).alias("good")))
+    counts = both.agg(F.count_if(F.col("good") == 1).alias("in_target"), F.count_if(F.col("good") == 0).alias("in_quarantine"), F.sum(F.col("o_orderkey") * F.col("good")).alias("key_sum"))
+    figures = [F.lit(report[k]).cast("bigint").alias(k) for k in ("rows_in", "rows_written", "rows_rejected")]
+    return counts.select(*figures, "in_target", "in_quarantine", "key_sum", F.lit(len(seen)).alias("batches"))
+
+
 @register("stream_rerun_append", "SELECT * FROM orders")
 def stream_rerun_append(spark, sf_dir):
     """A rerun of the same stream adds nothing: its checkpoint follows from source and target."""

@@ -20,7 +20,6 @@ skipped when ``date_format`` is off or ``date_columns`` is given):
 
 from __future__ import annotations
 
-import hashlib
 import time
 from contextlib import contextmanager
 
@@ -210,43 +209,42 @@ def run_load(spark: SparkSession, spec: JobSpec, contract_location: str, target:
 
 
 def orchestrate(spark: SparkSession, spec: JobSpec, contract_location: str, budget_bytes: float,
-                target: str | None = None, checkpoint: str | None = None,
+                target: str | None = None, ledger: str | None = None,
                 quarantine_target: str | None = None, findings_target: str | None = None) -> dict:
-    """Size the input against a memory budget, then load it as one batch job
-    (decision eager / lazy) or gather it first by an incremental file stream
-    (streaming) with the plan's chunk fraction turned into files per
-    micro-batch.  Either way ``run_load`` cleans, checks, splits and commits,
-    so schema, checks, kept and rejected rows do not depend on the size.
-
-    The stream writes source rows to a folder beside its ``checkpoint``; the
-    target is touched once, when all chunks have arrived.  A run that is cut
-    short goes on where it stopped.  After an ``append`` the checkpoint stays,
-    so a rerun loads new files only; after ``fail`` and ``replace`` it goes,
-    so the next run loads the whole input again."""
-    from ..operators.profile import file_totals, load_plan, qualified
-    from ..session import shared_root
-    from ..sinks.tables import _fs
-    from ..streaming.incremental import files_per_trigger, incremental_ingest, read_ingested
+    """Size the input against a memory budget, then load it: as one batch
+    (decision eager / lazy) or in as many as the plan's chunk fraction gives
+    (streaming).  Either way ``staged_load`` cleans, checks, splits and commits
+    once, so schema, checks, kept and rejected rows do not depend on the size.
+
+    The ``ledger`` (by default beside the contracts) names the files a target
+    holds: after an ``append`` a rerun loads new files only, whatever the size;
+    ``fail`` and ``replace`` load the whole input."""
+    from ..operators.profile import decide, load_plan
+    from ..sources.ledger import listed_files, new_files
+    from ..streaming.incremental import files_per_trigger
+    from .staged import staged_load
     target = target or spec.target
     check_target(spark, target, spec.if_table_exists)
-    fmt = table_format(spec.input_path, spec.input_format)
-    csv = spec.csv_options() if fmt == "csv" else None
-    plan = load_plan(spark, {spec.target: spec.input_path}, budget_bytes, {spec.target: fmt}, csv_options=csv).first()
-    if plan["load_mode"] == "batch":
-        report = run_load(spark, spec, contract_location, target=target, quarantine_target=quarantine_target,
-                          findings_target=findings_target).first()
-        return {"plan": plan.asDict(), "path": "batch", "report": report.asDict()}
-    n_files = int(file_totals(spark, {spec.target: spec.input_path}).first()["files"])
-    per_trigger = files_per_trigger(n_files, float(plan["chunk_fraction"]))
-    name = hashlib.sha1(f"{qualified(spark, spec.input_path)}\n{target}".encode()).hexdigest()[:16]
-    root = (checkpoint or f"{shared_root(spark)}/tablepipe/gather-{name}").rstrip("/")
-    progress = incremental_ingest(
-        spark, spec.input_path, f"{root}/rows", fmt=fmt, column_naming=None, data_type=None, date_format=False,
-        mode="append", checkpoint=f"{root}/stream", max_files_per_trigger=per_trigger, csv_options=csv)
-    fs, rows = _fs(spark, f"{root}/rows")
-    source = read_ingested(spark, f"{root}/rows") if fs.exists(rows) else read_source(spark, spec).limit(0)
-    report = run_load(spark, spec, contract_location, target=target, source=source,
-                      quarantine_target=quarantine_target, findings_target=findings_target).first()
-    fs.delete(rows if spec.if_table_exists == "append" else _fs(spark, root)[1], True)
-    return {"plan": plan.asDict(), "path": "incremental", "files_per_trigger": per_trigger,
-            "report": report.asDict(), "progress": progress}
+    ledger = ledger or f"{contract_location.rstrip('/')}-ledger"
+    if spec.if_table_exists == "append":
+        files = new_files(spark, spec.input_path, ledger, target)
+    else:
+        files = listed_files(spark, spec.input_path)
+    pending = files.agg(F.count(F.lit(1)).alias("files"), F.coalesce(F.sum("bytes"), F.lit(0)).alias("bytes")).first()
+    plan: dict = {}
+    if pending["files"]:
+        fmt = table_format(spec.input_path, spec.input_format)
+        csv = spec.csv_options() if fmt == "csv" else None
+        plan = load_plan(spark, {spec.target: spec.input_path}, budget_bytes, {spec.target: fmt}, csv_options=csv).first().asDict()
+        if pending["bytes"] < plan["file_bytes"]:             # decided by what there is still to load
+            share = pending["bytes"] / plan["file_bytes"]
+            left = spark.createDataFrame([(plan["estimated_bytes"] * share, int(plan["n_rows"] * share))], "estimated_bytes double, n_rows bigint")
+            plan |= decide(left, budget_bytes).first().asDict()
+    whole = plan.get("load_mode", "batch") == "batch"
+    fraction = 1.0 if whole else float(plan["chunk_fraction"])
+    report = staged_load(spark, spec, contract_location, target, fraction, ledger, quarantine_target, findings_target)
+    progress = {k: report.pop(k) for k in ("batches", "resumed")} | {"input_rows": report["rows_in"]}
+    out = {"plan": plan, "path": "batch" if whole else "incremental", "report": report, "progress": progress}
+    if not whole:
+        out["files_per_trigger"] = files_per_trigger(pending["files"], fraction)
+    return out

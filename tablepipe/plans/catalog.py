@@ -24,6 +24,8 @@ from ..operators.sample import head_fraction, keyed_sample, validation_rows
 from ..session import scratch_path
 from ..sinks import TargetExists, create_target, read_target, write_report, write_table
 from ..sources import read_csv, row_counts, write_csv
+from ..sources.csv_records import read_records, record_counts, record_index
+from ..sources.files import CSV_OPTIONS
 from ..spec import JobSpec
 from ..streaming import incremental_ingest, read_ingested, split_into_files
 from .load import orchestrate, run_load
@@ -960,5 +962,16 @@ def csv_load_documents(spark, sf_dir):
     return spark.read.parquet(target)
 
 
+@register("csv_record_ranges", "SELECT doc_id, text, lang, source, n_chars FROM documents")
+def csv_record_ranges(spark, sf_dir):
+    """The same texts read back in byte ranges of one CSV file, as two row ranges of it."""
+    docs, source = table(spark, sf_dir, "documents"), scratch_path(spark, "documents-one-csv")
+    write_csv(docs.coalesce(1), source)
+    index = record_index(spark, source, 256 << 10)
+    half = record_counts(index).first()["records"] // 2
+    rows = read_records(spark, source, docs.schema, index, number="_row", **CSV_OPTIONS)
+    return rows.where(F.col("_row") < half).unionByName(rows.where(F.col("_row") >= half)).drop("_row")
+
+
 # Q1 coverage queries register themselves into this catalogue.
 from . import sql_coverage  # noqa: E402,F401

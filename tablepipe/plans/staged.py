@@ -42,7 +42,7 @@ from ..operators.profile import qualified
 from ..operators.sample import validation_rows
 from ..session import shared_root
 from ..sinks.tables import _fs, check_target, is_path, target_exists, write_table
-from ..sources.files import read_table, table_format
+from ..sources.files import CSV_OPTIONS, read_csv, read_table, table_format
 from ..sources.ledger import listed_files, new_files, record_load
 from ..spec import JobSpec
 
@@ -123,7 +123,8 @@ def read_files(spark: SparkSession, spec: JobSpec, paths: list[str], schema: T.S
         options["basePath"] = spec.input_path            # partition folders stay columns
     reader = spark.read if schema is None else spark.read.schema(schema)
     if fmt == "csv":
-        from ..sources.files import CSV_OPTIONS
+        if spec.multiline:
+            return read_csv(spark, paths, schema, **spec.csv_options())
         return reader.options(**{**CSV_OPTIONS, **options}).csv(paths)
     return reader.options(**options).parquet(*paths)
 

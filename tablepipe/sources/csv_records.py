@@ -67,22 +67,29 @@ def _opener():
 
 
 def _scanner():
-    """(opened, found): ``found(raw, start, length, inside)`` gives where the records
-    begin that follow a break in the bytes ``raw`` (some more bytes may come after
-    ``own`` of them) and whether those end inside quotes.  Shipped by value."""
+    """(opened, found): ``found(raw, own, first, last)`` gives where the records
+    begin that follow a break in the first ``own`` of the bytes ``raw`` (two more
+    are looked at), for bytes that begin outside and inside quotes, and whether
+    their number of quotes is odd.  Shipped by value."""
     import numpy as np
     opened = _opener()
 
-    def found(raw: bytes, own: int, first: bool, last: bool, inside: bool):
+    def found(raw: bytes, own: int, first: bool, last: bool):
         data = np.frombuffer(raw, np.uint8)
         quotes, breaks = np.flatnonzero(data[:own] == 34), np.flatnonzero(data[:own] == 10)
-        begins = breaks[((np.searchsorted(quotes, breaks) + inside) & 1) == 0] + 1
-        if first:
-            begins = np.concatenate([[0], begins])
+        inside = np.searchsorted(quotes, breaks) & 1
+        begins = breaks + 1
+
+        def at(places):                                       # behind the last byte of a file as if lines went on
+            return np.where(places < len(data), data[np.minimum(places, len(data) - 1)], 10 if last else 0)
+
         # Empty lines are no records: "\\n", "\\r\\n" or the end of the file follows.
-        padded = np.concatenate([data, np.full(2, 10 if last else 0, np.uint8)])
-        empty = (padded[begins] == 10) | ((padded[begins] == 13) & (padded[begins + 1] == 10))
-        return begins[~empty], bool(inside ^ (len(quotes) & 1))
+        follow = at(begins)
+        real = ~((follow == 10) | ((follow == 13) & (at(begins + 1) == 10)))
+        states = [begins[real & (inside == state)] for state in (0, 1)]
+        if first and not (raw[:1] == b"\n" or raw[:2] == b"\r\n" or raw == b"\r"):
+            states[0] = np.concatenate([[0], states[0]])
+        return states, bool(len(quotes) & 1)
 
     return opened, found
 
@@ -94,18 +101,20 @@ def record_index(spark: SparkSession, source: str | list[str], range_bytes: int
     opened, found = _scanner()
 
     def scan(batches):
-        import pandas as pd
-        for pdf in batches:
+        import pyarrow as pa
+        for batch in batches:
             out = []
-            for path, length, start, stop in zip(*(pdf[c].tolist() for c in ("path", "length", "start", "stop"))):
-                with opened(path) as fh:
+            for row in batch.to_pylist():
+                start, stop, length = row["start"], row["stop"], row["length"]
+                with opened(row["path"]) as fh:
                     fh.seek(start)
                     raw = fh.read(min(stop + 2, length) - start)
-                counts = [found(raw, stop - start, start == 0, stop + 2 >= length, state) for state in (False, True)]
-                out.append((path, length, start, stop, counts[0][1], len(counts[0][0]), len(counts[1][0])))
-            yield pd.DataFrame(out, columns=["path", "length", "start", "stop", "odd", "next_closed", "next_open"])
+                (closed, inside), odd = found(raw, stop - start, start == 0, stop + 2 >= length)
+                out.append(row | {"odd": odd, "next_closed": len(closed), "next_open": len(inside)})
+            if out:
+                yield pa.RecordBatch.from_pylist(out)
 
-    counted = _spread(byte_ranges(spark, source, range_bytes)).mapInPandas(scan, INDEX_SCHEMA)
+    counted = _spread(byte_ranges(spark, source, range_bytes)).mapInArrow(scan, INDEX_SCHEMA)
     before = Window.partitionBy("path").orderBy("start").rowsBetween(Window.unboundedPreceding, -1)
     state = counted.withColumn("open", F.coalesce(F.sum(F.col("odd").cast("int")).over(before), F.lit(0)) % 2 == 1)
     state = state.withColumn("records", F.when(F.col("open"), F.col("next_open")).otherwise(F.col("next_closed")))
@@ -131,7 +140,8 @@ def records(index: DataFrame) -> DataFrame:
                     fh.seek(start)
                     raw = fh.read(min(stop + 2, length) - start)
                     own = stop - start
-                    begins, inside = found(raw, own, start == 0, stop + 2 >= length, row["open"])
+                    states, odd = found(raw, own, start == 0, stop + 2 >= length)
+                    begins, inside = states[row["open"]], row["open"] ^ odd
                     if not len(begins):
                         continue
                     # The last record may go on behind the range: up to the next break outside quotes.

@@ -7,16 +7,18 @@ each document its global offset.  The second pass cuts the ids at the fixed
 window boundaries; a document that crosses one yields a piece on either side.
 Nothing is shuffled but the partition totals.
 
-Defined results: null or empty text is the end id alone; repeated rows are
+Any vocabulary file of the tokenizers library may be given.
+
+Defined results: null or empty text is the end id alone; very long texts are
+turned into ids on their own, whole, and cut like others; repeated rows are
 documents of their own; an empty table gives no pieces; null ids stay null;
 columns other than the id and the text are ignored.
 """
 
 from __future__ import annotations
 
-import re
-import struct
-import unicodedata
+import json
+import os
 from collections.abc import Iterator
 
 import numpy as np
@@ -26,86 +28,117 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tablepipe.llm.common import written
+from tablepipe.llm.texts import pieces, words
 
 SEQUENCE = 2048
 END_ID = 1
-# Words a worker keeps with their ids before it starts afresh (about 200 MB).
-CACHE_WORDS = 600_000
-
-_CODERS: dict[str, "WordIds"] = {}
-
-
-class WordIds(dict):
-    """White-space separated word -> its ids as little-endian 32-bit bytes.
-
-    The tokenizer drops white space and never merges across it, so a text's ids
-    are those of its words in turn.  Words of ASCII or Latin letters go straight
-    to the tokenizer's BPE model after its normalisation and split; any other
-    word runs the whole tokenizer."""
-
-    def __init__(self, path: str):
-        import regex
+# Bytes of text that a task turns into ids together, if a single text is not longer.
+PIECE = 8 << 20
+# Distinct words a task keeps with their ids before it starts afresh.
+CACHE_WORDS = 300_000
+# Steps of a tokenizer file after which a text's ids are those of its words in turn.
+CHARACTER_STEPS = {"NFC", "NFD", "NFKC", "NFKD", "Lowercase", "StripAccents"}
+WORD_SPLITS = {"WhitespaceSplit", "Whitespace", "BertPreTokenizer"}
+
+
+def _steps(step: dict | None, inner: str) -> list[dict]:
+    return [] if step is None else step[inner] if step["type"] == "Sequence" else [step]
+
+
+def word_by_word(config: dict) -> bool:
+    """Whether a tokenizer file drops white space and never joins across it, as
+    its own normaliser and splitter say: characters are changed one by one (or
+    runs of white space become one space), then a split keeps no white space."""
+    for step in _steps(config.get("normalizer"), "normalizers"):
+        spaces = step["type"] == "Replace" and step["pattern"] == {"Regex": r"\s+"} and step["content"] == " "
+        if step["type"] not in CHARACTER_STEPS and not spaces:
+            return False
+    splits = _steps(config.get("pre_tokenizer"), "pretokenizers")
+    if config.get("truncation") or config.get("padding") or config.get("post_processor") or not splits:
+        return False
+    if any(t["lstrip"] or t["rstrip"] or t["single_word"] or any(c.isspace() for c in t["content"]) for t in config.get("added_tokens", [])):
+        return False
+    first = splits[0]
+    if first["type"] in WORD_SPLITS:
+        return True
+    if first["type"] != "Split" or first["behavior"] != "Removed" or not first["invert"]:
+        return False
+    # Only what the pattern matches is kept: no alternative of it may match white space.
+    import regex
+
+    pattern = regex.compile(first["pattern"].get("Regex", regex.escape(first["pattern"].get("String", ""))))
+    blanks = [chr(c) for c in (*range(9, 14), 32, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000)]
+    probes = ["a{0}b", "{0}", "1{0}2", ".{0}!", "'{0}s", "{0}{0}x"]
+    return not any(any(c.isspace() for c in m.group()) for b in blanks for p in probes for m in pattern.finditer(p.format(b)))
+
+
+class Coder:
+    """Ids of texts by the vocabulary file at ``path``.
+
+    Where the file allows it (``word_by_word``) every distinct word of a batch
+    goes to the tokenizer once and the texts are put together from the words'
+    ids; else whole texts go to the tokenizer."""
+
+    def __init__(self, path: str, end_id: int | None):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks are the threads
         from tokenizers import Tokenizer
 
-        super().__init__()
         self.tokenizer = Tokenizer.from_file(path)
-        self.model = self.tokenizer.model
-        self.split = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\s\p{L}\p{N}]+").findall
-        self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        printable = [*range(33, 127), *range(161, 173), *range(174, 256)]
-        rest = [b for b in range(256) if b not in printable]
-        self.alphabet = {b: chr(256 + k) for k, b in enumerate(rest)}
-
-    def __missing__(self, word: str) -> bytes:
-        if not word:
-            return b""
-        if word.isascii() and word.isalpha():
-            ids = [t.id for t in self.model.tokenize(word.lower())]
-        elif _LATIN(word) and not any(s in word for s in self.special):
-            ids = []
-            for part in self.split(unicodedata.normalize("NFC", word).lower()):
-                ids += [t.id for t in self.model.tokenize(part.encode().decode("latin-1").translate(self.alphabet))]
-        else:
-            ids = self.tokenizer.encode(word, add_special_tokens=False).ids
-        if len(self) >= CACHE_WORDS:
+        self.encode = getattr(self.tokenizer, "encode_batch_fast", self.tokenizer.encode_batch)
+        with open(path, encoding="utf-8") as f:
+            self.by_word = word_by_word(json.load(f))
+        self.end = [] if end_id is None else [end_id]
+        self.clear()
+
+    def clear(self) -> None:
+        """Word 0 is the end of a text."""
+        self.number: dict[bytes, int] = {}
+        self.flat = np.asarray(self.end, "<u4")
+        self.size = np.asarray([len(self.end)], np.int64)
+
+    def _numbers(self, distinct: list[bytes]) -> np.ndarray:
+        if len(self.number) + len(distinct) > CACHE_WORDS:
             self.clear()
-        out = self[word] = struct.pack(f"<{len(ids)}I", *ids)
-        return out
-
-    def ids(self, text: str) -> bytes:
-        # Only ASCII white space splits here; any other kind stays inside a word for the tokenizer.
-        return b"".join(map(self.__getitem__, text.translate(_SPACES).split(" "))) if text else b""
-
-
-# Visible characters of ASCII and Latin-1: no control, no white space of any kind.
-_LATIN = re.compile("[!-~\xa1-\xff]+").fullmatch
-_SPACES = {9: " ", 10: " ", 11: " ", 12: " ", 13: " "}
-
-
-def coder(path: str) -> WordIds:
-    """The worker's own coder for the vocabulary file at ``path``."""
-    if path not in _CODERS:
-        _CODERS[path] = WordIds(path)
-    return _CODERS[path]
+        new = [w for w in distinct if w not in self.number]
+        if new:
+            ids = [e.ids for e in self.encode([w.decode() for w in new], add_special_tokens=False)]
+            base = len(self.size)
+            self.number.update(zip(new, range(base, base + len(new))))
+            self.size = np.concatenate([self.size, np.fromiter(map(len, ids), np.int64, len(ids))])
+            self.flat = np.concatenate([self.flat, np.fromiter((i for x in ids for i in x), "<u4")])
+        return np.fromiter(map(self.number.__getitem__, distinct), np.int64, len(distinct))
+
+    def ids(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all texts in turn, number of ids of each text)."""
+        if not self.by_word:
+            found = [e.ids + self.end for e in self.encode([t or "" for t in texts.to_pylist()], add_special_tokens=False)]
+            return np.fromiter((i for x in found for i in x), "<u4"), np.fromiter(map(len, found), np.int64, len(found))
+        split, counts = words(texts)
+        coded = split.dictionary_encode()
+        numbers = self._numbers(coded.dictionary.to_pylist())
+        row = numbers[coded.indices.to_numpy(zero_copy_only=False)] if len(split) else np.zeros(0, np.int64)
+        row = np.insert(row, np.cumsum(counts), 0)  # the end of every text
+        starts = np.cumsum(self.size) - self.size
+        size = self.size[row]
+        upto = np.cumsum(size)
+        at = np.arange(int(upto[-1]) if len(upto) else 0) + np.repeat(starts[row] - (upto - size), size)
+        last = np.cumsum(counts + 1) - 1
+        return self.flat[at], np.diff(upto[last], prepend=0)
 
 
 def tokenized(docs: DataFrame, id_col: str, text_col: str, tokenizer: str, end_id: int | None = END_ID) -> DataFrame:
     """doc_id, ids (32-bit little-endian), tokens, part and the tokens before it in its part; written."""
-    end = b"" if end_id is None else np.asarray([end_id], "<u4").tobytes()
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, part, before = coder(tokenizer), TaskContext.get().partitionId(), 0
-        for batch in batches:
-            for k in range(0, batch.num_rows, 512):
-                some = batch.slice(k, 512)
-                ids = [words.ids(t or "") + end for t in some.column(1).to_pylist()]
-                n = np.asarray([len(x) // 4 for x in ids], np.int64)
-                at = before + np.cumsum(n) - n
-                before += int(n.sum())
-                yield pa.RecordBatch.from_arrays(
-                    [some.column(0), pa.array(ids, pa.binary()), pa.array(n), pa.array(np.full(len(n), part, np.int64)), pa.array(at)],
-                    names=["doc_id", "ids", "tokens", "part", "before"],
-                )
+        coder, part, before = Coder(tokenizer, end_id), TaskContext.get().partitionId(), 0
+        for some in pieces(batches, 1, PIECE):
+            ids, n = coder.ids(some.column(1))
+            ends = np.concatenate([[0], np.cumsum(n)])
+            raw = pa.Array.from_buffers(pa.large_binary(), len(n), [None, pa.py_buffer(4 * ends), pa.py_buffer(np.ascontiguousarray(ids))]).cast(pa.binary())
+            yield pa.RecordBatch.from_arrays(
+                [some.column(0), raw, pa.array(n), pa.array(np.full(len(n), part, np.int64)), pa.array(before + ends[:-1])],
+                names=["doc_id", "ids", "tokens", "part", "before"],
+            )
+            before += int(ends[-1])
 
     kind = docs.schema[id_col].dataType.simpleString()
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))

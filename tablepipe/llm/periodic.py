@@ -39,6 +39,8 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tablepipe.llm.texts import pieces, words
+
 LEAST = 6
 POWER = 4
 # Bytes of text that a task looks at together, if a single text is not longer.
@@ -169,24 +171,6 @@ def runs(symbols: np.ndarray, starts: np.ndarray, ends: np.ndarray, least: int =
     return Runs(unique[:, 0], unique[:, 2], unique[:, 1])
 
 
-def words(column: pa.Array) -> tuple[pa.Array, np.ndarray]:
-    """(words of all texts in turn, as bytes; number of words of each text)."""
-    column = column.cast(pa.large_binary()).fill_null(b"")
-    offsets = np.frombuffer(column.buffers()[1], np.int64)[column.offset : column.offset + len(column) + 1]
-    data = np.frombuffer(column.buffers()[2] or b"", np.uint8)[offsets[0] : offsets[-1]]
-    offsets = offsets - offsets[0]
-    ink = ~((data == 32) | ((data >= 9) & (data <= 13)))
-    edge = np.zeros(len(data) + 1, bool)  # where a text begins
-    edge[offsets] = True
-    first = ink & (edge[:-1] | ~np.concatenate([[True], ink[:-1]]))
-    places = np.flatnonzero(first)
-    kept = np.concatenate([[0], np.cumsum(ink)])
-    bounds = np.append(kept[places], kept[-1])
-    counts = np.diff(np.searchsorted(places, offsets))
-    found = pa.Array.from_buffers(pa.large_binary(), len(places), [None, pa.py_buffer(bounds.astype(np.int64)), pa.py_buffer(data[ink])])
-    return found, counts
-
-
 def planted(counts: np.ndarray, hashes: list[int | None]) -> np.ndarray:
     """For each word of the texts which original word stands there: of every tenth
     text by its hash, the words from some place on repeat a stretch of it."""
@@ -203,18 +187,6 @@ def planted(counts: np.ndarray, hashes: list[int | None]) -> np.ndarray:
     return out
 
 
-def _pieces(batches: Iterator[pa.RecordBatch], text: int, most: int) -> Iterator[pa.RecordBatch]:
-    """Slices of whole rows with at most ``most`` bytes of text, or one row."""
-    for b in batches:
-        sizes = pc.fill_null(pc.binary_length(b.column(text)), 0).to_numpy(zero_copy_only=False).astype(np.int64)
-        total, at = np.cumsum(sizes), 0
-        while at < len(sizes):
-            base = total[at - 1] if at else 0
-            to = max(int(np.searchsorted(total, base + most, side="right")), at + 1)
-            yield b.slice(at, to - at)
-            at = to
-
-
 def collapse_runs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", hashes: Column | None = None, least: int = LEAST, power: int = POWER) -> DataFrame:
     """doc_id, words (of the text as searched), runs (start, length, period of each,
     by start and period) and collapsed (the words left when every run keeps its
@@ -226,7 +198,7 @@ def collapse_runs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"), (F.lit(None) if hashes is None else hashes).cast("long").alias("h"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in _pieces(batches, 1, PIECE):
+        for b in pieces(batches, 1, PIECE):
             found, counts = words(b.column(1))
             place = planted(counts, b.column(2).to_pylist())
             bounds = np.concatenate([[0], np.cumsum(counts)])

@@ -5,6 +5,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -12,13 +13,13 @@ from tablepipe.llm import columnar, html, imatch, kmtree, licenses, minhash, mix
 from tablepipe.llm.common import table
 from tablepipe.session import checkpoint_root
 
-TOKENIZERS = "/opt/tokenizers"
+VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
 
 
 def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents packed into sequences of 2048 ids (concatenate and cut)."""
     docs = table(spark, sf_dir, "documents")
-    return packing.digest(packing.pack(docs, f"{TOKENIZERS}/word_bpe_49k.json"))
+    return packing.digest(packing.pack(docs, VOCABULARY))
 
 
 def op2_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -72,6 +72,37 @@ def test_packing(spark, awkward, empty):
     assert packing.pack(empty, VOCAB).count() == 0
 
 
+@pytest.mark.parametrize("name", ["word_bpe_49k.json", "byte_bpe_50k.json"])
+def test_ids_of_a_whole_table_are_the_tokenizers(spark, name):
+    """Every document of sf0.01, by a vocabulary that splits at white space and by one that does not."""
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    path = public_tokenizers.path(name)
+    docs = table(spark, "/root/testdata/sf0.01", "documents")
+    odd = ["a<|endoftext|>b <|endoftext|> c", "e\u0301 \u0301x", "\u03a3\u03a3 \u03a3", "can't we'LL 12 3.5", "a\u00a0b\u2003c\u200bd\x1ce\x85f", "\U0001f600\u200d", "\x00 \ufeff"]
+    docs = docs.select("doc_id", "text").unionByName(spark.createDataFrame([(10**6 + k, t) for k, t in enumerate(odd)], "doc_id long, text string"))
+    got = {r.doc_id: np.frombuffer(r.ids, "<u4").tolist() for r in packing.tokenized(docs, "doc_id", "text", path).collect()}
+    rows = docs.collect()
+    want = Tokenizer.from_file(path).encode_batch([r.text or "" for r in rows], add_special_tokens=False)
+    assert len(got) == len(rows)
+    for r, e in zip(rows, want):
+        assert got[r.doc_id] == [*e.ids, 1], r.doc_id
+
+
+def test_which_vocabularies_go_word_by_word():
+    import json
+
+    import public_tokenizers
+
+    files = {n: json.load(open(public_tokenizers.path(n), encoding="utf-8")) for n in ("word_bpe_49k.json", "byte_bpe_50k.json")}
+    assert packing.word_by_word(files["word_bpe_49k.json"]) and not packing.word_by_word(files["byte_bpe_50k.json"])
+    config = dict(files["word_bpe_49k.json"])
+    assert not packing.word_by_word(config | {"normalizer": {"type": "Replace", "pattern": {"String": "b a"}, "content": "c"}})
+    assert not packing.word_by_word(config | {"pre_tokenizer": {"type": "Split", "pattern": {"Regex": "[a-z ]+"}, "behavior": "Removed", "invert": True}})
+    assert not packing.word_by_word(config | {"pre_tokenizer": None})
+
+
 def test_licenses(spark, awkward, empty):
     import re
 

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from tablepipe.llm import minhash, mixing, packing, quality, suffixes
 from tablepipe.llm.common import table, written
-from tablepipe.llm.queries import TOKENIZERS
+from tablepipe.llm.queries import VOCABULARY
 
 
 def classify(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -45,7 +45,7 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of fixed-length sequences."""
-    return packing.digest(packing.pack(docs, f"{TOKENIZERS}/word_bpe_49k.json"))
+    return packing.digest(packing.pack(docs, VOCABULARY))
 
 
 STAGES = [("quality", classify), ("near_duplicates", near_duplicates), ("repeated_passages", repeated_passages), ("mix", mix), ("pack", pack)]

@@ -17,12 +17,14 @@ columns other than the id and the text are ignored.
 
 from __future__ import annotations
 
+import itertools
 import json
 import os
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -35,7 +37,12 @@ END_ID = 1
 # Bytes of text that a task turns into ids together, if a single text is not longer.
 PIECE = 8 << 20
 # Distinct words a task keeps with their ids before it starts afresh.
-CACHE_WORDS = 300_000
+CACHE_WORDS = 600_000
+# Words that go to the tokenizer as one text.
+JOINED = 5_000
+# A split whose words can be cut further: letters, single digits and other signs
+# never meet in one piece, but after an apostrophe.
+LETTERS_DIGITS_SIGNS = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 # Steps of a tokenizer file after which a text's ids are those of its words in turn.
 CHARACTER_STEPS = {"NFC", "NFD", "NFKC", "NFKD", "Lowercase", "StripAccents"}
 WORD_SPLITS = {"WhitespaceSplit", "Whitespace", "BertPreTokenizer"}
@@ -72,6 +79,18 @@ def word_by_word(config: dict) -> bool:
     return not any(any(c.isspace() for c in m.group()) for b in blanks for p in probes for m in pattern.finditer(p.format(b)))
 
 
+def byte_classes(config: dict) -> np.ndarray | None:
+    """Classes of ASCII letters (1), digits (2) and signs (3) between which a word
+    may be cut for this file, or None.  Apostrophes and signs that occur in an
+    added token stay with what is beside them (0)."""
+    first = _steps(config.get("pre_tokenizer"), "pretokenizers")[0]
+    if first.get("pattern") != {"Regex": LETTERS_DIGITS_SIGNS}:
+        return None
+    whole = {"'"} | {c for t in config.get("added_tokens", []) for c in t["content"] if not c.isalnum()}
+    kinds = [0 if not 33 <= b < 127 or chr(b) in whole else 1 if chr(b).isalpha() else 2 if chr(b).isdigit() else 3 for b in range(256)]
+    return np.asarray(kinds, np.uint8)
+
+
 class Coder:
     """Ids of texts by the vocabulary file at ``path``.
 
@@ -86,7 +105,12 @@ class Coder:
         self.tokenizer = Tokenizer.from_file(path)
         self.encode = getattr(self.tokenizer, "encode_batch_fast", self.tokenizer.encode_batch)
         with open(path, encoding="utf-8") as f:
-            self.by_word = word_by_word(json.load(f))
+            config = json.load(f)
+        self.by_word = word_by_word(config)
+        self.classes = byte_classes(config) if self.by_word else None
+        self.lower = any(x["type"] == "Lowercase" for x in _steps(config.get("normalizer"), "normalizers"))
+        self.added = [t["content"] for t in config.get("added_tokens", [])]
+        self.signs = {"".join(itertools.takewhile(lambda c: not c.isalpha(), a)) for a in self.added}  # how they begin, in any case
         self.end = [] if end_id is None else [end_id]
         self.clear()
 
@@ -97,23 +121,55 @@ class Coder:
         self.size = np.asarray([len(self.end)], np.int64)
 
     def _numbers(self, distinct: list[bytes]) -> np.ndarray:
-        if len(self.number) + len(distinct) > CACHE_WORDS:
-            self.clear()
         new = [w for w in distinct if w not in self.number]
+        if new and len(self.number) + len(new) > CACHE_WORDS:
+            self.clear()
+            new = distinct
         if new:
-            ids = [e.ids for e in self.encode([w.decode() for w in new], add_special_tokens=False)]
+            if self.classes is not None:
+                # Small ASCII letters are left alone by every step before the merges.
+                merge, simple = self.tokenizer.model.tokenize, [w.isalpha() and w.islower() for w in new]
+                others = iter(self._encoded([w.decode() for w, s in zip(new, simple) if not s]))
+                ids = [[t.id for t in merge(w.decode())] if s else next(others) for w, s in zip(new, simple)]
+            else:
+                ids = self._encoded([w.decode() for w in new])
             base = len(self.size)
             self.number.update(zip(new, range(base, base + len(new))))
             self.size = np.concatenate([self.size, np.fromiter(map(len, ids), np.int64, len(ids))])
             self.flat = np.concatenate([self.flat, np.fromiter((i for x in ids for i in x), "<u4")])
         return np.fromiter(map(self.number.__getitem__, distinct), np.int64, len(distinct))
 
+    def _encoded(self, new: list[str]) -> list[list[int]]:
+        """The ids of each word.  Many words are one text for the tokenizer, with an
+        added token between any two of them to tell their ids apart."""
+        odd = {k for k, w in enumerate(new) if any(a in w for a in self.added)}
+        if not self.added or odd:
+            alone = iter([e.ids for e in self.encode([w for k, w in enumerate(new) if not self.added or k in odd], add_special_tokens=False)])
+            if not self.added:
+                return list(alone)
+            others = iter(self._encoded([w for k, w in enumerate(new) if k not in odd]))
+            return [next(alone) if k in odd else next(others) for k in range(len(new))]
+        out: list[list[int]] = []
+        between = self.tokenizer.token_to_id(self.added[0])
+        texts = [f" {self.added[0]} ".join(new[k : k + JOINED]) for k in range(0, len(new), JOINED)]
+        for found in self.encode(texts, add_special_tokens=False) if texts else ():
+            ids = np.asarray(found.ids, np.int64)
+            cuts = np.flatnonzero(ids == between)
+            ends = [*cuts.tolist(), len(ids)]
+            flat, at = ids.tolist(), 0
+            for end in ends:
+                out.append(flat[at:end])
+                at = end + 1
+        return out
+
     def ids(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts in turn, number of ids of each text)."""
         if not self.by_word:
             found = [e.ids + self.end for e in self.encode([t or "" for t in texts.to_pylist()], add_special_tokens=False)]
             return np.fromiter((i for x in found for i in x), "<u4"), np.fromiter(map(len, found), np.int64, len(found))
-        split, counts = words(texts)
+        # An added token is found before letters become small, so texts that may hold one keep theirs.
+        plain = all(self.signs) and not any(pc.any(pc.match_substring(texts, a)).as_py() for a in self.signs)
+        split, counts = words(texts, self.classes, self.lower and plain)
         coded = split.dictionary_encode()
         numbers = self._numbers(coded.dictionary.to_pylist())
         row = numbers[coded.indices.to_numpy(zero_copy_only=False)] if len(split) else np.zeros(0, np.int64)
@@ -121,7 +177,10 @@ class Coder:
         starts = np.cumsum(self.size) - self.size
         size = self.size[row]
         upto = np.cumsum(size)
-        at = np.arange(int(upto[-1]) if len(upto) else 0) + np.repeat(starts[row] - (upto - size), size)
+        total = int(upto[-1]) if len(upto) else 0
+        kind = np.int32 if max(total, len(self.flat)) < 1 << 31 else np.int64
+        at = np.repeat((starts[row] - (upto - size)).astype(kind), size)
+        at += np.arange(total, dtype=kind)
         last = np.cumsum(counts + 1) - 1
         return self.flat[at], np.diff(upto[last], prepend=0)
 

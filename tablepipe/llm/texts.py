@@ -9,8 +9,12 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 
-def words(column: pa.Array) -> tuple[pa.Array, np.ndarray]:
-    """(words of all texts in turn, as bytes; number of words of each text)."""
+def words(column: pa.Array, classes: np.ndarray | None = None, lower: bool = False) -> tuple[pa.Array, np.ndarray]:
+    """(words of all texts in turn, as bytes; number of words of each text).
+
+    ``classes``: a class for each of the 256 bytes; words are also cut between
+    bytes of two classes over 0, and between any two of class 2.  ``lower``: A-Z
+    become a-z."""
     column = column.cast(pa.large_binary()).fill_null(b"")
     offsets = np.frombuffer(column.buffers()[1], np.int64)[column.offset : column.offset + len(column) + 1]
     data = np.frombuffer(column.buffers()[2] or b"", np.uint8)[offsets[0] : offsets[-1]]
@@ -18,7 +22,13 @@ def words(column: pa.Array) -> tuple[pa.Array, np.ndarray]:
     ink = ~((data == 32) | ((data >= 9) & (data <= 13)))
     edge = np.zeros(len(data) + 1, bool)  # where a text begins
     edge[offsets] = True
-    first = ink & (edge[:-1] | ~np.concatenate([[True], ink[:-1]]))
+    begins = edge[:-1] | ~np.concatenate([[True], ink[:-1]])
+    if classes is not None and len(data):
+        kind = classes[data]
+        begins[1:] |= (kind[1:] > 0) & (kind[:-1] > 0) & ((kind[1:] != kind[:-1]) | (kind[1:] == 2))
+    first = ink & begins
+    if lower:
+        data = np.where((data >= 65) & (data <= 90), data + 32, data)
     places = np.flatnonzero(first)
     kept = np.concatenate([[0], np.cumsum(ink)])
     bounds = np.append(kept[places], kept[-1])

@@ -80,7 +80,7 @@ def test_ids_of_a_whole_table_are_the_tokenizers(spark, name):
 
     path = public_tokenizers.path(name)
     docs = table(spark, "/root/testdata/sf0.01", "documents")
-    odd = ["a<|endoftext|>b <|endoftext|> c", "e\u0301 \u0301x", "\u03a3\u03a3 \u03a3", "can't we'LL 12 3.5", "a\u00a0b\u2003c\u200bd\x1ce\x85f", "\U0001f600\u200d", "\x00 \ufeff"]
+    odd = ["a<|endoftext|>b <|endoftext|> c", "e\u0301 \u0301x", "\u03a3\u03a3 \u03a3", "can't we'LL 12 3.5", "a\u00a0b\u2003c\u200bd\x1ce\x85f", "\U0001f600\u200d", "\x00 \ufeff", "<|ENDOFTEXT|> x<|end|>y 'S 'Tis a.'s 5's '5 1\u20e3 =\u0338 a=\u0338b I\u0307 A\u0301b don't.stop/12.5-3", "|<a|b>|"]
     docs = docs.select("doc_id", "text").unionByName(spark.createDataFrame([(10**6 + k, t) for k, t in enumerate(odd)], "doc_id long, text string"))
     got = {r.doc_id: np.frombuffer(r.ids, "<u4").tolist() for r in packing.tokenized(docs, "doc_id", "text", path).collect()}
     rows = docs.collect()

@@ -75,11 +75,10 @@ class WordHashes(dict):
         return out
 
 
-_HASHES = WordHashes()
-
-
-def shingles(text: str | None, words: int = WORDS, hashes: WordHashes = _HASHES) -> np.ndarray:
-    """The sorted distinct 64-bit hashes of the text's shingles of ``words`` words."""
+def shingles(text: str | None, words: int = WORDS, hashes: WordHashes | None = None) -> np.ndarray:
+    """The sorted distinct 64-bit hashes of the text's shingles of ``words`` words.
+    ``hashes``: those of words seen before, which a task keeps while it runs."""
+    hashes = WordHashes() if hashes is None else hashes
     parts = (text or "").encode("utf-8", "surrogatepass").lower().split()
     if not parts:
         return np.zeros(0, np.uint64)
@@ -122,11 +121,12 @@ def sketches(docs: DataFrame, id_col: str, text_col: str, words: int, n: int) ->
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import xxhash
 
+        hashes = WordHashes()
         for batch in batches:
             for k in range(0, batch.num_rows, 512):
                 some, size, digest, sig = batch.slice(k, 512), [], [], []
                 for text in some.column(1).to_pylist():
-                    found = shingles(text, words)
+                    found = shingles(text, words, hashes)
                     size.append(len(found))
                     digest.append(xxhash.xxh3_128_digest(found.tobytes()) if len(found) else None)
                     sig.append(signature(found, n).astype("<u4").tobytes() if len(found) else None)
@@ -293,10 +293,11 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     sigs = written(per_class.join(ids, "id", "left_semi"), "sigs")
 
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hashes = WordHashes()
         for batch in batches:
             for k in range(0, batch.num_rows, 512):
                 some = batch.slice(k, 512)
-                found = [shingles(t, words).astype("<u8").tobytes() for t in some.column(1).to_pylist()]
+                found = [shingles(t, words, hashes).astype("<u8").tobytes() for t in some.column(1).to_pylist()]
                 yield pa.RecordBatch.from_arrays([some.column(0), pa.array(found, pa.binary())], names=["id", "shingles"])
 
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")).join(ids, "id", "left_semi")

@@ -36,7 +36,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tablepipe.llm import anchors
@@ -49,7 +49,9 @@ GROUP = 1024
 BANDS = (17, 4, 1)
 BROADCAST_BYTES = 64 << 20
 # Symbols a task orders at a time.
-CHUNK = 2_000_000
+CHUNK = 500_000
+# Parts into which the places of one extent are dealt before they meet.
+SALTS = 64
 PAD = 0
 
 
@@ -248,16 +250,18 @@ def _large_groups(parts: DataFrame, length: int, gram: int, keep: str) -> DataFr
     levels = _levels(length - gram + 1)
     for turn, level in enumerate(levels):
         found = asking.select("g", "id", "key", "pos", "before", "part", "open").mapInArrow(banded(level), f"g long, id {kind}, key long, pos long, low long, high long, core long, extent long")
-        found = written(found.withColumn("place", F.struct("id", "pos", "key")), "bands")
-        # The first and last place of each extent.
-        tied = written(found.groupBy(*[F.col(c).alias(f"t_{c}") for c in by]).agg(F.min("place").alias("first"), F.max("place").alias("last")), "extents")
+        # The first place of each extent, found in two steps so that a very common one is dealt to many tasks:
+        # within salted parts, then among the first places of the parts.
+        found = found.withColumn("place", F.struct("id", "pos", "key")).withColumn("salt", F.pmod(F.xxhash64("key", "pos"), F.lit(SALTS)))
+        part, whole = Window.partitionBy(*by, "salt"), Window.partitionBy(*by)
+        found = found.withColumn("lead", F.col("place") == F.min("place").over(part)).withColumn("many", F.count(F.lit(1)).over(part) > 1)
+        found = written(found.select(*by, "high", "key", "pos", "place", "lead", "many"), "bands")
+        leads = found.where("lead").withColumn("first", F.min("place").over(whole)).withColumn("shared", F.max("many").over(whole) | (F.count(F.lit(1)).over(whole) > 1))
+        leads = written(leads, "extents")
+        tied = leads.where(F.col("place") == F.col("first")).select(*[F.col(c).alias(f"t_{c}") for c in by], "first")
         # Bands whose equals lie elsewhere (with "first": not the first of them).
-        same = F.lit(True)
-        for c in by:
-            same = same & (F.col(c) == F.col(f"t_{c}"))
-        more = found.join(tied.where(F.col("first") != F.col("last")), same)
-        more = more.where(F.col("place") != F.col("first")) if keep == "first" else more
-        more = more.select("key", (base + F.col("low")).alias("s"), (base + F.col("high") + length).alias("t"))
+        cols = ["key", (base + F.col("low")).alias("s"), (base + F.col("high") + length).alias("t")]
+        more = found.where(~F.col("lead")).select(*cols).unionByName(leads.where(F.col("place") != F.col("first") if keep == "first" else F.col("shared")).select(*cols))
         spans = more if spans is None else spans.unionByName(more)
         if turn + 1 == len(levels):
             return spans  # a window is its own core

@@ -5,7 +5,7 @@ result is written as Parquet and read again as the next stage's docs."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tablepipe.llm import minhash, mixing, packing, quality, suffixes
@@ -14,7 +14,9 @@ from tablepipe.llm.queries import VOCABULARY
 
 
 def classify(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality classifier keeps."""
+    """Documents that the quality classifier keeps.  Every row is judged on its own,
+    null and empty texts by their site alone; without labels all stay; an empty
+    table gives no rows."""
     return quality.filtered(docs, table(spark, sf_dir, "labels"))
 
 
@@ -25,10 +27,19 @@ BANDS, ROWS = 36, 5
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each near-duplicate component (that of the smallest id;
-    five words, similarity 0.8 or more); of rows that share this id, one stays."""
+    five words, similarity 0.8 or more).  Rows that share this id stay if their
+    texts differ; of equal texts under one id, the row whose other columns come
+    first stays.  Rows without an id stay; null and empty texts are like nothing;
+    an empty table gives no rows."""
     found = minhash.near_duplicates(docs, threshold=SIMILAR, bands=BANDS, rows=ROWS).where("kept").select(F.col("doc_id").alias("kept_id")).distinct()
-    named = docs.join(found, F.col("doc_id") == F.col("kept_id"), "left_semi").dropDuplicates(["doc_id"])
-    return named.unionByName(docs.where("doc_id is null"))
+    stays = docs.join(found, F.col("doc_id") == F.col("kept_id"), "left_semi")
+    repeated = written(docs.where("doc_id is not null").groupBy(F.col("doc_id").alias("r_id")).count().where("count > 1").select("r_id"), "repeated-ids")
+    if repeated.limit(1).count():
+        again = stays.join(repeated, F.col("doc_id") == F.col("r_id"), "left_semi")
+        order = Window.partitionBy("doc_id", "text").orderBy(*[F.col(f"`{c}`").asc_nulls_first() for c in docs.columns if c not in ("doc_id", "text")], F.lit(0))
+        first = again.withColumn("_place", F.row_number().over(order)).where("_place = 1").drop("_place")
+        stays = stays.join(repeated, F.col("doc_id") == F.col("r_id"), "left_anti").unionByName(first)
+    return stays.unionByName(docs.where("doc_id is null"))
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -38,13 +49,16 @@ def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents as often as the target weights take them."""
+    """Documents as often as the target weights take them; a part of one at most
+    once a source.  Null and empty texts have no words and are not taken; equal
+    ids are told apart by row; a null source is a source of its own."""
     taken, _ = mixing.mix(docs)
     return mixing.mixed_documents(docs, taken)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of fixed-length sequences."""
+    """Pieces of fixed-length sequences; a null or empty text is its end id alone,
+    copies that the mix made are documents of their own."""
     return packing.digest(packing.pack(docs, VOCABULARY))
 
 

@@ -376,6 +376,14 @@ def test_pipeline(spark, awkward, labels, tmp_path):
     assert odd.count() > 0
 
 
+def test_near_duplicate_stage_keeps_other_texts_of_an_id(spark):
+    rows = [(1, "a b c d e f", "en", "s", 1), (1, "a b c d e f", "de", "s", 1), (1, "quite another text than that one", "en", "s", 1), (2, "a b c d e f", "en", "s", 1), (3, None, "en", "s", 1), (None, "x", "en", "s", 1), (None, "x", "en", "s", 1)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").repartition(3)
+    got = corpus_pipeline.near_duplicates(spark, docs, SF).collect()
+    assert sorted(((r.doc_id or 0, r.text, r.lang) for r in got), key=str) == sorted([(1, "a b c d e f", "de"), (1, "quite another text than that one", "en"), (3, None, "en"), (0, "x", "en"), (0, "x", "en")], key=str)
+    assert corpus_pipeline.near_duplicates(spark, docs.limit(0), SF).count() == 0
+
+
 def test_oracle_of_mixing(spark):
     import duckdb
 

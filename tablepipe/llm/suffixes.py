@@ -44,7 +44,7 @@ from tablepipe.llm.common import written
 
 LENGTH = 200
 GRAM = 48
-GROUP = 1024
+GROUP = 256
 # Windows in a band, level by level.
 BANDS = (17, 4, 1)
 BROADCAST_BYTES = 64 << 20

@@ -37,6 +37,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tablepipe.llm.common import written
+from tablepipe.llm.texts import slim
 
 WORDS = 5
 BANDS, ROWS = 36, 7
@@ -134,7 +135,7 @@ def sketches(docs: DataFrame, id_col: str, text_col: str, words: int, n: int) ->
 
     kind = docs.schema[id_col].dataType.simpleString()
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    return written(rows.mapInArrow(run, f"doc_id {kind}, n_shingles long, digest binary, sig binary"), "sketches")
+    return written(rows.mapInArrow(slim(run), f"doc_id {kind}, n_shingles long, digest binary, sig binary"), "sketches")
 
 
 def with_data(dealt: DataFrame, data: DataFrame, rows: int) -> DataFrame:
@@ -209,7 +210,7 @@ def block_links(asks: DataFrame, labels: DataFrame, data: DataFrame, n: int, ste
                         linked[p] = q
                 yield pa.RecordBatch.from_arrays([x_ids.take(pa.array(list(linked), pa.int64())), y_ids.take(pa.array(list(linked.values()), pa.int64()))], names=["a", "b"])
 
-    return met.mapInArrow(run, f"a {kind}, b {kind}")
+    return met.mapInArrow(slim(run), f"a {kind}, b {kind}")
 
 
 def bucket_links(named: DataFrame, data: DataFrame, n: int, step: int, threshold: tuple[int, int], miss: float, chunk: int) -> DataFrame:
@@ -251,7 +252,7 @@ def bucket_links(named: DataFrame, data: DataFrame, n: int, step: int, threshold
                 a, b = (ids.take(pa.array([x[c] for x in links], pa.int64())) for c in (0, 1))
                 yield pa.RecordBatch.from_arrays([a, b], names=["a", "b"])
 
-    return met.mapInArrow(run, f"a {kind}, b {kind}")
+    return met.mapInArrow(slim(run), f"a {kind}, b {kind}")
 
 
 def components(edges: DataFrame, name: str = "labels") -> DataFrame:
@@ -302,7 +303,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")).join(ids, "id", "left_semi")
     kind = docs.schema[id_col].dataType.simpleString()
-    sets = texts.mapInArrow(hashed, f"id {kind}, shingles binary").where(F.length("shingles") > 0)
+    sets = texts.mapInArrow(slim(hashed), f"id {kind}, shingles binary").where(F.length("shingles") > 0)
     data = written(sets.join(sigs, "id").dropDuplicates(["id", "sig", "shingles"]), "data")
 
     # How much company an id has: a group's common origin shares most buckets and comes first.

@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tablepipe.llm.common import written
-from tablepipe.llm.texts import pieces, words
+from tablepipe.llm.texts import pieces, slim, words
 
 SEQUENCE = 2048
 END_ID = 1
@@ -201,7 +201,7 @@ def tokenized(docs: DataFrame, id_col: str, text_col: str, tokenizer: str, end_i
 
     kind = docs.schema[id_col].dataType.simpleString()
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    return written(rows.mapInArrow(run, f"doc_id {kind}, ids binary, tokens long, part long, before long"), "tokens")
+    return written(rows.mapInArrow(slim(run), f"doc_id {kind}, ids binary, tokens long, part long, before long"), "tokens")
 
 
 def pack(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str = "text", sequence: int = SEQUENCE, end_id: int = END_ID) -> DataFrame:
@@ -240,7 +240,7 @@ def pack(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str
     # One row of two longs per partition of the input: the broadcast is bounded by the partition count.
     placed = tokens.join(F.broadcast(bases), "part").select("doc_id", "ids", (F.col("base") + F.col("before")).alias("first"))
     kind = tokens.schema["doc_id"].dataType.simpleString()
-    return placed.mapInArrow(cut, f"doc_id {kind}, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long")
+    return placed.mapInArrow(slim(cut), f"doc_id {kind}, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long")
 
 
 def digest(pieces: DataFrame) -> DataFrame:

@@ -41,6 +41,7 @@ from pyspark.sql import functions as F
 
 from tablepipe.llm import anchors
 from tablepipe.llm.common import written
+from tablepipe.llm.texts import slim
 
 LENGTH = 200
 GRAM = 48
@@ -81,7 +82,7 @@ def find_anchors(rows: DataFrame, length: int, gram: int) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([some.column(0).take(at), some.column(1).take(at), p, g, e], names=["id", "key", "pos", "g", "e"])
 
     kind = rows.schema["id"].dataType.simpleString()
-    return rows.mapInArrow(run, f"id {kind}, key long, pos long, g long, e long")
+    return rows.mapInArrow(slim(run), f"id {kind}, key long, pos long, g long, e long")
 
 
 def ordered_equal(symbols: np.ndarray, group: np.ndarray, length: int) -> np.ndarray:
@@ -193,7 +194,7 @@ def _small_groups(parts: DataFrame, length: int, gram: int, keep: str) -> DataFr
             yield solve(held.combine_chunks())
 
     rows = parts.repartition("g").sortWithinPartitions("g", "id", "pos", "key").select("g", "key", "pos", "before", "part")
-    return rows.mapInArrow(run, "key long, s long, t long")
+    return rows.mapInArrow(slim(run), "key long, s long, t long")
 
 
 def _window_hashes(symbols: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
@@ -249,7 +250,7 @@ def _large_groups(parts: DataFrame, length: int, gram: int, keep: str) -> DataFr
     asking = parts.withColumn("open", F.array(F.lit(0).cast("long")))
     levels = _levels(length - gram + 1)
     for turn, level in enumerate(levels):
-        found = asking.select("g", "id", "key", "pos", "before", "part", "open").mapInArrow(banded(level), f"g long, id {kind}, key long, pos long, low long, high long, core long, extent long")
+        found = asking.select("g", "id", "key", "pos", "before", "part", "open").mapInArrow(slim(banded(level)), f"g long, id {kind}, key long, pos long, low long, high long, core long, extent long")
         # The first place of each extent, found in two steps so that a very common one is dealt to many tasks:
         # within salted parts, then among the first places of the parts.
         found = found.withColumn("place", F.struct("id", "pos", "key")).withColumn("salt", F.pmod(F.xxhash64("key", "pos"), F.lit(SALTS)))
@@ -308,7 +309,7 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
     kind = rows.schema["id"].dataType.simpleString()
     sides = (F.broadcast(members) if held <= BROADCAST_BYTES else members)
-    parts = written(rows.join(sides, F.col("key") == F.col("r_key")).select("id", "key", "text", "ats").mapInArrow(cut, f"id {kind}, key long, g long, m long, pos long, before long, part binary"), "parts")
+    parts = written(rows.join(sides, F.col("key") == F.col("r_key")).select("id", "key", "text", "ats").mapInArrow(slim(cut), f"id {kind}, key long, g long, m long, pos long, before long, part binary"), "parts")
     spans = spans.unionByName(_small_groups(parts.where(F.col("m") <= group), length, gram, keep))
     if parts.where(F.col("m") > group).limit(1).count():
         large = parts.where(F.col("m") > group).dropDuplicates(["g", "key", "pos"])
@@ -327,7 +328,7 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
                 out.append(np.stack([s[first], t[np.append(first[1:] - 1, len(s) - 1)]], axis=1).astype("<i8").tobytes())
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.binary())], names=["key", "spans"])
 
-    return written(spans.groupBy("key").agg(F.collect_set(F.struct("s", "t")).alias("all")).mapInArrow(merge, "key long, spans binary"), "spans")
+    return written(spans.groupBy("key").agg(F.collect_set(F.struct("s", "t")).alias("all")).mapInArrow(slim(merge), "key long, spans binary"), "spans")
 
 
 def removed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH, gram: int = GRAM, keep: str = "none", group: int = GROUP) -> DataFrame:
@@ -357,7 +358,7 @@ def removed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", len
                 yield pa.RecordBatch.from_arrays([some.column(0), pa.array(kept, pa.binary()), pa.array(n, pa.int64()), pa.array(gone, pa.int64()), pa.array(pieces, pa.int64())], names=["doc", "kept", "n_bytes", "n_removed", "n_spans"])
 
     schema = rows.select("doc").schema.add("kept", "binary").add("n_bytes", "long").add("n_removed", "long").add("n_spans", "long")
-    return rows.mapInArrow(run, schema)
+    return rows.mapInArrow(slim(run), schema)
 
 
 def kept_text(found: DataFrame, columns: list[str], text_col: str = "text", count_col: str | None = "n_chars") -> DataFrame:
@@ -370,7 +371,7 @@ def kept_text(found: DataFrame, columns: list[str], text_col: str = "text", coun
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(texts, pa.string()), batch.column(2)], names=["doc", "kept", "n_removed"])
 
     rows = found.select("doc", "kept", "n_removed")
-    out = rows.mapInArrow(run, rows.select("doc").schema.add("kept", "string").add("n_removed", "long"))
+    out = rows.mapInArrow(slim(run), rows.select("doc").schema.add("kept", "string").add("n_removed", "long"))
     out = out.where("n_removed = 0 or trim(kept) != ''").withColumn("kept", F.when(F.col("n_removed") == 0, F.col(f"doc.{text_col}")).otherwise(F.col("kept")))
     cols = [F.col("kept").alias(c) if c == text_col else F.when(F.col("n_removed") > 0, F.length("kept")).otherwise(F.col(f"doc.{c}")).cast(found.schema["doc"].dataType[c].dataType).alias(c) if c == count_col else F.col(f"doc.`{c}`").alias(c) for c in columns]
     return out.select(*cols)

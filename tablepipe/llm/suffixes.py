@@ -45,7 +45,7 @@ from tablepipe.llm.texts import slim
 
 LENGTH = 200
 GRAM = 48
-GROUP = 256
+GROUP = 512
 # Windows in a band, level by level.
 BANDS = (17, 4, 1)
 BROADCAST_BYTES = 64 << 20
@@ -246,22 +246,26 @@ def _large_groups(parts: DataFrame, length: int, gram: int, keep: str) -> DataFr
         return run
 
     kind = parts.schema["id"].dataType.simpleString()
-    by, base, spans = ["g", "low", "core", "extent"], F.col("pos") - (length - gram), None
+    by, spans = ["g", "low", "core", "extent"], None
     asking = parts.withColumn("open", F.array(F.lit(0).cast("long")))
     levels = _levels(length - gram + 1)
     for turn, level in enumerate(levels):
         found = asking.select("g", "id", "key", "pos", "before", "part", "open").mapInArrow(slim(banded(level)), f"g long, id {kind}, key long, pos long, low long, high long, core long, extent long")
         # The first place of each extent, found in two steps so that a very common one is dealt to many tasks:
         # within salted parts, then among the first places of the parts.
-        found = found.withColumn("place", F.struct("id", "pos", "key")).withColumn("salt", F.pmod(F.xxhash64("key", "pos"), F.lit(SALTS)))
-        part, whole = Window.partitionBy(*by, "salt"), Window.partitionBy(*by)
+        # (Equal extents have equal cores.)
+        found = found.select("g", F.col("low").cast("short").alias("low"), "core", "extent", F.struct("id", "pos", "key").alias("place"))
+        found = found.withColumn("salt", F.pmod(F.xxhash64("place.key", "place.pos"), F.lit(SALTS)).cast("byte"))
+        part, whole = Window.partitionBy("g", "low", "extent", "salt"), Window.partitionBy("g", "low", "extent")
         found = found.withColumn("lead", F.col("place") == F.min("place").over(part)).withColumn("many", F.count(F.lit(1)).over(part) > 1)
-        found = written(found.select(*by, "high", "key", "pos", "place", "lead", "many"), "bands")
-        leads = found.where("lead").withColumn("first", F.min("place").over(whole)).withColumn("shared", F.max("many").over(whole) | (F.count(F.lit(1)).over(whole) > 1))
-        leads = written(leads, "extents")
+        found = written(found.select(*by, "place", "lead", "many"), "bands")
+        leads = found.where("lead").drop("lead").withColumn("first", F.min("place").over(whole)).withColumn("shared", F.max("many").over(whole) | (F.count(F.lit(1)).over(whole) > 1))
+        leads = written(leads.drop("many"), "extents")
         tied = leads.where(F.col("place") == F.col("first")).select(*[F.col(c).alias(f"t_{c}") for c in by], "first")
         # Bands whose equals lie elsewhere (with "first": not the first of them).
-        cols = ["key", (base + F.col("low")).alias("s"), (base + F.col("high") + length).alias("t")]
+        start = F.col("place.pos") - (length - gram) + F.col("low")
+        high = F.element_at(F.create_map(*[F.lit(x) for first, last, _ in level for x in (first, last)]), F.col("low").cast("int"))
+        cols = [F.col("place.key").alias("key"), start.alias("s"), (F.col("place.pos") - (length - gram) + high + length).alias("t")]
         more = found.where(~F.col("lead")).select(*cols).unionByName(leads.where(F.col("place") != F.col("first") if keep == "first" else F.col("shared")).select(*cols))
         spans = more if spans is None else spans.unionByName(more)
         if turn + 1 == len(levels):
@@ -269,7 +273,7 @@ def _large_groups(parts: DataFrame, length: int, gram: int, keep: str) -> DataFr
         # Left open: extents that differ though their core is shared; one place of each extent takes part.
         cores = tied.groupBy(F.col("t_g").alias("c_g"), F.col("t_low").alias("c_low"), F.col("t_core").alias("c_core")).agg((F.min("t_extent") != F.max("t_extent")).alias("differ"))
         unsettled = tied.join(cores.where("differ"), (F.col("t_g") == F.col("c_g")) & (F.col("t_low") == F.col("c_low")) & (F.col("t_core") == F.col("c_core")))
-        asked = unsettled.groupBy(F.col("t_g").alias("a_g"), F.col("first.key").alias("a_key"), F.col("first.pos").alias("a_pos")).agg(F.collect_set("t_low").alias("open"))
+        asked = unsettled.groupBy(F.col("t_g").alias("a_g"), F.col("first.key").alias("a_key"), F.col("first.pos").alias("a_pos")).agg(F.collect_set(F.col("t_low").cast("long")).alias("open"))
         asking = parts.join(asked, (F.col("g") == F.col("a_g")) & (F.col("key") == F.col("a_key")) & (F.col("pos") == F.col("a_pos")))
 
 

@@ -40,7 +40,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tablepipe.llm import anchors
-from tablepipe.llm.common import written
+from tablepipe.llm.common import discard, written
 from tablepipe.llm.texts import slim
 
 LENGTH = 200
@@ -267,13 +267,18 @@ def _large_groups(parts: DataFrame, length: int, gram: int, keep: str) -> DataFr
         high = F.element_at(F.create_map(*[F.lit(x) for first, last, _ in level for x in (first, last)]), F.col("low").cast("int"))
         cols = [F.col("place.key").alias("key"), start.alias("s"), (F.col("place.pos") - (length - gram) + high + length).alias("t")]
         more = found.where(~F.col("lead")).select(*cols).unionByName(leads.where(F.col("place") != F.col("first") if keep == "first" else F.col("shared")).select(*cols))
+        more = written(more, "band-spans")
         spans = more if spans is None else spans.unionByName(more)
-        if turn + 1 == len(levels):
-            return spans  # a window is its own core
+        discard(found)
+        if turn + 1 == len(levels):  # a window is its own core
+            discard(leads)
+            return spans
         # Left open: extents that differ though their core is shared; one place of each extent takes part.
         cores = tied.groupBy(F.col("t_g").alias("c_g"), F.col("t_low").alias("c_low"), F.col("t_core").alias("c_core")).agg((F.min("t_extent") != F.max("t_extent")).alias("differ"))
         unsettled = tied.join(cores.where("differ"), (F.col("t_g") == F.col("c_g")) & (F.col("t_low") == F.col("c_low")) & (F.col("t_core") == F.col("c_core")))
         asked = unsettled.groupBy(F.col("t_g").alias("a_g"), F.col("first.key").alias("a_key"), F.col("first.pos").alias("a_pos")).agg(F.collect_set(F.col("t_low").cast("long")).alias("open"))
+        asked = written(asked, "asked")
+        discard(leads)
         asking = parts.join(asked, (F.col("g") == F.col("a_g")) & (F.col("key") == F.col("a_key")) & (F.col("pos") == F.col("a_pos")))
 
 
@@ -284,18 +289,21 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     grams = written(found.groupBy(F.col("g").alias("l_g")).count().where(F.col("count") > 1).select("l_g"), "grams")
     many = grams.count() * 8 > BROADCAST_BYTES // 4
     live = written(found.join(grams if many else F.broadcast(grams), F.col("g") == F.col("l_g")).drop("l_g"), "live")
+    discard(found, grams)
     classes = written(live.groupBy(F.col("g").alias("c_g"), F.col("e").alias("c_e")).agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("id", "pos", "key")).alias("first")), "classes")
     sizes = classes.groupBy(F.col("c_g").alias("m_g")).agg(F.count(F.lit(1)).alias("m")).where("m > 1")
 
     # Members of classes of two or more: all their windows repeat.
     rest = (F.struct("id", "pos", "key") != F.col("first")) if keep == "first" else F.lit(True)
     copies = live.join(classes.where("n > 1"), (F.col("g") == F.col("c_g")) & (F.col("e") == F.col("c_e"))).where(rest)
-    spans = copies.select("key", F.greatest(F.col("pos") - (length - gram), F.lit(0)).alias("s"), (F.col("pos") + length).alias("t"))
+    spans = written(copies.select("key", F.greatest(F.col("pos") - (length - gram), F.lit(0)).alias("s"), (F.col("pos") + length).alias("t")), "copies")
+    discard(live)
 
     # One member of each class where a gram's classes differ, with its surroundings.
     members = classes.join(sizes, F.col("c_g") == F.col("m_g")).select(F.col("first.key").alias("r_key"), F.struct(F.col("first.pos").alias("pos"), F.col("c_g").alias("g"), "m").alias("at"))
     members = written(members.groupBy("r_key").agg(F.collect_list("at").alias("ats")), "members")
     held = members.agg(F.sum(24 * F.size("ats") + 32)).first()[0] or 0
+    discard(classes)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -314,6 +322,7 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     kind = rows.schema["id"].dataType.simpleString()
     sides = (F.broadcast(members) if held <= BROADCAST_BYTES else members)
     parts = written(rows.join(sides, F.col("key") == F.col("r_key")).select("id", "key", "text", "ats").mapInArrow(slim(cut), f"id {kind}, key long, g long, m long, pos long, before long, part binary"), "parts")
+    discard(members)
     spans = spans.unionByName(_small_groups(parts.where(F.col("m") <= group), length, gram, keep))
     if parts.where(F.col("m") > group).limit(1).count():
         large = parts.where(F.col("m") > group).dropDuplicates(["g", "key", "pos"])
@@ -332,7 +341,9 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
                 out.append(np.stack([s[first], t[np.append(first[1:] - 1, len(s) - 1)]], axis=1).astype("<i8").tobytes())
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.binary())], names=["key", "spans"])
 
-    return written(spans.groupBy("key").agg(F.collect_set(F.struct("s", "t")).alias("all")).mapInArrow(slim(merge), "key long, spans binary"), "spans")
+    merged = written(spans.groupBy("key").agg(F.collect_set(F.struct("s", "t")).alias("all")).mapInArrow(slim(merge), "key long, spans binary"), "spans")
+    discard(spans.select("s"), parts)
+    return merged
 
 
 def removed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH, gram: int = GRAM, keep: str = "none", group: int = GROUP) -> DataFrame:

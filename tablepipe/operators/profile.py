@@ -109,6 +109,83 @@ def parquet_footers(spark: SparkSession, paths: list[str] | str) -> DataFrame:
     return files.mapInPandas(read_footers, FOOTER_SCHEMA)
 
 
+CHUNK_SCHEMA = ("path string, row_group int, column string, physical_type string, num_rows long, num_values long, "
+                "null_count long, compressed_bytes long, uncompressed_bytes long, min_number double, max_number double, "
+                "min_text string, max_text string")
+
+
+def row_group_index(spark: SparkSession, paths: list[str] | str) -> DataFrame:
+    """A zone map, one row per file, row group and column chunk: rows,
+    values, nulls, bytes, and the smallest and largest value (numbers as they are,
+    times as microseconds, dates as days, text as text; both null unless the file
+    holds both).  Only footers are read, in tasks; a file without row groups has
+    no rows."""
+    paths = [paths] if isinstance(paths, str) else list(paths)
+    files = (spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet")
+             .option("recursiveFileLookup", "true").load(paths).select("path"))
+    names = [f.split()[0] for f in CHUNK_SCHEMA.split(", ")]
+
+    def read_chunks(batches):
+        import datetime as dt
+        from urllib.parse import urlparse as _parse
+
+        import pandas as pd
+        import pyarrow.fs as pafs
+        import pyarrow.parquet as pq
+
+        def bound(v):
+            """(number, text) of a statistic."""
+            if isinstance(v, dt.datetime):
+                zero = dt.datetime(1970, 1, 1, tzinfo=v.tzinfo and dt.timezone.utc)
+                return float((v - zero) // dt.timedelta(microseconds=1)), None
+            if isinstance(v, dt.date):
+                return float((v - dt.date(1970, 1, 1)).days), None
+            if isinstance(v, bytes):
+                return None, v.decode("utf-8", "replace")
+            return (None, v) if v is None or isinstance(v, str) else (float(v), None)
+
+        for pdf in batches:
+            out = []
+            for path in pdf["path"]:
+                u = _parse(path)
+                if u.scheme in ("", "file"):
+                    fs, inner = pafs.LocalFileSystem(), (u.path if u.scheme else path)
+                else:
+                    fs, inner = pafs.FileSystem.from_uri(path)
+                with fs.open_input_file(inner) as fh:
+                    md = pq.ParquetFile(fh).metadata
+                    for r in range(md.num_row_groups):
+                        group = md.row_group(r)
+                        for c in range(md.num_columns):
+                            chunk = group.column(c)
+                            st = chunk.statistics
+                            known = st is not None and st.has_min_max
+                            low, high = (bound(st.min), bound(st.max)) if known else ((None, None), (None, None))
+                            nulls = st.null_count if st is not None and st.has_null_count else None
+                            out.append((path, r, chunk.path_in_schema, chunk.physical_type, group.num_rows, chunk.num_values,
+                                        nulls, chunk.total_compressed_size, chunk.total_uncompressed_size,
+                                        low[0], high[0], low[1], high[1]))
+            yield pd.DataFrame(out, columns=names).astype({"null_count": "Int64", "min_number": "float64", "max_number": "float64"})
+
+    return files.mapInPandas(read_chunks, CHUNK_SCHEMA)
+
+
+def row_groups_holding(index: DataFrame, column: str, low=None, high=None) -> DataFrame:
+    """(path, row_group, num_rows) of the row groups that may hold a value of
+    ``column`` from ``low`` to ``high`` (numbers, or text); those without
+    statistics may, those of nulls alone may not."""
+    text = isinstance(low if low is not None else high, str)
+    smallest, largest = (F.col(f"{end}_{'text' if text else 'number'}") for end in ("min", "max"))
+    may = F.lit(True)
+    if low is not None:
+        may = may & (largest.isNull() | (largest >= F.lit(low)))
+    if high is not None:
+        may = may & (smallest.isNull() | (smallest <= F.lit(high)))
+    filled = F.col("null_count").isNull() | (F.col("null_count") < F.col("num_values"))
+    filled = filled & (F.col("num_values") > 0)
+    return index.where((F.col("column") == column) & may & filled).select("path", "row_group", "num_rows")
+
+
 def qualified(spark: SparkSession, path: str) -> str:
     """A path as Spark's file listing spells it (scheme and absolute path)."""
     jvm = spark._jvm

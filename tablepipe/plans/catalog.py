@@ -19,7 +19,8 @@ from ..operators import (cast_columns, cast_probe, clean, date_detection_report,
                          widen_date_columns)
 from ..operators.contract import (capture_contract, catalog_schema_drift, check_contract,
                                   observed_schema, split_by_contract)
-from ..operators.profile import ROWS_MARK, footer_totals, load_plan, size_factors, string_length_stats
+from ..operators.intervals import interval_join
+from ..operators.profile import ROWS_MARK, footer_totals, load_plan, row_group_index, size_factors, string_length_stats
 from ..operators.sample import head_fraction, keyed_sample, validation_rows
 from ..session import scratch_path
 from ..sinks import TargetExists, create_target, read_target, write_report, write_table
@@ -660,6 +661,68 @@ def footer_bytes(spark, sf_dir):
     return footer_totals(spark, {t: f"{sf_dir.rstrip('/')}/{t}.parquet" for t in ALL_TABLES})
 
 
+@register("row_group_index", f"""
+WITH c AS (
+  SELECT regexp_extract(file_name, '([^/]+)\\.parquet$', 1) AS table_name, row_group_id, replace(path_in_schema, ', ', '.') AS column_path,
+         type, row_group_num_rows, num_values, stats_null_count, total_compressed_size, total_uncompressed_size,
+         CASE WHEN stats_max_value IS NOT NULL THEN stats_min_value END AS lo,
+         CASE WHEN stats_min_value IS NOT NULL THEN stats_max_value END AS hi
+  FROM parquet_metadata('{ORACLE_SF_DIR}/*.parquet'))
+SELECT table_name, CAST(row_group_id AS INTEGER) AS row_group, column_path, type AS physical_type,
+       CAST(row_group_num_rows AS BIGINT) AS num_rows, CAST(num_values AS BIGINT) AS num_values,
+       CAST(stats_null_count AS BIGINT) AS null_count, CAST(total_compressed_size AS BIGINT) AS compressed_bytes,
+       CAST(total_uncompressed_size AS BIGINT) AS uncompressed_bytes,
+       CASE type WHEN 'BYTE_ARRAY' THEN NULL WHEN 'FLOAT' THEN CAST(TRY_CAST(lo AS FLOAT) AS DOUBLE)
+            ELSE coalesce(TRY_CAST(lo AS DOUBLE), CAST(epoch_us(TRY_CAST(lo AS TIMESTAMP)) AS DOUBLE)) END AS min_number,
+       CASE type WHEN 'BYTE_ARRAY' THEN NULL WHEN 'FLOAT' THEN CAST(TRY_CAST(hi AS FLOAT) AS DOUBLE)
+            ELSE coalesce(TRY_CAST(hi AS DOUBLE), CAST(epoch_us(TRY_CAST(hi AS TIMESTAMP)) AS DOUBLE)) END AS max_number,
+       CASE type WHEN 'BYTE_ARRAY' THEN lo END AS min_text, CASE type WHEN 'BYTE_ARRAY' THEN hi END AS max_text
+FROM c
+""")
+def row_group_index_q(spark, sf_dir):
+    index = row_group_index(spark, [f"{sf_dir.rstrip('/')}/{t}.parquet" for t in ALL_TABLES])
+    return index.withColumn("table_name", F.regexp_extract("path", r"([^/]+)\.parquet(/[^/]*)?$", 1)).withColumnRenamed("column", "column_path").drop("path")
+
+
+# Windows of minutes (every 500th: of days) after the 25th year of an order's date.
+_ORDER_WINDOWS = ("SELECT o_orderkey, o_custkey, o_orderdate + INTERVAL 9131 DAYS + {minutes} AS w_start, "
+                  "o_orderdate + INTERVAL 9131 DAYS + {minutes} + {length} AS w_end FROM orders")
+_WINDOWS_SPARK = _ORDER_WINDOWS.format(
+    minutes="make_dt_interval(0, 0, o_orderkey % 1440, 0)",
+    length="make_dt_interval(0, 0, CASE WHEN o_orderkey % 500 = 0 THEN 4320 ELSE 1 + o_custkey % 30 END, 0)")
+_WINDOWS_DUCK = _ORDER_WINDOWS.format(
+    minutes="to_minutes(o_orderkey % 1440)",
+    length="to_minutes(CASE WHEN o_orderkey % 500 = 0 THEN 4320 ELSE 1 + o_custkey % 30 END)")
+
+
+def _order_windows(spark, sf_dir):
+    table(spark, sf_dir, "orders").createOrReplaceTempView("orders")
+    return spark.sql(_WINDOWS_SPARK)
+
+
+@register("interval_join", f"""
+SELECT e.event_id, w.o_orderkey, w.w_start, w.w_end
+FROM events e JOIN ({_WINDOWS_DUCK}) w ON e.ts >= w.w_start AND e.ts < w.w_end
+""")
+def interval_join_q(spark, sf_dir):
+    pairs = interval_join(table(spark, sf_dir, "events").select("event_id", "ts"), _order_windows(spark, sf_dir), "ts", "w_start", "w_end")
+    return pairs.select("p.event_id", "i.o_orderkey", "i.w_start", "i.w_end")
+
+
+@register("interval_join_keyed", f"""
+SELECT e.event_type, count(*) AS n_pairs, count(DISTINCT e.event_id) AS n_events
+FROM events e JOIN (SELECT o_custkey, w_start, w_start + INTERVAL 200 DAYS AS w_end FROM ({_WINDOWS_DUCK})) w
+  ON e.user_id = w.o_custkey AND e.ts BETWEEN w.w_start AND w.w_end
+GROUP BY e.event_type
+""")
+def interval_join_keyed(spark, sf_dir):
+    events = table(spark, sf_dir, "events").select("event_id", "event_type", "user_id", "ts")
+    windows = _order_windows(spark, sf_dir).withColumn("w_end", F.expr("w_start + INTERVAL 200 DAYS"))
+    pairs = interval_join(events, windows, "ts", "w_start", "w_end", keys=[("user_id", "o_custkey")], closed=True)
+    return pairs.groupBy(F.col("p.event_type").alias("event_type")).agg(
+        F.count(F.lit(1)).alias("n_pairs"), F.countDistinct("p.event_id").alias("n_events"))
+
+
 LOAD_BUDGET_BYTES = 2 * 1024 * 1024
 _PLAN_COLS = ["table_name", "format", "n_rows", "file_bytes", "uncompressed_bytes", "text_type_factor",
               "row_bytes", "parquet_coarse_factor", "estimated_bytes", "ratio", "decision", "load_mode",

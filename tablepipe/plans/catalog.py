@@ -27,6 +27,7 @@ from ..sinks import TargetExists, create_target, read_target, write_report, writ
 from ..sources import read_csv, row_counts, write_csv
 from ..sources.csv_records import read_records, record_counts, record_index
 from ..sources.files import CSV_OPTIONS
+from ..sources.row_groups import CHUNK, load_chunks
 from ..spec import JobSpec
 from ..streaming import incremental_ingest, read_ingested, split_into_files
 from .load import orchestrate, run_load
@@ -684,6 +685,40 @@ def row_group_index_q(spark, sf_dir):
     return index.withColumn("table_name", F.regexp_extract("path", r"([^/]+)\.parquet(/[^/]*)?$", 1)).withColumnRenamed("column", "column_path").drop("path")
 
 
+@register("row_group_chunks", """
+SELECT l_returnflag, count(*) AS n_rows, count(DISTINCT (l_orderkey, l_linenumber)) AS n_keys,
+       CAST(sum(CAST(l_quantity AS DECIMAL(18,2))) AS DOUBLE) AS sum_qty, min(l_shipdate) AS first_ship, max(l_shipdate) AS last_ship,
+       true AS resumed, 0 AS batches_left
+FROM lineitem GROUP BY l_returnflag
+""")
+def row_group_chunks_q(spark, sf_dir):
+    """One file of many row groups, loaded chunk by chunk; the first run dies
+    between a batch's data and its entry, the second goes on, a third has nothing left."""
+    lines = table(spark, sf_dir, "lineitem")
+    source, target, progress = (scratch_path(spark, f"chunks-{n}") for n in ("source", "target", "progress"))
+    lines.coalesce(1).write.option("parquet.block.size", 256 * 1024).parquet(source)
+    index = row_group_index(spark, source)
+
+    def cut(batch: int) -> None:
+        if batch:
+            raise InterruptedError(f"cut short in batch {batch}")
+
+    rows = lines.count()
+    arguments = (spark, index, lines.schema, target, progress, max(rows // 16, 1), max(rows // 4, 1))
+    try:
+        load_chunks(*arguments, after_batch=cut)
+        resumed = False
+    except InterruptedError:
+        resumed = load_chunks(*arguments) >= 1
+    left = load_chunks(*arguments)
+    loaded = spark.read.parquet(target).drop(CHUNK)
+    return loaded.groupBy("l_returnflag").agg(
+        F.count(F.lit(1)).alias("n_rows"), F.countDistinct("l_orderkey", "l_linenumber").alias("n_keys"),
+        F.sum(F.col("l_quantity").cast("decimal(18,2)")).cast("double").alias("sum_qty"),
+        F.min("l_shipdate").alias("first_ship"), F.max("l_shipdate").alias("last_ship"),
+        F.lit(resumed).alias("resumed"), F.lit(left).alias("batches_left"))
+
+
 # Windows of minutes (every 500th: of days) after the 25th year of an order's date.
 _ORDER_WINDOWS = ("SELECT o_orderkey, o_custkey, o_orderdate + INTERVAL 9131 DAYS + {minutes} AS w_start, "
                   "o_orderdate + INTERVAL 9131 DAYS + {minutes} + {length} AS w_end FROM orders")

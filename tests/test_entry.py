@@ -13,7 +13,7 @@ from tablepipe.plans.query import TEST_TABLES
 
 SF = "/root/testdata/sf0.001"
 # These oracles read Parquet footers of the sf0.01 files on purpose.
-SF001_ONLY = {"footer_bytes", "load_plan"}
+SF001_ONLY = {"footer_bytes", "load_plan", "row_group_index"}
 
 
 def _norm(v):

@@ -27,6 +27,7 @@ from pyspark.sql import types as T
 
 from ..functions.exprs import col
 from ..session import checkpoint_root
+from .selection import exact_sample
 
 TOPK_MAX_ROWS = 200_000
 _ROW_BITS = (1 << 33) - 1
@@ -134,11 +135,14 @@ def head_fraction(df: DataFrame, fraction: float, keys: list[str], **kw) -> Data
     return head_rows(df, n, keys, **kw)
 
 
-def validation_rows(df: DataFrame, sample_size: float = 1.0, keys: list[str] | None = None) -> DataFrame:
+def validation_rows(df: DataFrame, sample_size: float = 1.0, keys: list[str] | None = None, exact: bool = False) -> DataFrame:
     """V7: the rows a contract check looks at: all of them by default, else a
-    keyed sample (or a seeded Bernoulli sample when no keys are given)."""
+    keyed sample (or a seeded Bernoulli sample when no keys are given); with
+    ``exact``, one of exactly ``int(rows * sample_size)`` rows."""
     if sample_size >= 1.0:
         return df
+    if exact:
+        return exact_sample(df, sample_size, keys)
     if keys:
         return keyed_sample(df, sample_size, keys)
     return df.sample(fraction=sample_size, seed=17)

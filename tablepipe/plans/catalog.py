@@ -22,6 +22,7 @@ from ..operators.contract import (capture_contract, catalog_schema_drift, check_
 from ..operators.intervals import interval_join
 from ..operators.profile import ROWS_MARK, footer_totals, load_plan, row_group_index, size_factors, string_length_stats
 from ..operators.sample import head_fraction, keyed_sample, validation_rows
+from ..operators.selection import exact_sample
 from ..session import scratch_path
 from ..sinks import TargetExists, create_target, read_target, write_report, write_table
 from ..sources import read_csv, row_counts, write_csv
@@ -502,6 +503,29 @@ def sample_keyed(spark, sf_dir):
     return keyed_sample(table(spark, sf_dir, "lineitem"), 0.1, ["l_orderkey", "l_linenumber"])
 
 
+def _exact_sql(name: str, fraction: float, keys: list[str]) -> str:
+    text = ", ".join(f"CAST({k} AS VARCHAR)" for k in keys)
+    return f"""
+SELECT * EXCLUDE (_place, _rows) FROM (
+  SELECT *, row_number() OVER (ORDER BY substr(md5(concat_ws('|', {text})), 1, 12)) AS _place, count(*) OVER () AS _rows FROM {name})
+WHERE _place <= CAST(floor(_rows * {fraction}) AS BIGINT)"""
+
+
+@register("sample_exact", _exact_sql("documents", 0.35, ["doc_id"]))
+def sample_exact(spark, sf_dir):
+    """Exactly the share of the documents, with their whole texts."""
+    return exact_sample(table(spark, sf_dir, "documents"), 0.35, ["doc_id"])
+
+
+# Rows that repeat all four keys can only matter where the cut falls among them.
+EXACT_LINE_KEYS = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
+
+
+@register("sample_exact_lines", _exact_sql("lineitem", 0.1, EXACT_LINE_KEYS))
+def sample_exact_lines(spark, sf_dir):
+    return validation_rows(table(spark, sf_dir, "lineitem"), 0.1, EXACT_LINE_KEYS, exact=True)
+
+
 # --------------------------------------------------------------------------
 # S5, P1-P14 size profile
 # --------------------------------------------------------------------------

@@ -277,8 +277,10 @@ def parquet_string_factor(mean_len: Column) -> Column:
 
 
 def size_factors(spark: SparkSession, tables: dict[str, DataFrame], sample_fraction: float = 1.0,
-                 row_counts: DataFrame | None = None) -> DataFrame:
+                 row_counts: DataFrame | None = None, stats: DataFrame | None = None) -> DataFrame:
     """P1-P9 per table: n_rows, string figures and every factor / width.
+    ``stats`` (as ``string_length_stats`` or ``sketches.length_profile`` give them)
+    stands for a scan of the tables.
     With ``sample_fraction`` < 1 the length statistics come from a seeded
     Bernoulli sample; ``row_counts`` (table_name, n_rows) then supplies exact
     counts (e.g. from Parquet footers), else the sample count is scaled up."""
@@ -286,7 +288,8 @@ def size_factors(spark: SparkSession, tables: dict[str, DataFrame], sample_fract
         raise ValueError("sample_fraction must be in (0, 1]")
     sampled = tables if sample_fraction >= 1.0 else {
         t: df.sample(fraction=sample_fraction, seed=29) for t, df in tables.items()}
-    stats = string_length_stats(sampled)
+    if stats is None:
+        stats = string_length_stats(sampled)
     # Row counts and string figures from one aggregate: each table is scanned once.
     is_rows = F.col("column_name") == ROWS_MARK
     figures = stats.groupBy("table_name").agg(

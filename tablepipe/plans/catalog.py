@@ -23,6 +23,7 @@ from ..operators.intervals import interval_join
 from ..operators.profile import ROWS_MARK, footer_totals, load_plan, row_group_index, size_factors, string_length_stats
 from ..operators.sample import head_fraction, keyed_sample, validation_rows
 from ..operators.selection import exact_sample
+from ..operators.sketches import merged_lengths, profile_new_files, rank_error
 from ..session import scratch_path
 from ..sinks import TargetExists, create_target, read_target, write_report, write_table
 from ..sources import read_csv, row_counts, write_csv
@@ -562,6 +563,30 @@ def string_length_stats_q(spark, sf_dir):
     return round_floats(st.where(F.col("column_name") != ROWS_MARK), 6, ["avg_len"])
 
 
+@register("length_sketches", " UNION ALL ".join(
+    f"SELECT '{c}' AS column_name, 2 * count({c}) AS n_values, 2 * CAST(sum(strlen({c})) AS BIGINT) AS total_len, max(strlen({c})) AS max_len, "
+    f"round(avg(strlen({c})), 6) AS avg_len, true AS median_within_error, 3 AS files_first, 2 AS files_second, 0 AS files_third FROM documents"
+    for c in STRING_COLUMNS["documents"]))
+def length_sketches_q(spark, sf_dir):
+    """The documents arrive in three files, then once more in two: each profile
+    reads new files only, and the merged median is held against the exact ranks."""
+    docs, source, store = table(spark, sf_dir, "documents"), scratch_path(spark, "lengths-in"), scratch_path(spark, "lengths-kept")
+    split_into_files(docs, f"{source}/first", 3)
+    read = [profile_new_files(spark, source, store)]
+    split_into_files(docs, f"{source}/second", 2)
+    read += [profile_new_files(spark, source, store) for _ in range(2)]
+    merged = merged_lengths(spark, source, store).where(F.col("column_name") != ROWS_MARK).drop("sketch")
+    medians = {r["column_name"]: r["median_len"] for r in merged.select("column_name", "median_len").collect()}   # one a column
+    lengths = {c: F.octet_length(c) for c in medians}
+    ranks = docs.agg(*[f(lengths[c], m) for c, m in medians.items() for f in (
+        lambda x, m: F.count_if(x < m) / F.count(x), lambda x, m: F.count_if(x <= m) / F.count(x))]).first()
+    within = {c: ranks[2 * i] - rank_error() <= 0.5 <= ranks[2 * i + 1] + rank_error() for i, c in enumerate(medians)}
+    checked = F.create_map(*[F.lit(v) for pair in within.items() for v in pair])[F.col("column_name")]
+    return round_floats(merged, 6, ["avg_len"]).select(
+        "column_name", "n_values", "total_len", "max_len", "avg_len", checked.alias("median_within_error"),
+        *[F.lit(n).alias(f"files_{when}") for n, when in zip(read, ("first", "second", "third"))])
+
+
 def _factors_sql(tables) -> str:
     names = ", ".join(f"'{t}'" for t in tables)
     rows = " UNION ALL ".join(f"SELECT '{t}' AS table_name, count(*) AS n_rows FROM {t}" for t in tables)

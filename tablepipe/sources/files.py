@@ -42,16 +42,16 @@ def table_format(path: str, fmt: str | None = None) -> str:
     return "csv" if path.rstrip("/").lower().endswith(".csv") else "parquet"
 
 
-def read_table(spark: SparkSession, path: str, fmt: str | None = None,
+def read_table(spark: SparkSession, path: str | list[str], fmt: str | None = None,
                schema: T.StructType | str | None = None, **options: str) -> DataFrame:
-    """Read one CSV or Parquet table (file or folder of files)."""
+    """Read one CSV or Parquet table (file or folder of files; a list of files with its format)."""
     fmt = table_format(path, fmt)
     if fmt == "csv":
         return read_csv(spark, path, schema=schema, **options)
     reader = spark.read
     if schema is not None:
         reader = reader.schema(schema)
-    return reader.options(**options).parquet(path)
+    return reader.options(**options).parquet(*([path] if isinstance(path, str) else path))
 
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType | str | None = None,

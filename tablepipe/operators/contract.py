@@ -391,6 +391,13 @@ def split_by_contract(df: DataFrame, contract: DataFrame, table_name: str) -> tu
     return good, bad
 
 
+def keeps_shape(df: DataFrame, contract: DataFrame, table_name: str) -> bool:
+    """Whether the columns of ``df`` are the contract's, in order and type: rows
+    that keep the contract then need no coercion."""
+    expected = [(name, tname) for name, tname, _ in _contract_columns(contract, table_name)]
+    return [(f.name, f.dataType.simpleString()) for f in df.schema.fields] == expected
+
+
 def enforce(df: DataFrame, contract: DataFrame, table_name: str, on_violation: str = "fail",
             settings: dict[str, str] | None = None):
     """V9.  ``fail``: raise ContractViolation with the blocking findings.

@@ -13,14 +13,15 @@ skipped when ``date_format`` is off or ``date_columns`` is given):
   the check observed in the same job, and is committed by renames only when
   nothing blocks (else the staging folder is dropped); two for catalog
   tables or sampled checks (check first, then write);
-* ``quarantine``: one for path targets when nothing blocks (same staging);
-  when rows break the contract, good and rejected rows are then written by
-  two jobs from one row predicate.
+* ``quarantine``: one — kept and rejected rows are written to staging by one
+  job under a verdict partition, with the check observed in it, and committed
+  apart (a sampled check reads the source once more).
 """
 
 from __future__ import annotations
 
 import time
+import uuid
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -32,9 +33,11 @@ from ..operators.rounding import round_floats
 from ..operators.contract import CONTRACT_SCHEMA
 from ..operators.contract import REPORT_SCHEMA as FINDINGS_SCHEMA
 from ..operators.contract import _contract_rows
-from ..operators.contract import (ContractViolation, check_contract, load_contracts,
-                                  observe_capture, observe_contract, save_contract, split_by_contract)
+from ..operators.contract import (ContractViolation, check_contract, keeps_shape, load_contracts,
+                                  observe_capture, observe_contract, row_checks, save_contract, split_by_contract)
 from ..operators.sample import validation_rows
+from ..session import scratch_path
+from ..sinks.split import side, take_side, write_split
 from ..sinks.tables import check_target, commit_staged, discard_staged, is_path, stage, write_table
 from ..sources.files import read_table, table_format
 from ..spec import JobSpec
@@ -73,17 +76,35 @@ def stored_contract(spark: SparkSession, location: str, table: str) -> DataFrame
 
 
 def _write_split(spark: SparkSession, cleaned: DataFrame, contract, spec: JobSpec, target: str,
-                 quarantine_target: str | None) -> tuple[Observation, int]:
-    """Quarantine: rows that keep the contract to the target, the others (as
-    they came, with their violations) to the quarantine; one row predicate."""
-    good, bad = split_by_contract(cleaned, contract, spec.target)
-    bad, rejected = _counted(bad, "rows_rejected")
-    with step(spark, "write quarantine"):
-        bad.write.mode("append").parquet(quarantine_target)
-    out, written = _counted(good, "rows_written")
-    with step(spark, "write"):
-        write_table(out, target, spec.if_table_exists)
-    return written, int(rejected.get["n"])
+                 quarantine_target: str | None, finish=None) -> tuple[int, int, list]:
+    """Quarantine: rows that keep the contract to the target, the others (as they
+    came, with their violations) to the quarantine.  One job reads the source and
+    writes both by one row predicate; the sides are then committed apart, the
+    rejected one first.  ``finish`` gives the findings observed in that job; without
+    a blocking one all rows are kept as they came.  Returns (written, rejected, findings)."""
+    aside = target if is_path(target) else scratch_path(spark, "split")
+    folder = f"{aside.rstrip('/')}.__split-{uuid.uuid4().hex[:12]}"
+    _, _, reason = row_checks(cleaned, contract, spec.target)
+    try:
+        with step(spark, "write kept and rejected rows to staging (contract checked in the job)"):
+            split = write_split(cleaned, reason != "", folder)
+        found = finish().collect() if finish else []
+        blocked = finish is None or any(r["blocking"] for r in found)
+        if split.rejected:
+            with step(spark, "write quarantine"):
+                split_by_contract(side(spark, split, True), contract, spec.target)[1].write.mode("append").parquet(quarantine_target)
+        as_staged = not blocked or keeps_shape(cleaned, contract, spec.target)
+        kept = side(spark, split, False) if as_staged else split_by_contract(side(spark, split, False), contract, spec.target)[0]
+        staging = f"{target.rstrip('/')}.__staging-{uuid.uuid4().hex[:12]}"
+        if as_staged and is_path(target) and take_side(spark, split, False, staging):
+            with step(spark, "commit staged files"):
+                commit_staged(spark, staging, target, spec.if_table_exists)
+        else:
+            with step(spark, "write"):
+                write_table(kept, target, spec.if_table_exists)
+    finally:
+        discard_staged(spark, folder)
+    return split.rows - split.rejected, split.rejected, found
 
 
 def read_source(spark: SparkSession, spec: JobSpec) -> DataFrame:
@@ -130,7 +151,7 @@ def run_load(spark: SparkSession, spec: JobSpec, contract_location: str, target:
         with step(spark, "date detection"):
             cleaned = clean_with(raw, spec, dates)
     report_rows: list | None = None
-    rows_rejected = 0
+    rows_written, rows_rejected = None, 0
     if created and candidates:
         out, finish = observe_capture(cleaned, spec.target, 1, settings)
         out, written = _counted(out, "rows_written")
@@ -159,10 +180,14 @@ def run_load(spark: SparkSession, spec: JobSpec, contract_location: str, target:
             write_table(out, target, spec.if_table_exists)
         with step(spark, "save contract"):
             save_contract(finish(), contract_location)
-    elif spec.on_violation in ("fail", "quarantine") and is_path(target) and spec.sample_size >= 1.0:
-        # One pass when nothing blocks: stage the write with the check observed
-        # in the same job, then commit by renames.  Otherwise drop the staging
-        # folder and raise (fail) or split the rows (quarantine).
+    elif spec.on_violation == "quarantine" and spec.sample_size >= 1.0:
+        # One pass whatever is wrong: the check is observed in the job that
+        # writes the rows by verdict.
+        out, finish = observe_contract(cleaned, contract, spec.target, settings)
+        rows_written, rows_rejected, report_rows = _write_split(spark, out, contract, spec, target, quarantine_target, finish)
+    elif spec.on_violation == "fail" and is_path(target) and spec.sample_size >= 1.0:
+        # One pass: stage the write with the check observed in the same job,
+        # then commit by renames, or drop the staging folder and raise.
         out, finish = observe_contract(cleaned, contract, spec.target, settings)
         out, written = _counted(out, "rows_written")
         with step(spark, "write to staging (contract checked in the job)"):
@@ -174,9 +199,7 @@ def run_load(spark: SparkSession, spec: JobSpec, contract_location: str, target:
                 commit_staged(spark, staging, target, spec.if_table_exists)
         else:
             discard_staged(spark, staging)
-            if spec.on_violation == "fail":
-                raise ContractViolation(blocking_rows)
-            written, rows_rejected = _write_split(spark, cleaned, contract, spec, target, quarantine_target)
+            raise ContractViolation(blocking_rows)
     elif spec.on_violation == "report" and spec.sample_size >= 1.0:
         out, finish = observe_contract(cleaned, contract, spec.target, settings)
         out, written = _counted(out, "rows_written")
@@ -191,12 +214,13 @@ def run_load(spark: SparkSession, spec: JobSpec, contract_location: str, target:
         if spec.on_violation == "fail" and blocking:
             raise ContractViolation([r.asDict() for r in report_rows if r["blocking"]])
         if spec.on_violation == "quarantine" and blocking:
-            written, rows_rejected = _write_split(spark, cleaned, contract, spec, target, quarantine_target)
+            rows_written, rows_rejected, _ = _write_split(spark, cleaned, contract, spec, target, quarantine_target)
         else:
             out, written = _counted(cleaned, "rows_written")
             with step(spark, "write"):
                 write_table(out, target, spec.if_table_exists)
-    rows_written = int(written.get["n"])
+    if rows_written is None:
+        rows_written = int(written.get["n"])
     n_findings = n_blocking = 0
     if report_rows is not None:
         n_findings, n_blocking = len(report_rows), sum(1 for r in report_rows if r["blocking"])

@@ -35,12 +35,13 @@ from pyspark.sql import types as T
 
 from ..operators.clean import clean, clean_with, date_columns_from_contract
 from ..operators.contract import (CONTRACT_SCHEMA, ContractViolation, check_contract, observe_capture,
-                                  observe_contract, save_contract, split_by_contract)
+                                  keeps_shape, observe_contract, row_checks, save_contract, split_by_contract)
 from ..operators.contract import REPORT_SCHEMA as FINDINGS_SCHEMA
 from ..operators.dates import detect_date_columns
 from ..operators.profile import qualified
 from ..operators.sample import validation_rows
 from ..session import shared_root
+from ..sinks.split import side, take_side, write_split
 from ..sinks.tables import _fs, check_target, is_path, target_exists, write_table
 from ..sources.files import CSV_OPTIONS, read_csv, read_table, table_format
 from ..sources.ledger import listed_files, new_files, record_load
@@ -231,6 +232,8 @@ def _stage_batch(spark, spec: JobSpec, cleaned: DataFrame, contract: list, rows:
         out, n = _counted(out)
         out.write.mode("overwrite").parquet(rows)
         return {"rows": n(), "rejected": 0, "capture": [list(r) for r in finish().collect()], "findings": []}
+    if spec.on_violation == "quarantine":
+        return _stage_split(spark, spec, cleaned, contract, rows, rejects)
     if spec.sample_size < 1.0:
         checked = validation_rows(cleaned, spec.sample_size, spec.sample_keys)
         found = check_contract(checked, contract, spec.target, spec.settings()).collect()
@@ -243,17 +246,40 @@ def _stage_batch(spark, spec: JobSpec, cleaned: DataFrame, contract: list, rows:
     blocking = [r.asDict() for r in found if r["blocking"]]
     if blocking and spec.on_violation == "fail":
         raise ContractViolation(blocking)
-    rejected = 0
-    if blocking and spec.on_violation == "quarantine":
-        good, bad = split_by_contract(cleaned, contract, spec.target)
-        good, n = _counted(good)
-        bad, refused = _counted(bad)
+    if spec.sample_size < 1.0:
+        out.write.mode("overwrite").parquet(rows)
+    return {"rows": n(), "rejected": 0, "capture": [], "findings": [list(r) for r in found]}
+
+
+def _stage_split(spark, spec: JobSpec, cleaned: DataFrame, contract: list, rows: str, rejects: str) -> dict:
+    """One batch whose rejected rows go aside: its rows are read and written once,
+    by verdict.  The kept side becomes the batch by a rename, or by a read of the
+    staged files where the contract's types ask for a coercion."""
+    found = None
+    if spec.sample_size < 1.0:
+        checked = validation_rows(cleaned, spec.sample_size, spec.sample_keys)
+        found = check_contract(checked, contract, spec.target, spec.settings()).collect()
+        if not any(r["blocking"] for r in found):           # the sample decides: all rows stay
+            out, n = _counted(cleaned)
+            out.write.mode("overwrite").parquet(rows)
+            return {"rows": n(), "rejected": 0, "capture": [], "findings": [list(r) for r in found]}
+        out = cleaned
+    else:
+        out, finish = observe_contract(cleaned, contract, spec.target, spec.settings())
+    _, _, reason = row_checks(cleaned, contract, spec.target)
+    split = write_split(out, reason != "", f"{rows}.split")
+    found = finish().collect() if found is None else found
+    blocked = any(r["blocking"] for r in found)
+    if split.rejected:
+        _, bad = split_by_contract(side(spark, split, True), contract, spec.target)
         bad.write.mode("overwrite").parquet(rejects)
+    if blocked and not keeps_shape(cleaned, contract, spec.target):
+        good, _ = split_by_contract(side(spark, split, False), contract, spec.target)
         good.write.mode("overwrite").parquet(rows)
-        rejected = refused()
-    elif spec.sample_size < 1.0:
-        out.write.mode("overwrite").parquet(rows)
-    return {"rows": n(), "rejected": rejected, "capture": [], "findings": [list(r) for r in found]}
+    elif not take_side(spark, split, False, rows):
+        side(spark, split, False).write.mode("overwrite").parquet(rows)      # no row: an empty table
+    _delete(spark, split.folder)
+    return {"rows": split.rows - split.rejected, "rejected": split.rejected, "capture": [], "findings": [list(r) for r in found]}
 
 
 def _check_nothing(spark, spec, schema, plan, contract) -> None:

@@ -11,8 +11,8 @@ system, lost tasks rerun): a row is one frame and the line separator is an empty
 skippable frame, which every Zstandard reader passes over.
 
 Defined results: null html is the empty payload; repeated rows are records of
-their own and, at equal page ids, the one of smaller url, then the earlier row,
-is the response; an empty table gives an empty archive.
+their own and, at equal page ids, the one of smaller url is the response (of wholly
+equal rows, one); an empty table gives an empty archive.
 """
 
 from __future__ import annotations
@@ -27,6 +27,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tablepipe.llm.common import written
+
 # The two values the format fixes: the skippable frame of the dictionary, and of the separator.
 DICT_MAGIC = 0x184D2A5D
 EMPTY_FRAME = struct.pack("<II", 0x184D2A50, 0)
@@ -36,6 +38,7 @@ SAMPLE_ROWS = 2000
 SAMPLE_BYTES = 16_384
 DICT_BYTES = 65_536
 DATE = "2020-01-01T00:00:00Z"
+COPIES = 1024               # records of one repeated row that stay together
 
 
 def record(page_id, url: str | None, payload: bytes, digest: str, refers_to, revisit: bool) -> bytes:
@@ -107,15 +110,32 @@ def train_dictionary(samples: list[bytes]) -> bytes:
 
 
 def classified(pages: DataFrame, id_col: str, url_col: str, html_col: str, min_payload: int) -> DataFrame:
-    """page_id, url, payload, refers_to, revisit."""
-    rows = pages.select(F.col(id_col).alias("page_id"), F.col(url_col).cast("string").alias("url"), F.coalesce(F.col(html_col).cast("binary"), F.lit(b"")).alias("payload"), F.monotonically_increasing_id().alias("row"))
+    """page_id, url, payload, refers_to, revisit.
+
+    Of equal payloads the row of the smallest page id (null last), then url, is the
+    response.  Rows are told apart by their values alone, never by their place, so
+    a task that runs again decides as before.  Rows that repeat one page (id, url
+    and payload) are counted and written again as one response and its revisits."""
+    rows = pages.select(F.col(id_col).alias("page_id"), F.col(url_col).cast("string").alias("url"), F.coalesce(F.col(html_col).cast("binary"), F.lit(b"")).alias("payload"))
     rows = rows.withColumn("key", F.sha2("payload", 256))
-    # Smallest page id (null last), then url, then row; partial aggregates before the shuffle.
-    order = F.struct(F.col("page_id").isNull().alias("no_id"), "page_id", F.coalesce("url", F.lit("")).alias("url"), "row")
-    firsts = rows.where(F.length("payload") >= min_payload).groupBy(F.col("key").alias("f_key")).agg(F.min(order).alias("first"))
+    # Partial aggregates before either shuffle; neither carries a payload.
+    alike = rows.where(F.length("payload") >= min_payload).groupBy(F.col("key").alias("f_key"), "page_id", F.coalesce("url", F.lit("")).alias("url")).count()
+    first = F.min(F.struct(F.col("page_id").isNull().alias("no_id"), "page_id", "url", "count"))
+    firsts = written(alike.groupBy("f_key").agg(first.alias("first")), "first-pages")
+    is_first = F.col("page_id").eqNullSafe(F.col("first.page_id")) & (F.coalesce("url", F.lit("")) == F.col("first.url"))
     out = rows.join(firsts, F.col("key") == F.col("f_key"), "left")
-    revisit = F.coalesce(F.col("first.row") != F.col("row"), F.lit(False))
-    return out.select("page_id", "url", "payload", F.when(revisit, F.col("first.page_id")).alias("refers_to"), revisit.alias("revisit"))
+    revisit = F.col("f_key").isNotNull() & ~is_first        # no key: too small to be met again
+    answer = ["page_id", "url", "payload", F.when(F.col("revisit"), F.col("first.page_id")).alias("refers_to"), "revisit"]
+    repeated = firsts.where("first.count > 1")
+    if not repeated.limit(1).count():
+        return out.withColumn("revisit", revisit).select(*answer)
+    single = out.where(F.col("f_key").isNull() | ~is_first | (F.col("first.count") == 1)).withColumn("revisit", revisit)
+    pages_of = rows.join(repeated, (F.col("key") == F.col("f_key")) & is_first)
+    one = pages_of.groupBy("key").agg(F.first("page_id").alias("page_id"), F.max("url").alias("url"), F.first("payload").alias("payload"), F.first("first").alias("first"))
+    chunks = F.floor((F.col("first.count") - 1) / COPIES).cast("int")
+    spread = one.withColumn("chunk", F.explode(F.sequence(F.lit(0), chunks))).repartition("key", "chunk")
+    copies = spread.withColumn("copy", F.explode(F.sequence(F.col("chunk") * COPIES, F.least((F.col("chunk") + 1) * COPIES, F.col("first.count")) - 1)))
+    return single.select(*answer).unionByName(copies.withColumn("revisit", F.col("copy") > 0).select(*answer))
 
 
 def write_archives(pages: DataFrame, path: str, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", min_payload: int = MIN_PAYLOAD) -> str:
@@ -144,7 +164,7 @@ def write_archives(pages: DataFrame, path: str, id_col: str = "page_id", url_col
 
     rows = classified(pages, id_col, url_col, html_col, min_payload)
     packed = rows.mapInArrow(compress, "frame binary")
-    packed.select(F.col("frame").cast("string").alias("value")).write.option("lineSep", EMPTY_FRAME.decode("latin-1")).text(path)
+    packed.select(F.col("frame").cast("string").alias("value")).write.option("lineSep", EMPTY_FRAME.decode("latin-1")).option("compression", "none").text(path)
     return path
 
 

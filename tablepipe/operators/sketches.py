@@ -44,7 +44,9 @@ def read_store(spark: SparkSession, store: str) -> DataFrame:
     at once may both have added a file: it counts once."""
     if not target_exists(spark, store):
         return spark.createDataFrame([], STORE_SCHEMA)
-    return spark.read.schema(STORE_SCHEMA).parquet(store).dropDuplicates([*IDENTITY, "column_name"])
+    kept = spark.read.schema(STORE_SCHEMA).parquet(store)
+    figures = [c for c in kept.columns if c not in (*IDENTITY, "column_name")]
+    return kept.groupBy(*IDENTITY, "column_name").agg(F.collect_list(F.struct(*figures))[0].alias("f")).select(*IDENTITY, "column_name", "f.*")
 
 
 def sketch_rows(df: DataFrame, k: int = K) -> DataFrame:

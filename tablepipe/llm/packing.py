@@ -35,7 +35,8 @@ from tablepipe.llm.texts import pieces, slim, words
 SEQUENCE = 2048
 END_ID = 1
 # Bytes of text that a task turns into ids together, if a single text is not longer.
-PIECE = 8 << 20
+# Places, words and ids held beside it are many times as large, so pieces are small.
+PIECE = 2 << 20
 # Distinct words a task keeps with their ids before it starts afresh.
 CACHE_WORDS = 600_000
 # Words that go to the tokenizer as one text.

@@ -31,7 +31,8 @@ def words(column: pa.Array, classes: np.ndarray | None = None, lower: bool = Fal
     if lower:
         data = np.where((data >= 65) & (data <= 90), data + 32, data)
     places = np.flatnonzero(first)
-    kept = np.concatenate([[0], np.cumsum(ink)])
+    kept = np.zeros(len(data) + 1, np.int32 if len(data) < 1 << 31 else np.int64)
+    np.cumsum(ink, out=kept[1:])
     bounds = np.append(kept[places], kept[-1])
     counts = np.diff(np.searchsorted(places, offsets))
     found = pa.Array.from_buffers(pa.large_binary(), len(places), [None, pa.py_buffer(bounds.astype(np.int64)), pa.py_buffer(data[ink])])

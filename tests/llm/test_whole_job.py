@@ -169,3 +169,25 @@ def test_pipeline_near_duplicates_against_brute_force(spark):
     want = brute_components({r.doc_id: r.text for r in docs.collect()}, (80, 100))
     got = corpus_pipeline.near_duplicates(spark, docs, SF).collect()
     assert sorted(r.doc_id for r in got) == sorted(k for k, (c, _) in want.items() if c == k)
+
+
+def test_tokens_are_made_in_small_pieces():
+    """What a task holds beside its text stays small, whatever a batch holds."""
+    import tracemalloc
+
+    import pyarrow as pa
+
+    from tablepipe.llm import packing
+    from tablepipe.llm.queries import VOCABULARY
+    from tablepipe.llm.texts import pieces
+
+    texts = [f"word{i % 50} and some more, {i} " * 250 for i in range(1200)]
+    coder = packing.Coder(VOCABULARY, packing.END_ID)
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(texts))), pa.array(texts)], names=["doc_id", "text"])
+    whole = coder.ids(batch.column(1))
+    tracemalloc.start()
+    found = [coder.ids(some.column(1)) for some in pieces(iter([batch]), 1, packing.PIECE)]
+    kept, peak = tracemalloc.get_traced_memory()
+    tracemalloc.stop()
+    assert peak - kept < 80e6
+    assert all((a == b).all() for a, b in zip(whole, (np.concatenate([f[k] for f in found]) for k in (0, 1)), strict=True))

@@ -735,17 +735,21 @@ def row_group_index_q(spark, sf_dir):
 
 
 @register("row_group_chunks", """
+TASK_ROWS = 250_000
+
+
 SELECT l_returnflag, count(*) AS n_rows, count(DISTINCT (l_orderkey, l_linenumber)) AS n_keys,
        CAST(sum(CAST(l_quantity AS DECIMAL(18,2))) AS DOUBLE) AS sum_qty, min(l_shipdate) AS first_ship, max(l_shipdate) AS last_ship,
        true AS resumed, 0 AS batches_left
 FROM lineitem GROUP BY l_returnflag
 """)
 def row_group_chunks_q(spark, sf_dir):
-    """One file of many row groups, loaded chunk by chunk; the first run dies
-    between a batch's data and its entry, the second goes on, a third has nothing left."""
+    """Files of many row groups (one a task: a small table is one file), loaded chunk by
+    chunk; the first run dies between a batch's data and its entry, the second goes on, a
+    third has nothing left."""
     lines = table(spark, sf_dir, "lineitem")
     source, target, progress = (scratch_path(spark, f"chunks-{n}") for n in ("source", "target", "progress"))
-    lines.coalesce(1).write.option("parquet.block.size", 256 * 1024).parquet(source)
+    lines.write.option("parquet.block.size", 256 * 1024).parquet(source)
     index = row_group_index(spark, source)
 
     def cut(batch: int) -> None:
@@ -753,7 +757,8 @@ def row_group_chunks_q(spark, sf_dir):
             raise InterruptedError(f"cut short in batch {batch}")
 
     rows = lines.count()
-    arguments = (spark, index, lines.schema, target, progress, max(rows // 16, 1), max(rows // 4, 1))
+    # A chunk is a task's share and does not grow with the table; there are more of them in a batch.
+    arguments = (spark, index, lines.schema, target, progress, max(min(rows // 16, TASK_ROWS), 1), max(rows // 4, 1))
     try:
         load_chunks(*arguments, after_batch=cut)
         resumed = False

@@ -33,7 +33,9 @@ def row_group_chunks(index: DataFrame, chunk_rows: int) -> DataFrame:
 def read_chunks(chunks: DataFrame, schema: T.StructType, tasks: int | None = None) -> DataFrame:
     """Rows of the given chunks, with ``path`` and ``first_group`` of their chunk as
     ``_path`` and ``_first``.  Tasks open the files themselves and read only their
-    row groups and the columns of ``schema``, batch by batch."""
+    row groups and the columns of ``schema``, batch by batch.  Chunks are dealt in
+    order to ``tasks`` tasks, by default one each: the list is so short that Spark
+    would otherwise join its partitions, and one task would read every chunk."""
     out = T.StructType([T.StructField("_path", T.StringType()), T.StructField("_first", T.IntegerType()), *schema.fields])
     wanted = to_arrow_schema(schema)
 
@@ -59,8 +61,7 @@ def read_chunks(chunks: DataFrame, schema: T.StructType, tasks: int | None = Non
                             names=["_path", "_first", *wanted.names])
 
     dealt = chunks.select("path", "first_group", "last_group")
-    dealt = dealt.repartition(tasks, "path", "first_group") if tasks else dealt.repartition("path", "first_group")
-    return dealt.mapInArrow(run, out)
+    return dealt.repartitionByRange(tasks or max(dealt.count(), 1), "path", "first_group").mapInArrow(run, out)
 
 
 def load_chunks(spark: SparkSession, index: DataFrame, schema: T.StructType, target: str, progress: str, chunk_rows: int,
@@ -84,10 +85,11 @@ def load_chunks(spark: SparkSession, index: DataFrame, schema: T.StructType, tar
     listed = scratch_path(spark, "chunk-list")
     pending.write.parquet(listed)
     pending = spark.read.schema(pending.schema).parquet(listed)
-    batches = [r.batch for r in pending.select("batch").distinct().orderBy("batch").collect()]
-    for batch in batches:
+    batches = [(r["batch"], r["chunks"]) for r in pending.groupBy("batch").agg(F.count(F.lit(1)).alias("chunks")).orderBy("batch").collect()]
+    for batch, tasks in batches:
         now = pending.where(F.col("batch") == batch)
-        rows = read_chunks(now, schema).withColumn(CHUNK, F.concat_ws("-", F.substring(F.sha2("_path", 256), 1, 16), "_first")).drop("_path", "_first")
+        # A task sorts its rows by chunk before it writes them: no more than one chunk's.
+        rows = read_chunks(now, schema, tasks).withColumn(CHUNK, F.concat_ws("-", F.substring(F.sha2("_path", 256), 1, 16), "_first")).drop("_path", "_first")
         rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(CHUNK).parquet(target)
         if after_batch:
             after_batch(batch)

@@ -50,3 +50,28 @@ def test_restarted_load_has_every_row_once(spark, tmp_dir, at):
     out = spark.read.parquet(target)
     assert out.count() == 125 and out.where("s is not null").agg(F.count_distinct("s")).first()[0] == 125 - 15 - 4
     assert load_chunks(spark, index, schema, target, progress, 20, 50) == 0
+
+
+def test_a_task_reads_one_chunk(spark, tmp_dir):
+    files(tmp_dir)
+    chunks = row_group_chunks(row_group_index(spark, tmp_dir), 30)
+    rows = read_chunks(chunks, spark.createDataFrame([], SCHEMA).schema)
+    tasks = rows.groupBy(F.spark_partition_id().alias("task")).agg(F.count_distinct("_path", "_first").alias("chunks")).collect()
+    assert len(tasks) == 5 and {r.chunks for r in tasks} == {1}
+
+
+def test_chunk_query_over_several_files(spark, tmp_dir, monkeypatch):
+    from tablepipe.plans import catalog
+
+    lines = spark.range(4000).selectExpr("id as l_orderkey", "1 as l_linenumber", "if(id % 3 = 0, 'A', 'N') as l_returnflag", "id % 50 as l_quantity",
+                                         "date_add(date'1995-01-01', int(id % 900)) as l_shipdate")
+    lines.repartition(3).write.parquet(f"{tmp_dir}/lineitem.parquet")
+    monkeypatch.setattr(catalog, "scratch_path", lambda _, name: f"{tmp_dir}/{name}")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4096")
+    monkeypatch.setattr(catalog, "TASK_ROWS", 100)
+    try:
+        got = {r.l_returnflag: r for r in catalog.row_group_chunks_q(spark, tmp_dir).collect()}
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert {k: (r.n_rows, r.n_keys, r.resumed, r.batches_left) for k, r in got.items()} == {"A": (1334, 1334, True, 0), "N": (2666, 2666, True, 0)}
+    assert len(spark.read.parquet(f"{tmp_dir}/chunks-source").inputFiles()) > 1

@@ -204,11 +204,24 @@ def read_ingested(spark: SparkSession, target: str, keep_batch: bool = False) ->
     return df if keep_batch else df.drop(STREAM_COL, BATCH_COL)
 
 
+# Bytes of a table's files that one task rewrites, about.
+PART_BYTES = 64 << 20
+
+
 def files_per_trigger(n_files: int, chunk_fraction: float) -> int:
     """P13 turned into a stream setting: files per micro-batch."""
     return max(1, math.ceil(n_files * chunk_fraction))
 
 
-def split_into_files(df: DataFrame, path: str, files: int) -> None:
-    """Write a table as ``files`` Parquet files (to feed a file stream)."""
-    df.repartition(files).write.mode("overwrite").parquet(path)
+def split_into_files(df: DataFrame, path: str, files: int) -> int:
+    """Write a table as ``files`` Parquet files (to feed a file stream).
+
+    One task writes a file.  When the table's own files hold more than
+    ``PART_BYTES`` for each of them, every file comes in so many parts of equal
+    size that a task's share does not grow with the table; returns that number."""
+    jvm, conf = df.sparkSession._jvm, df.sparkSession._jsc.hadoopConfiguration()
+    read = [jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(f)) for f in df.inputFiles()]
+    held = sum(p.getFileSystem(conf).getFileStatus(p).getLen() for p in read)
+    parts = max(1, math.ceil(held / (files * PART_BYTES)))
+    df.repartition(files * parts).write.mode("overwrite").parquet(path)
+    return parts

@@ -73,3 +73,20 @@ def test_factors_from_sketches(spark, tmp_dir):
         if r.column_name != ROWS_MARK:
             assert (r.n_values, r.median_len) == (exact[r.column_name].n_values, exact[r.column_name].median_len)
     assert size_factors(spark, tables, stats=stats).collect() == size_factors(spark, tables).collect()
+
+
+def test_large_files_come_in_parts(spark, tmp_dir, monkeypatch):
+    from tablepipe.plans import catalog
+    from tablepipe.streaming import incremental
+
+    docs = spark.range(600).selectExpr("id as doc_id", "repeat(string(hash(id)), int(id % 40)) as text", "'en' as lang", "if(id % 3 = 0, null, 'site') as source", "id as n_chars")
+    docs.coalesce(1).write.parquet(f"{tmp_dir}/a b/documents.parquet")
+    docs = spark.read.parquet(f"{tmp_dir}/a b/documents.parquet")
+    assert incremental.split_into_files(docs, f"{tmp_dir}/whole", 3) == 1 and len(spark.read.parquet(f"{tmp_dir}/whole").inputFiles()) == 3
+    monkeypatch.setattr(incremental, "PART_BYTES", 2000)
+    parts = incremental.split_into_files(docs, f"{tmp_dir}/parts", 3)
+    written = spark.read.parquet(f"{tmp_dir}/parts")
+    assert parts > 1 and len(written.inputFiles()) == 3 * parts and written.exceptAll(docs).count() == 0 and written.count() == 600
+    got = {r.column_name: r for r in catalog.length_sketches_q(spark, f"{tmp_dir}/a b").collect()}
+    assert {(r.files_first, r.files_second, r.files_third) for r in got.values()} == {(3, 2, 0)}
+    assert got["source"].n_values == 800 and got["text"].n_values == 1200 and all(r.median_within_error for r in got.values())

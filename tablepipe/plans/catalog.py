@@ -735,10 +735,10 @@ def row_group_index_q(spark, sf_dir):
     return index.withColumn("table_name", F.regexp_extract("path", r"([^/]+)\.parquet(/[^/]*)?$", 1)).withColumnRenamed("column", "column_path").drop("path")
 
 
-@register("row_group_chunks", """
 TASK_ROWS = 250_000
 
 
+@register("row_group_chunks", """
 SELECT l_returnflag, count(*) AS n_rows, count(DISTINCT (l_orderkey, l_linenumber)) AS n_keys,
        CAST(sum(CAST(l_quantity AS DECIMAL(18,2))) AS DOUBLE) AS sum_qty, min(l_shipdate) AS first_ship, max(l_shipdate) AS last_ship,
        true AS resumed, 0 AS batches_left
@@ -1118,11 +1118,12 @@ def csv_load_documents(spark, sf_dir):
 
 @register("csv_record_ranges", "SELECT doc_id, text, lang, source, n_chars FROM documents")
 def csv_record_ranges(spark, sf_dir):
-    """The same texts read back in byte ranges of one CSV file, as two row ranges of it."""
-    docs, source = table(spark, sf_dir, "documents"), scratch_path(spark, "documents-one-csv")
-    write_csv(docs.coalesce(1), source)
+    """The same texts read back in byte ranges of CSV files (one a task: a small table is
+    one file), as two row ranges of each."""
+    docs, source = table(spark, sf_dir, "documents"), scratch_path(spark, "documents-csv")
+    write_csv(docs, source)
     index = record_index(spark, source, 256 << 10)
-    half = record_counts(index).first()["records"] // 2
+    half = record_counts(index).agg(F.max("records").alias("most")).first()["most"] // 2
     rows = read_records(spark, source, docs.schema, index, number="_row", **CSV_OPTIONS)
     return rows.where(F.col("_row") < half).unionByName(rows.where(F.col("_row") >= half)).drop("_row")
 

@@ -100,3 +100,18 @@ def test_compressed_files_go_to_spark(spark, tmp_dir):
     docs = spark.createDataFrame([(1, "a\nb"), (2, "c")], "k int, t string")
     docs.coalesce(1).write.option("header", True).option("escape", '"').option("compression", "gzip").csv(f"{tmp_dir}/gz")
     assert sorted(r.t for r in read_csv(spark, f"{tmp_dir}/gz", "k int, t string", multiline=True).collect()) == ["a\nb", "c"]
+
+
+def test_csv_query_over_several_files(spark, tmp_dir, monkeypatch):
+    from tablepipe.plans import catalog
+
+    docs = spark.range(300).selectExpr("id as doc_id", "if(id % 7 = 0, null, concat('a\"', id, '\n\n', repeat('x, ', int(id)))) as text", "'en' as lang", "'s' as source", "id as n_chars")
+    docs.repartition(4).write.parquet(f"{tmp_dir}/documents.parquet")
+    monkeypatch.setattr(catalog, "scratch_path", lambda _, name: f"{tmp_dir}/{name}")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "2048")
+    try:
+        got = catalog.csv_record_ranges(spark, tmp_dir).collect()
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert sorted(map(str, got)) == sorted(map(str, spark.read.parquet(f"{tmp_dir}/documents.parquet").collect()))
+    assert len(spark.read.text(f"{tmp_dir}/documents-csv").inputFiles()) > 1

@@ -169,3 +169,15 @@ def test_catalog_target_and_csv(spark, orders, tmp_dir):
         assert same_rows(spark.table("staged_orders"), orders.withColumn("o_orderdate", F.col("o_orderdate").cast("timestamp_ntz")).select(spark.table("staged_orders").columns))
     finally:
         spark.sql("DROP TABLE IF EXISTS staged_orders")
+
+
+def test_resumed_query_has_five_batches_when_files_come_in_parts(spark, tmp_dir, monkeypatch):
+    from tablepipe.plans import catalog
+    from tablepipe.streaming import incremental
+
+    orders = spark.range(1, 3001).selectExpr("id as o_orderkey", "id % 50 as o_custkey", "'O' as o_orderstatus", "id / 7 as o_totalprice",
+                                             "timestamp'1995-01-01 00:00:00' + make_dt_interval(int(id % 900)) as o_orderdate", "'1-URGENT' as o_orderpriority")
+    orders.coalesce(1).write.parquet(f"{tmp_dir}/orders.parquet")
+    monkeypatch.setattr(incremental, "PART_BYTES", 1500)
+    got = catalog.staged_load_resumed(spark, tmp_dir).first()
+    assert (got.batches, got.rows_in, got.in_target, got.in_quarantine) == (5, 3000, 2971, 29)
